@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.functions.terms import normal_terms
-from inkfold.llm import cooccurrence, ngrams
+from inkfold.llm import cooccurrence, ngrams, packing, tokens
 from inkfold.plans.training import sql_term
 from inkfold.sources.tables import table
 
@@ -46,7 +46,19 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return cooccurrence.at_least_lift(pairs, n_rows, 4).select("tag_a", "tag_b")
 
 
-QUERIES = {"p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p6_pairs": p6_pairs, "p6_found": p6_found}
+def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_ids(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), table(spark, folder, "pack_capacities"))
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.container_fill(p8_packing(spark, folder), table(spark, folder, "pack_capacities"))
+
+
+QUERIES = {"p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill}
 
 _TERMS = f"""
 WITH raw AS (

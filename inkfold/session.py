@@ -45,3 +45,12 @@ def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     writer = df.write.mode("error")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def widened(df: DataFrame) -> DataFrame:
+    """``df``, spread over all cores first if it is read in fewer pieces than there are cores.
+
+    For costly work per row on a table of few files; a large table already has more pieces and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.functions.terms import normal_terms
-from inkfold.llm import cooccurrence, ngrams, packing, tokens
+from inkfold.llm import cooccurrence, language, ngrams, packing, tokens
 from inkfold.plans.training import sql_term
 from inkfold.sources.tables import table
 
@@ -58,7 +58,21 @@ def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.container_fill(p8_packing(spark, folder), table(spark, folder, "pack_capacities"))
 
 
-QUERIES = {"p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill}
+def _identified(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return language.identify(documents, language.learn_profiles(documents))
+
+
+def p9_segments(spark: SparkSession, folder: str) -> DataFrame:
+    segments = _identified(spark, folder).select("doc_id", F.posexplode("segments").alias("segment_no", "s"))
+    return segments.select("doc_id", "segment_no", "s.*")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return language.mislabelled(_identified(spark, folder)).distinct()
+
+
+QUERIES = {"p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
 
 _TERMS = f"""
 WITH raw AS (

@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkfold.session import widened
+
 #: Where the public vocabularies are; every executor needs them at the same place. A parameter of each function here.
 TOKENIZERS = "/opt/tokenizers"
 #: How this family of tokenizers cuts texts into words; a fixed value.
@@ -153,10 +155,10 @@ def token_ids(documents: DataFrame, key: str, text: str, *, tokenizer: str = "by
     ``key`` may be any bigint column, nulls included. Other columns are not read. No shuffle.
     """
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(_encoding(f"{folder}/{tokenizer}.tiktoken", False), "key bigint, ids array<int>").withColumnRenamed("key", key)
+    return widened(rows).mapInArrow(_encoding(f"{folder}/{tokenizer}.tiktoken", False), "key bigint, ids array<int>").withColumnRenamed("key", key)
 
 
 def token_counts(documents: DataFrame, key: str, text: str, *, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
     """``key, n_tokens``: how many ids ``token_ids`` gives."""
     rows = documents.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(_encoding(f"{folder}/{tokenizer}.tiktoken", True), "key bigint, n_tokens bigint").withColumnRenamed("key", key)
+    return widened(rows).mapInArrow(_encoding(f"{folder}/{tokenizer}.tiktoken", True), "key bigint, n_tokens bigint").withColumnRenamed("key", key)

@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.functions.terms import normal_terms
-from inkfold.llm import cooccurrence, language, ngrams, packing, tokens
+from inkfold.llm import answers, cooccurrence, language, ngrams, packing, tokens
 from inkfold.plans.training import sql_term
 from inkfold.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    profiles = language.learn_profiles(table(spark, folder, "documents"))
+    return answers.broken_answers(table(spark, folder, "analysis_results"), table(spark, folder, "analysis_prompts"), profiles)
+
+
 def _fields(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]]:
     return {"tags": (table(spark, folder, "posts"), "tags"), "concepts": (table(spark, folder, "analysis_results"), "concepts")}
 
@@ -72,7 +77,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return language.mislabelled(_identified(spark, folder)).distinct()
 
 
-QUERIES = {"p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
 
 _TERMS = f"""
 WITH raw AS (

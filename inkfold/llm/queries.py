@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkfold.functions.terms import normal_terms
-from inkfold.llm import answers, cooccurrence, language, ngrams, packing, tokens
+from inkfold.llm import answers, cooccurrence, language, ngrams, packing, residue, tokens
 from inkfold.plans.training import sql_term
 from inkfold.sources.tables import table
 
@@ -34,6 +34,12 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_terms(spark, folder).where(F.col("mark").isNotNull()).select("field_name", "term", "mark")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    posts = table(spark, folder, "posts")
+    scores = residue.residue_scores(posts, residue.learn_model(posts))
+    return scores.where(residue.is_residue()).select("post_row", "field_name")
+
+
 def _tag_pairs(spark: SparkSession, folder: str, share: float) -> tuple[DataFrame, int]:
     posts = table(spark, folder, "posts")
     n_rows = posts.count()
@@ -77,7 +83,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return language.mislabelled(_identified(spark, folder)).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p3_found": p3_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
 
 _TERMS = f"""
 WITH raw AS (

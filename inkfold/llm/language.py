@@ -16,6 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkfold.operators.sampling import hash_sample
 from inkfold.session import durable, widened
 
 LANGUAGES = ("zh", "en", "de", "fr", "es", "pt", "ja")
@@ -209,7 +210,7 @@ def learn_profiles(documents: DataFrame, *, key: str = "doc_id", text: str = "te
     the sentences as judged. Only the DEPTH best n-grams of each language reach the driver.
     """
     sample = documents.where(names_language(F.col(label)) & F.col(text).rlike(r"\p{L}")).select(F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h"))
-    sample = durable(sample.orderBy("h").limit(train).repartition(16, "h").drop("h"))
+    sample = durable(hash_sample(sample, ["h"], train, documents.count()).repartition(16, "h").drop("h"))
     profiles = None
     for _ in range(2):
         counts = sample.mapInArrow(_count(profiles), "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))

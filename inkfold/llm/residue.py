@@ -15,6 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkfold.operators.sampling import hash_sample
 from inkfold.session import widened
 
 # What texts say that are certainly residue; fixed values.
@@ -225,7 +226,7 @@ def _fields(df: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
 
 def learn_model(df: DataFrame, *, key: str = "post_row", fields: tuple[str, ...] = ("title", "body"), train_fields: int = TRAIN_FIELDS, train_chars: int = TRAIN_CHARS) -> ResidueModel:
     """A model from the fields whose keys hash lowest: at most ``train_fields``, and ``train_chars`` characters in all."""
-    sample = _fields(df, key, fields).withColumn("h", F.xxhash64("key", "field_name")).orderBy("h").limit(train_fields)
+    sample = hash_sample(_fields(df, key, fields), ["key", "field_name"], train_fields, df.count() * len(fields))
     texts, chars = [], 0
     for row in sample.select("text").toLocalIterator():
         chars += len(row["text"])

@@ -58,10 +58,11 @@ def post_key_profiles(posts: DataFrame, *, heavy_share: float = 0.001, salts: in
     the lengths, so the dates may be null and the length is 0 where no row has one.
     """
     base = posts.select("post_row", "author_uid", "tags", instant(F.col("published_at")).alias("__at"), F.coalesce(F.length("body"), F.lit(0)).cast("bigint").alias("__chars"))
-    kept = ["post_row", "__at", "__chars"]
-    authors = base.where(F.col("author_uid").isNotNull()).select(*kept, F.lit("author_uid").alias("field_name"), F.col("author_uid").alias("key_value"))
-    tags = base.select(*kept, F.lit("tags").alias("field_name"), F.explode(F.array_distinct(normal_terms(F.col("tags")))).alias("key_value"))
-    keyed = authors.unionByName(tags)
+    key = "struct<field_name: string, key_value: string>"
+    author = F.array(F.struct(F.lit("author_uid").alias("field_name"), F.col("author_uid").alias("key_value")).cast(key))
+    terms = F.transform(F.array_distinct(normal_terms(F.col("tags"))), lambda t: F.struct(F.lit("tags").alias("field_name"), t.alias("key_value")).cast(key))
+    both = F.concat(author, F.coalesce(terms, F.array().cast(f"array<{key}>")))
+    keyed = base.select("post_row", "__at", "__chars", F.explode(both).alias("k")).select("post_row", "__at", "__chars", "k.*").where(F.col("key_value").isNotNull())
     return salted_aggregate(
         keyed,
         ["field_name", "key_value"],

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkfold.functions.terms import SPACE
 from inkfold.functions.text import strip
 
 
@@ -71,5 +72,5 @@ def render_wiki(title: Column, summary: Column, tags: Column, related: Column, c
 
 def with_section(text: Column, marker: str, section: Column) -> Column:
     """Text whose part from ``marker`` on is replaced by marker and ``section``; a null section only drops the old one."""
-    before = F.rtrim(F.substring_index(text, marker, 1))
+    before = F.regexp_replace(F.substring_index(text, marker, 1), rf"[{SPACE}]+\z", "")
     return F.when(section.isNull(), before).otherwise(F.concat(before, F.lit(f"\n\n{marker}\n\n"), section, F.lit("\n")))

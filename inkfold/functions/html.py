@@ -17,7 +17,7 @@ def plain(html: Column) -> Column:
 
 
 def title(html: Column) -> Column:
-    return collapse(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    return plain(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
 def links(html: Column) -> Column:

@@ -43,27 +43,14 @@ def list_counts(df: DataFrame, items: str, order: list[str], *, top: int | None
     return counted if top is None else counted.orderBy(F.desc("n"), "first_at").limit(top)
 
 
-def keywords(df: DataFrame, keep: list[str], tokens: Column, top: int = 10) -> DataFrame:
-    """The ``top`` most frequent tokens of each row, ties in order of first place: ``keep..., keyword, n, rank``.
-
-    Counting and ranking happen inside the row: no shuffle, and a long text meets nothing but itself.
-    """
-    places = F.transform(F.col("__tokens"), lambda t, i: F.struct(t.alias("t"), i.alias("i")))
-    words = F.array_distinct(F.col("__tokens"))
-    counted = F.transform(F.array_sort(F.transform(words, lambda w: F.struct((-F.size(F.filter(F.col("__tokens"), lambda t: t == w))).alias("minus"), F.array_position("__tokens", w).alias("i"), w.alias("w")))), lambda x: F.struct(x["w"].alias("keyword"), (-x["minus"]).cast("bigint").alias("n")))
-    del places
-    best = df.withColumn("__tokens", tokens).select(*keep, F.posexplode(F.slice(counted, 1, top)).alias("rank", "k"))
-    return best.select(*keep, "k.keyword", "k.n", (F.col("rank") + 1).cast("bigint").alias("rank"))
-
-
 def keyword_counts(df: DataFrame, keep: list[str], tokens: Column) -> DataFrame:
-    """``keep..., keyword, n, first_at`` of every token of each row, through a shuffle on row and token: for long texts."""
+    """``keep..., keyword, n, first_at`` of every token of each row, combined before the shuffle."""
     seen = df.select(*keep, F.posexplode(tokens).alias("at", "keyword"))
     return seen.groupBy(*keep, "keyword").agg(F.count(F.lit(1)).alias("n"), F.min("at").cast("bigint").alias("first_at"))
 
 
-def keywords_of_long(df: DataFrame, keep: list[str], tokens: Column, top: int = 10) -> DataFrame:
-    """As ``keywords``, for rows with very many different tokens."""
+def keywords(df: DataFrame, keep: list[str], tokens: Column, top: int = 10) -> DataFrame:
+    """The ``top`` most frequent tokens of each row, ties in order of first place: ``keep..., keyword, n, rank``."""
     place = F.row_number().over(Window.partitionBy(*keep).orderBy(F.desc("n"), "first_at"))
     ranked = keyword_counts(df, keep, tokens).withColumn("rank", place.cast("bigint")).where(F.col("rank") <= top)
     return ranked.select(*keep, "keyword", "n", "rank")

@@ -19,11 +19,11 @@ def post_documents(posts: DataFrame, keys: tuple[str, ...] = POST_KEYS) -> DataF
     return posts.select(md5_name(F.col("source_url"), F.col("id")).alias("file_name"), render_post(fields, F.col("title"), F.col("body")).alias("content"))
 
 
-def collector_documents(posts: DataFrame) -> DataFrame:
-    """``file_name, content`` with four keys, values quoted and escaped."""
+def collector_documents(posts: DataFrame, *keep: str) -> DataFrame:
+    """``keep..., file_name, content`` with four keys, values quoted and escaped."""
     quoted = lambda c: F.concat(F.lit('"'), escaped(F.coalesce(F.col(c), F.lit(""))), F.lit('"'))
     fields = {"title": quoted("title"), "date": quoted("published_at"), "source": quoted("source_url"), "tags": F.to_json(F.coalesce("tags", F.array().cast("array<string>")))}
-    return posts.select(md5_name(F.col("source_url"), F.col("id")).alias("file_name"), render_post(fields, F.col("title"), F.col("body")).alias("content"))
+    return posts.select(*keep, md5_name(F.col("source_url"), F.col("id")).alias("file_name"), render_post(fields, F.col("title"), F.col("body")).alias("content"))
 
 
 def write_files(documents: DataFrame, folder: str) -> None:

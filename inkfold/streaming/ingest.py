@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from inkfold.operators import orphans
 from inkfold.session import durable
 
 
-def new_files(spark: SparkSession, path: str, schema: str, *, files_per_batch: int = 1_000, kind: str = "parquet") -> DataFrame:
+def new_files(spark: SparkSession, path: str, schema: str | StructType, *, files_per_batch: int = 1_000, kind: str = "parquet") -> DataFrame:
     """A stream of the files that come into a folder."""
     return spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(path)
 

@@ -1,7 +1,7 @@
 """Answers of a model that can't be used, with the type of defect.
 
 Answers are cut into units: items and their sentences, numbers made alike. All distinct units are sorted and each is
-compared with the next one: a unit that is a true beginning of its neighbour, and that never stands complete anywhere,
+compared with its next complete neighbour: a unit that is a beginning of it, and that never stands complete anywhere,
 is a shortened version. Lengths at which open answers pile up show a length limit. The other defects are rules on one
 answer and its prompt: nothing said, a refusal, a copy of the prompt, another language.
 """
@@ -163,25 +163,29 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted units to the open ones, each with whether the next unit begins with it; the first and the last of a task are told."""
-    before: tuple | None = None
+    """Units in falling order to the open ones, each with whether the next complete unit begins with it.
+
+    Where a task has no complete unit after an open one, that is left null; the task's lowest complete unit is told, for
+    the task before.
+    """
+    after: str | None = None
+    part = None
     out: list[tuple] = []
 
     def passed():
-        cols = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int32()))]
+        batch = pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.bool_(), pa.int32()))], names=["unit", "shortened", "lowest", "part"])
         out.clear()
-        return pa.RecordBatch.from_arrays(cols, names=["unit", "n_open", "n_other", "shortened", "edge", "part"])
+        return batch
 
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if before is None:
-                out.append((row[0], 0, 0, False, "first", row[3]))
-            elif before[1]:
-                out.append((*before[:3], row[0].startswith(before[0]), None, before[3]))
-            before = row
+        for unit, is_open, is_complete, part in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if is_open:
+                out.append((unit, None if after is None else after.startswith(unit), False, part))
+            if is_complete:
+                after = unit
         yield passed()
-    if before is not None:
-        out.append((*before[:3], False, "last", before[3]))
+    if after is not None:
+        out.append((after, None, True, part))
         yield passed()
 
 
@@ -189,18 +193,21 @@ def open_units(answers: DataFrame) -> DataFrame:
     """``tail, complete, shortened`` of every unit that ends an answer without an end mark.
 
     ``complete``: it also stands before the end of an answer, or ends as a unit without an end mark does there; items
-    that are no sentences need no mark. ``shortened``: it is a beginning of another unit. In sorted order it is one of
-    any unit exactly if it is one of the next; only the first and the last unit of each task go through the driver.
+    that are no sentences need no mark. ``shortened``: it is a beginning of a unit that stands complete. In sorted
+    order it is one of any such unit exactly if it is one of the next; one unit of each task goes through the driver.
     ``answers`` has one column, an array of items.
     """
     spark = answers.sparkSession
     counts = answers.mapInArrow(_count_units, "unit string, ending string, n_open bigint, n_other bigint")
     counts = durable(counts.groupBy("unit", "ending").agg(F.sum("n_open").alias("n_open"), F.sum("n_other").alias("n_other")))
-    placed = counts.select("unit", "n_open", "n_other").repartitionByRange("unit").sortWithinPartitions("unit").withColumn("part", F.spark_partition_id())
-    told = durable(placed.mapInArrow(_neighbours, "unit string, n_open bigint, n_other bigint, shortened boolean, edge string, part int"))
-    edges = sorted(told.where(F.col("edge").isNotNull()).collect(), key=lambda r: (r["part"], r["edge"] == "last"))  # two rows a task
-    lasts = [(r["unit"], i + 1 < len(edges) and edges[i + 1]["unit"].startswith(r["unit"])) for i, r in enumerate(edges) if r["edge"] == "last" and r["n_open"]]
-    shortened = told.where(F.col("edge").isNull()).select("unit", "shortened").unionByName(spark.createDataFrame(lasts, "unit string, shortened boolean"))
+    stands = (F.col("n_other") > 0) | F.col("ending").isNull()
+    placed = counts.select("unit", (F.col("n_open") > 0).alias("is_open"), stands.alias("is_complete")).repartitionByRange("unit").sortWithinPartitions(F.desc("unit")).withColumn("part", F.spark_partition_id())
+    told = durable(placed.mapInArrow(_neighbours, "unit string, shortened boolean, lowest boolean, part int"))
+    lowest, following = {r["part"]: r["unit"] for r in told.where("lowest").collect()}, []  # one row a task
+    for part in range(max(lowest, default=-1), -1, -1):
+        following.append((part - 1, lowest.get(part, following[-1][1] if following else None)))
+    later = F.broadcast(spark.createDataFrame(following, "part int, next string"))  # one row a task
+    shortened = told.where("not lowest").join(later, "part", "left").select("unit", F.coalesce("shortened", F.startswith("next", "unit"), F.lit(False)).alias("shortened"))
     endings = counts.where((F.col("n_other") > 0) & F.col("ending").isNotNull()).select("ending").distinct().withColumn("usual", F.lit(True))
     tails = counts.where(F.col("n_open") > 0).join(endings, "ending", "left").join(shortened, "unit")
     complete = (F.col("n_other") > 0) | F.coalesce("usual", F.lit(False))

@@ -85,7 +85,8 @@ def sentences(text: str) -> list[tuple[int, int, bool]]:
         letters = _NO_LETTERS.sub("", piece)
         if letters:
             weight = len(letters) + 2 * len(_WIDE.findall(letters))
-            out.append((start, end, weight >= 12 and not piece.lstrip().startswith("#")))
+            bare = piece.lstrip()
+            out.append((end - len(bare), end, weight >= 12 and not bare.startswith("#")))
         start = end
     return out
 

@@ -53,6 +53,7 @@ _MARKS = regex.compile(r"[^\p{L}\p{N}]+")
 _NUMBER = regex.compile(r"\d+(?:[.,]\d+)*")
 _SPACE = regex.compile(r"\s+")
 _SENTENCE = regex.compile(r"(?<=[。！？!?][”』」\"'»)）\]]*)(?![”』」\"'»)）\]。！？!?])|(?<=\.)\s+|\n+")
+_PART = regex.compile(r"[\n。！？.!?：:]+")
 _WIDE = regex.compile(r"[぀-ヿ㐀-鿿]")
 _CUT_NUMBER = regex.compile(r"[぀-ヿ㐀-鿿].*#\.$")
 
@@ -82,10 +83,9 @@ def ending(text: str) -> str:
     return text[-4:] if _WIDE.match(text[-1]) else " ".join(text.split(" ")[-2:])
 
 
-def copied(items: list[str], prompt: str) -> bool:
-    """Whether every part of the answer is a part of the prompt, but for case, white space and marks."""
-    whole = _bare(prompt)
-    return all(_bare(x) in whole or all(_bare(p) in whole for p in regex.split(r"[\n。！？.!?：:]+", x)) for x in items)
+def copied(items: list[str], whole: str) -> bool:
+    """Whether every part of the answer is a part of the prompt, but for case, white space and marks; ``whole`` is the bare prompt."""
+    return all(_bare(x) in whole or all(_bare(p) in whole for p in _PART.split(x)) for x in items)
 
 
 def _rules(profiles):
@@ -97,13 +97,14 @@ def _rules(profiles):
             n = len(keys)
             defects: list[str | None] = [None] * n
             kept = [items_of(a or []) for a in answers]
+            wholes = {p: _bare(p) for p in set(prompts) if p}
             ask: list[int] = []
             for i in range(n):
                 if not kept[i]:
                     defects[i] = "empty"
                 elif any(REFUSALS.search(_QUOTED.sub("", x)) for x in kept[i]):
                     defects[i] = "refusal"
-                elif prompts[i] and copied(kept[i], prompts[i]):
+                elif prompts[i] and copied(kept[i], wholes[prompts[i]]):
                     defects[i] = "copied"
                 elif prompts[i]:
                     ask.append(i)

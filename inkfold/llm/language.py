@@ -124,28 +124,50 @@ class Profiles:
     def __init__(self, ranked: dict[str, list[int]]) -> None:
         self.codes = np.unique(np.array([c for grams in ranked.values() for c in grams], np.int64))
         self.ranks = np.full((len(self.codes) + 1, len(LANGUAGES)), DEPTH, np.int32)  # the last row: in no profile
+        self.tables = []  # each has a place for every n-gram that found its place taken in the one before
+        left = np.arange(len(self.codes))
+        while len(left):
+            table = np.full(1 << 16, -1, np.int32)
+            place = self._place(self.codes[left], len(self.tables))
+            table[place] = left
+            self.tables.append(table)
+            left = left[table[place] != left]
         for k, name in enumerate(LANGUAGES):
             self.ranks[np.searchsorted(self.codes, np.array(ranked[name], np.int64)), k] = np.arange(len(ranked[name]))
 
+    @staticmethod
+    def _place(codes: np.ndarray, n: int) -> np.ndarray:
+        return codes >> (16 + 7 * (n % 5)) & 0xFFFF
+
+    def _known(self, codes: np.ndarray) -> np.ndarray:
+        """Place of each code among the profiles' n-grams, -1 if it is none of them."""
+        found = self.tables[0][self._place(codes, 0)]
+        found = np.where((found >= 0) & (self.codes[found] == codes), found, -1)
+        for n, table in enumerate(self.tables[1:], 1):
+            other = table[self._place(codes, n)]
+            found = np.where((other >= 0) & (self.codes[other] == codes), other, found)
+        return found
+
     def distances(self, pieces: list[str]) -> np.ndarray:
         """Mean out-of-place distance of each piece to each language. N-grams of equal count share their mean rank."""
         owner, code, weight = _grams(pieces)
         n = len(pieces)
         if not len(owner):
             return np.full((n, len(LANGUAGES)), float(DEPTH))
-        at = np.searchsorted(self.codes, code)
-        at[at == len(self.codes)] = 0
-        known = self.codes[at] == code
+        at = self._known(code)
         # piece, weight and n-gram in one number: the n-gram's place among the profiles', or 40 bits of its hash
-        key = np.sort(owner << 42 | (weight > 1).astype(np.int64) << 41 | np.where(known, at, 1 << 40 | code & (1 << 40) - 1))
+        key = np.sort(owner << 42 | (weight > 1).astype(np.int64) << 41 | np.where(at >= 0, at, 1 << 40 | code & (1 << 40) - 1))
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         count = np.minimum(np.diff(np.append(starts, len(key))), (1 << 20) - 1)
         key = key[starts]
         owner = key >> 42
         # rank of a count within its piece: those above it and half of its equals
-        tally = (owner << 20) + ((1 << 20) - 1 - count)
+        often = np.flatnonzero(count > 1)  # few; all others of a piece share one rank
+        above = np.bincount(owner[often], minlength=n)
+        rank = above[owner] + (np.bincount(owner, minlength=n) - above - 1)[owner] / 2
+        tally = (owner[often] << 20) + ((1 << 20) - 1 - count[often])
         ordered = np.sort(tally)
-        rank = (np.searchsorted(ordered, tally) + np.searchsorted(ordered, tally, side="right") - 1) / 2 - np.searchsorted(ordered, owner << 20)
+        rank[often] = (np.searchsorted(ordered, tally) + np.searchsorted(ordered, tally, side="right") - 1) / 2 - np.searchsorted(ordered, owner[often] << 20)
         at = np.where(key >> 40 & 1, len(self.codes), key & (1 << 40) - 1)
         weight = np.where(key >> 41 & 1, WIDE_WEIGHT, 1)
         total = np.maximum(np.bincount(owner, weight, minlength=n), 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from inkfold.functions.terms import SPACE
 HAN = "一-鿿"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(text: Column) -> Column:
     """Text without Unicode white space at its ends."""
     return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")

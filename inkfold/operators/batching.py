@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkfold.functions.text import collapse, without_controls
+from inkfold.functions.text import collapse, let, without_controls
 from inkfold.operators.ranks import global_rank
 
 ENTRY = "array<struct<title: string, summary: string, tags: array<string>, related: array<string>, content: string, body: string>>"
@@ -37,8 +39,12 @@ def prompt_of(batch: DataFrame, title: str, text: str, *, intro: str, limit: int
 def json_window(text: Column) -> Column:
     """The part from the first ``[`` to the last ``]`` of a text without code fences and control characters; null if there is none."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(without_controls(text)), r"\A```[^\n]*\n?", ""), r"\s*```\s*\z", "")
-    start, end = F.instr(bare, "["), F.length(bare) - F.instr(F.reverse(bare), "]") + 1
-    return F.when((start > 0) & (F.instr(bare, "]") > 0) & (end > start), F.substring(bare, start, end - start + 1))
+
+    def window(t: Column) -> Column:
+        start, end = F.instr(t, "["), F.length(t) - F.instr(F.reverse(t), "]") + 1
+        return F.when((start > 0) & (F.instr(t, "]") > 0) & (end > start), F.substring(t, start, end - start + 1))
+
+    return let(bare, window)
 
 
 def _some(items: Column, most: int) -> Column:
@@ -55,18 +61,19 @@ def entries(text: Column) -> Column:
         x["title"].alias("title"), F.coalesce(x["summary"], F.lit("")).alias("summary"), _some(x["tags"], 5).alias("tags"), _some(x["related"], 3).alias("related"), F.coalesce(F.nullif(x["content"], F.lit("")), x["body"], F.lit("")).alias("body")
     )
     parsed = F.transform(F.filter(F.from_json(json_window(text), ENTRY), lambda x: x["title"].isNotNull()), item)
-    bare = F.regexp_replace(F.trim(text), r"\A---", "")
-    sections = F.filter(F.transform(F.split(bare, "\n---"), F.trim), lambda s: s != "")
+    sections = F.filter(F.transform(F.split(F.regexp_replace(F.trim(text), r"\A---", ""), "\n---"), F.trim), lambda s: s != "")
     none = F.array().cast("array<string>")
 
     def section(s: Column) -> Column:
         title = F.trim(F.regexp_extract(s, r"(?m)^\s*#+\s+(.+)$", 1))
         return F.struct(title.alias("title"), F.concat(F.lit("about "), title).alias("summary"), F.array(F.lit("unsorted")).alias("tags"), none.alias("related"), s.alias("body"))
 
-    split = F.filter(F.transform(sections, section), lambda e: e["title"] != "")
-    names = F.transform(split, lambda e: F.regexp_replace(e["title"], r"\s+", ""))
-    once = F.filter(split, lambda e, i: F.array_position(names, F.element_at(names, i + 1)) == i + 1)
-    return F.when(F.size(parsed) > 0, parsed).otherwise(once)
+    def first_of_title(found: Column) -> Column:
+        names = F.transform(found, lambda e: F.regexp_replace(e["title"], r"\s+", ""))
+        return let(names, lambda n: F.filter(found, lambda e, i: F.array_position(n, F.element_at(n, i + 1)) == i + 1))
+
+    split = let(F.filter(F.transform(sections, section), lambda e: e["title"] != ""), first_of_title)
+    return let(parsed, lambda p: F.when(F.size(p) > 0, p).otherwise(split))
 
 
 def match_titles(entry_rows: DataFrame, batch: DataFrame) -> DataFrame:
@@ -81,17 +88,20 @@ def match_titles(entry_rows: DataFrame, batch: DataFrame) -> DataFrame:
 def map_batches(batch: DataFrame, fn: Callable[[list[dict]], str], *, attempts: int = 3) -> DataFrame:
     """``batch_id, reply``: ``fn`` gets the records of each batch in order; an error is tried again, then gives a null reply."""
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        records, reply = rows.sort_values("idx").to_dict("records"), None
+    def reply(records: list[dict]) -> str | None:
         for _ in range(attempts):
             try:
-                reply = fn(records)
-                break
-            except Exception:  # noqa: BLE001  the function is foreign; its failure is a null reply
+                return fn(records)
+            except Exception:  # noqa: BLE001, S112  the function is foreign; its failure is a null reply
                 continue
-        return pd.DataFrame({"batch_id": [key[0]], "reply": [reply]})
+        return None
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for part in parts for row in part.to_pylist())
+        for key, records in groupby(rows, key=lambda r: r["batch_id"]):
+            yield pa.RecordBatch.from_pydict({"batch_id": pa.array([key], pa.int64()), "reply": pa.array([reply(list(records))], pa.string())})
 
-    return batch.groupBy("batch_id").applyInPandas(run, "batch_id bigint, reply string")
+    return batch.repartition("batch_id").sortWithinPartitions("batch_id", "idx").mapInArrow(run, "batch_id bigint, reply string")
 
 
 def map_records(df: DataFrame, fn: Callable[[str], str], key: str, text: str) -> DataFrame:

@@ -210,7 +210,7 @@ class ResidueModel:
         total = np.bincount(words.field, score, minlength=len(texts) + 1)[: len(texts)]
         letters = np.bincount(words.field, words.letters, minlength=len(texts) + 1)[: len(texts)]
         residue = np.bincount(words.field, words.letters * (score > 0), minlength=len(texts) + 1)[: len(texts)]
-        return total + self.prior, residue / np.maximum(letters, 1)
+        return total + self.prior, np.where(letters > 1, residue / np.maximum(letters, 1), 0)  # one letter says nothing
 
     def judge(self, texts: list[str]) -> list[tuple[float, float, float]]:
         """Log-odds of the text, share of residue, and the log-odds of its likeliest slot (-inf without slots)."""

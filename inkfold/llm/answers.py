@@ -29,7 +29,7 @@ REFUSALS = regex.compile(
             r"不便由我|恕难|恕我(?:不能|无法)|我?不适合替您|请求.{0,6}(?:不予|无法)处理|安全策略|超出了?我.{0,8}范围|我只是一个(?:程序|模型)|另请高明|答不上来|(?:要|让)我替.{0,12}不合适",
             r"\bas an? (?:ai\b|(?:ai |large )?language model|ai assistant|program i\b)",
             r"\bi(?:'m| am)? (?:cannot|can't|can not|could not|couldn't|won't|will not|(?:am )?(?:unable|not able) to|would rather not|must decline|have to decline|hold no opinion)\b",
-            r"\bi(?:'m| am) (?:unable|not able|not allowed|not in a position)\b|not (?:be )?appropriate for me\b|not something i can\b|beyond what i (?:may|can)\b|against my (?:policy|guidelines)",
+            r"\bi(?:'m| am) (?:unable|not able|not allowed|not in a position)\b|not (?:be )?appropriate for me\b|not something i can\b|beyond what i (?:may|can)\b|against my (?:policy|guidelines)|generation (?:was|has been) stopped|restricted topic|content policy",
             r"\bals (?:ki[- ])?sprachmodell\b|\b(?:ist|wäre) es mir (?:leider )?nicht möglich|\b(?:darf|kann|möchte) ich (?:leider )?(?:keine|nicht|diese[nrs]? \w+ nicht)\b|\bich (?:kann|darf|möchte) (?:leider )?(?:keine|nicht|diese[nrs]? \w+ nicht|hierzu|dazu)\b",
             r"\bmodèle de lang(?:ue|age)\b|\bje (?:ne |n')(?:peux|suis|saurais|puis) pas\b|\bil m'est impossible\b|\bje préfère ne pas\b",
             r"\bmodelo de lenguaje\b|\bno (?:puedo|me es posible|estoy en condiciones|me corresponde)\b",
@@ -48,7 +48,7 @@ GOING_ON = regex.compile(
 )
 _END = regex.compile(r"[。！？!?.][”』」\"'»)）\]]*$")
 _DOTS = regex.compile(r"(?:…+|\.{2,}|。{2,})[”』」\"'»)）]*$")
-_QUOTED = regex.compile(r"“[^”]*”|«[^»]*»|「[^」]*」|『[^』]*』|《[^》]*》|\"[^\"]*\"|‘[^’]*’")
+_QUOTED = regex.compile(r"“[^”]*(?:”|$)|«[^»]*(?:»|$)|「[^」]*(?:」|$)|『[^』]*(?:』|$)|《[^》]*(?:》|$)|\"[^\"]*\"|‘[^’]*’")
 _MARKS = regex.compile(r"[^\p{L}\p{N}]+")
 _NUMBER = regex.compile(r"\d+(?:[.,]\d+)*")
 _SPACE = regex.compile(r"\s+")
@@ -114,9 +114,15 @@ def _rules(profiles):
                 for p in dict.fromkeys(prompts[i] for i in ask):
                     asked[p] = len(asked)
                 own, sure = langs.judge(spoken)
-                theirs = langs.judge(list(asked))[0]
+                away = langs.distances(list(asked))
+                near = away.argsort(axis=1)
+                rows = range(len(asked))
+                # a prompt that is as near to a second language may be answered in either
+                mixed = away[rows, near[:, 1]] <= away[rows, near[:, 0]] * (1 + SURE)
                 for k, i in enumerate(ask):
-                    if own[k] != theirs[asked[prompts[i]]] and sure[k] > SURE and len(_bare(spoken[k])) > 3:
+                    p = asked[prompts[i]]
+                    meant = own[k] == near[p, 0] or mixed[p] and own[k] == near[p, 1]
+                    if not meant and sure[k] > SURE and len(_bare(spoken[k])) > 3:
                         defects[i] = "other_language"
             tails: list[str | None] = [None] * n
             open_ends, styles = [False] * n, [False] * n

@@ -40,11 +40,11 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return scores.where(residue.is_residue()).select("post_row", "field_name")
 
 
-def _tag_pairs(spark: SparkSession, folder: str, share: float) -> tuple[DataFrame, int]:
+def _tag_pairs(spark: SparkSession, folder: str, share: float, floor: int = 3) -> tuple[DataFrame, int]:
     posts = table(spark, folder, "posts")
     n_rows = posts.count()
     baskets = posts.select(F.array_distinct(normal_terms(F.col("tags"))).alias("terms"))
-    pairs = cooccurrence.pair_counts(baskets, "terms", max(3, math.ceil(n_rows * share)))
+    pairs = cooccurrence.pair_counts(baskets, "terms", max(floor, math.ceil(n_rows * share)))
     return pairs.withColumnsRenamed({"item_a": "tag_a", "item_b": "tag_b"}), n_rows
 
 
@@ -52,6 +52,11 @@ def p6_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return cooccurrence.association(*_tag_pairs(spark, folder, 0))
 
 
+def p6_all_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every two terms that share a row; ``p6_pairs`` has those that at least 3 rows hold."""
+    return cooccurrence.association(*_tag_pairs(spark, folder, 0, floor=1))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     pairs, n_rows = _tag_pairs(spark, folder, 0.002)
     return cooccurrence.at_least_lift(pairs, n_rows, 4).select("tag_a", "tag_b")
@@ -83,7 +88,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return language.mislabelled(_identified(spark, folder)).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p3_found": p3_found, "p6_pairs": p6_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p3_found": p3_found, "p6_pairs": p6_pairs, "p6_all_pairs": p6_all_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
 
 _TERMS = f"""
 WITH raw AS (
@@ -107,6 +112,8 @@ named AS (
   SELECT p.tag_a, p.tag_b, x.n AS rows_a, y.n AS rows_b, p.rows_both, t.n AS n
   FROM pairs p JOIN support x ON p.tag_a = x.term JOIN support y ON p.tag_b = y.term, total t)
 """
+_ASSOCIATION = """SELECT tag_a, tag_b, rows_a, rows_b, rows_both, rows_both::DOUBLE * n / (rows_a::DOUBLE * rows_b) AS lift,
+  ln(((rows_both + 0.5::DOUBLE) * (n - rows_a - rows_b + rows_both + 0.5::DOUBLE)) / ((rows_a - rows_both + 0.5::DOUBLE) * (rows_b - rows_both + 0.5::DOUBLE))) AS log_odds FROM named"""
 ORACLE = {
     "p2_terms": _TERMS + "SELECT * FROM counted",
     "p2_found": _TERMS + "SELECT field_name, term, mark FROM counted WHERE mark IS NOT NULL",
@@ -117,8 +124,7 @@ WITH seqs AS (
 starts AS (SELECT field_name, row_id, seq, unnest(range(1, len(seq) + 1)) AS i FROM seqs),
 grams AS (SELECT field_name, row_id, list_slice(seq, i, i + l - 1) AS g, l FROM starts, (VALUES (1), (2), (3)) v(l) WHERE i + l - 1 <= len(seq))
 SELECT field_name, array_to_string(g, ' ') AS term, l AS n_terms, count(*) AS n_occurrences, count(DISTINCT row_id) AS n_records FROM grams GROUP BY field_name, g, l""",
-    "p6_pairs": _PAIRS
-    + """SELECT tag_a, tag_b, rows_a, rows_b, rows_both, rows_both::DOUBLE * n / (rows_a::DOUBLE * rows_b) AS lift,
-  ln(((rows_both + 0.5::DOUBLE) * (n - rows_a - rows_b + rows_both + 0.5::DOUBLE)) / ((rows_a - rows_both + 0.5::DOUBLE) * (rows_b - rows_both + 0.5::DOUBLE))) AS log_odds FROM named""",
+    "p6_pairs": _PAIRS + _ASSOCIATION,
+    "p6_all_pairs": _PAIRS.replace(" HAVING count(*) >= 3", "") + _ASSOCIATION,
     "p6_found": _PAIRS + "SELECT tag_a, tag_b FROM named WHERE rows_both >= 0.002 * n AND rows_both * n >= 4 * rows_a * rows_b",
 }

@@ -2,7 +2,9 @@
 
 import sys
 from collections import Counter
+from itertools import combinations
 from pathlib import Path
+from unicodedata import normalize
 
 import duckdb
 import pytest
@@ -40,3 +42,13 @@ def test_rows(spark, name):
         cols = sorted(df.columns)
         assert sorted(names) == cols
         assert Counter(tuple(plain(r[c]) for c in cols) for r in rows) == Counter(tuple(plain(r[names.index(c)]) for c in cols) for r in rel.fetchall())
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
+def test_pairs_of_one_row_come_out(spark):
+    held = duckdb.sql(f"SELECT tags FROM '{FOLDER}/posts.parquet' WHERE len(tags) > 1").fetchall()
+    terms = [{normalize("NFKC", t).strip(" \u3000\t\n#\"'“”‘’「」").lower() for t in tags if t} - {""} for (tags,) in held]
+    want = Counter(p for own in terms for p in combinations(sorted(own), 2))
+    got = {(r["tag_a"], r["tag_b"]): r["rows_both"] for r in queries.QUERIES["p6_all_pairs"](spark, str(FOLDER)).collect()}
+    assert got == want
+    assert min(want.values()) == 1

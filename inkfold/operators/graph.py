@@ -58,6 +58,11 @@ def collapse(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.max_by("relation", F.struct(rank, "relation")).alias("relation"))
 
 
+def member_edges(edges: DataFrame) -> DataFrame:
+    """``edges`` with the tag of each ``has_tag`` edge as ``tag:`` and the tag, apart from the keywords' ids, so that ``collapse`` keeps both."""
+    return edges.withColumn("dst", F.when(F.col("relation") == "has_tag", F.concat(F.lit("tag:"), "dst")).otherwise(F.col("dst")))
+
+
 def nodes(posts: DataFrame, keywords: DataFrame, authors: DataFrame) -> DataFrame:
     """``id, type``: ids are one namespace; an id that is a post is one, else a keyword, else an author. One column each."""
     kinds = ((posts, "post", 2), (keywords, "keyword", 1), (authors, "author", 0))

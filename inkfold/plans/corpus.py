@@ -450,9 +450,12 @@ edges AS (SELECT src, dst, relation FROM (SELECT *, CASE relation WHEN 'wrote' T
 """
 
 
+def _other_edges(spark: SparkSession, d: str) -> DataFrame:
+    return keyword_edges(spark, d).unionByName(next_post_edges(spark, d)).unionByName(author_edges(spark, d))
+
+
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    every = shared_tag_edges(spark, d).unionByName(keyword_edges(spark, d)).unionByName(next_post_edges(spark, d)).unionByName(author_edges(spark, d))
-    return graph.collapse(every)
+    return graph.collapse(shared_tag_edges(spark, d).unionByName(_other_edges(spark, d)))
 
 
 @query(_EVERY + "SELECT * FROM edges")
@@ -460,6 +463,12 @@ def graph_edges(spark: SparkSession, d: str) -> DataFrame:
     return _edges(spark, d)
 
 
+@query(_EVERY.replace("SELECT * FROM tagged", "SELECT src, CASE relation WHEN 'has_tag' THEN 'tag:' || dst ELSE dst END AS dst, relation FROM tagged") + "SELECT * FROM edges")
+def graph_edges_tagged(spark: SparkSession, d: str) -> DataFrame:
+    """As ``graph_edges``, but a large tag has an id of its own, so no keyword of the same name overwrites its edges."""
+    return graph.collapse(graph.member_edges(shared_tag_edges(spark, d)).unionByName(_other_edges(spark, d)))
+
+
 @query(
     _KEYWORDS.rstrip()
     + f""", ids AS (SELECT CAST(post_row AS VARCHAR) AS id, 'post' AS type, 2 AS r FROM posts UNION ALL SELECT dst, 'keyword', 1 FROM ({_KW_EDGES}) UNION ALL SELECT src, 'author', 0 FROM ({_AUTHORS}))

@@ -241,6 +241,15 @@ def test_large_tags_lose_no_link(spark):
     assert rows(edges.groupBy("relation").count()) == {("has_tag", 20): 1, ("shares_tag", 45): 1}
 
 
+def test_a_keyword_of_the_same_name_leaves_the_tag(spark):
+    posts = spark.range(30).select(F.col("id").cast("string").alias("post"), "id", F.array(F.lit("hot")).alias("tags"))
+    kw = spark.createDataFrame([("3", "hot")], "post string, keyword string")
+    every = graph.member_edges(graph.tag_edges(posts, "post", "tags", "id", pairs_up_to=10)).unionByName(graph.keyword_edges(kw, "post"))
+    got = rows(graph.collapse(every))
+    assert {r for r in got if r[2] == "has_tag"} == {(str(i), "tag:hot", "has_tag") for i in range(30)}
+    assert {r for r in got if r[2] != "has_tag"} == {("3", "hot", "contains_keyword")}
+
+
 # Batches
 
 

@@ -478,11 +478,20 @@ def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     return graph.nodes(_posts(spark, d).select("post"), keyword_edges(spark, d).select("dst"), author_edges(spark, d).select("src"))
 
 
-@query(_EVERY + "SELECT id, CAST(sum(i) AS BIGINT) AS n_in, CAST(sum(o) AS BIGINT) AS n_out, count(*) AS degree FROM (SELECT src AS id, 0 AS i, 1 AS o FROM edges UNION ALL SELECT dst, 1, 0 FROM edges) GROUP BY 1")
+_DEGREES = "SELECT id, CAST(sum(i) AS BIGINT) AS n_in, CAST(sum(o) AS BIGINT) AS n_out, count(*) AS degree FROM (SELECT src AS id, 0 AS i, 1 AS o FROM edges UNION ALL SELECT dst, 1, 0 FROM edges) GROUP BY 1"
+
+
+@query(_EVERY + _DEGREES)
 def node_degrees(spark: SparkSession, d: str) -> DataFrame:
     return graph.degrees(_edges(spark, d))
 
 
+@query(_EVERY.replace("WHERE a.n <= 64", "").replace("UNION SELECT DISTINCT CAST(post_row AS VARCHAR), tag, 'has_tag' FROM sized WHERE n > 64", "") + _DEGREES)
+def node_degrees_exact(spark: SparkSession, d: str) -> DataFrame:
+    """As ``node_degrees``, of the graph that has the pairs of every tag, whatever its size."""
+    return graph.exact_degrees(_posts(spark, d), "post", "tags", "post_row", _other_edges(spark, d))
+
+
 # Settings of the example: documents with keywords, and rules from words to documents.
 _DOCS = {"trend.md": ["趋势", "均线", "量能", "仓位"], "risk.md": ["仓位", "止盈", "风险", "现金"], "volume.md": ["量能", "成交", "换手", "均线"], "mind.md": ["心态", "现金", "耐心"]}
 _RULES = [(["均线", "布林带"], "trend.md"), (["仓位", "轻仓"], "risk.md"), (["换手率", "量比", "成交"], "volume.md"), (["耐心", "心态"], "mind.md"), (["现金"], "risk.md")]

@@ -250,6 +250,17 @@ def test_a_keyword_of_the_same_name_leaves_the_tag(spark):
     assert {r for r in got if r[2] != "has_tag"} == {("3", "hot", "contains_keyword")}
 
 
+def test_exact_degrees_as_brute_force_has_them(spark):
+    r = random.Random(8)
+    posts = [(str(i), i, r.choice([None, [], [r.choice(["hot", "hot", None, "a", "b", "c", "d", "e", f"own{i}"]) for _ in range(r.randrange(9))]])) for i in range(120)]
+    df = spark.createDataFrame(posts, "post string, at int, tags array<string>")
+    others = spark.createDataFrame([(str(i), str(i + 1), "next_post") for i in range(119)] + [("3", "3", "contains_keyword"), ("4", "hot", "contains_keyword"), ("ann", "5", "wrote")], "src string, dst string, relation string")
+    every = graph.tag_edges(df, "post", "tags", "at", pairs_up_to=10_000).unionByName(others)
+    want = rows(graph.degrees(graph.collapse(every)))
+    for most in (12, 2, 0):
+        assert rows(graph.exact_degrees(df, "post", "tags", "at", others, subsets_up_to=most).select("id", "n_in", "n_out", "degree")) == want
+
+
 # Batches
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inkfold.functions import frontmatter, html, text
 from inkfold.operators import batching, graph, quality, reconcile, stats
 from inkfold.plans.training import _WS, _strip
-from inkfold.session import shared_dir, widened
+from inkfold.session import new_path, widened
 from inkfold.sinks.documents import collector_documents, index_documents, post_documents
 from inkfold.sources.tables import table
 
@@ -576,12 +576,10 @@ def reply_entries(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT count(DISTINCT source_url) AS n_urls, count(DISTINCT source_url) AS n_rows FROM posts")
 def stream_merge(spark: SparkSession, d: str) -> DataFrame:
-    from uuid import uuid4
-
     from inkfold.streaming.ingest import merge_into, new_files
 
     posts = table(spark, d, "posts").select("post_row", "id", "source_url")
-    landed = f"{shared_dir(spark)}/inkfold/{uuid4().hex}"
+    landed = new_path(spark)
     posts.write.parquet(f"{landed}/in")
     merge_into(new_files(spark, f"{landed}/in", posts.schema), "source_url", f"{landed}/out", f"{landed}/state").awaitTermination()
     merged = spark.read.schema(posts.schema).parquet(f"{landed}/out")

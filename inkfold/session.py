@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,24 +30,56 @@ def build(master: str = "local[*]", app: str = "inkfold", **conf: str) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; set to a new local one only where it is unset (tests, local mode)."""
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
+
+    Where it is unset and the session runs in one process (tests), a new local folder is set. A cluster without the
+    setting is an error: each executor would write to a disk of its own, and what is read back would lack rows.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[\d*,\s]+\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="inkfold-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's tables within the shared folder; ``release`` deletes it, as does the end of Python."""
+    path = f"{shared_dir(spark)}/inkfold/{spark.sparkContext.applicationId}"
+    if path not in _RUNS:
+        _RUNS.add(path)
+        atexit.register(release, spark, path)
+    return path
+
+
+_RUNS: set[str] = set()
+
+
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Deletes tables written by ``durable``: one folder, or all of this application.
+
+    Frames that read them can't be used any more; call it when a query's result has been written or collected.
+    """
+    with suppress(Exception):  # the session may have ended
+        where = spark._jvm.org.apache.hadoop.fs.Path(path or run_dir(spark))
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def new_path(spark: SparkSession) -> str:
+    """A path in ``run_dir`` that nothing has."""
+    return f"{run_dir(spark)}/{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage is cut, and a lost executor costs no recomputation.
 
     The written columns are columnar, so later reads prune them, unlike ``checkpoint()``'s row blocks.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/inkfold/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     writer = df.write.mode("error")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def widened(df: DataFrame) -> DataFrame:

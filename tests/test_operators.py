@@ -1,5 +1,6 @@
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -138,10 +139,23 @@ def test_ranks(spark):
 
 
 def test_samples(spark):
-    df = spark.range(5000)
-    one, two = (sorted(r[0] for r in hash_sample(df.repartition(n), ["id"], 100, 5000).collect()) for n in (1, 7))
+    df = spark.range(5000).select("id", F.lit("four").alias("text"))
+    one, two = (sorted(r[0] for r in hash_sample(df.repartition(n), "text", 100, 10**9, 5000).collect()) for n in (1, 7))
     assert one == two and len(one) == 100
-    assert hash_sample(df.limit(3), ["id"], 100, 3).count() == 3
+    assert {r[0] for r in hash_sample(df, "text", 100, 83, 5000).collect()} < set(one)
+    assert [hash_sample(df, "text", 100, c, 5000).count() for c in (83, 4, 3)] == [20, 1, 0]
+    assert hash_sample(df.limit(3).union(df.limit(3)), "text", 100, 10**9, 6).count() == 3
+    assert hash_sample(df.limit(0), "text", 100, 10**9, 0).count() == 0
+
+
+def test_shared_folder(spark):
+    from inkfold.session import durable, release, run_dir
+
+    at = run_dir(spark).removeprefix("file://")
+    durable(spark.range(3))
+    assert any(Path(at).iterdir())
+    release(spark)
+    assert not Path(at).exists()
 
 
 # Reconciliation

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,16 +42,25 @@ SEEDS = {
     "pt": "O que dizemos aqui é uma coisa simples, porque todos sabem que o mercado não sobe sempre, e por isso eles têm de ver se estão prontos. Se não há notícias neste momento, então é melhor esperar e não ter pressa com as coisas.",
     "ja": "ここで言うことは簡単なことです。市場がいつも上がるわけではないことは誰でも知っていますので、自分の準備ができているかどうかを見なければなりません。今ニュースがないのであれば、急がずに待つのがよいと思います。",
 }
-#: Longest n-gram, ranks per profile and labelled documents to learn from at most.
-ORDER, DEPTH, TRAIN = 4, 1_000, 6_000
+#: Longest n-gram and ranks per profile; labelled documents and their characters to learn from at most.
+ORDER, DEPTH, TRAIN, TRAIN_CHARS = 4, 3_000, 6_000, 20_000_000
 #: An n-gram with ideographs or kana counts as so many others, having about as many sounds.
 WIDE_WEIGHT = 3
 
 _ENTRY = re.compile(r"[\w.-]+\s*:|-\s|$")
 _END = re.compile(r"[。！？!?]+[”』」\"')）]*|\.+[”\"')»]*(?=\s|$)|…+|[\r\n]+")
+_CLOSED = re.compile(r"[。！？!?.…][”』」\"')）»]*\s*\Z")
 _ODD = regex.compile(r"[\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\uFE0F]+")  # emoji and the like may stand within a word
-_NO_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+_ODD_RE2, _GAP_RE2 = r"[\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\x{FE0F}]+", r"[^\p{L}\p{M}]+"
+_LETTER = re.compile(r"[^\W\d_]")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]")
+#: Letters (wide ones count three times) that a line without an end mark needs to be a sentence and no phrase.
+LINE = 12
+#: Out-of-place distance, summed over a sentence's n-grams, by which a language must be nearer than those that the text is
+#: known to have, to be one more; twice as much makes a language known.
+EVIDENCE = 2_500
+#: Characters of judged sentences that a task remembers at most.
+REMEMBERED = 8_000_000
 
 
 def label_code(label: str | None) -> str | None:
@@ -64,6 +74,8 @@ def without_front_matter(text: str) -> str:
 
     Emoji and the like within these lines don't matter.
     """
+    if "---" not in text and not _ODD.search(text):
+        return text
     at, opened = 0, False
     for line in text.splitlines(keepends=True):
         at += len(line)
@@ -78,44 +90,75 @@ def without_front_matter(text: str) -> str:
 
 
 def sentences(text: str) -> list[tuple[int, int, bool]]:
-    """``(start, end, whole)`` of the pieces of a text that have letters; headings and very short pieces aren't whole."""
+    """``(start, end, whole)`` of the pieces of a text that have letters.
+
+    A piece of any length with an end mark is a whole sentence; headings aren't, nor are short lines without an end mark.
+    """
     body, out, start = without_front_matter(text), [], 0
     for end in [*(m.end() for m in _END.finditer(body)), len(body)]:
         piece = body[start:end]
-        letters = _NO_LETTERS.sub("", piece)
-        if letters:
-            weight = len(letters) + 2 * len(_WIDE.findall(letters))
+        if _LETTER.search(piece):
             bare = piece.lstrip()
-            out.append((end - len(bare), end, weight >= 12 and not bare.startswith("#")))
+            heading = "#" in bare[:9] and _ODD.sub("", bare).startswith("#")
+            whole = not heading and (_CLOSED.search(bare) is not None or len(_LETTER.findall(bare)) + 2 * len(_WIDE.findall(bare)) >= LINE)
+            out.append((end - len(bare), end, whole))
         start = end
     return out
 
 
-def _grams(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Piece number, hash and weight of each n-gram; words are set off by ``_``, no n-gram is across words."""
-    text = "\0".join(f"_{_NO_LETTERS.sub('_', _ODD.sub('', p).lower()).strip('_')}_" for p in pieces) + "\0"
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    piece = np.cumsum(points == 0)
-    gap = points == ord("_")
-    wide = points >= 0x3040
-    owners, codes, weights = [], [], []
-    for n in range(1, ORDER + 1):
-        stop = max(0, len(points) - n + 1)
-        ok = np.ones(stop, bool)
-        code = np.full(stop, n, np.int64)
-        broad = np.zeros(stop, bool)
-        for i in range(n):
-            part = points[i : i + stop]
-            ok &= part != 0
-            if n == 1 or 0 < i < n - 1:
-                ok &= ~gap[i : i + stop]
-            broad |= wide[i : i + stop]
-            code = (code ^ part) * 0x5851F42D4C957F2D + (code >> 29)
-        ok &= ~(gap[:stop] & gap[n - 1 : n - 1 + stop])
-        owners.append(piece[:stop][ok])
-        codes.append(code[ok])
-        weights.append(np.where(broad[ok], WIDE_WEIGHT, 1))
-    return np.concatenate(owners), np.concatenate(codes), np.concatenate(weights)
+class _Grams:
+    """N-grams of the words of some pieces; ``_`` sets words off, no n-gram is across words.
+
+    ``piece`` and ``word`` have an entry per word of a piece; n-grams and their weights are kept once per distinct word:
+    those of word ``w`` are ``code[first[w]:first[w + 1]]``.
+    """
+
+    def __init__(self, pieces: list[str]) -> None:
+        bare = pc.replace_substring_regex(pc.utf8_lower(pa.array(pieces, pa.string())), _ODD_RE2, "")
+        lists = pc.split_pattern_regex(bare, _GAP_RE2)
+        words = pc.list_flatten(lists)
+        piece = pc.list_parent_indices(lists).to_numpy()
+        filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+        coded = pc.dictionary_encode(words)
+        self.piece, self.word = piece[filled].astype(np.int64), coded.indices.to_numpy()[filled].astype(np.int64)
+        points = np.frombuffer("".join(f"_{w}_\0" for w in coded.dictionary.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        end = points == 0
+        owner = np.cumsum(end)
+        gap = points == ord("_")
+        wide = points >= 0x3040
+        owners, codes, weights = [], [], []
+        for n in range(1, ORDER + 1):
+            stop = max(0, len(points) - n + 1)
+            ok = np.ones(stop, bool)
+            code = np.full(stop, n, np.int64)
+            broad = np.zeros(stop, bool)
+            for i in range(n):
+                part = points[i : i + stop]
+                ok &= ~end[i : i + stop]
+                broad |= wide[i : i + stop]
+                code = (code ^ part) * 0x5851F42D4C957F2D + (code >> 29)
+            ok &= ~(gap[:stop] & gap[n - 1 : n - 1 + stop])
+            owners.append(owner[:stop][ok])
+            codes.append(code[ok])
+            weights.append(np.where(broad[ok], WIDE_WEIGHT, 1))
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        self.code, self.weight = np.concatenate(codes)[order], np.concatenate(weights)[order]
+        self.first = np.searchsorted(owner[order], np.arange(len(coded.dictionary) + 1))
+
+    def counts(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct n-grams of the words at ``tokens``, and how often they occur."""
+        times = np.bincount(self.word[tokens], minlength=len(self.first) - 1)
+        codes, place = np.unique(self.code, return_inverse=True)
+        n = np.bincount(place, np.repeat(times, np.diff(self.first)), minlength=len(codes)).astype(np.int64)
+        return codes[n > 0], n[n > 0]
+
+
+def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges ``first[i]:last[i]``, one range after the other, and for each its ``i``."""
+    sizes = last - first
+    owner = np.repeat(np.arange(len(first)), sizes)
+    return np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first[owner], owner
 
 
 class Profiles:
@@ -123,7 +166,7 @@ class Profiles:
 
     def __init__(self, ranked: dict[str, list[int]]) -> None:
         self.codes = np.unique(np.array([c for grams in ranked.values() for c in grams], np.int64))
-        self.ranks = np.full((len(self.codes) + 1, len(LANGUAGES)), DEPTH, np.int32)  # the last row: in no profile
+        self.ranks = np.full((len(self.codes), len(LANGUAGES)), 3 * DEPTH, np.float32)  # beyond reach: not in the profile
         self.tables = []  # each has a place for every n-gram that found its place taken in the one before
         left = np.arange(len(self.codes))
         while len(left):
@@ -148,19 +191,33 @@ class Profiles:
             found = np.where((other >= 0) & (self.codes[other] == codes), other, found)
         return found
 
-    def distances(self, pieces: list[str]) -> np.ndarray:
-        """Mean out-of-place distance of each piece to each language. N-grams of equal count share their mean rank."""
-        owner, code, weight = _grams(pieces)
-        n = len(pieces)
-        if not len(owner):
-            return np.full((n, len(LANGUAGES)), float(DEPTH))
-        at = self._known(code)
-        # piece, weight and n-gram in one number: the n-gram's place among the profiles', or 40 bits of its hash
-        key = np.sort(owner << 42 | (weight > 1).astype(np.int64) << 41 | np.where(at >= 0, at, 1 << 40 | code & (1 << 40) - 1))
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        count = np.minimum(np.diff(np.append(starts, len(key))), (1 << 20) - 1)
-        key = key[starts]
-        owner = key >> 42
+    def weighed(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Mean out-of-place distance of each piece to each language, and the sum of the weights that it is the mean of.
+
+        N-grams of equal count share their mean rank. N-grams in no profile are equally far from all languages; they
+        are counted once per distinct word instead of being compared.
+        """
+        n, out = len(pieces), np.full((len(pieces), len(LANGUAGES)), float(DEPTH))
+        grams = _Grams(pieces)
+        pairs, times = np.unique(grams.piece << 32 | grams.word, return_counts=True)
+        piece, word = pairs >> 32, pairs & 0xFFFFFFFF
+        at = self._known(grams.code)
+        inside = at >= 0
+        none = np.concatenate([[0], np.cumsum(grams.weight * ~inside)])
+        outside = np.bincount(piece, (none[grams.first[1:]] - none[grams.first[:-1]])[word], minlength=n) if len(piece) else np.zeros(n)
+        ends = np.concatenate([[0], np.cumsum(inside)])[grams.first]
+        at, weight = at[inside], grams.weight[inside]
+        where, token = _spread(ends[:-1][word], ends[1:][word])
+        if not len(where):
+            return out, outside
+        # piece and n-gram in one number, with the weight, which is the same wherever the n-gram stands
+        code = np.repeat(piece, np.bincount(token, minlength=len(piece))) << 20 | at[where] << 2 | weight[where]
+        order = np.argsort(code)
+        code, count = code[order], times[token[order]]
+        starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        count = np.minimum(np.add.reduceat(count, starts), (1 << 20) - 1)
+        code = code[starts]
+        owner, at, weight = code >> 20, code >> 2 & (1 << 18) - 1, code & 3
         # rank of a count within its piece: those above it and half of its equals
         often = np.flatnonzero(count > 1)  # few; all others of a piece share one rank
         above = np.bincount(owner[often], minlength=n)
@@ -168,17 +225,20 @@ class Profiles:
         tally = (owner[often] << 20) + ((1 << 20) - 1 - count[often])
         ordered = np.sort(tally)
         rank[often] = (np.searchsorted(ordered, tally) + np.searchsorted(ordered, tally, side="right") - 1) / 2 - np.searchsorted(ordered, owner[often] << 20)
-        at = np.where(key >> 40 & 1, len(self.codes), key & (1 << 40) - 1)
-        weight = np.where(key >> 41 & 1, WIDE_WEIGHT, 1)
-        total = np.maximum(np.bincount(owner, weight, minlength=n), 1)
-        out = np.empty((n, len(LANGUAGES)))
-        inside = np.flatnonzero(at < len(self.codes))
-        owner, at, weight, rank = owner[inside], at[inside], weight[inside], rank[inside]
-        for k in range(len(LANGUAGES)):
-            place = self.ranks[at, k]
-            gain = np.where(place == DEPTH, 0, np.maximum(DEPTH - np.abs(place - rank), 0)) * weight
-            out[:, k] = DEPTH - np.bincount(owner, gain, minlength=n) / total
-        return out
+        total = np.bincount(owner, weight, minlength=n) + outside
+        bounds = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        gain = self.ranks[at]
+        gain -= rank[:, None].astype(np.float32)
+        np.abs(gain, out=gain)
+        np.subtract(DEPTH, gain, out=gain)
+        np.maximum(gain, 0, out=gain)
+        gain *= weight[:, None].astype(np.float32)
+        out[owner[bounds]] -= np.add.reduceat(gain, bounds, axis=0) / np.maximum(total[owner[bounds]], 1)[:, None]
+        return out, total
+
+    def distances(self, pieces: list[str]) -> np.ndarray:
+        """Mean out-of-place distance of each piece to each language."""
+        return self.weighed(pieces)[0]
 
     def judge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of the nearest language and confidence from 0 to 1 for each piece."""
@@ -202,9 +262,9 @@ def _count(profiles: Profiles | None):
             lang = np.array(langs)
             if profiles is not None:
                 lang = profiles.judge(pieces)[0]
-            owner, code, _ = _grams(pieces)
+            grams = _Grams(pieces)
             for k in np.unique(lang):
-                codes, counts = np.unique(code[lang[owner] == k], return_counts=True)
+                codes, counts = grams.counts(lang[grams.piece] == k)
                 yield pa.RecordBatch.from_arrays([pa.array([LANGUAGES[k]] * len(codes)), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"])
 
     return run
@@ -214,8 +274,9 @@ def _ranked(rows: dict[str, dict[int, int]]) -> dict[str, list[int]]:
     out = {}
     for name in LANGUAGES:
         counts = dict(rows.get(name, {}))
-        for code in _grams([SEEDS[name]])[1].tolist():
-            counts[code] = counts.get(code, 0) + 1
+        seed = _Grams([SEEDS[name]])
+        for code, n in zip(*(x.tolist() for x in seed.counts(np.arange(len(seed.word))))):
+            counts[code] = counts.get(code, 0) + n
         out[name] = sorted(counts, key=lambda c: (-counts[c], c))[:DEPTH]
     return out
 
@@ -226,14 +287,14 @@ def names_language(label: Column) -> Column:
     return name.isin(list(_CODE)) | F.split(name, "[-_ ]")[0].isin(list(_CODE))
 
 
-def learn_profiles(documents: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", train: int = TRAIN) -> Profiles:
-    """Profiles from at most ``train`` labelled documents, those whose keys hash lowest, and SEEDS.
+def learn_profiles(documents: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", train: int = TRAIN, train_chars: int = TRAIN_CHARS) -> Profiles:
+    """Profiles from labelled documents, those that hash lowest, and SEEDS: at most ``train``, and ``train_chars`` characters in all.
 
     Labels may be wrong: the first profiles judge the sentences of the sample again, and the second ones are made of
-    the sentences as judged. Only the DEPTH best n-grams of each language reach the driver.
+    the sentences as judged. Only the 2 DEPTH most frequent n-grams of each language reach the driver.
     """
-    sample = documents.where(names_language(F.col(label)) & F.col(text).rlike(r"\p{L}")).select(F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(key, text).alias("h"))
-    sample = durable(hash_sample(sample, ["h"], train, documents.count()).repartition(16, "h").drop("h"))
+    sample = documents.where(names_language(F.col(label)) & F.col(text).rlike(r"\p{L}")).select(F.col(label).alias("label"), F.col(text).alias("text"), F.col(key).alias("key"))
+    sample = durable(hash_sample(sample, "text", train, train_chars, documents.count()).repartition(16, "key").drop("key"))
     profiles = None
     for _ in range(2):
         counts = sample.mapInArrow(_count(profiles), "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -266,28 +327,62 @@ def _segments(spans: list[tuple[int, int, bool]], langs: list[int], sure: list[f
     return out
 
 
+def _decided(distance: np.ndarray, text: np.ndarray, counts: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Language and confidence of each piece from its summed distances, its text and whether it is a whole sentence.
+
+    A text is known to have the language nearest to its sentences as a whole, and those that a sentence is nearest to
+    by twice EVIDENCE. A piece is in the nearest of these, unless another is nearer by EVIDENCE: a sentence of a few
+    letters, which says little by itself, so needs no length of its own to be judged.
+    """
+    rows, own = np.arange(len(text)), distance * counts[:, None]
+    main = np.stack([np.bincount(text, own[:, k], minlength=n_texts) for k in range(len(LANGUAGES))], axis=1).argmin(axis=1)
+    ordered = np.sort(distance, axis=1)
+    best = distance.argmin(axis=1)
+    known = np.zeros((n_texts, len(LANGUAGES)), bool)
+    known[np.arange(n_texts), main] = True
+    strong = counts & (ordered[:, 1] - ordered[:, 0] >= 2 * EVIDENCE)
+    known[text[strong], best[strong]] = True
+    near = np.where(known[text], distance, np.inf).argmin(axis=1)
+    lang = np.where(distance[rows, near] - distance[rows, best] < EVIDENCE, near, best)
+    rival = np.where(lang == best, ordered[:, 1], ordered[:, 0])
+    return lang, np.clip((rival - distance[rows, lang]) / np.maximum(rival, 1e-9), 0, 1)
+
+
 def _identify(profiles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judged: dict[str, np.ndarray] = {}  # summed distances of sentences met before
+        held = 0
         for batch in batches:
             texts, labels = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             done = 0
             while done < len(texts):
                 upto, chars = done, 0
-                while upto < len(texts) and (upto == done or chars + len(texts[upto] or "") <= 500_000):
+                while upto < len(texts) and (upto == done or chars + len(texts[upto] or "") <= 2_000_000):
                     chars += len(texts[upto] or "")
                     upto += 1
-                spans, pieces = [], []
+                spans, pieces, counts = [], [], []
                 for text in texts[done:upto]:
                     own = sentences(text) if text else []
                     spans.append(own)
+                    whole = [w for *_, w in own]
                     # without a whole sentence, the whole text is judged at once
-                    pieces += [text[a:b] for a, b, _ in own] if any(w for *_, w in own) else [text[own[0][0] : own[-1][1]]] if own else []
-                langs, sure = profiles.value.judge(pieces) if pieces else (np.array([], int), np.array([]))
-                at, found = 0, []
-                for own in spans:
-                    n = len(own) if any(w for *_, w in own) else min(1, len(own))
-                    found.append(_segments(own, langs[at : at + n].tolist(), sure[at : at + n].tolist()))
-                    at += n
+                    pieces += [text[a:b] for a, b, _ in own] if any(whole) else [text[own[0][0] : own[-1][1]]] if own else []
+                    counts += whole if any(whole) else [True] * min(1, len(own))
+                sizes = [len(own) if any(w for *_, w in own) else min(1, len(own)) for own in spans]
+                if held > REMEMBERED:
+                    judged.clear()
+                    held = 0
+                new = list({p for p in pieces if p not in judged})
+                for at in range(0, len(new), 1_000):
+                    part = new[at : at + 1_000]
+                    mean, total = profiles.value.weighed(part)
+                    judged.update(zip(part, mean * total[:, None]))
+                    held += sum(map(len, part))
+                found: list[list[dict]] = [[] for _ in spans]
+                if pieces:
+                    langs, sure = (x.tolist() for x in _decided(np.array([judged[p] for p in pieces]), np.repeat(np.arange(len(spans)), sizes), np.array(counts), len(spans)))
+                    ends = np.cumsum(sizes).tolist()
+                    found = [_segments(own, langs[end - size : end], sure[end - size : end]) for own, size, end in zip(spans, sizes, ends)]
                 codes = [label_code(x) for x in labels[done:upto]]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, upto - done), pa.array(codes, pa.string()), pa.array(found, _SEGMENT_ARROW)], names=["key", "label_code", "segments"])
                 done = upto
@@ -307,6 +402,20 @@ def identify(documents: DataFrame, profiles: Profiles, *, key: str = "doc_id", t
     return out.withColumnRenamed("key", key)
 
 
+def main_languages(identified: DataFrame, *, key: str = "doc_id") -> DataFrame:
+    """``key, label_code, lang_code, confidence, n_segments``: one row per row of ``identified``.
+
+    The language of most characters (of equal ones, the first in the text) with the mean confidence of its segments, by
+    their length; both are null for a text without words, which has no segments.
+    """
+    size = lambda s: (s["char_end"] - s["char_start"]).cast("double")
+    of = lambda code, value: F.aggregate(F.filter("segments", lambda s: s["lang_code"] == code), F.lit(0.0), lambda a, s: a + value(s))
+    codes = F.array_distinct(F.transform("segments", lambda s: s["lang_code"]))
+    sums = F.transform(codes, lambda c, i: F.struct(of(c, size).alias("chars"), (-i).alias("place"), c.alias("lang_code"), (of(c, lambda s: size(s) * s["confidence"]) / of(c, size)).alias("confidence")))
+    best = F.array_max(sums)
+    return identified.select(key, "label_code", best["lang_code"].alias("lang_code"), best["confidence"].alias("confidence"), F.size("segments").alias("n_segments"))
+
+
 def mislabelled(identified: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """``key, lang_code``: a row per language of documents whose label is missing or wrong, or that mix languages."""
     langs = F.array_distinct(F.transform("segments", lambda s: s["lang_code"]))

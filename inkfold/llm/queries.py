@@ -34,13 +34,21 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_terms(spark, folder).where(F.col("mark").isNotNull()).select("field_name", "term", "mark")
 
 
-def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+def _residue(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     posts = table(spark, folder, "posts")
-    scores = residue.residue_scores(posts, residue.learn_model(posts))
-    return scores.where(residue.is_residue()).select("post_row", "field_name")
+    return posts, residue.residue_scores(posts, residue.learn_model(posts))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _residue(spark, folder)[1].where(residue.is_residue()).select("post_row", "field_name")
+
+
+def p3_clean_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """The posts, their titles and bodies that are residue left out."""
+    return residue.without_residue(*_residue(spark, folder))
 
 
-def _tag_pairs(spark: SparkSession, folder: str, share: float, floor: int = 3) -> tuple[DataFrame, int]:
+def _tag_pairs(spark: SparkSession, folder: str, floor: int, share: float) -> tuple[DataFrame, int]:
     posts = table(spark, folder, "posts")
     n_rows = posts.count()
     baskets = posts.select(F.array_distinct(normal_terms(F.col("tags"))).alias("terms"))
@@ -49,16 +57,12 @@ def _tag_pairs(spark: SparkSession, folder: str, share: float, floor: int = 3) -
 
 
 def p6_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return cooccurrence.association(*_tag_pairs(spark, folder, 0))
-
-
-def p6_all_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Every two terms that share a row; ``p6_pairs`` has those that at least 3 rows hold."""
-    return cooccurrence.association(*_tag_pairs(spark, folder, 0, floor=1))
+    """Every two terms that share a row."""
+    return cooccurrence.association(*_tag_pairs(spark, folder, 1, 0))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    pairs, n_rows = _tag_pairs(spark, folder, 0.002)
+    pairs, n_rows = _tag_pairs(spark, folder, 3, 0.002)
     return cooccurrence.at_least_lift(pairs, n_rows, 4).select("tag_a", "tag_b")
 
 
@@ -84,11 +88,22 @@ def p9_segments(spark: SparkSession, folder: str) -> DataFrame:
     return segments.select("doc_id", "segment_no", "s.*")
 
 
+def p9_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its main language and a confidence; null for texts without words."""
+    return language.main_languages(_identified(spark, folder))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return language.mislabelled(_identified(spark, folder)).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_terms": p2_terms, "p2_phrases": p2_phrases, "p2_found": p2_found, "p3_found": p3_found, "p6_pairs": p6_pairs, "p6_all_pairs": p6_all_pairs, "p6_found": p6_found, "p7_ids": p7_ids, "p8_packing": p8_packing, "p8_fill": p8_fill, "p9_segments": p9_segments, "p9_found": p9_found}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        *(p1_found, p2_terms, p2_phrases, p2_found, p3_found, p3_clean_posts, p6_pairs, p6_found),
+        *(p7_ids, p8_packing, p8_fill, p9_documents, p9_segments, p9_found),
+    )
+}
 
 _TERMS = f"""
 WITH raw AS (
@@ -107,7 +122,7 @@ support AS (SELECT term, count(*) AS n FROM held GROUP BY 1),
 total AS (SELECT count(*) AS n FROM posts),
 pairs AS (
   SELECT a.term AS tag_a, b.term AS tag_b, count(*) AS rows_both FROM held a JOIN held b ON a.post_row = b.post_row AND a.term < b.term
-  GROUP BY 1, 2 HAVING count(*) >= 3),
+  GROUP BY 1, 2),
 named AS (
   SELECT p.tag_a, p.tag_b, x.n AS rows_a, y.n AS rows_b, p.rows_both, t.n AS n
   FROM pairs p JOIN support x ON p.tag_a = x.term JOIN support y ON p.tag_b = y.term, total t)
@@ -125,6 +140,5 @@ starts AS (SELECT field_name, row_id, seq, unnest(range(1, len(seq) + 1)) AS i F
 grams AS (SELECT field_name, row_id, list_slice(seq, i, i + l - 1) AS g, l FROM starts, (VALUES (1), (2), (3)) v(l) WHERE i + l - 1 <= len(seq))
 SELECT field_name, array_to_string(g, ' ') AS term, l AS n_terms, count(*) AS n_occurrences, count(DISTINCT row_id) AS n_records FROM grams GROUP BY field_name, g, l""",
     "p6_pairs": _PAIRS + _ASSOCIATION,
-    "p6_all_pairs": _PAIRS.replace(" HAVING count(*) >= 3", "") + _ASSOCIATION,
-    "p6_found": _PAIRS + "SELECT tag_a, tag_b FROM named WHERE rows_both >= 0.002 * n AND rows_both * n >= 4 * rows_a * rows_b",
+    "p6_found": _PAIRS + "SELECT tag_a, tag_b FROM named WHERE rows_both >= 3 AND rows_both >= 0.002 * n AND rows_both * n >= 4 * rows_a * rows_b",
 }

@@ -7,7 +7,7 @@ field are scored and weighed against each other; a slot counts by itself, also i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,16 +18,24 @@ from pyspark.sql import functions as F
 from inkfold.operators.sampling import hash_sample
 from inkfold.session import widened
 
-# What texts say that are certainly residue; fixed values.
-TRUSTED = regex.compile(
-    r"^(?:loading(?: content)?|just a moment|attention required|access denied|error \d{3}|(?:4\d\d|5\d\d) (?:not found|bad gateway|forbidden|internal server error|service unavailable|gateway time-?out)|page not found|javascript is required|"
-    r"加载中|正文加载中|安全验证|页面不存在|提示信息.{0,8}|请启用 ?javascript|untitled|示例标题|待补充|测试(?:测试)*)[\s.…!。！]*$"
-    r"|\b(?:enable|activate|turn on|aktivieren sie|activer|active|habilite|activar?|ativar?) (?:the )?(?:javascript|cookies)|javascript (?:is )?(?:disabled|required)|javascript を有効|(?:启用|开启|打开|禁用了?|关闭) ?(?:了)?(?:javascript|js|脚本).{0,24}(?:继续|刷新|查看|访问|无法|加载)|依赖脚本运行|scripts and cookies must"
-    r"|(?:seite|page|página|address|地址|页面|内容|文章|记事|お探しの記事).{0,24}(?:nicht gefunden|was not found|not found on this server|introuvable|no encontrada|não encontrada|不存在|走丢了|已被删除|移動または削除)|ページが見つかりません"
-    r"|服务器开小差|系统繁忙|内容加载失败|访问过于频繁|数据库连接失败|too many connections|temporarily unavailable|checking your browser|upstream timed out|^traceback\b|une erreur est survenue|site owner"
-    r"|\blorem\b.*\b(?:dolor|amet|ipsum)|\bdolor\b.*\blorem|\bipsum\b.*\blorem|\bblindtext\b.*\bblindtext|\bsample text\b|\bplaceholder text\b|^todo\b|请替换为|此处填写|请在此输入|请在此填写|此处为示例|正文占位|稍后补上|待编辑填写",
-    regex.IGNORECASE,
+# What passages say that are certainly residue, one pattern a line; fixed values.
+TRUSTED_PATTERNS = (
+    r"^(?:loading(?: content)?|just a moment|attention required|access denied)[\s.…!]*$",
+    r"^(?:error \d{3}|(?:4\d\d|5\d\d) (?:not found|bad gateway|forbidden|internal server error|service unavailable|gateway time-?out)|page not found)[\s.!]*$",
+    r"^(?:加载中|正文加载中|安全验证|页面不存在|提示信息.{0,8})[\s.…!。！]*$",
+    r"^(?:untitled|示例标题|待补充|测试(?:测试)*)[\s.…!。！]*$",
+    r"\b(?:enable|activate|turn on|aktivieren sie|activer|active|habilite|activar?|ativar?) (?:the )?(?:javascript|cookies)",
+    r"javascript (?:is )?(?:disabled|required)|javascript を有効|请启用 ?javascript",
+    r"(?:启用|开启|打开|禁用了?|关闭) ?(?:了)?(?:javascript|js|脚本).{0,24}(?:继续|刷新|查看|访问|无法|加载)|依赖脚本运行|scripts and cookies must",
+    r"(?:seite|page|página|address).{0,24}(?:nicht gefunden|was not found|not found on this server|introuvable|no encontrada|não encontrada)",
+    r"(?:地址|页面|内容|文章|记事|お探しの記事).{0,24}(?:不存在|走丢了|已被删除|移動または削除)|ページが見つかりません",
+    r"服务器开小差|系统繁忙|内容加载失败|访问过于频繁|数据库连接失败|too many connections",
+    r"temporarily unavailable|checking your browser|upstream timed out|^traceback\b|une erreur est survenue|site owner",
+    r"\blorem\b.*\b(?:dolor|amet|ipsum)|\bdolor\b.*\blorem|\bipsum\b.*\blorem",
+    r"\bblindtext\b.*\bblindtext|\bsample text\b|\bplaceholder text\b|^todo\b",
+    r"请替换为|此处填写|请在此输入|请在此填写|此处为示例|正文占位|稍后补上|待编辑填写",
 )
+TRUSTED = regex.compile("|".join(TRUSTED_PATTERNS), regex.IGNORECASE)
 _REPEATED = regex.compile(r"(\p{L}[^\n]{1,11}?)\1{2,}")
 # Texts of the same kind, so that a classifier exists where a table holds none; fixed values.
 EXAMPLES = (
@@ -63,20 +71,21 @@ EXAMPLES = (
 TRAIN_FIELDS, TRAIN_CHARS, ROUNDS = 20_000, 4_000_000, 6
 #: Share of the background in each class's word distribution; buckets of hashed words.
 SMOOTH, BUCKETS = 0.02, 1 << 18
-#: Longest text without its heading that is trusted as a whole.
-TRUSTED_CHARS = 400
-
 _HEADING = regex.compile(r"\A\s*#[^\n]*(?:\n|\Z)")
+_PASSAGE = regex.compile(r"[\n。！？!?…]+|\.(?=\s|$)")
+# Bracketed spans of any length. Each form ends at its own next bracket, so a text is read once.
 _SLOT = regex.compile(
-    r"\{\{[^{}\n]{1,40}\}\}|[$#]\{[^{}\n]{1,40}\}|\{%[^{}\n]{1,40}%\}|<%[^<>\n]{1,40}%>|<!--[^<>\n]{1,60}-->|%\([^()\n]{1,40}\)[sdf]|@@[^@\n]{1,40}@@|(?<![\w_])__[^_\s](?:[^\n]{0,38}?[^_\s])?__(?![\w_])|\[\[[^\[\]\n]{1,40}\]\]|"
-    r"\$[^\W\d][\w.]{0,38}\$|\{[^{}\n]{1,40}\}|\[[^\[\]\n]{1,40}\](?!\()|<[^<>\n]{1,40}>|【[^【】\n]{1,40}】|«[^«»\n]{1,40}»"
+    r"\{\{[^{}]+\}\}|[$#]\{[^{}]+\}|\{%[^{}]+%\}|<%[^<>]+%>|<!--[^<>]+-->|%\([^()]+\)[sdf]|@@[^@]+@@|(?<![\w_])__[^_\s](?:[^\n_]|_(?!_))*__(?![\w_])|\[\[[^\[\]]+\]\]|"
+    r"\$[^\W\d][\w.]*\$|\{[^{}\n]+\}|\[[^\[\]\n]+\](?!\()|<[^<>\n]+>|【[^【】\n]+】|«[^«»\n]+»"
 )
 _TRUSTED_SLOT = regex.compile(
     r"\{\{.*\}\}|[$#]\{.*\}|\{%.*%\}|<%.*%>|<!--.*(?:here|placeholder|todo).*-->|%\(.*\)[sdf]|@@.*@@|__.*__|\[\[.*\]\]|\[insert\b.*\]|\[your\b.*\]|[\[【<].*(?:在此输入|在此填写|您的|你的).*[\]】>]|«.*(?:einfügen|insérer|insert|insertar|inserir).*»",
-    regex.IGNORECASE,
+    regex.IGNORECASE | regex.DOTALL,
 )
 _OPENERS = "{[<【«@_$%"
 _WORD = regex.compile(r"[^\W_]+")
+_NAME = regex.compile(r"[\w.]+")
+_INSIDE = regex.compile(r"[^\W_](?:.*[^\W_])?", regex.DOTALL)
 _LETTER = regex.compile(r"\p{L}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,14 +97,22 @@ def content(text: str) -> str:
 
 
 def prose(text: str) -> str:
-    """The content without its slots, which are judged by themselves."""
-    return _SLOT.sub(" ", content(text)) if any(c in text for c in _OPENERS) else content(text)
+    """The content without place-holders of the trusted forms, which are judged by themselves."""
+    text = content(text)
+    return _SLOT.sub(lambda m: " " if _TRUSTED_SLOT.fullmatch(m.group()) else m.group(), text) if any(c in text for c in _OPENERS) else text
+
 
+def trusted(text: str, pattern: regex.Pattern = TRUSTED) -> bool:
+    """Whether a text is residue for certain: half of its letters or more are in passages that say so, or it is one short string again and again."""
+    text = content(text).strip()
+    if _REPEATED.fullmatch(text) or _REPEATED.fullmatch(text + " "):
+        return True
+    said = [(len(_LETTER.findall(p)), p.strip()) for p in _PASSAGE.split(text)]
+    return 0 < 2 * sum(n for n, p in said if n and pattern.search(p)) >= sum(n for n, _ in said)
 
-def trusted(text: str) -> bool:
-    """Whether a text is residue for certain: it is short and says so, or is one short string again and again."""
-    t = content(text).strip()
-    return len(t) <= TRUSTED_CHARS and bool(TRUSTED.search(t) or _REPEATED.fullmatch(t) or _REPEATED.fullmatch(t + " "))
+
+def trusted_slot(slot: str) -> bool:
+    return bool(_TRUSTED_SLOT.fullmatch(slot))
 
 
 def slots(text: str) -> list[str]:
@@ -104,10 +121,13 @@ def slots(text: str) -> list[str]:
 
 
 def _slot_features(slot: str) -> list[str]:
-    """The slot's brackets, its words, and the pairs of neighbouring letters."""
+    """The slot's brackets, its words, the first and last with the brackets; of a slot that is one name, that and its pairs of letters."""
     inner = slot.strip("{}[]<>【】«»$#%@_!-=() ").lower()
     words = _WORD.findall(inner)
-    return ["shape " + _WORD.sub("w", slot), *words, *("".join(p) for p in zip(inner, inner[1:]))]
+    form = _INSIDE.sub(" ", slot)
+    edges = [f"{form} {words[0]}", f"{words[-1]} {form}"] if words else []
+    name = ["name " + inner, *("".join(p) for p in zip(inner, inner[1:]))] if _NAME.fullmatch(inner) else []
+    return ["form " + form, *edges, *words, *name]
 
 
 class _Words:
@@ -186,17 +206,19 @@ def learn(bucket: np.ndarray, unit: np.ndarray, trusted: np.ndarray, buckets: in
 class ResidueModel:
     """Classifiers of passages and of slots, learned from a sample of fields."""
 
-    def __init__(self, texts: list[str]) -> None:
-        bodies = [*EXAMPLES, *map(prose, texts)]
+    def __init__(self, texts: list[str], trust: Callable[[str], bool] = trusted, trust_slot: Callable[[str], bool] = trusted_slot) -> None:
+        """``trust`` and ``trust_slot`` say what is residue for certain; EXAMPLES they don't know are left out."""
+        bodies = [*EXAMPLES, *map(prose, texts)] if trust is trusted else [*filter(trust, EXAMPLES), *map(prose, texts)]
         words = _Words(bodies)
-        sure = np.array([*map(trusted, bodies), False])
-        sure[: len(EXAMPLES)] = True
+        sure = np.array([*map(trust, bodies), False])
+        if trust is trusted:
+            sure[: len(EXAMPLES)] = True
         self.odds, self.prior = learn(words.bucket, words.passage, sure[words.field], BUCKETS)
         self.odds = self.odds.astype(np.float32)
         found = ["{{title}}", *(s for t in texts for s in slots(t))]
         names: dict[str, int] = {}
         pairs = [(names.setdefault(f, len(names)), i) for i, s in enumerate(found) for f in _slot_features(s)]
-        odds, self.slot_prior = learn(np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]), np.array([bool(_TRUSTED_SLOT.fullmatch(s)) for s in found]), len(names))
+        odds, self.slot_prior = learn(np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]), np.array([*map(trust_slot, found)]), len(names))
         self.slot_odds = {name: float(odds[i]) for name, i in names.items()}
 
     def slot_score(self, slot: str) -> float:
@@ -225,15 +247,9 @@ def _fields(df: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
 
 
 def learn_model(df: DataFrame, *, key: str = "post_row", fields: tuple[str, ...] = ("title", "body"), train_fields: int = TRAIN_FIELDS, train_chars: int = TRAIN_CHARS) -> ResidueModel:
-    """A model from the fields whose keys hash lowest: at most ``train_fields``, and ``train_chars`` characters in all."""
-    sample = hash_sample(_fields(df, key, fields), ["key", "field_name"], train_fields, df.count() * len(fields))
-    texts, chars = [], 0
-    for row in sample.select("text").toLocalIterator():
-        chars += len(row["text"])
-        if chars > train_chars and texts:
-            break
-        texts.append(row["text"])
-    return ResidueModel(texts)
+    """A model from the fields that hash lowest: at most ``train_fields``, and ``train_chars`` characters in all."""
+    sample = hash_sample(_fields(df, key, fields), "text", train_fields, train_chars, df.count() * len(fields))
+    return ResidueModel([r["text"] for r in sample.orderBy("key", "field_name").collect()])  # within both bounds
 
 
 def _score(model):
@@ -265,3 +281,15 @@ def residue_scores(df: DataFrame, model: ResidueModel, *, key: str = "post_row",
 def is_residue() -> Column:
     """A likely slot, or a text that is as a whole, and for the greater part of its passages, likely residue."""
     return (F.col("slot_score") > 0) | ((F.col("score") > 0) & (F.col("share") >= 0.5))
+
+
+def without_residue(df: DataFrame, scores: DataFrame, *, key: str = "post_row", fields: tuple[str, ...] = ("title", "body")) -> DataFrame:
+    """``df`` with its fields that are residue by ``scores`` set to null; rows and other columns stay as they are.
+
+    A join on ``key`` that only the rows with residue are on the other side of; equal keys share what is found. A null
+    key has no scores and stays.
+    """
+    bad = scores.where(is_residue()).groupBy(key).agg(F.collect_set("field_name").alias("__bad"))  # at most the fields
+    clean = [F.when(F.coalesce(F.array_contains("__bad", f), F.lit(False)), None).otherwise(F.col(f)).alias(f) for f in fields]
+    joined = df.join(bad, key, "left")
+    return joined.select(*(clean[fields.index(c)] if c in fields else F.col(c) for c in df.columns))

@@ -1,6 +1,8 @@
 import random
+from pathlib import Path
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from inkfold.llm import answers, language, residue
@@ -28,9 +30,10 @@ def test_labels():
 
 def test_sentences():
     found = lambda t: [(t[a:b].strip(), w) for a, b, w in language.sentences(t)]
-    assert found("# Title here\n\nThe index is at 3.5 today. \"So it is.\" 12 / 13\n") == [("# Title here", False), ("The index is at 3.5 today.", True), ('"So it is."', False)]
+    assert found("# Title here\n\nThe index is at 3.5 today. \"So it is.\" 12 / 13\n") == [("# Title here", False), ("The index is at 3.5 today.", True), ('"So it is."', True)]
     assert found("---\nauthor_uid: 1\ntags: []\n---😂\n\n" + ZH[0]) == [(ZH[0], True)]
     assert found("---\nauthor_u📈id: 1\n---\nAnd so it goes on.")[0] == ("And so it goes on.", True)
+    assert found("Das war gut. # no\n# Yes!\nnot so") == [("Das war gut.", True), ("# no", False), ("# Yes!", False), ("not so", False)]
     assert found("text\n---\nmore of the text here") == [("text", False), ("more of the text here", True)]
     assert language.sentences("") == [] and language.sentences("+1.2% / 33") == []
 
@@ -55,6 +58,40 @@ def test_languages_of_documents(spark, profiles):
     assert got.count() == len(rows) and language.identify(df.limit(0), profiles).count() == 0
 
 
+SHORT = {
+    "zh": "今天很好。 我不知道。 他走了。 大家都在等。 这很简单。 市场下跌了。 我们看好。 没有消息。 风险很大。 机会不多。",
+    "en": "That was good. We will see. I am waiting. Nobody knows why. Prices fell again. The market closed. He was right. They sold everything. Time will tell. We are late.",
+    "de": "Das war gut. Wir werden sehen. Ich warte noch. Niemand weiß warum. Der Markt schloss. Er hatte recht. Sie verkauften alles. Alles wird gut. Kurse fielen wieder. Das reicht nicht.",
+    "fr": "C'était très bien. Nous verrons bien. J'attends toujours. Personne ne sait. Le marché ferma. Il avait raison. Ils vendirent tout. Tout ira bien. Les cours baissent. Cela ne suffit pas.",
+    "es": "Estuvo muy bien. Ya lo veremos. Yo sigo esperando. Nadie sabe nada. El mercado cerró. Él tenía razón. Lo vendieron todo. Todo saldrá bien. Los precios bajaron. Eso no basta.",
+    "pt": "Foi muito bom. Vamos ver isso. Eu ainda espero. Ninguém sabe nada. O mercado fechou. Ele tinha razão. Eles venderam tudo. Tudo vai bem. Os preços caíram. Isso não basta.",
+    "ja": "とても良かった。 様子を見よう。 まだ待っています。 誰も知らない。 市場が閉まった。 彼は正しい。 全部売った。 それだけです。 きっと大丈夫。 また下がった。",
+}
+FULL = Path("/root/testdata/sf0.1")
+
+
+@pytest.mark.skipif(not FULL.exists(), reason="no test tables")
+def test_planted_short_sentences(spark):
+    """A sentence of about three words within a text of another language, and within one of its own."""
+    documents = spark.read.parquet(f"{FULL}/documents.parquet")
+    profiles = language.learn_profiles(documents)
+    long = dict(zip(language.LANGUAGES, (ZH, EN, DE, FR, ES, PT, JA)))
+    cases = [(own, other, f"{long[other][0]} {s} {long[other][1]}") for own, group in SHORT.items() for s in regex.split(r"(?<=[.。]) ", group) for other in long]
+    df = spark.createDataFrame([(i, text, other) for i, (_, other, text) in enumerate(cases)], DOCUMENT)
+    got = {r["doc_id"]: {s["lang_code"] for s in r["segments"]} for r in language.identify(df, profiles).collect()}
+    foreign = [got[i] == {own, other} for i, (own, other, _) in enumerate(cases) if own != other]
+    alone = [got[i] == {own} for i, (own, other, _) in enumerate(cases) if own == other]
+    assert sum(foreign) / len(foreign) >= 0.9 and sum(alone) / len(alone) >= 0.9
+
+
+def test_main_languages(spark, profiles):
+    df = spark.createDataFrame([(1, ZH[0] + "\n" + " ".join(EN), "zh"), (2, None, "en"), (3, "12 %", None)], DOCUMENT)
+    got = {r["doc_id"]: r for r in language.main_languages(language.identify(df, profiles)).collect()}
+    assert [(r["label_code"], r["lang_code"], r["n_segments"]) for _, r in sorted(got.items())] == [("zh", "en", 2), ("en", None, 0), (None, None, 0)]
+    assert 0 < got[1]["confidence"] <= 1 and got[2]["confidence"] is None
+    assert language.main_languages(language.identify(df.limit(0), profiles)).count() == 0
+
+
 def test_learning_from_a_table(spark):
     rows = [(i, s, code) for i, (code, s) in enumerate((c, s) for c, group in zip(language.LANGUAGES, (ZH, EN, DE, FR, ES, PT, JA)) for s in group)] + [(99, ZH[0], "en"), (100, None, "zh")]
     learned = language.learn_profiles(spark.createDataFrame(rows, DOCUMENT))
@@ -128,16 +165,54 @@ BROKEN = ["# 标题\n\n请在浏览器中启用 JavaScript 后继续访问。",
 
 
 def test_residue(spark):
-    rows = [(i, "市场还在等消息", t) for i, t in enumerate(REAL * 20)] + [(1000 + i, "加载中…" if i == 0 else "今天市场", t) for i, t in enumerate(BROKEN)] + [(2000, None, ""), (2001, " ", None), (2002, "{{ title }}", "x" * 50_000)]
+    rows = [(i, "市场还在等消息", t) for i, t in enumerate(REAL * 20)] + [(1000 + i, "加载中…" if i == 0 else "今天市场", t) for i, t in enumerate(BROKEN)] + [(2000, None, ""), (2001, " ", None), (2002, "{{ title }}", "".join(REAL[:2]) * 900), (2003, "今天市场", "测试" * 25_000)]
     df = spark.createDataFrame(rows, POST).withColumn("score", F.lit("clash"))
     model = residue.learn_model(df)
     scores = residue.residue_scores(df, model)
     found = {(r["post_row"], r["field_name"]) for r in scores.where(residue.is_residue()).collect()}
-    assert found == {(1000, "title"), (2002, "title"), *((1000 + i, "body") for i in range(len(BROKEN)))}
+    assert found == {(1000, "title"), (2002, "title"), (2003, "body"), *((1000 + i, "body") for i in range(len(BROKEN)))}
     assert scores.where("post_row in (2000, 2001)").count() == 0
     assert residue.residue_scores(df.limit(0), residue.learn_model(df.limit(0))).count() == 0
 
 
+def test_slots_of_any_length(spark):
+    long = ["{{replace this text with the title of your own post, please, before you publish it}}", "[insert two sentences about the company and its market here, or leave this paragraph out]", "<!-- the author's\nown words go here -->"]
+    rows = [(i, None, t) for i, t in enumerate(REAL * 20)] + [(100_000 + i, None, f"今天市场有所上涨。{t}大家都在等消息。") for i, t in enumerate([*long, "[这里是作者自己写的一段很长的话，" + "说的是市场。" * 40 + "]"])]
+    rows += [(200_000 + i, None, t) for i, t in enumerate(["摘要：[insert title here]", "标题 {{ post.title }}", "今天 <!-- body goes here -->"] * 3)]
+    df = spark.createDataFrame(rows, POST)
+    found = {r["post_row"] for r in residue.residue_scores(df, residue.learn_model(df)).where(residue.is_residue()).collect()}
+    assert found & set(range(100_000, 200_000)) == {100_000, 100_001, 100_002}
+
+
+def test_residue_is_left_out(spark):
+    df = spark.createDataFrame([(1, "加载中…", "x"), (2, "真的标题", "{{ body }}"), (3, None, "今天市场"), (None, "a", "b")], POST)
+    scores = spark.createDataFrame([(1, "title", 5.0, 1.0, -9.0), (2, "body", -5.0, 0.0, 3.0), (3, "body", -5.0, 0.0, -3.0), (None, "body", -5.0, 0.0, 3.0)], "post_row bigint, field_name string, score double, share double, slot_score double")
+    got = {tuple(r) for r in residue.without_residue(df, scores).collect()}
+    assert got == {(1, None, "x"), (2, "真的标题", None), (3, None, "今天市场"), (None, "a", "b")}
+    assert residue.without_residue(df.limit(0), scores).count() == 0
+
+
+@pytest.mark.skipif(not FULL.exists(), reason="no test tables")
+def test_records_held_out_of_the_trusted():
+    """Half of the trusted fields and slots are given to the classifiers as unlabelled; it must find them."""
+    import duckdb
+
+    fields = [t for row in duckdb.sql(f"SELECT title, body FROM '{FULL}/posts.parquet' ORDER BY hash(post_row) LIMIT 10000").fetchall() for t in row if t and t.strip()]
+    seen: list[str] = []
+
+    def half(rule):
+        def trust(text: str) -> bool:
+            if rule(text):
+                seen.append(text)
+            return rule(text) and len(seen) % 2 == 0
+
+        return trust
+
+    model = residue.ResidueModel(fields, half(residue.trusted), half(residue.trusted_slot))
+    held = [t for t in fields if residue.trusted(residue.prose(t)) or any(map(residue.trusted_slot, residue.slots(t)))]
+    assert len(held) > 300 and sum(map(residue_like, model.judge(held))) / len(held) >= 0.95
+
+
 def test_held_out_residue():
     r = [t for t in REAL * 30]
     model = residue.ResidueModel(r + BROKEN[:4])

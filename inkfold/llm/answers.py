@@ -2,21 +2,23 @@
 
 Answers are cut into units: items and their sentences, numbers made alike. All distinct units are sorted and each is
 compared with its next complete neighbour: a unit that is a beginning of it, and that never stands complete anywhere,
-is a shortened version. Lengths at which open answers pile up show a length limit. The other defects are rules on one
-answer and its prompt: nothing said, a refusal, a copy of the prompt, another language.
+is a shortened version. Lengths at which open answers pile up show a length limit. Marks and connecting words settle
+only what neither decides. The other defects are rules on one answer and its prompt: nothing said, a refusal, a copy of
+the prompt, another language.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkfold.llm.language import Profiles
-from inkfold.session import durable, widened
+from inkfold.llm.language import EVIDENCE, Profiles
+from inkfold.session import durable
 
 # Words that stand for no value, without case and marks; fixed values.
 NO_VALUE = set("na none null nil nan undefined empty tbd 无 暂无 空 没有 无内容 なし 無し keine nichts aucun aucune rien ninguno ninguna nada nenhum nenhuma".split())
@@ -24,17 +26,17 @@ NO_VALUE = set("na none null nil nan undefined empty tbd 无 暂无 空 没有 
 REFUSALS = regex.compile(
     "|".join(
         (
-            r"作为(?:一个|一名)?(?:大型)?(?:AI|人工智能|语言)+(?:语言)?(?:模型|助手)",
-            r"我(?:确实|实在|暂时|目前)?(?:无法|没有办法|没办法|不能|没法|难以|不便)(?:对|就|替|为|给|向|协助|提供|完成|处理|回答|评价|评论|满足|作出|给出|生成|总结)",
+            r"作为(?:一个|一名)?(?:大型)?(?:AI|人工智能|语言)+(?:语言)?(?:模型|助手)?(?=[，,]|模型|助手)",
+            r"我(?:确实|实在|暂时|目前|们)?(?:无法|没有办法|没办法|不能|没法|难以|不便|不方便)(?:对|就|替|为|给|向|协助|提供|完成|处理|回答|评价|评论|满足|作出|给出|生成|总结)|我.{0,6}(?:回答|处理|完成|评价|评论)不了|(?:请求|问题|要求)我(?:回答|处理|完成|满足)不了",
             r"不便由我|恕难|恕我(?:不能|无法)|我?不适合替您|请求.{0,6}(?:不予|无法)处理|安全策略|超出了?我.{0,8}范围|我只是一个(?:程序|模型)|另请高明|答不上来|(?:要|让)我替.{0,12}不合适",
             r"\bas an? (?:ai\b|(?:ai |large )?language model|ai assistant|program i\b)",
             r"\bi(?:'m| am)? (?:cannot|can't|can not|could not|couldn't|won't|will not|(?:am )?(?:unable|not able) to|would rather not|must decline|have to decline|hold no opinion)\b",
-            r"\bi(?:'m| am) (?:unable|not able|not allowed|not in a position)\b|not (?:be )?appropriate for me\b|not something i can\b|beyond what i (?:may|can)\b|against my (?:policy|guidelines)|generation (?:was|has been) stopped|restricted topic|content policy",
-            r"\bals (?:ki[- ])?sprachmodell\b|\b(?:ist|wäre) es mir (?:leider )?nicht möglich|\b(?:darf|kann|möchte) ich (?:leider )?(?:keine|nicht|diese[nrs]? \w+ nicht)\b|\bich (?:kann|darf|möchte) (?:leider )?(?:keine|nicht|diese[nrs]? \w+ nicht|hierzu|dazu)\b",
-            r"\bmodèle de lang(?:ue|age)\b|\bje (?:ne |n')(?:peux|suis|saurais|puis) pas\b|\bil m'est impossible\b|\bje préfère ne pas\b",
-            r"\bmodelo de lenguaje\b|\bno (?:puedo|me es posible|estoy en condiciones|me corresponde)\b",
-            r"\bmodelo de linguagem\b|\bnão (?:posso|me é possível|tenho condições|estou em condições|me cabe)\b",
-            r"言語モデル|(?:お手伝い|評価|要約|回答|提供|対応)(?:を)?(?:する)?ことはできません|お答えできません|(?:いた|致)しかねます|お応えできません",
+            r"\bi(?:'m| am) (?:unable|not able|not allowed|not in a position|not comfortable|not permitted)\b|not (?:be )?appropriate for me\b|not something i can\b|beyond what i (?:may|can)\b|against my (?:policy|guidelines)|generation (?:was|has been) stopped|restricted topic|content policy",
+            r"\bals (?:ki[- ])?sprachmodell\b|\bals ki\b|\b(?:ist|wäre) es mir (?:leider )?nicht möglich|\b(?:darf|kann|möchte) ich (?:leider )?(?:keine|nicht|mich .{0,20}nicht|diese[nrs]? \w+ nicht)\b|\bich (?:kann|darf|möchte) (?:leider )?(?:keine|nicht|diese[nrs]? \w+ nicht|hierzu|dazu)\b|\bich bin (?:leider )?nicht (?:in der lage|befugt|berechtigt|imstande)",
+            r"\bmodèle de lang(?:ue|age)\b|\ben tant qu'(?:ia|assistant)\b|\bje (?:ne |n')(?:peux|suis|saurais|puis|pourrai) pas\b|\bje ne saurais\b|\bil (?:ne |n')?m'est (?:impossible|pas possible)\b|\bje préfère ne pas\b",
+            r"\bmodelo de lenguaje\b|\bcomo (?:una )?(?:ia|inteligencia artificial),|\bno (?:puedo|me es posible|estoy (?:en condiciones|autorizad[oa])|me corresponde|soy capaz)\b",
+            r"\bmodelo de linguagem\b|\bcomo (?:uma )?(?:ia|inteligência artificial),|\bnão (?:posso|me é possível|tenho condições|estou (?:em condições|autorizad[oa])|me cabe|sou capaz|consigo (?:ajudar|responder|atender|analisar|avaliar))\b",
+            r"言語モデル|AIとして|(?:お手伝い|評価|要約|回答|提供|対応|意見を述べる|コメント)(?:を)?(?:する)?(?:こと)?(?:は|が|には)?(?:できません|差し控え)|(?:お答え|お応え)(?:する(?:こと)?)?(?:は|が)?(?:こと(?:は|が))?できません|(?:いた|致)しかねます|コメント(?:は|を)差し控え",
         )
     ),
     regex.IGNORECASE,
@@ -46,7 +48,8 @@ GOING_ON = regex.compile(
     r"また|そして|しかし|および|特に|なぜなら|うち)$",
     regex.IGNORECASE,
 )
-_END = regex.compile(r"[。！？!?.][”』」\"'»)）\]]*$")
+_CLOSED = r"[。！？!?.][”』」\"'»)）\]]*$"
+_END = regex.compile(_CLOSED)
 _DOTS = regex.compile(r"(?:…+|\.{2,}|。{2,})[”』」\"'»)）]*$")
 _QUOTED = regex.compile(r"“[^”]*(?:”|$)|«[^»]*(?:»|$)|「[^」]*(?:」|$)|『[^』]*(?:』|$)|《[^》]*(?:》|$)|\"[^\"]*\"|‘[^’]*’")
 _MARKS = regex.compile(r"[^\p{L}\p{N}]+")
@@ -78,11 +81,6 @@ def units_of(items: list[str]) -> tuple[list[str], str | None]:
     return units, units[-1] if units and (not _END.search(units[-1]) or _CUT_NUMBER.search(units[-1])) else None
 
 
-def ending(text: str) -> str:
-    """The last four letters of a unit in a wide script, the last two words of another."""
-    return text[-4:] if _WIDE.match(text[-1]) else " ".join(text.split(" ")[-2:])
-
-
 def copied(items: list[str], whole: str) -> bool:
     """Whether every part of the answer is a part of the prompt, but for case, white space and marks; ``whole`` is the bare prompt."""
     return all(_bare(x) in whole or all(_bare(p) in whole for p in _PART.split(x)) for x in items)
@@ -113,7 +111,8 @@ def _rules(profiles):
                 asked, langs = {}, profiles.value
                 for p in dict.fromkeys(prompts[i] for i in ask):
                     asked[p] = len(asked)
-                own, sure = langs.judge(spoken)
+                mean, total = langs.weighed(spoken)
+                own, order = mean.argmin(axis=1), np.sort(mean, axis=1)
                 away = langs.distances(list(asked))
                 near = away.argsort(axis=1)
                 rows = range(len(asked))
@@ -121,21 +120,22 @@ def _rules(profiles):
                 mixed = away[rows, near[:, 1]] <= away[rows, near[:, 0]] * (1 + SURE)
                 for k, i in enumerate(ask):
                     p = asked[prompts[i]]
-                    meant = own[k] == near[p, 0] or mixed[p] and own[k] == near[p, 1]
-                    if not meant and sure[k] > SURE and len(_bare(spoken[k])) > 3:
+                    meant = {near[p, 0], near[p, 1]} if mixed[p] else {near[p, 0]}
+                    ahead = (min(mean[k, m] for m in meant) - order[k, 0]) * total[k]
+                    if own[k] not in meant and order[k, 1] - order[k, 0] > SURE * order[k, 1] and ahead >= EVIDENCE:
                         defects[i] = "other_language"
             tails: list[str | None] = [None] * n
-            open_ends, styles = [False] * n, [False] * n
+            units: list[list[str]] = [[]] * n
+            marks, styles = [False] * n, [False] * n
             for i in range(n):
+                units[i], tails[i] = units_of(kept[i])
                 if defects[i]:
                     continue
-                units, tail = units_of(kept[i])
-                last = kept[i][-1].strip()
-                tails[i] = tail
-                open_ends[i] = bool(_DOTS.search(last) or tail and (fields[i] in PROSE or tail[-1] in ",，、;；:：-—(（[「『《“"))
+                tail, last = tails[i], kept[i][-1].strip()
+                marks[i] = bool(_DOTS.search(last) or tail and (fields[i] in PROSE or tail[-1] in ",，、;；:：-—(（[「『《“"))
                 styles[i] = tail is not None and bool(GOING_ON.search(tail) or any(_END.search(x.strip()) for x in kept[i][:-1]))
             sizes = [sum(len(x) for x in a or [] if x) for a in answers]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(defects, pa.string()), pa.array(tails, pa.string()), pa.array(open_ends, pa.bool_()), pa.array(styles, pa.bool_()), pa.array(sizes, pa.int64())], names=["key", "field_name", "defect", "tail", "sure", "style", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(defects, pa.string()), pa.array(tails, pa.string()), pa.array(marks, pa.bool_()), pa.array(styles, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(units, pa.list_(pa.string()))], names=["key", "field_name", "defect", "tail", "mark", "style", "size", "units"])
 
     return run
 
@@ -144,29 +144,19 @@ def _rules(profiles):
 SURE = 0.05
 #: Fields whose answers are sentences, which end with a mark.
 PROSE = ("market_view",)
-_RULED = "key bigint, field_name string, defect string, tail string, sure boolean, style boolean, size bigint"
-
+_RULED = "key bigint, field_name string, defect string, tail string, mark boolean, style boolean, size bigint, units array<string>"
 
-def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``unit, ending, n_open, n_other``: how often a unit ends an answer without an end mark, and how often it stands elsewhere."""
-    held: dict[str, list[int]] = {}
 
-    def flush():
-        ends = [None if _END.search(u) else ending(u) for u in held]
-        batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(ends, pa.string()), *(pa.array([v[k] for v in held.values()], pa.int64()) for k in (0, 1))], names=["unit", "ending", "n_open", "n_other"])
-        held.clear()
-        return batch
+def count_units(answers: DataFrame) -> DataFrame:
+    """``unit, ending, n_open, n_other`` from ``units, tail``: how often a unit ends an answer without an end mark, and elsewhere.
 
-    for batch in batches:
-        for answer in batch.column(0).to_pylist():
-            units, tail = units_of(items_of(answer or []))
-            for u in units if tail is None else units[:-1]:
-                held.setdefault(u, [0, 0])[1] += 1
-            if tail is not None:
-                held.setdefault(tail, [0, 0])[0] += 1
-        if len(held) > 100_000:
-            yield flush()
-    yield flush()
+    ``ending`` is the last four letters of a unit in a wide script, the last two words of another, null after an end mark.
+    """
+    split = answers.select(F.posexplode("units").alias("at", "unit"), F.size("units").alias("n"), F.col("tail").isNotNull().alias("has_tail"))
+    is_open = F.col("has_tail") & (F.col("at") + 1 == F.col("n"))
+    counts = split.groupBy("unit").agg(F.count_if(is_open).alias("n_open"), F.count_if(~is_open).alias("n_other"))
+    last = F.when(F.right("unit", F.lit(1)).rlike(_WIDE.pattern), F.right("unit", F.lit(4))).otherwise(F.substring_index("unit", " ", -2))
+    return counts.select("unit", F.when(~F.col("unit").rlike(_CLOSED), last).alias("ending"), "n_open", "n_other")
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,11 +192,10 @@ def open_units(answers: DataFrame) -> DataFrame:
     ``complete``: it also stands before the end of an answer, or ends as a unit without an end mark does there; items
     that are no sentences need no mark. ``shortened``: it is a beginning of a unit that stands complete. In sorted
     order it is one of any such unit exactly if it is one of the next; one unit of each task goes through the driver.
-    ``answers`` has one column, an array of items.
+    ``answers`` has ``units``, and ``tail`` where the last of them has no end mark.
     """
     spark = answers.sparkSession
-    counts = answers.mapInArrow(_count_units, "unit string, ending string, n_open bigint, n_other bigint")
-    counts = durable(counts.groupBy("unit", "ending").agg(F.sum("n_open").alias("n_open"), F.sum("n_other").alias("n_other")))
+    counts = durable(count_units(answers))
     stands = (F.col("n_other") > 0) | F.col("ending").isNull()
     placed = counts.select("unit", (F.col("n_open") > 0).alias("is_open"), stands.alias("is_complete")).repartitionByRange("unit").sortWithinPartitions(F.desc("unit")).withColumn("part", F.spark_partition_id())
     told = durable(placed.mapInArrow(_neighbours, "unit string, shortened boolean, lowest boolean, part int"))
@@ -221,19 +210,30 @@ def open_units(answers: DataFrame) -> DataFrame:
     return tails.select(F.col("unit").alias("tail"), complete.alias("complete"), "shortened")
 
 
-def length_limits(ruled: DataFrame, *, least: int = 20, times: float = 5.0) -> DataFrame:
-    """``field_name, size``: lengths at which open answers are at least ``least`` and ``times`` their mean over the ten lengths around."""
-    sizes = ruled.where(F.col("tail").isNotNull()).groupBy("field_name", "size").agg(F.count(F.lit(1)).alias("n"))
+def length_limits(tails: DataFrame, *, times: float = 5.0, sigmas: float = 6.0) -> DataFrame:
+    """``field_name, size``: lengths at which the different ``tails`` of a field pile up.
+
+    Their number is at least ``times`` the mean over the ten lengths around, and above it by ``sigmas`` times the
+    deviation that chance gives (the root of the mean, of 1 at least).
+    """
+    sizes = tails.groupBy("field_name", "size").agg(F.count_distinct("tail").alias("n"))
     near = Window.partitionBy("field_name").orderBy("size").rangeBetween(-5, 5)  # one row a length
-    return sizes.withColumn("around", (F.sum("n").over(near) - F.col("n")) / 10).where((F.col("n") >= least) & (F.col("n") >= times * F.col("around"))).select("field_name", "size")
+    around = sizes.withColumn("around", (F.sum("n").over(near) - F.col("n")) / 10)
+    spike = (F.col("n") >= times * F.col("around")) & (F.col("n") - F.col("around") >= sigmas * F.sqrt(F.greatest("around", F.lit(1))))
+    return around.where(spike).select("field_name", "size")
 
 
-def broken_answers(results: DataFrame, prompts: DataFrame, profiles: Profiles) -> DataFrame:
-    """``result_id, field_name, defect`` of each answer in ``key_points`` and ``market_view`` that can't be used.
+def answer_defects(results: DataFrame, prompts: DataFrame, profiles: Profiles) -> DataFrame:
+    """``result_id, field_name, defect, evidence`` of each answer in ``key_points`` and ``market_view`` that can't be used.
 
-    ``defect`` is the first that holds of ``empty, refusal, copied, other_language, truncated``. An answer without a
-    prompt can't be copied or in another language. If a prompt id is repeated, the prompt that sorts first counts.
-    Empty tables give no rows; columns beyond those used are ignored.
+    ``defect`` is the first that holds of ``empty, refusal, copied, other_language, truncated``. ``evidence`` of a
+    truncated answer is the first that holds: ``neighbour`` (its last unit is a beginning of its next complete
+    neighbour and stands complete nowhere), ``limit`` (it isn't complete and as long as many that aren't), ``mark`` (it
+    ends in dots or an opening mark, or is prose without an end mark), ``style`` (it isn't complete and ends in a word
+    after which it must go on, or its other items have end marks); else it is ``rule``.
+
+    An answer without a prompt can't be copied or in another language. If a prompt id is repeated, the prompt that
+    sorts first counts. Empty tables give no rows; columns beyond those used are ignored.
     """
     spark = results.sparkSession
     fields = F.array(F.struct(F.lit("key_points").alias("field_name"), F.col("key_points").alias("items")), F.struct(F.lit("market_view").alias("field_name"), F.array("market_view").alias("items")))
@@ -241,13 +241,23 @@ def broken_answers(results: DataFrame, prompts: DataFrame, profiles: Profiles) -
     joined = results.select("result_id", "prompt_id", fields.alias("fields")).join(known, "prompt_id", "left")
     answers = joined.select("result_id", F.explode("fields").alias("a"), "prompt").select("result_id", "a.field_name", "a.items", "prompt")
     ruled = durable(answers.mapInArrow(_rules(spark.sparkContext.broadcast(profiles)), _RULED))
-    units = open_units(widened(results.select(F.explode(F.array("key_points", F.array("market_view"))).alias("items"))))
-    open_rows = ruled.where(F.col("defect").isNull() & F.col("tail").isNotNull() & ~F.col("sure"))
-    limits = length_limits(ruled).withColumn("limit", F.lit(True))
-    judged = open_rows.join(units, "tail", "left").join(limits, ["field_name", "size"], "left")
-    cut = ~F.coalesce("complete", F.lit(False)) & (F.coalesce("shortened", F.lit(False)) | F.col("style") | F.coalesce("limit", F.lit(False)))
-    told = ruled.where(F.col("defect").isNotNull() | F.col("sure")).select("key", "field_name", F.coalesce("defect", F.lit("truncated")).alias("defect"))
-    found = told.unionByName(judged.where(cut).select("key", "field_name", F.lit("truncated").alias("defect")))
-    return found.withColumnRenamed("key", "result_id")
+    units = open_units(ruled.select("units", "tail"))
+    open_rows = ruled.where(F.col("defect").isNull() & F.col("tail").isNotNull()).select("key", "field_name", "tail", "mark", "style", "size")
+    judged = durable(open_rows.join(units, "tail", "left"))
+    unfinished = ~F.coalesce("complete", F.lit(False))
+    limits = length_limits(judged.where(unfinished)).withColumn("limit", F.lit(True))
+    evidence = (
+        F.when(unfinished & F.coalesce("shortened", F.lit(False)), "neighbour")
+        .when(unfinished & F.coalesce("limit", F.lit(False)), "limit")
+        .when(F.col("mark"), "mark")
+        .when(unfinished & F.col("style"), "style")
+    )
+    cut = judged.join(F.broadcast(limits), ["field_name", "size"], "left").select("key", "field_name", F.lit("truncated").alias("defect"), evidence.alias("evidence"))  # limits: a few lengths
+    told = ruled.where(F.col("defect").isNotNull() | (F.col("tail").isNull() & F.col("mark")))
+    told = told.select("key", "field_name", F.coalesce("defect", F.lit("truncated")).alias("defect"), F.when(F.col("defect").isNull(), "mark").otherwise("rule").alias("evidence"))
+    return told.unionByName(cut.where(F.col("evidence").isNotNull())).withColumnRenamed("key", "result_id")
 
 
+def broken_answers(results: DataFrame, prompts: DataFrame, profiles: Profiles) -> DataFrame:
+    """``answer_defects`` without the evidence."""
+    return answer_defects(results, prompts, profiles).drop("evidence")

@@ -61,6 +61,8 @@ LINE = 12
 EVIDENCE = 2_500
 #: Characters of judged sentences that a task remembers at most.
 REMEMBERED = 8_000_000
+#: Pieces compared at once.
+CHUNK = 1_000
 
 
 def label_code(label: str | None) -> str | None:
@@ -197,6 +199,9 @@ class Profiles:
         N-grams of equal count share their mean rank. N-grams in no profile are equally far from all languages; they
         are counted once per distinct word instead of being compared.
         """
+        if len(pieces) > CHUNK:  # what is worked on at once stays in the processor's cache
+            parts = [self.weighed(pieces[at : at + CHUNK]) for at in range(0, len(pieces), CHUNK)]
+            return np.concatenate([d for d, _ in parts]), np.concatenate([t for _, t in parts])
         n, out = len(pieces), np.full((len(pieces), len(LANGUAGES)), float(DEPTH))
         grams = _Grams(pieces)
         pairs, times = np.unique(grams.piece << 32 | grams.word, return_counts=True)
@@ -373,11 +378,10 @@ def _identify(profiles):
                     judged.clear()
                     held = 0
                 new = list({p for p in pieces if p not in judged})
-                for at in range(0, len(new), 1_000):
-                    part = new[at : at + 1_000]
-                    mean, total = profiles.value.weighed(part)
-                    judged.update(zip(part, mean * total[:, None]))
-                    held += sum(map(len, part))
+                if new:
+                    mean, total = profiles.value.weighed(new)
+                    judged.update(zip(new, mean * total[:, None]))
+                    held += sum(map(len, new))
                 found: list[list[dict]] = [[] for _ in spans]
                 if pieces:
                     langs, sure = (x.tolist() for x in _decided(np.array([judged[p] for p in pieces]), np.repeat(np.arange(len(spans)), sizes), np.array(counts), len(spans)))

@@ -13,9 +13,14 @@ from inkfold.plans.training import sql_term
 from inkfold.sources.tables import table
 
 
-def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+def p1_defects(spark: SparkSession, folder: str) -> DataFrame:
+    """Defective answers with their defect and what shows it."""
     profiles = language.learn_profiles(table(spark, folder, "documents"))
-    return answers.broken_answers(table(spark, folder, "analysis_results"), table(spark, folder, "analysis_prompts"), profiles)
+    return answers.answer_defects(table(spark, folder, "analysis_results"), table(spark, folder, "analysis_prompts"), profiles)
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p1_defects(spark, folder).drop("evidence")
 
 
 def _fields(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]]:
@@ -100,7 +105,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        *(p1_found, p2_terms, p2_phrases, p2_found, p3_found, p3_clean_posts, p6_pairs, p6_found),
+        *(p1_found, p1_defects, p2_terms, p2_phrases, p2_found, p3_found, p3_clean_posts, p6_pairs, p6_found),
         *(p7_ids, p8_packing, p8_fill, p9_documents, p9_segments, p9_found),
     )
 }

@@ -132,9 +132,14 @@ def test_broken_answers(spark, profiles):
     assert answers.broken_answers(df.limit(0), prompts.limit(0), profiles).count() == 0
 
 
+def cut_up(spark, items):
+    rows = [answers.units_of(answers.items_of(a or [])) for a in items]
+    return spark.createDataFrame(rows, "units array<string>, tail string")
+
+
 def test_shortened_units(spark):
     items = [["a complete short item", "position below #"], ["position below 3%", "x y"], ["position belo"], ["end of it."], None, ["", None]] + [[f"unit {i} of many.", f"unit {i} of"] for i in range(50)]
-    got = {r["tail"]: (r["complete"], r["shortened"]) for r in answers.open_units(spark.createDataFrame([(i,) for i in items], "items array<string>")).collect()}
+    got = {r["tail"]: (r["complete"], r["shortened"]) for r in answers.open_units(cut_up(spark, items)).collect()}
     assert got["position belo"] == (False, True) and got["x y"] == (False, False) and got["unit # of"] == (False, True)
     assert "end of it." not in got
 
@@ -147,14 +152,75 @@ def test_sorted_neighbours_as_brute_force_has_them(spark):
         units, tail = answers.units_of(a)
         complete |= set(units if tail is None else units[:-1])
         tails |= {tail} - {None}
-    got = {x["tail"]: x["shortened"] for x in answers.open_units(spark.createDataFrame([(i,) for i in items], "items array<string>").repartition(5)).collect()}
+    got = {x["tail"]: x["shortened"] for x in answers.open_units(cut_up(spark, items).repartition(5)).collect()}
     assert got == {t: any(u.startswith(t) and u != t for u in complete) for t in tails}
 
 
 def test_length_limits(spark):
-    rows = [("market_view", "t", n) for n in range(40, 60) for _ in range(3)] + [("market_view", "t", 50)] * 60 + [("key_points", None, 50)] * 90
+    rows = [("market_view", f"t{n} {k}", n) for n in range(40, 60) for k in range(3)] + [("market_view", f"u{k}", 50) for k in range(60)] + [("key_points", "the same", 50)] * 90
     df = spark.createDataFrame(rows, "field_name string, tail string, size bigint")
     assert [tuple(r) for r in answers.length_limits(df).collect()] == [("market_view", 50)]
+    assert answers.length_limits(df.limit(0)).count() == 0
+
+
+def test_evidence_of_truncation(spark, profiles):
+    """A planted limit of 40 characters, shortened versions, and answers that only marks and words show to be cut."""
+    r = random.Random(5)
+    words = "市场消息仓位成交现金耐心等待上涨下跌风险机会交易心态均线量能板块指数资金策略".strip()
+    long = lambda: "".join(r.choice(words) for _ in range(60))
+    whole = [f"作者认为{long()}。" for _ in range(40)]
+    rows = [(i, 1, [w], w) for i, w in enumerate(whole)]
+    rows += [(100 + i, 1, [f"看好{long()}"[:40]], whole[0]) for i in range(40)]
+    rows += [(200 + i, 1, [w[: r.randrange(8, 39)]], w) for i, w in enumerate(whole[:15])]
+    rows += [(300, 1, [whole[0], "等待消息，以及"], whole[1][:20]), (301, 1, [whole[0]], "短期偏谨慎")]
+    prompts = spark.createDataFrame([(1, PROMPT_ZH)], PROMPT)
+    got = {(x["result_id"], x["field_name"]): (x["defect"], x["evidence"]) for x in answers.answer_defects(spark.createDataFrame(rows, RESULT), prompts, profiles).collect()}
+    want = {(100 + i, "key_points"): "limit" for i in range(40)} | {(200 + i, "key_points"): "neighbour" for i in range(15)}
+    want |= {(300, "key_points"): "style", (300, "market_view"): "neighbour", (301, "market_view"): "mark"}
+    assert got == {k: ("truncated", e) for k, e in want.items()}
+
+
+# Written after the patterns and not used to make them.
+REFUSED = """I apologize, but I can't provide an analysis of this post.
+Sorry, I am not able to give trading recommendations.
+I cannot summarize this content.
+As an AI language model, I have no access to the market.
+I must decline to answer this.
+Es ist mir nicht möglich, diesen Text zu bewerten.
+Ich kann dazu leider nichts sagen.
+Ich darf keine Anlageempfehlungen geben.
+Als KI habe ich keine eigene Meinung dazu.
+Je ne peux pas fournir de conseils financiers.
+Il m'est impossible de résumer ce texte.
+En tant qu'assistant, je n'ai pas d'avis sur ce sujet.
+No puedo ofrecer recomendaciones de inversión.
+No me es posible resumir este contenido.
+Como modelo de lenguaje, carezco de opiniones.
+Não posso fornecer recomendações de investimento.
+Não me é possível resumir este conteúdo.
+Como modelo de linguagem, não tenho acesso ao mercado.
+申し訳ございませんが、要約することはできません。
+その質問にはお答えできません。
+言語モデルであるため、投資助言は行えません。
+抱歉，我无法提供这方面的分析。
+作为一个人工智能助手，我没有办法判断行情。
+对不起，我不能回答这个问题。
+这个要求我满足不了。
+我不便评论他人的文章。""".split("\n")
+SAID = """The author says he cannot name a level and waits for news.
+Der Autor kann keine Richtung erkennen und wartet ab.
+L'auteur ne peut pas dire où va le marché.
+El autor reconoce que no puede adivinar el rumbo.
+O autor admite que não consegue prever o rumo.
+作者は方向を予測できないと述べている。
+作者坦言目前无法判断突破方向，只谈应对。
+有人请作者推荐个股，作者婉拒了。""".split("\n")
+
+
+def test_held_out_refusals():
+    found = [bool(answers.REFUSALS.search(x)) for x in REFUSED]
+    assert sum(found) / len(found) >= 0.9
+    assert not any(answers.REFUSALS.search(x) for x in SAID)
 
 
 # Residue

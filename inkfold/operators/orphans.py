@@ -1,13 +1,15 @@
 """References to records that do not exist, kept up to date increment by increment.
 
-State is two tables. ``parents`` has a row per key: the earliest time its target was stored (null: never) and whether
-a removal is known. ``references`` has a row per reference with its present kind: ``deleted``, ``missing``, ``late``
-or ``ok``. An increment changes only keys it mentions: its references probe the parent index, parents that arrive
-resolve the orphans that wait for them, withdrawals reopen what had been resolved.
+State is two tables, both cut into buckets by a hash of the key. ``parents`` has a row per key: the earliest time its
+target was stored (null: not stored) and whether a removal is known. ``references`` has a row per reference with its
+present kind: ``deleted``, ``missing``, ``late`` or ``ok``. An increment reads and writes only the buckets of the keys
+it mentions: its references probe the parent index, parents that arrive resolve the orphans that wait for them,
+removals and withdrawals reopen what had been resolved.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from inkfold.functions.terms import SPACE
 from inkfold.functions.times import instant, month_of
-from inkfold.session import durable
+from inkfold.session import children, durable, new_path, release
 
 PARENTS = "key_kind string, ref_key string, first_seen timestamp, removed boolean"
 REFERENCES = "table_name string, row_id bigint, field_name string, key_kind string, ref_key string, ref_at timestamp, kind string"
@@ -40,9 +42,11 @@ def address_key(url: Column) -> Column:
 class Increment(NamedTuple):
     """What one step brings; any part may be None.
 
-    ``stored(key_kind, ref_key, seen_at)``: targets stored. ``removed(key_kind, ref_key)``: targets known to be taken
-    down; they stay in the index if they are stored. ``withdrawn(key_kind, ref_key)``: targets that are no longer
-    stored. ``references(table_name, row_id, field_name, key_kind, ref_key, ref_at)``: new references.
+    ``stored(key_kind, ref_key, seen_at)``: targets stored; a null time counts as from the start. ``removed(key_kind,
+    ref_key)``: targets known to be taken down; they stay in the index if they are stored. ``withdrawn(key_kind,
+    ref_key, gone_at)``: targets no longer stored; what was stored after ``gone_at`` is, also within one increment; a
+    null ``gone_at`` is after everything. ``references(table_name, row_id, field_name, key_kind, ref_key, ref_at)``:
+    new references; those with a null or empty key are none.
     """
 
     stored: DataFrame | None = None
@@ -51,22 +55,30 @@ class Increment(NamedTuple):
     references: DataFrame | None = None
 
 
-class OrphanState(NamedTuple):
-    parents: DataFrame
-    references: DataFrame
-
-    @staticmethod
-    def empty(spark: SparkSession) -> OrphanState:
-        return OrphanState(spark.createDataFrame([], PARENTS), spark.createDataFrame([], REFERENCES))
-
-
-def _changes(spark: SparkSession, step: Increment) -> DataFrame:
-    """One row per key that the step's parents change, combined on the map side before the shuffle."""
-    rows = spark.createDataFrame([], "key_kind string, ref_key string, seen_at timestamp, gone boolean, took boolean")
-    for df, seen, gone, took in ((step.stored, F.col("seen_at"), False, False), (step.removed, F.lit(None).cast("timestamp"), True, False), (step.withdrawn, F.lit(None).cast("timestamp"), True, True)):
-        if df is not None:
-            rows = rows.unionByName(df.where(F.col("ref_key") != "").select(*_KEY, seen.alias("seen_at"), F.lit(gone).alias("gone"), F.lit(took).alias("took")))
-    return rows.groupBy(*_KEY).agg(F.min("seen_at").alias("__seen"), F.max("gone").alias("__gone"), F.max("took").alias("__took"))
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*_KEY), F.lit(buckets)).cast("int")
+
+
+def _changes(step: Increment, buckets: int) -> DataFrame | None:
+    """``bucket, key, first_seen, removed, gone_at``: one row per key that the step's parents change, combined before the shuffle."""
+    never, start, end = (F.lit(x).cast("timestamp") for x in (None, "0001-01-01 00:00:00", "9999-12-31 00:00:00"))
+    parts = [
+        df.where(F.col("ref_key") != "").select(*_KEY, seen.alias("first_seen"), F.lit(removed).alias("removed"), gone.alias("gone_at"))
+        for df, seen, removed, gone in (
+            (step.stored, F.coalesce("seen_at", start), False, never),
+            (step.removed, never, True, never),
+            (step.withdrawn, never, True, F.coalesce("gone_at", end)),
+        )
+        if df is not None
+    ]
+    if not parts:
+        return None
+    rows = reduce(DataFrame.unionByName, parts)
+    if step.withdrawn is not None:  # what was stored before the last withdrawal is not stored
+        gone = parts[-1].groupBy(*_KEY).agg(F.max("gone_at").alias("__gone"))
+        rows = rows.join(gone, _KEY, "left").withColumn("first_seen", F.when(F.col("__gone").isNull() | (F.col("first_seen") > F.col("__gone")), F.col("first_seen"))).drop("__gone")
+    merged = rows.groupBy(*_KEY).agg(F.min("first_seen").alias("first_seen"), F.max("removed").alias("removed"), F.max("gone_at").alias("gone_at"))
+    return merged.withColumn("bucket", _bucket(buckets))
 
 
 def _judge(references: DataFrame, parents: DataFrame) -> DataFrame:
@@ -79,50 +91,88 @@ def _judge(references: DataFrame, parents: DataFrame) -> DataFrame:
     return references.join(parents, _KEY, "left").select("table_name", "row_id", "field_name", *_KEY, "ref_at", kind.alias("kind"))
 
 
-def advance(state: OrphanState | None, step: Increment, spark: SparkSession) -> OrphanState:
-    """The state after ``step``; without a state, as after an empty one.
+class OrphanStore:
+    """The state in the shared folder, by bucket, and the steps that change it.
 
-    Steps may come in any order and cut: the final kinds depend only on what all steps brought, withdrawals apart,
-    which undo what was stored in earlier steps. References with a null or empty key are none. References that are
-    repeated stay repeated. A stored target without a readable time counts as stored from the start.
+    Each bucket of a table is one folder; a step writes new folders for the buckets that it touches, then deletes those
+    they replace, so an executor or a step that is lost leaves the state before it. Frames of the state are good until
+    the next step. ``buckets`` should be many times the number of keys in a usual increment for steps to be cheap.
+
+    Steps may come in any order and cut: the final kinds depend only on what all steps brought, withdrawals apart, which
+    undo what was stored before them. References that are repeated stay repeated. An empty store has no references.
     """
-    far_past = F.lit("0001-01-01 00:00:00").cast("timestamp")
-    if step.stored is not None:
-        step = step._replace(stored=step.stored.withColumn("seen_at", F.coalesce("seen_at", far_past)))
-    changed = _changes(spark, step)
-    fresh = None if step.references is None else step.references.where(F.col("ref_key") != "")
-    if state is None:
-        parents = changed.select(*_KEY, F.when(~F.col("__took"), F.col("__seen")).alias("first_seen"), F.col("__gone").alias("removed"))
-        none = spark.createDataFrame([], REFERENCES)
-        return OrphanState(parents, none if fresh is None else _judge(fresh, parents))
-    known = state.parents.join(changed, _KEY, "full")
-    kept = F.when(~F.coalesce("__took", F.lit(False)), F.least("first_seen", "__seen"))
-    parents = known.select(*_KEY, kept.alias("first_seen"), (F.coalesce("removed", F.lit(False)) | F.coalesce("__gone", F.lit(False))).alias("removed"))
-    touched = changed.select(*_KEY)
-    waiting = state.references.join(touched, _KEY, "left_semi").drop("kind")
-    still = state.references.join(touched, _KEY, "left_anti")
-    probing = waiting if fresh is None else waiting.unionByName(fresh)
-    return OrphanState(parents, still.unionByName(_judge(probing, parents)))
-
-
-def settle(state: OrphanState) -> OrphanState:
-    """The state written to the shared folder, so that the next step starts from files."""
-    return OrphanState(durable(state.parents), durable(state.references))
-
-
-def snapshot(state: OrphanState) -> DataFrame:
-    """Orphans per table, field, month of the referring row (UTC+8; null without a time) and kind."""
-    orphans = state.references.where(F.col("kind") != "ok")
-    return orphans.groupBy("table_name", "field_name", month_of(F.col("ref_at")).alias("ref_month"), "kind").agg(F.count(F.lit(1)).alias("n_refs"))
+
+    def __init__(self, spark: SparkSession, buckets: int = 64) -> None:
+        self.spark, self.buckets = spark, buckets
+        self.folders: dict[str, dict[int, str]] = {"parents": {}, "references": {}}
+        self.last_step: int | None = None
+
+    def _read(self, table: str, schema: str, touched: list[int] | None = None) -> DataFrame:
+        own = self.folders[table]
+        paths = [own[b] for b in (own if touched is None else touched) if b in own]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    @property
+    def parents(self) -> DataFrame:
+        return self._read("parents", PARENTS)
+
+    @property
+    def references(self) -> DataFrame:
+        return self._read("references", REFERENCES)
+
+    def _write(self, df: DataFrame) -> str:
+        """Writes rows by bucket to a new folder; a bucket of many rows is written by several tasks."""
+        folder = new_path(self.spark)
+        df.withColumn("bucket", _bucket(self.buckets)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(folder)
+        return folder
+
+    def step(self, increment: Increment, number: int | None = None) -> OrphanStore:
+        """Applies an increment. One whose ``number`` isn't above that of the last is known and changes nothing."""
+        if number is not None and self.last_step is not None and number <= self.last_step:
+            return self
+        changed = _changes(increment, self.buckets)
+        fresh = None if increment.references is None else increment.references.where(F.col("ref_key") != "")
+        keys = [df.select("bucket") for df in (changed, None if fresh is None else fresh.withColumn("bucket", _bucket(self.buckets))) if df is not None]
+        touched = sorted(r["bucket"] for r in reduce(DataFrame.union, keys).distinct().collect()) if keys else []  # at most the buckets
+        moved = sorted(r["bucket"] for r in changed.select("bucket").distinct().collect()) if changed is not None else []
+        replaced = []
+        if moved:
+            old = self._read("parents", PARENTS, moved)
+            if increment.withdrawn is not None:
+                old = old.join(changed.where(F.col("gone_at").isNotNull()).select(*_KEY, "gone_at"), _KEY, "left")
+                old = old.select(*_KEY, F.when(F.col("gone_at").isNull() | (F.col("first_seen") > F.col("gone_at")), F.col("first_seen")).alias("first_seen"), "removed")
+            every = old.unionByName(changed.select(*_KEY, "first_seen", "removed"))
+            folder = self._write(every.groupBy(*_KEY).agg(F.min("first_seen").alias("first_seen"), F.max("removed").alias("removed")))
+            replaced += self._replace("parents", folder, moved)
+        if touched:
+            known = self._read("references", REFERENCES, touched).drop("kind")
+            probing = known if fresh is None else known.unionByName(fresh)
+            folder = self._write(_judge(probing, self._read("parents", PARENTS, touched)))
+            replaced += self._replace("references", folder, touched)
+        for path in replaced:
+            release(self.spark, path)
+        self.last_step = number if number is not None else self.last_step
+        return self
+
+    def _replace(self, table: str, folder: str, buckets: list[int]) -> list[str]:
+        own, there = self.folders[table], {p.rpartition("=")[2] for p in children(self.spark, folder) if "bucket=" in p}
+        old = [own.pop(b) for b in buckets if b in own]
+        own.update({b: f"{folder}/bucket={b}" for b in buckets if str(b) in there})
+        return old
+
+    def snapshot(self) -> DataFrame:
+        """Orphans per table, field, month of the referring row (UTC+8; null without a time) and kind."""
+        orphans = self.references.where(F.col("kind") != "ok")
+        return orphans.groupBy("table_name", "field_name", month_of(F.col("ref_at")).alias("ref_month"), "kind").agg(F.count(F.lit(1)).alias("n_refs"))
 
 
 _FIELDS = (("filename", "file", file_key), ("source_url", "address", address_key))
 
 
-def _targets(df: DataFrame, at: str) -> DataFrame:
+def _targets(df: DataFrame, at: str, name: str) -> DataFrame:
     """Both keys of every row of a table with filename and source_url."""
     pairs = F.array(*(F.struct(F.lit(kind).alias("key_kind"), key(F.col(field)).alias("ref_key")) for field, kind, key in _FIELDS))
-    return df.select(instant(F.col(at)).alias("seen_at"), F.explode(pairs).alias("p")).select("p.key_kind", "p.ref_key", "seen_at")
+    return df.select(instant(F.col(at)).alias(name), F.explode(pairs).alias("p")).select("p.key_kind", "p.ref_key", name)
 
 
 def post_increment(posts: DataFrame, removed_posts: DataFrame, post_index: DataFrame, analysis_results: DataFrame) -> Increment:
@@ -131,4 +181,41 @@ def post_increment(posts: DataFrame, removed_posts: DataFrame, post_index: DataF
     index = post_index.select(F.lit("post_index").alias("table_name"), F.col("index_row").alias("row_id"), instant(F.col("indexed_at")).alias("ref_at"), F.explode(listed).alias("p"))
     index = index.select("table_name", "row_id", "p.*", "ref_at")
     results = analysis_results.select(F.lit("analysis_results").alias("table_name"), F.col("result_id").alias("row_id"), F.lit("_source_file").alias("field_name"), F.lit("file").alias("key_kind"), file_key(F.col("_source_file")).alias("ref_key"), instant(F.col("analyzed_at")).alias("ref_at"))
-    return Increment(_targets(posts, "fetched_at"), _targets(removed_posts, "removed_at").drop("seen_at"), None, index.unionByName(results))
+    return Increment(_targets(posts, "fetched_at", "seen_at"), _targets(removed_posts, "removed_at", "removed_at"), None, index.unionByName(results))
+
+
+def in_periods(whole: Increment, periods: int) -> list[Increment]:
+    """An increment cut by its times (``seen_at``, ``removed_at``, ``ref_at``) into as many of equal span, in order.
+
+    Rows without a time come first. All rows are written once, by period, and each increment reads its own.
+    """
+    empty = F.lit(None)
+    kinds = (
+        (whole.stored, "stored", F.col("seen_at"), {}),
+        (whole.removed, "removed", F.col("removed_at"), {}),
+        (whole.references, "reference", F.col("ref_at"), {c: F.col(c) for c in ("table_name", "row_id", "field_name")}),
+    )
+    rows = reduce(
+        DataFrame.unionByName,
+        (
+            df.select(
+                F.lit(what).alias("what"),
+                *_KEY,
+                at.cast("timestamp").alias("at"),
+                *(more.get(c, empty).cast(t).alias(c) for c, t in (("table_name", "string"), ("row_id", "bigint"), ("field_name", "string"))),
+            )
+            for df, what, at, more in kinds
+        ),
+    )
+    second = F.unix_timestamp("at")
+    low, high = rows.agg(F.min(second), F.max(second)).first()
+    period = F.lit(0)
+    for k in range(1, periods):
+        period = period + (second > (low or 0) + ((high or 0) - (low or 0)) * k // periods).cast("int")
+    staged = durable(rows.where(F.col("ref_key") != "").withColumn("period", F.coalesce(period, F.lit(0))), "period")
+    out = []
+    for k in range(periods):
+        own = staged.where(F.col("period") == k)
+        part = lambda what: own.where(F.col("what") == what)  # noqa: B023, E731
+        out.append(Increment(part("stored").select(*_KEY, F.col("at").alias("seen_at")), part("removed").select(*_KEY), None, part("reference").select("table_name", "row_id", "field_name", *_KEY, F.col("at").alias("ref_at"))))
+    return out

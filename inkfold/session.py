@@ -71,6 +71,12 @@ def new_path(spark: SparkSession) -> str:
     return f"{run_dir(spark)}/{uuid.uuid4().hex}"
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names within a folder of any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)]
+
+
 def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage is cut, and a lost executor costs no recomputation.
 

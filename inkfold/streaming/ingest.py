@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from inkfold.operators import orphans
-from inkfold.session import durable
 
 
 def new_files(spark: SparkSession, path: str, schema: str | StructType, *, files_per_batch: int = 1_000, kind: str = "parquet") -> DataFrame:
@@ -41,19 +40,10 @@ def windowed_counts(stream: DataFrame, at: str, by: str, *, width: str = "1 day"
     return stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late).groupBy(F.window(at, width), by).agg(F.count(F.lit(1)).alias("n"))
 
 
-class OrphanTracker:
-    """Pending orphans of a stream of increments.
+def track_orphans(stream: DataFrame, store: orphans.OrphanStore, state: str, cut: Callable[[DataFrame], orphans.Increment]) -> StreamingQuery:
+    """Applies every micro-batch, as ``cut`` makes an increment of it, to ``store``; one that comes again changes nothing."""
 
-    The state is a pair of tables in the shared folder, a new pair per step; ``snapshots`` gets the counts after each.
-    """
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
-        self.state: orphans.OrphanState | None = None
-
-    def step(self, increment: orphans.Increment) -> orphans.OrphanState:
-        self.state = orphans.settle(orphans.advance(self.state, increment, self.spark))
-        return self.state
+    def run(batch: DataFrame, number: int) -> None:
+        store.step(cut(batch), number)
 
-    def snapshot(self) -> DataFrame:
-        return durable(orphans.snapshot(self.state or orphans.OrphanState.empty(self.spark)))
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", state).trigger(availableNow=True).start()

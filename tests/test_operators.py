@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from inkfold.operators import batching, graph, orphans, quality, reconcile, salted, stats
 from inkfold.operators.ranks import global_rank
 from inkfold.operators.sampling import hash_sample
-from inkfold.streaming.ingest import OrphanTracker, merge_into, new_files
+from inkfold.streaming.ingest import merge_into, new_files, track_orphans
 
 
 def rows(df):
@@ -97,35 +97,89 @@ def test_orphans_in_one_step_and_in_many(spark):
     stored, gone, refs = _orphan_data(r)
     make = lambda s, g, f: orphans.Increment(spark.createDataFrame(s, STORED), spark.createDataFrame(g, GONE), None, spark.createDataFrame(f, REFS))
     want = _kinds(stored, gone, refs)
-    once = orphans.advance(None, make(stored, gone, refs), spark)
+    once = orphans.OrphanStore(spark, 3).step(make(stored, gone, refs))
     assert rows(once.references.select("table_name", "row_id", "kind")) == want
-    tracker = OrphanTracker(spark)
+    store = orphans.OrphanStore(spark, 7)
     for part in (slice(0, 10), slice(10, 25), slice(25, None)):
-        state = tracker.step(make(stored[part], gone[part], refs[part.start * 8 : None if part.stop is None else part.stop * 8]))
-    assert rows(state.references.select("table_name", "row_id", "kind")) == want
-    assert sum(x["n_refs"] for x in tracker.snapshot().collect()) == sum(n for (_, _, k), n in want.items() if k != "ok")
+        store.step(make(stored[part], gone[part], refs[part.start * 8 : None if part.stop is None else part.stop * 8]))
+    assert rows(store.references.select("table_name", "row_id", "kind")) == want
+    assert sum(x["n_refs"] for x in store.snapshot().collect()) == sum(n for (_, _, k), n in want.items() if k != "ok")
 
 
 def test_withdrawals_reopen(spark):
-    tracker = OrphanTracker(spark)
+    from datetime import datetime
+
+    store = orphans.OrphanStore(spark)
     refs = spark.createDataFrame([("t", 1, "f", "file", "a", None), ("t", 2, "f", "file", "b", None)], REFS)
-    tracker.step(orphans.Increment(references=refs))
-    kinds = lambda: {x["row_id"]: x["kind"] for x in tracker.state.references.collect()}
+    store.step(orphans.Increment(references=refs))
+    kinds = lambda: {x["row_id"]: x["kind"] for x in store.references.collect()}
     assert kinds() == {1: "missing", 2: "missing"}
-    tracker.step(orphans.Increment(stored=spark.createDataFrame([("file", "a", None)], STORED)))
+    stored = lambda at: orphans.Increment(stored=spark.createDataFrame([("file", "a", at)], STORED))
+    gone = lambda at: spark.createDataFrame([("file", "a", at)], GONE + ", gone_at timestamp")
+    store.step(stored(None))
+    assert kinds() == {1: "ok", 2: "missing"}
+    store.step(orphans.Increment(withdrawn=gone(None)))
+    assert kinds() == {1: "deleted", 2: "missing"}
+    store.step(stored(datetime(2020, 5, 1)))
     assert kinds() == {1: "ok", 2: "missing"}
-    tracker.step(orphans.Increment(withdrawn=spark.createDataFrame([("file", "a")], GONE)))
+    both = stored(datetime(2020, 7, 1))._replace(withdrawn=gone(datetime(2020, 6, 1)))
+    assert {x["first_seen"] for x in store.step(both).parents.where("ref_key = 'a'").collect()} == {datetime(2020, 7, 1)} and kinds()[1] == "ok"
+    store.step(both._replace(withdrawn=gone(datetime(2020, 8, 1))))
     assert kinds() == {1: "deleted", 2: "missing"}
 
 
+def test_untouched_buckets_are_not_rewritten(spark):
+    store = orphans.OrphanStore(spark, 16)
+    key = lambda i: f"k{i}"
+    store.step(orphans.Increment(references=spark.createDataFrame([("t", i, "f", "file", key(i), None) for i in range(200)], REFS)), 1)
+    before = {t: dict(f) for t, f in store.folders.items()}
+    assert len(before["references"]) == 16 and not before["parents"]
+    step = orphans.Increment(stored=spark.createDataFrame([("file", key(7), None)], STORED))
+    store.step(step, 2)
+    changed = [b for b, path in store.folders["references"].items() if before["references"].get(b) != path]
+    assert len(changed) == 1 and list(store.folders["parents"]) == changed
+    assert not Path(before["references"][changed[0]].removeprefix("file://")).exists()
+    after = {t: dict(f) for t, f in store.folders.items()}
+    assert store.step(step, 2).folders == after
+    assert rows(store.references.groupBy("kind").count()) == {("missing", 199): 1, ("ok", 1): 1}
+
+
+def test_periods(spark):
+    r = random.Random(4)
+    stored, gone, refs = _orphan_data(r)
+    whole = orphans.Increment(spark.createDataFrame(stored, STORED), spark.createDataFrame([(*g, None) for g in gone], GONE + ", removed_at timestamp"), None, spark.createDataFrame(refs, REFS))
+    steps = orphans.in_periods(whole, 4)
+    assert sum(s.references.count() for s in steps) == sum(1 for x in refs if x[4]) and all(s.references.count() for s in steps)
+    store = orphans.OrphanStore(spark, 5)
+    for step in steps:
+        store.step(step)
+    assert rows(store.references.select("table_name", "row_id", "kind")) == _kinds(stored, gone, refs)
+
+
 def test_orphans_of_nothing(spark):
     posts = spark.createDataFrame([], "post_row bigint, filename string, source_url string, fetched_at string, kind string")
     gone = spark.createDataFrame([], "filename string, source_url string, removed_at string")
     index = spark.createDataFrame([], "index_row bigint, filename string, source_url string, indexed_at string")
     results = spark.createDataFrame([(1, None, None), (2, "x.md", "2012-01-01T00:00:00Z")], "result_id bigint, _source_file string, analyzed_at string")
-    state = orphans.advance(None, orphans.post_increment(posts, gone, index, results), spark)
-    assert rows(state.references.select("row_id", "kind")) == {(2, "missing"): 1}
-    assert [tuple(r) for r in orphans.snapshot(state).collect()] == [("analysis_results", "_source_file", "2012-01", "missing", 1)]
+    for cut in (lambda x: [x], lambda x: orphans.in_periods(x, 3)):
+        store = orphans.OrphanStore(spark)
+        for step in cut(orphans.post_increment(posts, gone, index, results)):
+            store.step(step)
+        assert rows(store.references.select("row_id", "kind")) == {(2, "missing"): 1}
+        assert [tuple(r) for r in store.snapshot().collect()] == [("analysis_results", "_source_file", "2012-01", "missing", 1)]
+    nothing = orphans.OrphanStore(spark).step(orphans.Increment())
+    assert nothing.references.count() == 0 and nothing.snapshot().count() == 0
+
+
+def test_orphans_of_a_stream(spark, tmp_path):
+    refs = [("t", i, "f", "file", f"k{i % 3}", None) for i in range(9)]
+    spark.createDataFrame(refs, REFS).repartition(3, "row_id").write.parquet(str(tmp_path / "in"))
+    store = orphans.OrphanStore(spark, 4)
+    store.step(orphans.Increment(stored=spark.createDataFrame([("file", "k1", None)], STORED)))
+    for _ in range(2):
+        stream = new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, files_per_batch=1)
+        track_orphans(stream, store, str(tmp_path / "state"), lambda batch: orphans.Increment(references=batch)).awaitTermination()
+    assert rows(store.references.groupBy("kind").count()) == {("missing", 6): 1, ("ok", 3): 1}
 
 
 # Ranks, samples

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from inkfold.functions.terms import normal_terms
 from inkfold.functions.times import instant
+from inkfold.session import durable
 
 
 class Measure(NamedTuple):
@@ -23,9 +24,11 @@ _FIRST = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
-def heavy_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, counted over all rows with map-side combining."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_rows).select(*keys)
+def heavy_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Keys with at least ``share`` of all rows, and two: one pass counts keys (combined before the shuffle) and, from these, rows."""
+    sizes = durable(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")))
+    rows = sizes.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    return sizes.where(F.col("__n") >= max(2, int(rows * share))).select(*keys)
 
 
 def salted_aggregate(df: DataFrame, keys: list[str], measures: list[Measure], spread: list[Column], *, heavy_share: float = 0.001, salts: int = 64) -> DataFrame:
@@ -40,8 +43,7 @@ def salted_aggregate(df: DataFrame, keys: list[str], measures: list[Measure], sp
     carry any name that doesn't begin with ``__``.
     """
     work = df.select(*keys, *(m.value.alias(f"__m{i}") for i, m in enumerate(measures)), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int").alias("__spread"))
-    rows = df.count()
-    heavy = heavy_keys(df.select(*keys), keys, max(2, int(rows * heavy_share)))
+    heavy = heavy_keys(df.select(*keys), keys, heavy_share)
     marks = heavy.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.lit(True).alias("__heavy"))
     same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     joined = work.join(F.broadcast(marks), same, "left")  # at most 1/heavy_share rows

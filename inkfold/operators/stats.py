@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.functions.text import bar
+from inkfold.functions.text import bar, let
 
 
 def by_prefix(df: DataFrame, date: str, length: int, name: str) -> DataFrame:
@@ -43,17 +43,28 @@ def list_counts(df: DataFrame, items: str, order: list[str], *, top: int | None
     return counted if top is None else counted.orderBy(F.desc("n"), "first_at").limit(top)
 
 
-def keyword_counts(df: DataFrame, keep: list[str], tokens: Column) -> DataFrame:
-    """``keep..., keyword, n, first_at`` of every token of each row, combined before the shuffle."""
-    seen = df.select(*keep, F.posexplode(tokens).alias("at", "keyword"))
-    return seen.groupBy(*keep, "keyword").agg(F.count(F.lit(1)).alias("n"), F.min("at").cast("bigint").alias("first_at"))
+def token_counts(tokens: Column) -> Column:
+    """``array<struct<most, at, keyword>>`` of the distinct tokens of an array: minus the count, the first place, the token.
+
+    Sorted, equal tokens are neighbours: a token begins where its left neighbour is another, and its count is the
+    distance to the next beginning. Nothing leaves the row.
+    """
+    placed = F.array_sort(F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+
+    def counted(own: Column) -> Column:
+        places = F.when(F.size(own) > 0, F.sequence(F.lit(1), F.size(own))).otherwise(F.array().cast("array<int>"))
+        begins = F.filter(places, lambda k: (k == 1) | (F.get(own, k - 1)["w"] != F.get(own, k - 2)["w"]))
+        of = lambda b: F.transform(b, lambda k, j: F.struct((k - F.coalesce(F.get(b, j + 1), F.size(own) + 1)).alias("most"), F.get(own, k - 1)["i"].alias("at"), F.get(own, k - 1)["w"].alias("keyword")))
+        return let(begins, of)
+
+    return let(placed, counted)
 
 
 def keywords(df: DataFrame, keep: list[str], tokens: Column, top: int = 10) -> DataFrame:
-    """The ``top`` most frequent tokens of each row, ties in order of first place: ``keep..., keyword, n, rank``."""
-    place = F.row_number().over(Window.partitionBy(*keep).orderBy(F.desc("n"), "first_at"))
-    ranked = keyword_counts(df, keep, tokens).withColumn("rank", place.cast("bigint")).where(F.col("rank") <= top)
-    return ranked.select(*keep, "keyword", "n", "rank")
+    """The ``top`` most frequent tokens of each row, ties in order of first place: ``keep..., keyword, n, rank``. No shuffle."""
+    best = F.slice(F.array_sort(token_counts(tokens)), 1, top)
+    ranked = df.select(*keep, F.posexplode(best).alias("__at", "__best"))
+    return ranked.select(*keep, F.col("__best.keyword").alias("keyword"), (-F.col("__best.most")).cast("bigint").alias("n"), (F.col("__at") + 1).cast("bigint").alias("rank"))
 
 
 def chart(counts: DataFrame, key: str, per: int, width: int) -> DataFrame:

@@ -1,4 +1,10 @@
-"""A directed property graph over posts, keywords, tags and authors: one edge per ordered pair."""
+"""A directed property graph over posts, keywords, tags and authors: one edge per ordered pair.
+
+Posts that share a tag are linked with each other. A tag of ``n`` posts stands for n(n-1)/2 such links, so they are not
+written out: a tag is a node of its own, every post has an edge to each of its tags, and two posts are linked exactly if
+both have an edge to the same tag. ``tag_classes`` tells how many links each tag stands for, and ``exact_degrees`` counts
+a node's links in the graph in which all are written.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +14,13 @@ from pyspark.sql import functions as F
 from inkfold.operators.ranks import global_rank
 from inkfold.session import durable
 
-#: Later relations overwrite earlier ones on the same pair; ``shares_tag`` gives way to any edge there is.
-PRIORITY = {"wrote": 3, "next_post": 2, "contains_keyword": 1, "shares_tag": 0}
+#: Later relations overwrite earlier ones on the same pair; ``shares_tag`` gives way to any edge there is. ``has_tag`` edges
+#: end in tags, whose ids no other node has.
+PRIORITY = {"wrote": 4, "next_post": 3, "contains_keyword": 2, "shares_tag": 1, "has_tag": 0}
+#: What the id of a tag begins with.
+TAG = "tag:"
+#: Columns of a post's node besides its id and type.
+ATTRIBUTES = ("title", "author", "published_at", "category", "tags")
 
 
 def keyword_edges(keywords: DataFrame, post: str) -> DataFrame:
@@ -23,34 +34,34 @@ def author_edges(posts: DataFrame, post: str, author: str) -> DataFrame:
 def next_edges(posts: DataFrame, post: str, order: list[str], within: str | None = None) -> DataFrame:
     """Edges to the next post in ``order``, of the whole table or within one column's values.
 
-    The whole table is numbered by range partitions and joined to itself on the number, so that no task sees it all.
+    The table is numbered by range partitions and joined to itself on the number, so that no task sees it all, nor all
+    of a value that a third of the rows have.
     """
-    if within is not None:
-        following = F.lead(post).over(Window.partitionBy(within).orderBy(*order, post))
-        out = posts.select(F.col(post).alias("src"), following.alias("dst")).where(F.col("dst").isNotNull())
-    else:
-        numbered = global_rank(posts.select(*dict.fromkeys([*order, post])), [*order, post], "__n")
-        left = numbered.select(F.col(post).alias("src"), (F.col("__n") + 1).alias("__n"))
-        out = left.join(numbered.select(F.col(post).alias("dst"), "__n"), "__n").select("src", "dst")
+    by = [] if within is None else [within]
+    numbered = global_rank(posts.select(*dict.fromkeys([*by, *order, post])), list(dict.fromkeys([*by, *order, post])), "__n")
+    left = numbered.select(F.col(post).alias("src"), (F.col("__n") + 1).alias("__n"), *(F.col(c).alias("__by") for c in by))
+    out = left.join(numbered.select(F.col(post).alias("dst"), "__n", *by), "__n")
+    out = out.where(F.col("__by").eqNullSafe(F.col(by[0])) if by else F.lit(True)).select("src", "dst")
     return out.withColumn("relation", F.lit("next_post"))
 
 
-def tag_edges(posts: DataFrame, post: str, tags: str, position: str, *, pairs_up_to: int = 64) -> DataFrame:
-    """Edges between posts that share a tag, from the earlier ``position`` to the later.
+def tag_edges(posts: DataFrame, post: str, tags: str) -> DataFrame:
+    """A ``has_tag`` edge from every post to each of its tags, whatever the tag's size; null tags are none."""
+    held = posts.select(F.col(post).alias("src"), F.explode(F.array_distinct(tags)).alias("tag")).where(F.col("tag").isNotNull())
+    return held.select("src", F.concat(F.lit(TAG), "tag").alias("dst"), F.lit("has_tag").alias("relation"))
+
+
+def tag_classes(posts: DataFrame, post: str, tags: str) -> DataFrame:
+    """``id, tag, n_posts, n_links``: per tag its posts and the links among them, from the earlier post to the later.
 
-    A tag of ``n`` posts stands for n(n-1)/2 pairs. Tags of up to ``pairs_up_to`` occurrences are written out as
-    ``shares_tag`` edges, one per pair of posts (a tag repeated in a post gives an edge to itself). Of larger tags the
-    same information is kept as ``has_tag`` edges from the post to the tag: two posts share the tag exactly if both
-    have that edge. So the result grows in proportion to the posts, whatever the skew.
+    A post in which the tag is repeated has a link to itself. ``post`` is unique. Combined before the shuffle, so a tag
+    that a third of the posts hold costs a row a task.
     """
-    held = posts.select(F.col(post).alias("p"), F.col(position).alias("at"), F.posexplode(tags).alias("k", "tag")).where(F.col("tag").isNotNull())
-    sizes = held.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
-    sized = held.join(sizes, "tag")
-    large = sized.where(F.col("n") > pairs_up_to).select(F.col("p").alias("src"), F.col("tag").alias("dst"), F.lit("has_tag").alias("relation")).distinct()
-    small = sized.where(F.col("n") <= pairs_up_to).groupBy("tag").agg(F.array_sort(F.collect_list(F.struct("at", "k", "p"))).alias("m"))
-    first = small.select("m", F.posexplode("m").alias("i", "a"))
-    pairs = first.select("a", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("b"))
-    return pairs.select(F.col("a.p").alias("src"), F.col("b.p").alias("dst"), F.lit("shares_tag").alias("relation")).distinct().unionByName(large)
+    counted = F.transform(F.array_distinct(tags), lambda t: F.struct(t.alias("tag"), F.size(F.filter(F.col(tags), lambda x: x == t)).alias("times")))
+    held = posts.select(F.explode(counted).alias("t")).select("t.*").where(F.col("tag").isNotNull())
+    sizes = held.groupBy("tag").agg(F.count(F.lit(1)).alias("n_posts"), F.count_if(F.col("times") > 1).alias("selves"))
+    pairs = (F.col("n_posts") * (F.col("n_posts") - 1) / 2).cast("bigint")
+    return sizes.select(F.concat(F.lit(TAG), "tag").alias("id"), "tag", "n_posts", (pairs + F.col("selves")).alias("n_links"))
 
 
 def collapse(edges: DataFrame) -> DataFrame:
@@ -59,19 +70,34 @@ def collapse(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.max_by("relation", F.struct(rank, "relation")).alias("relation"))
 
 
-def member_edges(edges: DataFrame) -> DataFrame:
-    """``edges`` with the tag of each ``has_tag`` edge as ``tag:`` and the tag, apart from the keywords' ids, so that ``collapse`` keeps both."""
-    return edges.withColumn("dst", F.when(F.col("relation") == "has_tag", F.concat(F.lit("tag:"), "dst")).otherwise(F.col("dst")))
+def nodes(posts: DataFrame, keywords: DataFrame, authors: DataFrame, tags: DataFrame) -> DataFrame:
+    """``id, type`` and ATTRIBUTES, which only posts have: an id that is a post is one, else a keyword, else an author, else a tag.
+
+    ``posts`` has ``id`` and ATTRIBUTES, the others one column of ids. Of repeated ids one row is kept.
+    """
+    none = [F.lit(None).cast(t).alias(c) for c, t in posts.select(*ATTRIBUTES).dtypes]
+    every = posts.select(F.col("id").cast("string").alias("id"), F.lit("post").alias("type"), F.lit(3).alias("rank"), *ATTRIBUTES)
+    for df, kind, rank in ((keywords, "keyword", 2), (authors, "author", 1), (tags, "tag", 0)):
+        every = every.unionByName(df.select(F.col(df.columns[0]).cast("string").alias("id"), F.lit(kind).alias("type"), F.lit(rank).alias("rank"), *none))
+    best = every.where(F.col("id").isNotNull()).groupBy("id").agg(F.max(F.struct("rank", "type", *ATTRIBUTES)).alias("n"))
+    return best.select("id", "n.type", *(f"n.{c}" for c in ATTRIBUTES))
+
+
+def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``id``: ends of edges that are no node."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    return ends.join(nodes.select("id"), "id", "left_anti")
+
+
+def with_isolated(degrees: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``id, n_in, n_out, degree`` of all ``nodes``, those without edges included."""
+    count = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_in", "n_out", "degree")]
+    return nodes.select("id").join(degrees, "id", "left").select("id", *count)
 
 
-def nodes(posts: DataFrame, keywords: DataFrame, authors: DataFrame) -> DataFrame:
-    """``id, type``: ids are one namespace; an id that is a post is one, else a keyword, else an author. One column each."""
-    kinds = ((posts, "post", 2), (keywords, "keyword", 1), (authors, "author", 0))
-    every = None
-    for df, kind, rank in kinds:
-        part = df.select(F.col(df.columns[0]).cast("string").alias("id"), F.lit(kind).alias("type"), F.lit(rank).alias("rank"))
-        every = part if every is None else every.unionByName(part)
-    return every.where(F.col("id").isNotNull()).groupBy("id").agg(F.max_by("type", "rank").alias("type"))
+def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``part, kind, n``: nodes by type and edges by relation."""
+    return nodes.groupBy(F.lit("node").alias("part"), F.col("type").alias("kind")).agg(F.count(F.lit(1)).alias("n")).unionByName(edges.groupBy(F.lit("edge").alias("part"), F.col("relation").alias("kind")).agg(F.count(F.lit(1)).alias("n")))
 
 
 def degrees(edges: DataFrame) -> DataFrame:

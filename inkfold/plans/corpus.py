@@ -388,7 +388,7 @@ def index_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _posts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "posts").select("post_row", F.col("post_row").cast("string").alias("post"), "author_name", "published_at", "tags", "body")
+    return table(spark, d, "posts").select("post_row", F.col("post_row").cast("string").alias("post"), "author_name", "published_at", "tags", "title", "category", "body")
 
 
 _KEYWORDS = _FOLDED.replace("doc_id", "post_row").replace("FROM documents", "FROM posts").replace("(text", "(body").replace("lower(text)", "lower(body)")
@@ -430,66 +430,73 @@ def next_event_edges(spark: SparkSession, d: str) -> DataFrame:
     return graph.next_edges(events, "event", ["ts", "event_id"], within="user_id").select("src", "dst", "relation")
 
 
-_TAG_EDGES = """
-held AS (SELECT post_row, unnest(tags) AS tag, generate_subscripts(tags, 1) AS k FROM posts),
-sized AS (SELECT *, count(*) OVER (PARTITION BY tag) AS n FROM held WHERE tag IS NOT NULL),
-tagged AS (
-  SELECT DISTINCT CAST(a.post_row AS VARCHAR) AS src, CAST(b.post_row AS VARCHAR) AS dst, 'shares_tag' AS relation FROM sized a JOIN sized b ON a.tag = b.tag AND (a.post_row, a.k) < (b.post_row, b.k) WHERE a.n <= 64
-  UNION SELECT DISTINCT CAST(post_row AS VARCHAR), tag, 'has_tag' FROM sized WHERE n > 64)
-"""
+_TAG_EDGES = "SELECT DISTINCT CAST(post_row AS VARCHAR) AS src, 'tag:' || tag AS dst, 'has_tag' AS relation FROM (SELECT post_row, unnest(tags) AS tag FROM posts) WHERE tag IS NOT NULL"
 
 
-@query("WITH" + _TAG_EDGES + "SELECT * FROM tagged")
-def shared_tag_edges(spark: SparkSession, d: str) -> DataFrame:
-    return graph.tag_edges(_posts(spark, d), "post", "tags", "post_row")
+@query(_TAG_EDGES)
+def tag_edges(spark: SparkSession, d: str) -> DataFrame:
+    return graph.tag_edges(_posts(spark, d), "post", "tags")
 
 
-_EVERY = _KEYWORDS.rstrip() + "," + _TAG_EDGES.rstrip() + f""",
-every AS (SELECT * FROM tagged UNION ALL {_KW_EDGES} UNION ALL {_NEXT} UNION ALL {_AUTHORS}),
-edges AS (SELECT src, dst, relation FROM (SELECT *, CASE relation WHEN 'wrote' THEN 3 WHEN 'next_post' THEN 2 WHEN 'contains_keyword' THEN 1 WHEN 'shares_tag' THEN 0 ELSE -1 END AS p FROM every) QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY p DESC, relation DESC) = 1)
+# all pairs of posts that share a tag, written out
+_PAIRS = """
+held AS (SELECT post_row, unnest(tags) AS tag, generate_subscripts(tags, 1) AS k FROM posts),
+linked AS (SELECT DISTINCT a.tag, a.post_row AS p, b.post_row AS q FROM held a JOIN held b ON a.tag = b.tag AND (a.post_row, a.k) < (b.post_row, b.k)),
+shared AS (SELECT DISTINCT CAST(p AS VARCHAR) AS src, CAST(q AS VARCHAR) AS dst, 'shares_tag' AS relation FROM linked)
 """
 
 
-def _other_edges(spark: SparkSession, d: str) -> DataFrame:
-    return keyword_edges(spark, d).unionByName(next_post_edges(spark, d)).unionByName(author_edges(spark, d))
+@query("WITH" + _PAIRS + ", links AS (SELECT tag, count(*) AS n FROM linked GROUP BY 1), sizes AS (SELECT tag, count(DISTINCT post_row) AS n_posts FROM held WHERE tag IS NOT NULL GROUP BY 1) SELECT 'tag:' || tag AS id, tag, n_posts, coalesce(n, 0) AS n_links FROM sizes LEFT JOIN links USING (tag)")
+def tag_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each tag with its posts and the links among them that it stands for."""
+    return graph.tag_classes(_posts(spark, d), "post", "tags")
 
 
-def _edges(spark: SparkSession, d: str) -> DataFrame:
-    return graph.collapse(shared_tag_edges(spark, d).unionByName(_other_edges(spark, d)))
+_COLLAPSED = """SELECT src, dst, relation FROM (SELECT *, CASE relation WHEN 'wrote' THEN 4 WHEN 'next_post' THEN 3 WHEN 'contains_keyword' THEN 2 WHEN 'shares_tag' THEN 1 ELSE 0 END AS p FROM every) QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY p DESC, relation DESC) = 1"""
+_OTHERS = f"{_KW_EDGES} UNION ALL {_NEXT} UNION ALL {_AUTHORS}"
+_EDGES = _KEYWORDS.rstrip() + f", every AS ({_TAG_EDGES} UNION ALL {_OTHERS}), edges AS ({_COLLAPSED})"
+# the graph in which every link by a tag is an edge
+_FULL = _KEYWORDS.rstrip() + "," + _PAIRS.rstrip() + f", every AS (SELECT * FROM shared UNION ALL {_OTHERS}), edges AS ({_COLLAPSED})"
+_IDS = f"""ids AS (
+  SELECT CAST(post_row AS VARCHAR) AS id, 'post' AS type, 3 AS r FROM posts UNION ALL SELECT dst, 'keyword', 2 FROM ({_KW_EDGES}) UNION ALL SELECT src, 'author', 1 FROM ({_AUTHORS})
+  UNION ALL SELECT dst, 'tag', 0 FROM ({_TAG_EDGES})), typed AS (SELECT id, arg_max(type, r) AS type FROM ids GROUP BY 1)"""
 
 
-@query(_EVERY + "SELECT * FROM edges")
-def graph_edges(spark: SparkSession, d: str) -> DataFrame:
-    return _edges(spark, d)
+def _other_edges(spark: SparkSession, d: str) -> DataFrame:
+    return keyword_edges(spark, d).unionByName(next_post_edges(spark, d)).unionByName(author_edges(spark, d))
 
 
-@query(_EVERY.replace("SELECT * FROM tagged", "SELECT src, CASE relation WHEN 'has_tag' THEN 'tag:' || dst ELSE dst END AS dst, relation FROM tagged") + "SELECT * FROM edges")
-def graph_edges_tagged(spark: SparkSession, d: str) -> DataFrame:
-    """As ``graph_edges``, but a large tag has an id of its own, so no keyword of the same name overwrites its edges."""
-    return graph.collapse(graph.member_edges(shared_tag_edges(spark, d)).unionByName(_other_edges(spark, d)))
+@query(_EDGES + " SELECT * FROM edges")
+def graph_edges(spark: SparkSession, d: str) -> DataFrame:
+    return graph.collapse(tag_edges(spark, d).unionByName(_other_edges(spark, d)))
 
 
-@query(
-    _KEYWORDS.rstrip()
-    + f""", ids AS (SELECT CAST(post_row AS VARCHAR) AS id, 'post' AS type, 2 AS r FROM posts UNION ALL SELECT dst, 'keyword', 1 FROM ({_KW_EDGES}) UNION ALL SELECT src, 'author', 0 FROM ({_AUTHORS}))
-SELECT id, arg_max(type, r) AS type FROM ids GROUP BY 1"""
-)
+@query(_KEYWORDS.rstrip() + f", {_IDS} SELECT t.*, title, author_name AS author, published_at, category, tags FROM typed t LEFT JOIN posts p ON CAST(p.post_row AS VARCHAR) = t.id")
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return graph.nodes(_posts(spark, d).select("post"), keyword_edges(spark, d).select("dst"), author_edges(spark, d).select("src"))
+    posts = _posts(spark, d).select(F.col("post").alias("id"), "title", F.col("author_name").alias("author"), "published_at", "category", "tags")
+    return graph.nodes(posts, keyword_edges(spark, d).select("dst"), author_edges(spark, d).select("src"), tag_edges(spark, d).select("dst"))
 
 
-_DEGREES = "SELECT id, CAST(sum(i) AS BIGINT) AS n_in, CAST(sum(o) AS BIGINT) AS n_out, count(*) AS degree FROM (SELECT src AS id, 0 AS i, 1 AS o FROM edges UNION ALL SELECT dst, 1, 0 FROM edges) GROUP BY 1"
+@query(_EDGES + f", {_IDS} SELECT 'node' AS part, type AS kind, count(*) AS n FROM typed GROUP BY 2 UNION ALL SELECT 'edge', relation, count(*) FROM edges GROUP BY 2")
+def graph_counts(spark: SparkSession, d: str) -> DataFrame:
+    return graph.graph_counts(graph_nodes(spark, d), graph_edges(spark, d))
 
 
-@query(_EVERY + _DEGREES)
-def node_degrees(spark: SparkSession, d: str) -> DataFrame:
-    return graph.degrees(_edges(spark, d))
+@query(_EDGES + f", {_IDS} SELECT count(*) AS n FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges) e ANTI JOIN typed USING (id)")
+def dangling_ends(spark: SparkSession, d: str) -> DataFrame:
+    """How many ends of edges are no node: none."""
+    return graph.dangling(graph_edges(spark, d), graph_nodes(spark, d)).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(_EVERY.replace("WHERE a.n <= 64", "").replace("UNION SELECT DISTINCT CAST(post_row AS VARCHAR), tag, 'has_tag' FROM sized WHERE n > 64", "") + _DEGREES)
-def node_degrees_exact(spark: SparkSession, d: str) -> DataFrame:
-    """As ``node_degrees``, of the graph that has the pairs of every tag, whatever its size."""
-    return graph.exact_degrees(_posts(spark, d), "post", "tags", "post_row", _other_edges(spark, d))
+@query(
+    _FULL
+    + f""", {_IDS}, ends AS (SELECT src AS id, 0 AS i, 1 AS o FROM edges UNION ALL SELECT dst, 1, 0 FROM edges), tallied AS (SELECT id, sum(i) AS n_in, sum(o) AS n_out FROM ends GROUP BY 1)
+SELECT id, CAST(coalesce(n_in, 0) AS BIGINT) AS n_in, CAST(coalesce(n_out, 0) AS BIGINT) AS n_out, CAST(coalesce(n_in + n_out, 0) AS BIGINT) AS degree FROM typed LEFT JOIN tallied USING (id) WHERE type <> 'tag'"""
+)
+def node_degrees(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of every post, keyword and author in the graph that has the links of every tag, whatever its size."""
+    degrees = graph.exact_degrees(_posts(spark, d), "post", "tags", "post_row", _other_edges(spark, d))
+    return graph.with_isolated(degrees, graph_nodes(spark, d).where(F.col("type") != "tag"))
 
 
 # Settings of the example: documents with keywords, and rules from words to documents.

@@ -297,25 +297,46 @@ def test_graph_as_a_dict_has_it(spark):
             edges[(p[3], p[0])] = "wrote"
     df = spark.createDataFrame(posts, "post string, at int, tags array<string>, author string")
     kw = spark.createDataFrame(words, "post string, keyword string")
-    every = graph.tag_edges(df, "post", "tags", "at", pairs_up_to=1000).unionByName(graph.keyword_edges(kw, "post")).unionByName(graph.next_edges(df, "post", ["at"])).unionByName(graph.author_edges(df, "post", "author"))
-    assert {(e["src"], e["dst"]): e["relation"] for e in graph.collapse(every).collect()} == edges
-    types = {n["id"]: n["type"] for n in graph.nodes(df.select("post"), kw.select("keyword"), df.where("author <> ''").select("author")).collect()}
-    assert types["kw1"] == "keyword" and types["0"] == "post" and types["ann"] == "author"
-
-
-def test_large_tags_lose_no_link(spark):
-    posts = spark.range(30).select(F.col("id").cast("string").alias("post"), "id", F.when(F.col("id") < 20, F.array(F.lit("hot"))).otherwise(F.array(F.lit("cold"), F.lit(None))).alias("tags"))
-    edges = graph.tag_edges(posts, "post", "tags", "id", pairs_up_to=10)
-    assert rows(edges.groupBy("relation").count()) == {("has_tag", 20): 1, ("shares_tag", 45): 1}
-
-
-def test_a_keyword_of_the_same_name_leaves_the_tag(spark):
-    posts = spark.range(30).select(F.col("id").cast("string").alias("post"), "id", F.array(F.lit("hot")).alias("tags"))
-    kw = spark.createDataFrame([("3", "hot")], "post string, keyword string")
-    every = graph.member_edges(graph.tag_edges(posts, "post", "tags", "id", pairs_up_to=10)).unionByName(graph.keyword_edges(kw, "post"))
-    got = rows(graph.collapse(every))
-    assert {r for r in got if r[2] == "has_tag"} == {(str(i), "tag:hot", "has_tag") for i in range(30)}
-    assert {r for r in got if r[2] != "has_tag"} == {("3", "hot", "contains_keyword")}
+    others = graph.keyword_edges(kw, "post").unionByName(graph.next_edges(df, "post", ["at"])).unionByName(graph.author_edges(df, "post", "author"))
+    assert {(e["src"], e["dst"]): e["relation"] for e in graph.collapse(_pair_edges(spark, posts).unionByName(others)).collect()} == edges
+    tagged = graph.tag_edges(df, "post", "tags")
+    assert {(e["src"], e["dst"]) for e in tagged.collect()} == {(p[0], f"tag:{t}") for p in posts for t in p[2]}
+    named = df.select(F.col("post").alias("id"), F.lit("t").alias("title"), "author", F.lit(None).cast("string").alias("published_at"), F.lit("c").alias("category"), "tags")
+    nodes = graph.nodes(named, kw.select("keyword"), df.where("author <> ''").select("author"), tagged.select("dst"))
+    types = {n["id"]: n["type"] for n in nodes.collect()}
+    assert types["kw1"] == "keyword" and types["0"] == "post" and types["ann"] == "author" and types["tag:a"] == "tag"
+    assert [(n["title"], n["tags"]) for n in nodes.where("id in ('3', 'ann')").orderBy("id").collect()] == [("t", posts[3][2]), (None, None)]
+    assert graph.dangling(graph.collapse(tagged.unionByName(others)), nodes).count() == 0
+    assert {r["id"] for r in graph.dangling(tagged, nodes.where("type <> 'tag'")).collect()} == {f"tag:{t}" for t in by_tag}
+    assert rows(graph.graph_counts(nodes.limit(0), others.limit(0))) == {}
+
+
+def _pair_edges(spark, posts):
+    """Every link by a tag of posts ``(post, at, tags, ...)`` in order, written out."""
+    held = [(p[1], k, p[0], t) for p in posts for k, t in enumerate(p[2] or []) if t is not None]
+    pairs = {(a[2], b[2], "shares_tag") for a in held for b in held if a[3] == b[3] and a[:2] < b[:2]}
+    return spark.createDataFrame(sorted(pairs), "src string, dst string, relation string")
+
+
+def test_classes_stand_for_all_links(spark):
+    r = random.Random(9)
+    posts = [(str(i), i, r.choice([None, [], [r.choice(["hot", "hot", "a", "b", None, ""]) for _ in range(r.randrange(5))]])) for i in range(60)]
+    df = spark.createDataFrame(posts, "post string, at int, tags array<string>").withColumn("tag", F.lit("clash"))
+    held = [(p[1], k, t) for p in posts for k, t in enumerate(p[2] or []) if t is not None]
+    want = {t: (len({a[0] for a in held if a[2] == t}), len({(a[0], b[0]) for a in held for b in held if a[2] == b[2] == t and a[:2] < b[:2]})) for _, _, t in held}
+    assert {x["tag"]: (x["n_posts"], x["n_links"]) for x in graph.tag_classes(df, "post", "tags").collect()} == want
+    assert graph.tag_classes(df.limit(0), "post", "tags").count() == 0 and graph.tag_edges(df.limit(0), "post", "tags").count() == 0
+
+
+def test_next_within_a_value(spark):
+    r = random.Random(6)
+    data = [(str(i), r.choice(["x", "x", "x", "y", None]), r.randrange(9)) for i in range(80)]
+    df = spark.createDataFrame(data, "post string, by string, at int")
+    want = set()
+    for value in ("x", "y", None):
+        own = sorted((at, p) for p, by, at in data if by == value)
+        want |= {(a[1], b[1]) for a, b in zip(own, own[1:])}
+    assert {(e["src"], e["dst"]) for e in graph.next_edges(df, "post", ["at"], within="by").collect()} == want
 
 
 def test_exact_degrees_as_brute_force_has_them(spark):
@@ -323,7 +344,7 @@ def test_exact_degrees_as_brute_force_has_them(spark):
     posts = [(str(i), i, r.choice([None, [], [r.choice(["hot", "hot", None, "a", "b", "c", "d", "e", f"own{i}"]) for _ in range(r.randrange(9))]])) for i in range(120)]
     df = spark.createDataFrame(posts, "post string, at int, tags array<string>")
     others = spark.createDataFrame([(str(i), str(i + 1), "next_post") for i in range(119)] + [("3", "3", "contains_keyword"), ("4", "hot", "contains_keyword"), ("ann", "5", "wrote")], "src string, dst string, relation string")
-    every = graph.tag_edges(df, "post", "tags", "at", pairs_up_to=10_000).unionByName(others)
+    every = _pair_edges(spark, posts).unionByName(others)
     want = rows(graph.degrees(graph.collapse(every)))
     for most in (12, 2, 0):
         assert rows(graph.exact_degrees(df, "post", "tags", "at", others, subsets_up_to=most).select("id", "n_in", "n_out", "degree")) == want

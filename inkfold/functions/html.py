@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from inkfold.functions.text import absolute_url, collapse, strip, url_id
 
+# How pages mark an article's title, time, content and its end; fixed values.
+TITLE = r'<h2[^>]+class="titName[^"]*"[^>]*>([^<]+)</h2>'
+DATE = r'class="time[^"]*">\(([^<]+)\)</span>'
+CONTENT = r'(?s)<div[^>]+class="articalContent[^"]*"[^>]*>(.*?)<!-- 正文结束 -->'
+
 
 def plain(html: Column) -> Column:
     """Text of HTML: tags out, ``&nbsp; &lt; &gt;`` decoded, numeric entities out, ``&amp;`` kept, white space collapsed."""
@@ -34,10 +39,10 @@ def article_links(html: Column, host: str, *, min_title: int = 3) -> Column:
     return F.filter(good, lambda x, i: F.array_position(ids, x["id"]) == i + 1)
 
 
-def images(html: Column, *, only_host: str | None = None) -> Column:
-    """Sources of all images that have one, of ``only_host`` where it is given."""
+def images(html: Column, *, without_host: str | None = None) -> Column:
+    """Sources of all images that have one, without those on ``without_host`` where it is given."""
     whole = F.regexp_extract_all(html, F.lit(r'(?i)<img[^>]+src="([^"]+)"'), F.lit(1))
-    return F.filter(whole, lambda x: x.contains(only_host)) if only_host else whole
+    return F.filter(whole, lambda x: ~x.contains(without_host)) if without_host else whole
 
 
 def stated_time(html: Column) -> Column:
@@ -45,10 +50,10 @@ def stated_time(html: Column) -> Column:
     return F.regexp_extract(html, r"\((\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\)", 1)
 
 
-def script_tags(html: Column, *, drop_blank: bool = True) -> Column:
-    """Tags from ``var $tag='a,b'``, split at either comma, trimmed."""
+def script_tags(html: Column, *, drop_blank: bool = True, commas: str = ",，") -> Column:
+    """Tags from ``var $tag='a,b'``, split at any of ``commas``, trimmed."""
     raw = F.regexp_extract(html, r"var \$tag='([^']+)'", 1)
-    tags = F.transform(F.split(raw, "[,，]"), strip)
+    tags = F.transform(F.split(raw, f"[{commas}]"), strip)
     return F.filter(tags, lambda t: t != "") if drop_blank else F.when(raw != "", tags).otherwise(F.array().cast("array<string>"))
 
 
@@ -63,10 +68,25 @@ def matching_lines(html: Column, pattern: str) -> Column:
     return F.size(F.filter(F.split(html, "\n"), lambda line: line.rlike(pattern)))
 
 
+def article_content(html: Column) -> Column:
+    """What an article's page has between the opening of its content and the mark of its end, as plain text; '' without both.
+
+    Elements within the content may be nested to any depth.
+    """
+    return plain(F.regexp_extract(html, CONTENT, 1))
+
+
 def article(html: Column, url: Column) -> Column:
     """``struct<id, title, url, date, tags, content, images>`` of an article page."""
-    inner = F.regexp_extract(html, r'(?s)<div[^>]+class="(?:articalContent|article)[^"]*"[^>]*>(.*?)(?:<!-- 正文结束 -->|</div>)', 1)
-    return F.struct(url_id(url).alias("id"), title(html).alias("title"), url.alias("url"), stated_time(html).alias("date"), script_tags(html).alias("tags"), plain(inner).alias("content"), images(html).alias("images"))
+    return F.struct(
+        url_id(url).alias("id"),
+        strip(F.regexp_extract(html, TITLE, 1)).alias("title"),
+        url.alias("url"),
+        strip(F.regexp_extract(html, DATE, 1)).alias("date"),
+        script_tags(html, drop_blank=False, commas=",").alias("tags"),
+        article_content(html).alias("content"),
+        images(html).alias("images"),
+    )
 
 
 def noisy_json(text: Column, schema: str) -> Column:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkfold.functions.text import collapse, let, without_controls
-from inkfold.operators.ranks import global_rank
+from inkfold.functions.text import collapse, let, strip, without_controls
+from inkfold.operators.ranks import global_rank, running_before
 
 ENTRY = "array<struct<title: string, summary: string, tags: array<string>, related: array<string>, content: string, body: string>>"
 
@@ -19,14 +19,12 @@ ENTRY = "array<struct<title: string, summary: string, tags: array<string>, relat
 def batches(df: DataFrame, order: list[str], size: int, *, within: str | None = None) -> DataFrame:
     """``df`` with ``batch_id`` and ``idx`` (from 1): consecutive rows in ``order``, ``size`` to a batch.
 
-    With ``within``, batches are numbered per value of that column; else the table is numbered by range partitions.
+    With ``within``, batches are numbered per value of that column. Either way rows are numbered by range partitions,
+    which writes ``df`` once: give it the keys only and join wide columns to the result.
     """
-    if within is not None:
-        at = F.row_number().over(Window.partitionBy(within).orderBy(*order)) - 1
-        numbered = df.withColumn("__n", at.cast("bigint"))
-    else:
-        numbered = global_rank(df, order, "__n")
-    return numbered.withColumn("batch_id", F.floor(F.col("__n") / size).cast("bigint")).withColumn("idx", (F.pmod("__n", F.lit(size)) + 1).cast("int")).drop("__n")
+    numbered = global_rank(df, order, "__n") if within is None else running_before(df, [within], order, F.lit(1), "__n")
+    batch_id = F.floor(F.col("__n") / size).cast("bigint")
+    return numbered.select(*df.columns, batch_id.alias("batch_id"), (F.pmod("__n", F.lit(size)) + 1).cast("int").alias("idx"))
 
 
 def prompt_of(batch: DataFrame, title: str, text: str, *, intro: str, limit: int = 2500) -> DataFrame:
@@ -85,33 +83,52 @@ def match_titles(entry_rows: DataFrame, batch: DataFrame) -> DataFrame:
     return entry_rows.join(own, "batch_id", "left").withColumn("idx", F.try_element_at(hit, F.lit(1))["idx"]).drop("__own")
 
 
-def map_batches(batch: DataFrame, fn: Callable[[list[dict]], str], *, attempts: int = 3) -> DataFrame:
-    """``batch_id, reply``: ``fn`` gets the records of each batch in order; an error is tried again, then gives a null reply."""
+def _tried(fn: Callable, attempts: int, wait: float) -> Callable:
+    """``fn`` with an error tried again after ``wait`` seconds, twice as long each time, and then null."""
 
-    def reply(records: list[dict]) -> str | None:
-        for _ in range(attempts):
+    def call(given):
+        for n in range(attempts):
             try:
-                return fn(records)
-            except Exception:  # noqa: BLE001, S112  the function is foreign; its failure is a null reply
-                continue
+                return fn(given)
+            except Exception:  # noqa: BLE001  the function is foreign; its failure is a null reply
+                if wait and n + 1 < attempts:
+                    time.sleep(wait * 2**n)
         return None
 
+    return call
+
+
+def map_batches(batch: DataFrame, fn: Callable[[list[dict]], str], *, attempts: int = 3, wait: float = 0.0, at_once: int | None = None) -> DataFrame:
+    """``batch_id, reply``: ``fn`` gets the records of each batch in order; an error is tried again, then gives a null reply.
+
+    ``wait`` is the time before the second try in seconds, doubled for each more. ``at_once`` bounds the calls at one
+    time: there are so many tasks, and a task makes one call after the other.
+    """
+    reply = _tried(fn, attempts, wait)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for part in parts for row in part.to_pylist())
         for key, records in groupby(rows, key=lambda r: r["batch_id"]):
             yield pa.RecordBatch.from_pydict({"batch_id": pa.array([key], pa.int64()), "reply": pa.array([reply(list(records))], pa.string())})
 
-    return batch.repartition("batch_id").sortWithinPartitions("batch_id", "idx").mapInArrow(run, "batch_id bigint, reply string")
+    spread = batch.repartition("batch_id") if at_once is None else batch.repartition(at_once, "batch_id")
+    return spread.sortWithinPartitions("batch_id", "idx").mapInArrow(run, "batch_id bigint, reply string")
 
 
-def map_records(df: DataFrame, fn: Callable[[str], str], key: str, text: str) -> DataFrame:
-    """``key, reply``: ``fn`` of one text at a time, without a shuffle."""
+def map_records(df: DataFrame, fn: Callable[[str], str], key: str, text: str, *, attempts: int = 3, wait: float = 0.0, at_once: int | None = None) -> DataFrame:
+    """``key, reply``: ``fn`` of one text at a time, tried as in ``map_batches``; a null text has a null reply.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"key": f["key"], "reply": [None if t is None else fn(t) for t in f["text"]]})
+    No shuffle, unless ``at_once`` asks for so many tasks. ``fn`` takes one text, so rows are looped over.
+    """
+    reply = _tried(fn, attempts, wait)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            replies = [None if t is None else reply(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(replies, pa.string())], names=["key", "reply"])
 
-    return df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInPandas(run, "key string, reply string").withColumnRenamed("key", key)
+    rows = df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    return (rows if at_once is None else rows.repartition(at_once)).mapInArrow(run, "key string, reply string").withColumnRenamed("key", key)
 
 
 def attach(results: DataFrame, batch: DataFrame, keep: list[str]) -> DataFrame:
@@ -120,22 +137,26 @@ def attach(results: DataFrame, batch: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def numbered_names(df: DataFrame, slug: str, order: list[str], *, pattern: str = "%s_%d") -> DataFrame:
-    """``df`` with ``file_name``: the slug, for the second and later rows of a slug with a number."""
-    at = F.row_number().over(Window.partitionBy(slug).orderBy(*order)) - 1
+    """``df`` with ``file_name``: the slug, for the second and later rows of a slug with a number in ``pattern``."""
+    at = F.col("__n")
     name = F.when(at == 0, F.col(slug)).otherwise(F.format_string(pattern, F.col(slug), at))
-    return df.withColumn("file_name", F.concat(name, F.lit(".md")))
+    return running_before(df, [slug], order, F.lit(1), "__n").select(*df.columns, F.concat(name, F.lit(".md")).alias("file_name"))
 
 
 def within_budget(df: DataFrame, by: str, order: list[str], size: str, budget: int) -> DataFrame:
     """Rows of each ``by`` in ``order`` as long as what came before stays within ``budget``."""
-    before = F.coalesce(F.sum(size).over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("__before", before).where(F.col("__before") <= budget).drop("__before")
-
-
-def reply_text(reply: Column) -> Column:
-    """Texts of all blocks of type ``text`` of a reply ``{"content": [{"type", "text"}]}``, joined by line feeds."""
-    blocks = F.from_json(reply, "struct<content: array<struct<type: string, text: string>>>")["content"]
-    return F.array_join(F.transform(F.filter(blocks, lambda b: b["type"] == "text"), lambda b: b["text"]), "\n")
+    return running_before(df, [by], order, F.col(size), "__before").where(F.col("__before") <= budget).drop("__before")
+
+
+def reply_text(reply: Column, which: str = "all") -> Column:
+    """Text of a reply ``{"content": [{"type", "text"}]}``: of its blocks of type ``text`` ``all`` joined by line feeds,
+    the ``first``, or the first that is ``filled``, without white space at its ends; '' where there is none."""
+    blocks = F.filter(F.from_json(reply, "struct<content: array<struct<type: string, text: string>>>")["content"], lambda b: b["type"] == "text")
+    texts = F.transform(blocks, lambda b: F.coalesce(b["text"], F.lit("")))
+    if which == "all":
+        return F.array_join(texts, "\n")
+    found = texts if which == "first" else F.filter(F.transform(texts, strip), lambda t: t != "")
+    return F.when(reply.isNotNull(), F.coalesce(F.get(found, F.lit(0)), F.lit("")))
 
 
 def normal_title(title: Column) -> Column:

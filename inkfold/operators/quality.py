@@ -63,6 +63,30 @@ def counts_of(df: DataFrame, label: str, labels: tuple[str, ...]) -> DataFrame:
     return df.agg(total.alias("total_files"), *(F.count_if(F.col(label) == x).alias(f"{x}_count") for x in labels), percent(valid, total).alias("quality_percent"), F.when(valid == total, "ok").otherwise("degraded").alias("status"))
 
 
+def integrity_counts(df: DataFrame, issue: str) -> DataFrame:
+    """One row: files, those without and with an issue, the share without in percent, a status."""
+    total, bad = F.count(F.lit(1)), F.count_if(F.col(issue).isNotNull())
+    return df.agg(
+        total.alias("total_files"),
+        (total - bad).alias("valid_count"),
+        bad.alias("corrupted_count"),
+        percent(total - bad, total).alias("integrity_percent"),
+        F.when(bad == 0, "ok").otherwise("corrupted").alias("status"),
+    )
+
+
+def full_report(quantity: DataFrame, content: DataFrame, integrity: DataFrame) -> DataFrame:
+    """One row: the three reports as structs, whether all are ok, and what to do.
+
+    ``quantity`` is a row of ``reconcile``, ``content`` of ``counts_of``, ``integrity`` of ``integrity_counts``.
+    """
+    whole = lambda df, name: df.select(F.struct(*df.columns).alias(name))
+    parts = whole(quantity, "quantity").join(whole(content, "content_quality")).join(whole(integrity, "file_integrity"))  # one row each
+    ok = (F.col("quantity.status") == "ok") & (F.col("content_quality.status") == "ok") & (F.col("file_integrity.status") == "ok")
+    todo = advice(*map(F.col, ("quantity.n_missing", "quantity.n_extra", "quantity.completeness_percent", "content_quality.short_content_count", "content_quality.missing_title_count", "file_integrity.corrupted_count")))
+    return parts.select("*", F.when(ok, "ok").otherwise("issues_found").alias("overall_status"), todo.alias("recommendations"))
+
+
 def length_stats(df: DataFrame, length: str) -> DataFrame:
     """One row: floor of the mean, least and most of the lengths above 0; 0 where there are none."""
     some = df.where(F.col(length) > 0)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkfold.functions.text import round1
 from inkfold.operators.quality import band, completeness
 
 
@@ -49,7 +52,7 @@ def count_check(got: DataFrame, wanted: DataFrame) -> DataFrame:
     """One row: rows of both tables, difference, completeness to one decimal, band and status."""
     both = got.agg(F.count(F.lit(1)).alias("n_got")).join(wanted.agg(F.count(F.lit(1)).alias("n_wanted")))  # one row each
     share = completeness(F.col("n_got"), F.col("n_wanted"))
-    return both.select("n_got", "n_wanted", F.abs(F.col("n_got") - F.col("n_wanted")).alias("difference"), F.round(share, 6).alias("completeness_percent"), band(share).alias("band"), F.when(share >= 99, "ok").otherwise("incomplete").alias("status"))
+    return both.select("n_got", "n_wanted", F.abs(F.col("n_got") - F.col("n_wanted")).alias("difference"), round1(share).alias("completeness_percent"), band(share).alias("band"), F.when(share >= 99, "ok").otherwise("incomplete").alias("status"))
 
 
 def merge_new(known: DataFrame, found: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -70,16 +73,25 @@ def estimated_total(pages: DataFrame, *, page_size: int = 50) -> DataFrame:
     return last.select("last_page", "last_count", ((F.col("last_page") - 1) * page_size + F.col("last_count")).alias("estimated_total"))
 
 
+def page_counts(rows: DataFrame, by: list[str], *, page_size: int = 50) -> DataFrame:
+    """``by, page, n``: the pages that the rows of each ``by`` fill, from 1; rows are counted, not numbered."""
+    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    paged = counts.select(*by, "__n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("__n") / page_size))).alias("page"))
+    return paged.select(*by, "page", F.least(F.lit(page_size).cast("bigint"), F.col("__n") - (F.col("page") - 1) * page_size).alias("n"))
+
+
 def stop_page(pages: DataFrame, by: list[str], *, empties: int = 3) -> DataFrame:
     """Per ``by``: the last page that a reader sees who stops after ``empties`` empty pages in a row.
 
-    Pages that are not there count as empty; the first page is 1.
+    Pages that are not there count as empty; the first page is 1. A page is beyond a gap if none of the ``empties``
+    pages before it has posts; the reader stops before the first such. A null ``by`` has no
+    row. All steps combine before they shuffle.
     """
-    some = pages.where(F.col("n") > 0).select(*by, F.col("page").cast("bigint").alias("page"))
-    order = Window.partitionBy(*by).orderBy("page")
-    gap = F.col("page") - F.lag("page", 1, 0).over(order)
-    broken = F.max((gap > empties).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return some.withColumn("__broken", broken).where(F.col("__broken") == 0).groupBy(*by).agg(F.max("page").alias("last_page"))
+    some = pages.where(F.col("n") > 0).select(*by, F.col("page").cast("bigint").alias("page")).distinct()
+    reached = some.select(*by, F.explode(F.sequence(F.col("page") + 1, F.col("page") + empties)).alias("page")).distinct()
+    beyond = some.where(F.col("page") > empties).join(reached, [*by, "page"], "left_anti").groupBy(*by).agg(F.min("page").alias("__gap"))
+    kept = some.join(beyond, by, "left").where(F.col("__gap").isNull() | (F.col("page") < F.col("__gap")))
+    return kept.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in by])).groupBy(*by).agg(F.max("page").alias("last_page"))
 
 
 def first_open(batches: DataFrame, done: DataFrame, key: str, position: str) -> DataFrame:

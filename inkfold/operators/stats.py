@@ -32,6 +32,20 @@ def latest(counts: DataFrame, key: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc(key)).limit(n)
 
 
+def last_in_order(counts: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the last keys, in order of the key."""
+    return latest(counts, key, n).orderBy(key)
+
+
+def tag_maps(counts: DataFrame, *, top: int = 20, most: int = 50) -> DataFrame:
+    """One row from ``item, n, first_at``: distinct items, the ``top`` as a list and the ``most`` frequent as a map; ties by first place."""
+    total = counts.agg(F.count(F.lit(1)).alias("total_tags"))
+    first = counts.orderBy(F.desc("n"), "first_at").limit(most)
+    pair = F.struct((-F.col("n")).alias("k"), "first_at", F.struct("item", "n").alias("p"))
+    listed = first.agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["p"]).alias("__all"))  # at most ``most``
+    return total.join(listed).select("total_tags", F.slice("__all", 1, top).alias("top_tags"), F.map_from_entries("__all").alias("tags_distribution"))  # one row each
+
+
 def list_counts(df: DataFrame, items: str, order: list[str], *, top: int | None = None, name: str = "item") -> DataFrame:
     """``item, n, first_at``: occurrences in an array column and where an item is first seen; equal counts go by that.
 

@@ -7,25 +7,14 @@ from pyspark.sql import functions as F
 
 from inkfold.functions import frontmatter, html, text
 from inkfold.operators import batching, graph, quality, reconcile, stats
+from inkfold.plans.registry import Registry
 from inkfold.plans.training import _WS, _strip
 from inkfold.session import new_path, widened
-from inkfold.sinks.documents import collector_documents, index_documents, post_documents
+from inkfold.sinks.documents import collector_documents, index_lines, post_documents
 from inkfold.sources.tables import table
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its name with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
+query = Registry()
+QUERIES, ORACLE = query.queries, query.oracle
 
 
 # Dates, tags, lengths
@@ -204,12 +193,22 @@ def matched_posts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""WITH l AS (SELECT DISTINCT source_url u FROM post_index WHERE source_url IS NOT NULL), s AS (SELECT DISTINCT source_url u FROM posts WHERE source_url IS NOT NULL),
 n AS (SELECT (SELECT count(*) FROM l) AS n_listed, (SELECT count(*) FROM s) AS n_stored, (SELECT count(*) FROM l JOIN s USING (u)) AS n_matched)
-SELECT *, n_listed - n_matched AS n_missing, n_stored - n_matched AS n_extra, n_matched * 100.0::DOUBLE / n_listed AS completeness_percent, CASE WHEN n_listed = n_matched THEN 'ok' ELSE 'incomplete' END AS status FROM n""")
+SELECT *, n_listed - n_matched AS n_missing, n_stored - n_matched AS n_extra, n_matched * 100.0::DOUBLE / n_listed AS completeness_percent, CASE WHEN n_listed = n_matched THEN 'ok' ELSE 'incomplete' END AS status,
+(SELECT list_slice(list_sort(list(u)), 1, 50) FROM l ANTI JOIN s USING (u)) AS missing, (SELECT list_slice(list_sort(list(u)), 1, 50) FROM s ANTI JOIN l USING (u)) AS extra FROM n""")
 def reconcile_report(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile.reconcile(*_urls(spark, d), "source_url").drop("missing", "extra")
+    return reconcile.reconcile(*_urls(spark, d), "source_url")
 
 
-@query("""SELECT n_got, n_wanted, abs(n_got - n_wanted) AS difference, round(c, 6) AS completeness_percent, CASE WHEN c >= 100 THEN 'complete' WHEN c >= 99 THEN 'nearly complete' WHEN c >= 90 THEN 'incomplete' ELSE 'badly incomplete' END AS band, CASE WHEN c >= 99 THEN 'ok' ELSE 'incomplete' END AS status
+def sql_round1(x: str) -> str:
+    """``x`` to one decimal by its exact binary value, ties to even, in whole numbers of 128 bits."""
+    scaled, h = f"({x} * 4503599627370496.0::DOUBLE)", "4503599627370496::HUGEINT"
+    m = f"CAST(floor({scaled}) AS HUGEINT)"
+    t, gap = f"({m} * 10 // {h})", f"CAST({h} - {m} * 10 % {h} * 2 AS DOUBLE)"
+    rest = f"(({scaled} - floor({scaled})) * 20)"
+    return f"(CAST({t} + CASE WHEN {rest} > {gap} THEN 1 WHEN {rest} < {gap} THEN 0 ELSE {t} % 2 END AS BIGINT) / 10.0::DOUBLE)"
+
+
+@query(f"""SELECT n_got, n_wanted, abs(n_got - n_wanted) AS difference, {sql_round1("c")} AS completeness_percent, CASE WHEN c >= 100 THEN 'complete' WHEN c >= 99 THEN 'nearly complete' WHEN c >= 90 THEN 'incomplete' ELSE 'badly incomplete' END AS band, CASE WHEN c >= 99 THEN 'ok' ELSE 'incomplete' END AS status
 FROM (SELECT *, least(n_got, n_wanted) * 100.0::DOUBLE / greatest(n_got, n_wanted) AS c FROM (SELECT (SELECT count(*) FROM posts) AS n_got, (SELECT count(*) FROM post_index) AS n_wanted))""")
 def count_check(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.count_check(table(spark, d, "posts").select("post_row"), table(spark, d, "post_index").select("index_row"))
@@ -249,8 +248,7 @@ _PAGES = "WITH numbered AS (SELECT author_uid, 1 + (row_number() OVER (PARTITION
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    rows = batching.batches(table(spark, d, "post_index").where(F.col("author_uid").isNotNull()).select("author_uid", "index_row"), ["index_row"], 50, within="author_uid")
-    return rows.groupBy("author_uid", (F.col("batch_id") + 1).alias("page")).agg(F.count(F.lit(1)).alias("n"))
+    return reconcile.page_counts(table(spark, d, "post_index").where(F.col("author_uid").isNotNull()), ["author_uid"])
 
 
 @query(_PAGES + " SELECT max(page) AS last_page, arg_max(n, page) AS last_count, (max(page) - 1) * 50 + arg_max(n, page) AS estimated_total FROM (SELECT page, CAST(sum(n) AS BIGINT) AS n FROM pages GROUP BY 1)")
@@ -306,10 +304,14 @@ def numbered_names(spark: SparkSession, d: str) -> DataFrame:
     return batching.numbered_names(table(spark, d, "post_index").select("index_row", F.coalesce("title", F.lit("")).alias("t")), "t", ["index_row"]).select("index_row", "file_name")
 
 
-@query(r"""SELECT post_row, regexp_replace(regexp_replace(body, '#+ ', '', 'g'), '\[([^\]]+)\]\([^)]+\)', '\1', 'g') AS bare, replace(substr(body, 1, 200), chr(10), ' ') AS line, regexp_extract(body, '(?m)^#\s+(.+?)\s*$', 1) AS heading FROM posts WHERE body IS NOT NULL""")
+@query(
+    r"SELECT post_row, regexp_replace(regexp_replace(body, '#+ ', '', 'g'), '\[([^\]]+)\]\([^)]+\)', '\1', 'g') AS bare, "
+    + _strip("replace(substr(body, 1, 200), chr(10), ' ')")
+    + r" AS line, regexp_extract(body, '(?m)^#\s+(.+?)\s*$', 1) AS heading FROM posts WHERE body IS NOT NULL"
+)
 def body_texts(spark: SparkSession, d: str) -> DataFrame:
     body = F.col("body")
-    return table(spark, d, "posts").where(body.isNotNull()).select("post_row", text.without_marks(body).alias("bare"), F.replace(F.substring(body, 1, 200), F.lit("\n"), F.lit(" ")).alias("line"), text.first_heading(body).alias("heading"))
+    return table(spark, d, "posts").where(body.isNotNull()).select("post_row", text.without_marks(body).alias("bare"), text.summary_line(body).alias("line"), text.first_heading(body).alias("heading"))
 
 
 # Front matter
@@ -329,7 +331,22 @@ def front_matter_anchored(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", frontmatter.anchored(F.col("text"))["body"].alias("body"), F.col("text").rlike(r"(?s)\A---\n.*?\n---").alias("has_block"))
 
 
-@query()
+_LIMITED = "SELECT doc_id, text, text LIKE '---%---%' AS has, regexp_extract(text, '(?s)^---(.*?)---', 1) AS block, regexp_replace(text, '(?s)^---.*?---', '') AS rest FROM documents WHERE text IS NOT NULL"
+_BODY = f"CASE WHEN has THEN {_strip('rest')} ELSE {_strip('text')} END"
+
+
+@query(f"SELECT doc_id, {_BODY} AS body, coalesce({_strip("regexp_extract(block, '(?m)^author_uid\s*:(.*)$', 1)")}, '') AS author_uid, substr({_BODY}, 1, 2000) AS start FROM ({_LIMITED}) WHERE has")
+def front_matter_limited(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").where(F.col("text").isNotNull())
+    part = docs.select("doc_id", frontmatter.limited(F.col("text")).alias("p"), (F.col("text").startswith("---") & (F.size(F.split("text", "---", 3)) >= 3)).alias("has")).where("has")
+    return part.select("doc_id", "p.body", F.coalesce(F.try_element_at("p.meta", F.lit("author_uid")), F.lit("")).alias("author_uid"), F.substring("p.body", 1, 2000).alias("start"))
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, nullif(CASE WHEN has THEN {_strip("regexp_extract(block, '(?m)^title\s*:(.*)$', 1)")} ELSE '' END, '') AS stated,
+  nullif(regexp_extract(array_to_string(list_slice(string_split({_BODY}, chr(10)), 1, 10), chr(10)), '(?m)^\s*#+\s+(.+?)\s*$', 1), '') AS heading FROM ({_LIMITED}))
+SELECT doc_id, coalesce(stated, heading, CAST(doc_id AS VARCHAR)) AS title FROM t"""
+)
 def document_titles(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where(F.col("text").isNotNull())
     return docs.select("doc_id", frontmatter.title_of(F.col("text"), F.concat(F.col("doc_id").cast("string"), F.lit(".md"))).alias("title"))
@@ -374,14 +391,37 @@ def collector_files(spark: SparkSession, d: str) -> DataFrame:
     return collector_documents(table(spark, d, "posts"), "post_row")
 
 
-@query()
+_FIELD = "coalesce(CAST({0} AS VARCHAR), '')"
+
+
+def _sql_file(fields: dict[str, str]) -> str:
+    """The text of a stored post as SQL."""
+    lines = " || chr(10) || ".join(f"'{k}: ' || {v}" for k, v in fields.items())
+    return f"'---' || chr(10) || {lines} || chr(10) || '---' || chr(10) || chr(10) || '# ' || coalesce(title, '') || chr(10) || chr(10) || coalesce(body, '') || chr(10)"
+
+
+_POST_FIELDS = {k: f"coalesce(to_json({k})::VARCHAR, '[]')" if k in ("tags", "images") else _FIELD.format(k) for k in frontmatter.POST_KEYS}
+_POST_FILE = _sql_file(_POST_FIELDS)
+
+
+@query(f"SELECT post_row, md5(coalesce(nullif(source_url, ''), id)) || '.md' AS file_name, {_POST_FILE} AS content FROM posts")
 def post_files(spark: SparkSession, d: str) -> DataFrame:
-    return post_documents(table(spark, d, "posts"))
+    return post_documents(table(spark, d, "posts"), keep=("post_row",))
 
 
-@query("SELECT author_uid, count(*) AS total FROM post_index GROUP BY 1")
-def index_totals(spark: SparkSession, d: str) -> DataFrame:
-    return index_documents(table(spark, d, "post_index").select("author_uid", "index_row", "id", "title", "filename"), "author_uid", ["index_row"]).select("author_uid", "total")
+# text of a JSON string
+_QUOTE = "to_json(coalesce({}, ''))::VARCHAR"
+
+
+@query(
+    f"""WITH e AS (SELECT author_uid, row_number() OVER w AS line_no, count(*) OVER (PARTITION BY author_uid) AS total, '{{"index_row":' || index_row || ',"id":' || {_QUOTE.format('id')} || ',"title":' || {_QUOTE.format('title')} || ',"filename":' || {_QUOTE.format('filename')} || '}}' AS entry
+  FROM post_index WINDOW w AS (PARTITION BY author_uid ORDER BY index_row))
+SELECT author_uid, line_no, entry || CASE WHEN line_no < total THEN ',' ELSE '' END AS line FROM e
+UNION ALL SELECT author_uid, 0, '{{"total": ' || count(*) || ', "posts": [' FROM post_index GROUP BY 1 UNION ALL SELECT author_uid, count(*) + 1, ']}}' FROM post_index GROUP BY 1"""
+)
+def index_json(spark: SparkSession, d: str) -> DataFrame:
+    none = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    return index_lines(table(spark, d, "post_index").select("author_uid", "index_row", none("id"), none("title"), none("filename")), "author_uid", ["index_row"])
 
 
 # Graph
@@ -532,13 +572,18 @@ def concept_links(spark: SparkSession, d: str) -> DataFrame:
 _BATCHED = "SELECT post_row, title, body, (row_number() OVER (ORDER BY filename, post_row) - 1) // 10 AS batch_id, CAST((row_number() OVER (ORDER BY filename, post_row) - 1) % 10 + 1 AS INTEGER) AS idx FROM posts"
 
 
+def _numbers(spark: SparkSession, d: str) -> DataFrame:
+    return batching.batches(table(spark, d, "posts").select("post_row", "filename"), ["filename", "post_row"], 10)
+
+
 def _batched(spark: SparkSession, d: str) -> DataFrame:
-    return batching.batches(table(spark, d, "posts").select("post_row", "filename", "title", "body"), ["filename", "post_row"], 10)
+    """Only keys are numbered; the texts are joined to them."""
+    return _numbers(spark, d).join(table(spark, d, "posts").select("post_row", "title", "body"), "post_row")
 
 
 @query(f"SELECT post_row, batch_id, idx FROM ({_BATCHED})")
 def batch_numbers(spark: SparkSession, d: str) -> DataFrame:
-    return _batched(spark, d).select("post_row", "batch_id", "idx")
+    return _numbers(spark, d).select("post_row", "batch_id", "idx")
 
 
 @query(f"""SELECT batch_id, count(*) AS n, '' || string_agg('=== ' || idx || ' ===' || chr(10) || coalesce(title, '') || chr(10) || substr(coalesce(body, ''), 1, 2500), chr(10) || chr(10) ORDER BY idx) AS prompt FROM ({_BATCHED}) GROUP BY 1""")
@@ -548,7 +593,7 @@ def batch_prompts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT batch_id, 'records ' || count(*) AS reply FROM ({_BATCHED}) GROUP BY 1")
 def batch_replies(spark: SparkSession, d: str) -> DataFrame:
-    return batching.map_batches(_batched(spark, d).select("batch_id", "idx", "post_row"), lambda rows: f"records {len(rows)}")
+    return batching.map_batches(_numbers(spark, d).select("batch_id", "idx", "post_row"), lambda rows: f"records {len(rows)}")
 
 
 @query("SELECT r.result_id, p.batch_id, p.idx FROM analysis_results r LEFT JOIN analysis_prompts p ON p.batch_id = r.prompt_id // 10 AND p.idx = r.idx")

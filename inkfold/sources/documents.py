@@ -8,6 +8,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkfold.functions.text import strip
+from inkfold.operators.ranks import global_rank
+
 POST = "struct<id: string, title: string, published_at: string, published_date: string, tags: array<string>, images_count: bigint, filename: string, source_url: string, indexed_at: string>"
 INDEX = f"total bigint, updated_at string, posts array<{POST}>, articles array<{POST}>, _bad string"
 
@@ -65,13 +68,24 @@ def settings(spark: SparkSession, path: str, root: str = "bloggers") -> DataFram
     return spark.createDataFrame([(r.get("name"), r.get("uid")) for r in rows], "name string, uid string")
 
 
+def chosen(bloggers: DataFrame, uid: str | None) -> DataFrame:
+    """Settings of one uid, all without one."""
+    return bloggers if uid is None else bloggers.where(F.col("uid") == uid)
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """``line`` of every line with other than white space, without it at its ends."""
-    return spark.read.text(path).select(F.trim("value").alias("line")).where(F.col("line") != "")
+    return spark.read.text(path).select(strip(F.col("value")).alias("line")).where(F.col("line") != "")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``pos, line`` of one text file of any size: its blocks are read by many tasks and numbered by their place."""
+    read = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    return global_rank(read, ["block", "place"], "pos").select("pos", "line")
 
 
 def zipped(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``pos, id, title`` of two one-row tables with a text of lines each, paired by place; a missing title is the id."""
-    ids = left.select(F.posexplode(F.split("value", "\n")).alias("pos", "id")).where(F.col("id") != "")
-    titles = right.select(F.posexplode(F.split("value", "\n")).alias("pos", "title"))
+    """``pos, id, title`` of two frames of ``pos, line``, paired by place; a missing or empty title is the id, an empty id is none."""
+    ids = left.select("pos", F.col("line").alias("id")).where(F.col("id") != "")
+    titles = right.select("pos", F.col("line").alias("title"))
     return ids.join(titles, "pos", "left").select("pos", "id", F.coalesce(F.nullif("title", F.lit("")), "id").alias("title"))

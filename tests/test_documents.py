@@ -1,4 +1,5 @@
 import json
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
@@ -34,8 +35,11 @@ def test_indexes(spark, tmp_path):
     assert {r["id"] for r in documents.index_rows(spark, str(tmp_path)).collect()} == {"p1", "p2"}
     assert documents.bad_indexes(spark, str(tmp_path)).count() == 1
     index = spark.createDataFrame([("u", 2, "b"), ("u", 1, "a"), ("v", 3, None)], "author_uid string, i int, id string")
-    made = {r["author_uid"]: (r["total"], json.loads(r["posts"])) for r in sinks.index_documents(index, "author_uid", ["i"]).collect()}
-    assert made["u"] == (2, [{"i": 1, "id": "a"}, {"i": 2, "id": "b"}]) and made["v"][0] == 1
+    made = defaultdict(list)
+    for r in sinks.index_lines(index, "author_uid", ["i"]).orderBy("line_no").collect():
+        made[r["author_uid"]].append(r["line"])
+    assert json.loads("\n".join(made["u"])) == {"total": 2, "posts": [{"i": 1, "id": "a"}, {"i": 2, "id": "b"}]} and json.loads("".join(made["v"]))["total"] == 1
+    assert sinks.index_lines(index.limit(0), "author_uid", ["i"]).count() == 0
     (tmp_path / "m").mkdir()
     (tmp_path / "m" / "map.json").write_text('{"k": ["a", "b"]}')
     assert [tuple(r) for r in documents.json_map(spark, str(tmp_path / "m")).collect()] == [("k", ["a", "b"])]
@@ -48,8 +52,12 @@ def test_settings_and_lines(spark, tmp_path):
     assert [tuple(r) for r in documents.settings(spark, str(tmp_path / "s.yaml")).collect()] == [("A", "12"), (None, "13")]
     (tmp_path / "u.txt").write_text("http://a\n\n  \nhttp://b \n")
     assert [r[0] for r in documents.lines(spark, str(tmp_path / "u.txt")).collect()] == ["http://a", "http://b"]
-    text = lambda s: spark.createDataFrame([(s,)], "value string")
-    assert sorted(tuple(r) for r in documents.zipped(text("1\n2\n3\n"), text("a\n\n")).collect()) == [(0, "1", "a"), (1, "2", "2"), (2, "3", "3")]
+    (tmp_path / "ids.txt").write_text("1\n2\n3\n")
+    (tmp_path / "titles.txt").write_text("a\n\n")
+    pairs = documents.zipped(*(documents.numbered_lines(spark, str(tmp_path / f)) for f in ("ids.txt", "titles.txt")))
+    assert sorted(tuple(r) for r in pairs.collect()) == [(0, "1", "a"), (1, "2", "2"), (2, "3", "3")]
+    own = documents.settings(spark, str(tmp_path / "s.yaml"))
+    assert documents.chosen(own, "13").count() == 1 and documents.chosen(own, None).count() == 2
     assert documents.checkpoint(str(tmp_path / "none.json")) == {"lastPage": 0, "lastArticleIndex": -1, "downloaded": 0, "failedUrls": []}
     (tmp_path / "cp.json").write_text('{"lastPage": 4}')
     assert documents.checkpoint(str(tmp_path / "cp.json"))["lastPage"] == 4
@@ -71,3 +79,15 @@ def test_session_graph_report(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "r")).collect()[0]["n"] == 1
     sinks.write_index(spark.createDataFrame([("u", "a")], "author_uid string, id string"), "author_uid", str(tmp_path / "i"))
     assert spark.read.json(str(tmp_path / "i")).count() == 1
+
+
+def test_other_documents(spark):
+    posts = spark.createDataFrame([("1", "u", None, "", "2020", "//h/1", "# A / B", "# old\nbody", 7), (None, None, None, None, None, None, None, None, None)], "id string, author_uid string, author_name string, published_at string, fetched_at string, source_url string, title string, body string, rank int")
+    short = sinks.short_documents(posts, "id").orderBy("id").collect()[1]
+    assert short["file_name"] == "1___A___B.md" and "author_name: \npublished_at: unknown\nfetched_at: 2020\nsource_url: //h/1\n---" in short["content"]
+    staged = sinks.staged_documents(posts.where("id = '1'"), "author_uid", "rank").collect()[0]
+    assert tuple(staged) == ("u_a-b_0007.md", "# # A / B\n\nold\nbody")
+    bloggers = spark.createDataFrame([("1", None, None, None, None), (None, "n", 3, ("d", None), "c")], "uid string, name string, total_articles bigint, profile struct<description: string, category: string>, created_at string")
+    made = [json.loads(r["content"]) for r in sinks.blogger_documents(bloggers, "h.example").orderBy("uid").collect()]
+    assert made[1] == {"uid": "1", "name": "", "domain": "https://h.example/u/1", "total_articles": 0, "profile": {"description": "", "category": ""}, "created_at": ""}
+    assert made[0]["profile"] == {"description": "d", "category": ""}

@@ -3,7 +3,7 @@ import re
 import unicodedata
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -114,16 +114,35 @@ def test_front_matter(spark):
 
 PAGE = """<html><title> A&nbsp;B </title><body><a href="//h/s/blog_0a.html"><b>First  post</b></a><a href="/s/blog_0a.html">again here</a>
 <a href="http://h/s/blog_1b.html">ab</a><a href="javascript:">xxxx</a><script>var $tag='a, b，,c'</script>(2012-01-02 03:04:05)
-<div class="articalContent x">a &lt;b&gt; &amp; c&#39;s<br/> d<img src="http://i/1.jpg"></div><a href="list_12.html">12</a> article_3_7.html</body></html>"""
+<h2 id="t" class="titName SG_txta"> A  title </h2><span class="time SG_txtc">(2013-04-05 06:07:08)</span>
+<div class="articalContent x">a &lt;b&gt; &amp; c&#39;s<br/> d<img src="http://i/1.jpg"><div>in <div>the</div></div> inner</div>
+rest<!-- 正文结束 --></div><div>after</div><img src="http://cdn.example/2.jpg"><a href="list_12.html">12</a> article_3_7.html</body></html>"""
 
 
 def test_pages(spark):
     got = column(spark, [PAGE, ""], lambda x: html.article(x, F.lit("http://h/s/blog_9z.html")))
-    assert got[0].asDict() == {"id": "9z", "title": "A B", "url": "http://h/s/blog_9z.html", "date": "2012-01-02 03:04:05", "tags": ["a", "b", "c"], "content": "a <b> &amp; cs d", "images": ["http://i/1.jpg"]}
+    assert got[0].asDict() == {"id": "9z", "title": "A  title", "url": "http://h/s/blog_9z.html", "date": "2013-04-05 06:07:08", "tags": ["a", "b，", "c"], "content": "a <b> &amp; cs din the inner rest", "images": ["http://i/1.jpg", "http://cdn.example/2.jpg"]}
     assert got[1]["content"] == "" and got[1]["images"] == []
+    assert column(spark, ['<div class="articalContent">no end</div>'], html.article_content) == [""]
+    assert column(spark, [PAGE], lambda x: html.images(x, without_host="cdn.example")) == [["http://i/1.jpg"]]
+    assert column(spark, [PAGE], html.script_tags) == [["a", "b", "c"]] and column(spark, [PAGE], html.title) == ["A B"] and column(spark, [PAGE], html.stated_time) == ["2012-01-02 03:04:05"]
     links = column(spark, [PAGE], lambda x: html.article_links(x, "h"))[0]
     assert [tuple(x) for x in links] == [("0a", "First post", "http://h/s/blog_0a.html")]
     assert column(spark, [PAGE, ""], html.page_numbers) == [12, 1]
     assert column(spark, [PAGE], lambda x: html.matching_lines(x, "href")) == [3]
     assert column(spark, ['log line\n[{"a": 1}]', "none"], lambda x: html.noisy_json(x, "array<struct<a: int>>"))[1] is None
     assert json.loads(json.dumps([r.asDict() for r in column(spark, ['x [{"a": 1}]'], lambda x: html.noisy_json(x, "array<struct<a: int>>"))[0]])) == [{"a": 1}]
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.floats(0, 1000, allow_nan=False), st.integers(0, 20000).map(lambda n: n / 20), st.integers(1, 999).map(lambda n: n * 100.0 / 1000)), min_size=1, max_size=40))
+def test_round1_as_python_rounds(spark, numbers):
+    numbers += [0.35, 0.25, 0.75, 0.45, 2.5, 0.05, 99.95, 0.0]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    assert [r[0] for r in df.select(text.round1(F.col("x"))).collect()] == [round(x, 1) for x in numbers]
+
+
+def test_titles_and_summaries(spark):
+    assert column(spark, ["## A title #\nrest", "\n\n plain", "#", "", "x" * 200], lambda x: text.first_line_title(x, F.lit("f"))) == ["A title #", "plain", "f", "f", "x" * 100]
+    entry = ['title: "T"\nsummary: "S"', 'summary: "S"', 'title: "T"', None]
+    assert column(spark, entry, lambda x: text.entry_summary(x, F.lit("n.md"))) == ["[T]: S", "[n]: S", None, None]

@@ -335,7 +335,7 @@ _LIMITED = "SELECT doc_id, text, text LIKE '---%---%' AS has, regexp_extract(tex
 _BODY = f"CASE WHEN has THEN {_strip('rest')} ELSE {_strip('text')} END"
 
 
-@query(f"SELECT doc_id, {_BODY} AS body, coalesce({_strip("regexp_extract(block, '(?m)^author_uid\s*:(.*)$', 1)")}, '') AS author_uid, substr({_BODY}, 1, 2000) AS start FROM ({_LIMITED}) WHERE has")
+@query(f"SELECT doc_id, {_BODY} AS body, coalesce({_strip("regexp_extract(block, '(?m)^author_uid\\s*:(.*)$', 1)")}, '') AS author_uid, substr({_BODY}, 1, 2000) AS start FROM ({_LIMITED}) WHERE has")
 def front_matter_limited(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where(F.col("text").isNotNull())
     part = docs.select("doc_id", frontmatter.limited(F.col("text")).alias("p"), (F.col("text").startswith("---") & (F.size(F.split("text", "---", 3)) >= 3)).alias("has")).where("has")
@@ -343,8 +343,8 @@ def front_matter_limited(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH t AS (SELECT doc_id, nullif(CASE WHEN has THEN {_strip("regexp_extract(block, '(?m)^title\s*:(.*)$', 1)")} ELSE '' END, '') AS stated,
-  nullif(regexp_extract(array_to_string(list_slice(string_split({_BODY}, chr(10)), 1, 10), chr(10)), '(?m)^\s*#+\s+(.+?)\s*$', 1), '') AS heading FROM ({_LIMITED}))
+    f"""WITH t AS (SELECT doc_id, nullif(CASE WHEN has THEN {_strip("regexp_extract(block, '(?m)^title\\s*:(.*)$', 1)")} ELSE '' END, '') AS stated,
+  nullif(regexp_extract(array_to_string(list_slice(string_split({_BODY}, chr(10)), 1, 10), chr(10)), '(?m)^\\s*#+\\s+(.+?)\\s*$', 1), '') AS heading FROM ({_LIMITED}))
 SELECT doc_id, coalesce(stated, heading, CAST(doc_id AS VARCHAR)) AS title FROM t"""
 )
 def document_titles(spark: SparkSession, d: str) -> DataFrame:

@@ -7,14 +7,14 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from inkfold.plans import corpus, training
+from inkfold.plans import corpus, documents, training
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from tools.compare import plain  # noqa: E402
 
 FOLDER = Path("/root/testdata/sf0.001")
-PLANS = {**training.QUERIES, **corpus.QUERIES}
-SQL = {**training.ORACLE, **corpus.ORACLE}
+PLANS = {**training.QUERIES, **corpus.QUERIES, **documents.QUERIES}
+SQL = {**training.ORACLE, **corpus.ORACLE, **documents.ORACLE}
 
 
 @pytest.fixture(scope="module")

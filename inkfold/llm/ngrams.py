@@ -21,6 +21,8 @@ _COUNTED = "grp string, suffix array<string>, n bigint, firsts array<bigint>"
 _COUNTED_ARROW = pa.schema([("grp", pa.string()), ("suffix", pa.list_(pa.string())), ("n", pa.int64()), ("firsts", pa.list_(pa.int64()))])
 #: Entries a combining or emitting task holds before it passes them on.
 FLUSH = 100_000
+#: Terms of the longest n-grams that are counted.
+SIGMA = 3
 
 
 def _emit(sigma: int):
@@ -108,11 +110,11 @@ def ngram_counts(records: DataFrame, grp: Column, seq: Column, sigma: int, *, fa
     return parts.groupBy("grp", "ngram").agg(F.sum("n_occurrences").alias("n_occurrences"), F.sum("n_records").alias("n_records"))
 
 
-def term_usefulness(fields: dict[str, tuple[DataFrame, str]], *, rare_below: int = 3, common_above: float = 0.2, sigma: int = 1) -> DataFrame:
+def term_usefulness(fields: dict[str, tuple[DataFrame, str]], *, rare_below: int = 3, common_above: float = 0.2, sigma: int = SIGMA) -> DataFrame:
     """Every n-gram of normal terms of some list columns with its counts and a mark.
 
-    ``fields`` names for each ``field_name`` a table and its list column. Columns: ``field_name, term`` (terms joined
-    by U+0020), ``n_terms, n_occurrences, n_records, mark``: ``rare`` if fewer than ``rare_below`` records have it,
+    ``fields`` names for each ``field_name`` a table and its list column. Columns: ``field_name, terms`` (an array),
+    ``n_terms, n_occurrences, n_records, mark``: ``rare`` if fewer than ``rare_below`` records have it,
     ``common`` if more than the share ``common_above`` of all records have it, else null. Rows with a null or empty
     list count as records.
     """
@@ -123,4 +125,4 @@ def term_usefulness(fields: dict[str, tuple[DataFrame, str]], *, rare_below: int
     counts = ngram_counts(records, F.col("grp"), F.col("seq"), sigma)
     limit = F.create_map(*(x for name, (df, _) in fields.items() for x in (F.lit(name), F.lit(df.count() * common_above))))
     mark = F.when(F.col("n_records") < rare_below, "rare").when(F.col("n_records") > limit[F.col("grp")], "common")
-    return counts.select(F.col("grp").alias("field_name"), F.array_join("ngram", " ").alias("term"), F.size("ngram").alias("n_terms"), "n_occurrences", "n_records", mark.alias("mark"))
+    return counts.select(F.col("grp").alias("field_name"), F.col("ngram").alias("terms"), F.size("ngram").alias("n_terms"), "n_occurrences", "n_records", mark.alias("mark"))

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from inkfold.llm.tokens import TOKENIZERS, token_counts
 from inkfold.session import durable
 
-#: Tasks that share the numbering of one length's items.
-SHARDS = 64
+#: Parts in which the items of one length are numbered at least, and items for which there is one more.
+SHARDS, SHARD_ITEMS = 64, 1_000_000
 
 
 def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -115,18 +115,19 @@ def pack(lengths: DataFrame, key: str, size: str, capacities: dict[int, int]) ->
     pieces = sized.withColumn("c", wanted).select("key", "n", "c.*").select("capacity_id", "cap", "key", "n", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part_no"))
     start = F.col("part_no") * F.col("cap")
     pieces = pieces.select("capacity_id", "key", "part_no", start.alias("token_start"), F.least("cap", F.col("n") - start).alias("n_tokens"))
-    shard = F.pmod(F.xxhash64("key", "part_no"), F.lit(SHARDS)).cast("int")
+    shards = max(SHARDS, -(-lengths.count() // SHARD_ITEMS))  # all items may be of one length
+    shard = F.pmod(F.xxhash64("key", "part_no"), F.lit(shards)).cast("int")
     # a length's items are numbered within shards; shards start where the ones before end
     pieces = durable(pieces.withColumn("shard", shard))
     counts = pieces.groupBy("capacity_id", "n_tokens", "shard").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("capacity_id", "n_tokens").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = counts.withColumn("from_rank", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    starts = counts.withColumn("from_rank", F.coalesce(F.sum("n").over(before), F.lit(0)))
     histogram: dict[int, dict[int, int]] = {i: {} for i in capacities}
     for r in counts.where(F.col("n_tokens") > 0).groupBy("capacity_id", "n_tokens").agg(F.sum("n").alias("n")).collect():  # at most the sum of the capacities
         histogram[r["capacity_id"]][r["n_tokens"]] = r["n"]
     slots = {i: _slots(shortest_pack_first(h, capacities[i])) for i, h in histogram.items()}
     within = Window.partitionBy("capacity_id", "n_tokens", "shard").orderBy("key", "part_no")
-    ranked = pieces.withColumn("in_shard", F.row_number().over(within) - 1).join(shards.drop("n"), ["capacity_id", "n_tokens", "shard"])
+    ranked = pieces.withColumn("in_shard", F.row_number().over(within) - 1).join(starts.drop("n"), ["capacity_id", "n_tokens", "shard"])
     ranked = ranked.select("capacity_id", "key", "part_no", "token_start", "n_tokens", (F.col("from_rank") + F.col("in_shard")).cast("bigint").alias("rank"))
     placed = ranked.mapInArrow(_place(spark.sparkContext.broadcast(slots)), "capacity_id int, container_id bigint, key bigint, part_no int, token_start bigint, n_tokens bigint")
     return placed.withColumnRenamed("key", key)
@@ -153,3 +154,18 @@ def container_fill(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     cap = F.col("capacity_tokens").cast("bigint")
     joined = total.join(F.broadcast(capacities.select("capacity_id", "capacity_tokens")), "capacity_id")  # settings: a few rows
     return joined.select("capacity_id", cap.alias("capacity_tokens"), "n_containers", "n_tokens", (F.col("n_containers") * cap - F.col("n_tokens")).alias("unused"), F.ceil(F.col("n_tokens") / cap).alias("least_containers"))
+
+
+def violations(packed: DataFrame, lengths: DataFrame, capacities: DataFrame, *, key: str = "doc_id") -> DataFrame:
+    """Per capacity, what must be 0: ``n_over`` containers over the capacity, ``n_uneven`` items of which not every token is in
+    exactly one part, ``n_divided`` items divided that the capacity holds. ``lengths`` has ``key`` (unique) and ``n_tokens``.
+    """
+    caps = capacities.select("capacity_id", F.col("capacity_tokens").cast("bigint").alias("cap"))
+    over = packed.groupBy("capacity_id", "container_id").agg(F.sum("n_tokens").alias("used")).join(F.broadcast(caps), "capacity_id")  # settings: a few rows
+    over = over.groupBy("capacity_id").agg(F.count_if(F.col("used") > F.col("cap")).alias("n_over"))
+    parts = packed.groupBy("capacity_id", key).agg(F.count(F.lit(1)).alias("parts"), F.sum("n_tokens").alias("placed"), F.max(F.col("token_start") + F.col("n_tokens")).alias("upto"), F.count_distinct("part_no").alias("distinct"))
+    each = F.explode(F.array(*(F.struct(F.lit(r["capacity_id"]).alias("capacity_id"), F.lit(r["cap"]).alias("cap")) for r in caps.collect())))  # settings
+    held = lengths.select(key, "n_tokens", each.alias("c")).select(key, "n_tokens", "c.*").join(parts, ["capacity_id", key], "left")
+    even = (F.col("placed") == F.col("n_tokens")) & (F.col("upto") == F.col("n_tokens")) & (F.col("distinct") == F.col("parts"))
+    checked = held.groupBy("capacity_id").agg(F.count_if(~F.coalesce(even, F.lit(False))).alias("n_uneven"), F.count_if((F.col("parts") > 1) & (F.col("n_tokens") <= F.col("cap"))).alias("n_divided"))
+    return caps.join(over, "capacity_id", "left").join(checked, "capacity_id", "left").select("capacity_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_over", "n_uneven", "n_divided")))

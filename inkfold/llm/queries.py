@@ -27,12 +27,14 @@ def _fields(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]
     return {"tags": (table(spark, folder, "posts"), "tags"), "concepts": (table(spark, folder, "analysis_results"), "concepts")}
 
 
-def p2_terms(spark: SparkSession, folder: str) -> DataFrame:
-    return ngrams.term_usefulness(_fields(spark, folder)).select("field_name", "term", "n_occurrences", "n_records", "mark")
+def p2_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return ngrams.term_usefulness(_fields(spark, folder)).select("field_name", "terms", "n_terms", "n_occurrences", "n_records")
 
 
-def p2_phrases(spark: SparkSession, folder: str) -> DataFrame:
-    return ngrams.term_usefulness(_fields(spark, folder), sigma=3).select("field_name", "term", "n_terms", "n_occurrences", "n_records")
+def p2_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Of the n-grams those of one term, whose counts are the sums that the stack makes of all suffixes beginning with it."""
+    single = ngrams.term_usefulness(_fields(spark, folder)).where(F.col("n_terms") == 1)
+    return single.select("field_name", F.col("terms")[0].alias("term"), "n_occurrences", "n_records", "mark")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,6 +81,12 @@ def p8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), table(spark, folder, "pack_capacities"))
 
 
+def p8_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """What no packing may have, counted: nothing."""
+    documents = table(spark, folder, "documents")
+    return packing.violations(p8_packing(spark, folder), tokens.token_counts(documents, "doc_id", "text"), table(spark, folder, "pack_capacities"))
+
+
 def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.container_fill(p8_packing(spark, folder), table(spark, folder, "pack_capacities"))
 
@@ -106,7 +114,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         *(p1_found, p1_defects, p2_terms, p2_phrases, p2_found, p3_found, p3_clean_posts, p6_pairs, p6_found),
-        *(p7_ids, p8_packing, p8_fill, p9_documents, p9_segments, p9_found),
+        *(p7_ids, p8_packing, p8_fill, p8_violations, p9_documents, p9_segments, p9_found),
     )
 }
 
@@ -143,7 +151,8 @@ WITH seqs AS (
   UNION ALL SELECT 'concepts', result_id, list_filter(list_transform(concepts, lambda t: {sql_term("t")}), lambda t: t <> '') FROM analysis_results),
 starts AS (SELECT field_name, row_id, seq, unnest(range(1, len(seq) + 1)) AS i FROM seqs),
 grams AS (SELECT field_name, row_id, list_slice(seq, i, i + l - 1) AS g, l FROM starts, (VALUES (1), (2), (3)) v(l) WHERE i + l - 1 <= len(seq))
-SELECT field_name, array_to_string(g, ' ') AS term, l AS n_terms, count(*) AS n_occurrences, count(DISTINCT row_id) AS n_records FROM grams GROUP BY field_name, g, l""",
+SELECT field_name, g AS terms, l AS n_terms, count(*) AS n_occurrences, count(DISTINCT row_id) AS n_records FROM grams GROUP BY field_name, g, l""",
+    "p8_violations": "SELECT capacity_id, 0::BIGINT AS n_over, 0::BIGINT AS n_uneven, 0::BIGINT AS n_divided FROM pack_capacities",
     "p6_pairs": _PAIRS + _ASSOCIATION,
     "p6_found": _PAIRS + "SELECT tag_a, tag_b FROM named WHERE rows_both >= 3 AND rows_both >= 0.002 * n AND rows_both * n >= 4 * rows_a * rows_b",
 }

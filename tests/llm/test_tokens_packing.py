@@ -91,6 +91,12 @@ def test_packs_a_table(spark):
     check(rows, sizes, {1: 32, 2: 100})
     again = packing.pack(df.repartition(3), "doc_id", "n_tokens", {1: 32, 2: 100}).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+    caps = spark.createDataFrame([(1, 32), (2, 100)], "capacity_id int, capacity_tokens int")
+    kinds = "capacity_id int, container_id bigint, doc_id bigint, part_no int, token_start bigint, n_tokens bigint"
+    told = lambda rs: sorted(tuple(x) for x in packing.violations(spark.createDataFrame(rs, kinds), df, caps).collect())
+    assert told(rows) == [(1, 0, 0, 0), (2, 0, 0, 0)]
+    worse = [(1, 0, *r[2:]) if r["capacity_id"] == 1 else tuple(r) for r in rows if tuple(r)[:3] != (2, *tuple(rows[-1])[1:3])]
+    assert told(worse)[0][1] == 1 and (rows[-1]["capacity_id"] != 2 or told(worse)[1][2] == 1)
 
 
 def test_edges_of_packing(spark):

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import re
+import shutil
 import tempfile
 import uuid
 from contextlib import suppress
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,12 @@ def build(master: str = "local[*]", app: str = "inkfold", **conf: str) -> SparkS
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors of a cluster where it isn't installed."""
+    home = Path(__file__).resolve().parent
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{home.name}", "zip", home.parent, home.name))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share.
 

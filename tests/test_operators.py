@@ -1,13 +1,14 @@
 import random
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from inkfold.operators import batching, graph, orphans, quality, reconcile, salted, stats
-from inkfold.operators.ranks import global_rank
+from inkfold.operators.ranks import global_rank, running_before
 from inkfold.operators.sampling import hash_sample
-from inkfold.streaming.ingest import merge_into, new_files, track_orphans
+from inkfold.streaming.ingest import Progress, merge_by_target, merge_into, new_files, save_results, track_orphans
 
 
 def rows(df):
@@ -212,6 +213,50 @@ def test_shared_folder(spark):
     assert not Path(at).exists()
 
 
+def test_running_sums_as_brute_force_has_them(spark):
+    r = random.Random(12)
+    data = [(i, r.choice(["hot", "hot", "hot", "a", "b", None]), r.choice([None, 0, 1, 5])) for i in range(700)]
+    df = spark.createDataFrame(data, "i int, k string, v int").repartition(5).withColumn("n", F.lit("clash"))
+    seen, want = defaultdict(int), {}
+    for i, k, v in data:
+        want[i] = seen[k]
+        seen[k] += v or 0
+    assert {x["i"]: x["before"] for x in running_before(df, ["k"], ["i"], F.col("v"), "before").collect()} == want
+    assert running_before(df.limit(0), ["k"], ["i"], F.col("v"), "before").count() == 0
+
+
+def test_numbers_within_a_value(spark):
+    df = spark.createDataFrame([(i, "x" if i % 3 else None) for i in range(40)], "i int, k string")
+    got = batching.batches(df, ["i"], 10, within="k")
+    assert rows(got.groupBy("k", "batch_id").count()) == {("x", 0, 10): 1, ("x", 1, 10): 1, ("x", 2, 6): 1, (None, 0, 10): 1, (None, 1, 4): 1}
+    names = batching.numbered_names(df, "k", ["i"], pattern="%s_%04d").where("k = 'x'").orderBy("i").collect()
+    assert [n["file_name"] for n in names[:3]] == ["x.md", "x_0001.md", "x_0002.md"]
+
+
+# Reports
+
+
+def test_tag_maps_and_last_months(spark):
+    counts = spark.createDataFrame([("a", 3, 9), ("b", 3, 2), ("c", 1, 1)], "item string, n bigint, first_at int")
+    one = stats.tag_maps(counts, top=2, most=3).collect()[0]
+    assert (one["total_tags"], [tuple(t) for t in one["top_tags"]], one["tags_distribution"]) == (3, [("b", 3), ("a", 3)], {"a": 3, "b": 3, "c": 1})
+    months = spark.createDataFrame([(f"2020-{m:02}", m) for m in range(1, 8)], "month string, n int")
+    assert [x["month"] for x in stats.last_in_order(months, "month", 3).collect()] == ["2020-05", "2020-06", "2020-07"]
+
+
+def test_whole_report(spark):
+    listed, stored = spark.createDataFrame([("a",), ("b",)], "u string"), spark.createDataFrame([("a",), ("c",)], "u string")
+    labels = ("valid", "short_content", "missing_title")
+    content = lambda *x: quality.counts_of(spark.createDataFrame([(v,) for v in x], "label string"), "label", labels)
+    files = lambda *x: quality.integrity_counts(spark.createDataFrame([(v,) for v in x], "issue string"), "issue")
+    bad = quality.full_report(reconcile.reconcile(listed, stored, "u"), content("valid", "short_content"), files(None, "tags")).collect()[0]
+    assert bad["overall_status"] == "issues_found" and bad["recommendations"] == ["missing: 1", "not listed: 1", "completeness: 50.0%", "short: 1", "corrupted: 1"]
+    assert (bad["quantity"]["missing"], bad["quantity"]["extra"]) == (["b"], ["c"])
+    good = quality.full_report(reconcile.reconcile(listed, listed, "u"), content("valid"), files(None)).collect()[0]
+    assert good["overall_status"] == "ok" and good["recommendations"] == ["all checks passed"]
+    assert files().collect()[0]["integrity_percent"] == 0
+
+
 # Reconciliation
 
 
@@ -362,6 +407,23 @@ def test_batches(spark):
     assert rows(calls) == {(0, "10"): 1, (1, None): 1, (2, "3"): 1}
 
 
+def test_retries_and_calls_at_once(spark, tmp_path):
+    def flaky(text):
+        mark = tmp_path / text
+        if not mark.exists():
+            mark.touch()
+            raise ValueError
+        return text.upper()
+
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(6)] + [(9, None)], "i int, text string")
+    start = time.time()
+    got = batching.map_records(df, flaky, "i", "text", wait=0.2, at_once=2)
+    assert got.rdd.getNumPartitions() == 2
+    assert rows(got) == {**{(str(i), f"T{i}"): 1 for i in range(6)}, ("9", None): 1} and time.time() - start > 0.5
+    one = batching.map_batches(batching.batches(df.select("i"), ["i"], 3), lambda recs: str(len(recs)), at_once=1)
+    assert one.rdd.getNumPartitions() == 1 and rows(one) == {(0, "3"): 1, (1, "3"): 1, (2, "1"): 1}
+
+
 REPLIES = ['```json\nSure: [{"title": "A", "tags": ["x", "", "y", "z", "u", "v", "w"], "related": null, "content": "", "body": "b"}, {"summary": "no title"}]\n```', "---\n# One\ntext\n---\n# O ne\nagain\n---\n\n---\n## Two\nx", "nothing", '[{"broken": ', None]
 
 
@@ -386,3 +448,23 @@ def test_merging_twice_adds_nothing(spark, tmp_path):
         spark.range(50).select((F.col("id") % 20).cast("string").alias("url"), "id").write.mode("append").parquet(str(tmp_path / "in"))
         merge_into(new_files(spark, str(tmp_path / "in"), "url string, id bigint"), "url", str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_merge_without_keys_in_the_state(spark, tmp_path):
+    at = lambda x: str(tmp_path / x)
+    watch = Progress()
+    spark.streams.addListener(watch)
+    for part in ([(1, "a"), (2, "a"), (3, None)], [(4, "b"), (5, "a"), (6, None)]):
+        spark.createDataFrame(part, "i int, k string").coalesce(1).write.mode("append").parquet(at("in"))
+        for _ in range(2):
+            merge_by_target(new_files(spark, at("in"), "i int, k string"), "k", at("out"), at("state")).awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    for _ in range(50):
+        if sum(n for *_, n in watch.rows) >= 6:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(watch)
+    assert Counter(r["k"] for r in spark.read.parquet(at("out")).collect()) == {"a": 1, "b": 1, None: 1}
+    assert watch.table(spark).agg(F.sum("n_rows")).first()[0] == 6
+    save_results(new_files(spark, at("in"), "i int, k string"), at("json"), at("state2")).awaitTermination()
+    assert spark.read.schema("i int, k string").json(at("json") + "/batch=*").count() == 6

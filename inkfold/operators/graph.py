@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkfold.operators.ranks import global_rank
+from inkfold.operators.ranks import global_rank, running_before
 from inkfold.session import durable
 
 #: Later relations overwrite earlier ones on the same pair; ``shares_tag`` gives way to any edge there is. ``has_tag`` edges
@@ -106,43 +106,49 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.sum("i").alias("n_in"), F.sum("o").alias("n_out"), F.count(F.lit(1)).alias("degree"))
 
 
-def exact_degrees(posts: DataFrame, post: str, tags: str, position: str, others: DataFrame, *, subsets_up_to: int = 12) -> DataFrame:
+def exact_degrees(posts: DataFrame, post: str, tags: str, position: str, others: DataFrame, *, subsets_up_to: int = 12, hot_share: float = 0.001) -> DataFrame:
     """``degrees`` of the graph in which every tag, whatever its size, has its ``shares_tag`` pairs, without writing them.
 
     ``others`` are the edges besides those pairs; ``post`` and ``position`` are unique. The later posts that share a tag
     with one are counted by inclusion and exclusion over the sets of its tags: of the holders of a set, a post's place
-    among them says how many come before and after. Tags of one post are left out, having no pairs. Posts with more
-    than ``subsets_up_to`` other tags have their neighbours counted one by one. A pair of posts that ``others`` join too
-    counts once.
+    among them says how many come before and after. Tags of one post and sets of one post are left out, having no pairs.
+    Sets that a share ``hot_share`` of the posts hold are numbered by range partitions, the others by windows. Posts
+    with more than ``subsets_up_to`` other tags have their neighbours counted one by one. A pair of posts that
+    ``others`` join too counts once. Tags and sets are compared by hashes of 64 and 128 bits.
     """
     named = F.filter(F.coalesce(F.col(tags), F.array().cast("array<string>")), lambda t: t.isNotNull())
-    held = posts.select(F.col(post).alias("p"), F.col(position).alias("at"), F.array_distinct(named).alias("own"), (F.size(F.array_distinct(named)) < F.size(named)).alias("twice"))
+    distinct = F.transform(F.array_distinct(named), lambda t: F.xxhash64(t))
+    held = posts.select(F.col(post).alias("p"), F.col(position).alias("at"), distinct.alias("own"), (F.size(F.array_distinct(named)) < F.size(named)).alias("twice"))
     each = held.select("p", "at", F.explode("own").alias("tag"))
     shared = each.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("tag")
     sets = durable(each.join(shared, "tag").groupBy("p", "at").agg(F.array_sort(F.collect_list("tag")).alias("own")))
 
     few = F.size("own") <= subsets_up_to
-    grown = F.aggregate("own", F.array(F.array().cast("array<string>")), lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t)))))
-    asked = sets.where(few).select("p", "at", F.explode(F.filter(grown, lambda s: F.size(s) > 0)).alias("s"))
+    grown = F.aggregate("own", F.array(F.array().cast("array<bigint>")), lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t)))))
+    key = lambda s: F.struct(F.xxhash64(s).alias("a"), F.xxhash64(F.lit(1), s).alias("b"), F.when(F.size(s) % 2 == 1, 1).otherwise(-1).alias("sign"))
+    asked = sets.where(few).select("p", "at", F.explode(F.transform(F.filter(grown, lambda s: F.size(s) > 0), key)).alias("s")).select("p", "at", "s.*")
+    sizes = durable(asked.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    hot = sizes.where(F.col("n") >= max(1000, int(sets.count() * hot_share)))
+    cold = asked.join(F.broadcast(hot.select("a", "b")), ["a", "b"], "left_anti").join(sizes, ["a", "b"])  # hot: at most the sets of a post by hot_share
+    cold = cold.withColumn("before", F.row_number().over(Window.partitionBy("a", "b").orderBy("at")) - 1)
+    warm = running_before(asked.join(F.broadcast(hot), ["a", "b"]), ["a", "b"], ["at"], F.lit(1), "before")
+    by_sets = cold.unionByName(warm).select(F.col("p").alias("id"), (F.col("sign") * F.col("before")).alias("i"), (F.col("sign") * (F.col("n") - 1 - F.col("before"))).alias("o"))
+
     many = sets.where(~few).select("p", "at", F.explode("own").alias("tag"))
     met = many.join(each.join(sets.where(few).select("p"), "p", "left_semi").select(F.col("p").alias("q"), F.col("at").alias("q_at"), "tag"), "tag").select("p", "at", "q", "q_at").distinct()
     among = many.join(many.select(F.col("p").alias("q"), F.col("at").alias("q_at"), "tag"), "tag").where(F.col("at") < F.col("q_at")).select("p", "at", "q", "q_at").distinct()
     met = met.select(F.when(F.col("at") < F.col("q_at"), F.col("p")).otherwise(F.col("q")).alias("src"), F.when(F.col("at") < F.col("q_at"), F.col("q")).otherwise(F.col("p")).alias("dst"))
     met = met.unionByName(among.select(F.col("p").alias("src"), F.col("q").alias("dst")))
 
-    placed = global_rank(asked, ["s", "at"], "g")
-    ends = placed.groupBy("s").agg(F.min("g").alias("low"), F.max("g").alias("high"))
-    sign = F.when(F.size("s") % 2 == 1, 1).otherwise(-1)
-    by_sets = placed.join(ends, "s").select(F.col("p").alias("id"), (sign * (F.col("g") - F.col("low"))).alias("i"), (sign * (F.col("high") - F.col("g"))).alias("o"))
-
     selves = held.where("twice").select(F.col("p").alias("id"), F.lit(1).alias("i"), F.lit(1).alias("o"))
     pairs = durable(others.select("src", "dst").distinct())
+    # only edges between posts can also be links by a tag
+    between = durable(pairs.join(held.select(F.col("p").alias("dst")), "dst", "left_semi").join(held.select(F.col("p").alias("src")), "src", "left_semi"))
     left, right = (held.select(F.col("p").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("at", "own", "twice"))) for c in ("src", "dst"))
-    twofold = pairs.join(left, "src").join(right, "dst").where(F.when(F.col("src") == F.col("dst"), F.col("src_twice")).otherwise((F.col("src_at") < F.col("dst_at")) & F.arrays_overlap("src_own", "dst_own")))
+    twofold = between.join(left, "src").join(right, "dst").where(F.when(F.col("src") == F.col("dst"), F.col("src_twice")).otherwise((F.col("src_at") < F.col("dst_at")) & F.arrays_overlap("src_own", "dst_own")))
 
     def ends_of(df: DataFrame, n: int) -> DataFrame:
-        both = F.array(F.struct(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(n).alias("o")), F.struct(F.col("dst").alias("id"), F.lit(n).alias("i"), F.lit(0).alias("o")))
-        return df.select(F.explode(both).alias("e")).select("e.*")
+        return df.select(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(n).alias("o")).unionByName(df.select(F.col("dst").alias("id"), F.lit(n).alias("i"), F.lit(0).alias("o")))
 
     every = by_sets.unionByName(selves).unionByName(ends_of(met, 1)).unionByName(ends_of(pairs, 1)).unionByName(ends_of(twofold, -1))
     summed = every.groupBy("id").agg(F.sum("i").alias("n_in"), F.sum("o").alias("n_out"))

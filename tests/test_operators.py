@@ -395,6 +395,14 @@ def test_exact_degrees_as_brute_force_has_them(spark):
         assert rows(graph.exact_degrees(df, "post", "tags", "at", others, subsets_up_to=most).select("id", "n_in", "n_out", "degree")) == want
 
 
+def test_degrees_with_hot_sets(spark):
+    posts = [(str(i), i, ["hot", "other"] if i % 4 else ["hot", "hot"]) for i in range(1500)]
+    df = spark.createDataFrame(posts, "post string, at int, tags array<string>")
+    none = spark.createDataFrame([("0", "1", "next_post")], "src string, dst string, relation string")
+    got = {r["id"]: (r["n_in"], r["n_out"]) for r in graph.exact_degrees(df, "post", "tags", "at", none).collect()}
+    assert got == {str(i): (i + (i % 4 == 0), 1499 - i + (i % 4 == 0)) for i in range(1500)}
+
+
 # Batches
 
 

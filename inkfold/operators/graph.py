@@ -90,9 +90,9 @@ def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def with_isolated(degrees: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``id, n_in, n_out, degree`` of all ``nodes``, those without edges included."""
+    """``id, n_in, n_out, degree`` of ``degrees`` and of those ``nodes`` that have no edge."""
     count = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_in", "n_out", "degree")]
-    return nodes.select("id").join(degrees, "id", "left").select("id", *count)
+    return degrees.join(nodes.select("id"), "id", "full").select("id", *count)
 
 
 def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -124,14 +124,19 @@ def exact_degrees(posts: DataFrame, post: str, tags: str, position: str, others:
     sets = durable(each.join(shared, "tag").groupBy("p", "at").agg(F.array_sort(F.collect_list("tag")).alias("own")))
 
     few = F.size("own") <= subsets_up_to
-    grown = F.aggregate("own", F.array(F.array().cast("array<bigint>")), lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t)))))
+    sets_of = lambda own: F.filter(F.aggregate(own, F.array(F.array().cast("array<bigint>")), lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t))))), lambda s: F.size(s) > 0)
     key = lambda s: F.struct(F.xxhash64(s).alias("a"), F.xxhash64(F.lit(1), s).alias("b"), F.when(F.size(s) % 2 == 1, 1).otherwise(-1).alias("sign"))
-    asked = sets.where(few).select("p", "at", F.explode(F.transform(F.filter(grown, lambda s: F.size(s) > 0), key)).alias("s")).select("p", "at", "s.*")
+    ask = lambda own: sets.where(few).select("p", "at", F.explode(F.transform(sets_of(own), key)).alias("s")).select("p", "at", "s.*")
+    asked = ask("own")
     sizes = durable(asked.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
-    hot = sizes.where(F.col("n") >= max(1000, int(sets.count() * hot_share)))
+    least = max(1000, int(sets.count() * hot_share))
+    hot = sizes.where(F.col("n") >= least)
     cold = asked.join(F.broadcast(hot.select("a", "b")), ["a", "b"], "left_anti").join(sizes, ["a", "b"])  # hot: at most the sets of a post by hot_share
     cold = cold.withColumn("before", F.row_number().over(Window.partitionBy("a", "b").orderBy("at")) - 1)
-    warm = running_before(asked.join(F.broadcast(hot), ["a", "b"]), ["a", "b"], ["at"], F.lit(1), "before")
+    # the tags of a hot set are hot themselves: at most the tags of a post by hot_share
+    hot_tags = [r["tag"] for r in each.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("tag").collect()]
+    warm = ask(F.array_intersect("own", F.array(*map(F.lit, hot_tags)).cast("array<bigint>"))).join(F.broadcast(hot), ["a", "b"])
+    warm = running_before(warm, ["a", "b"], ["at"], F.lit(1), "before")
     by_sets = cold.unionByName(warm).select(F.col("p").alias("id"), (F.col("sign") * F.col("before")).alias("i"), (F.col("sign") * (F.col("n") - 1 - F.col("before"))).alias("o"))
 
     many = sets.where(~few).select("p", "at", F.explode("own").alias("tag"))

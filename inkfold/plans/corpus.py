@@ -536,7 +536,7 @@ SELECT id, CAST(coalesce(n_in, 0) AS BIGINT) AS n_in, CAST(coalesce(n_out, 0) AS
 def node_degrees(spark: SparkSession, d: str) -> DataFrame:
     """Edges of every post, keyword and author in the graph that has the links of every tag, whatever its size."""
     degrees = graph.exact_degrees(_posts(spark, d), "post", "tags", "post_row", _other_edges(spark, d))
-    return graph.with_isolated(degrees, graph_nodes(spark, d).where(F.col("type") != "tag"))
+    return graph.with_isolated(degrees, _posts(spark, d).select(F.col("post").alias("id")))  # keywords and authors have edges
 
 
 # Settings of the example: documents with keywords, and rules from words to documents.

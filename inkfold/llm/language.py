@@ -51,6 +51,7 @@ _ENTRY = re.compile(r"[\w.-]+\s*:|-\s|$")
 _END = re.compile(r"[。！？!?]+[”』」\"')）]*|\.+[”\"')»]*(?=\s|$)|…+|[\r\n]+")
 _CLOSED = re.compile(r"[。！？!?.…][”』」\"')）»]*\s*\Z")
 _ODD = regex.compile(r"[\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\uFE0F]+")  # emoji and the like may stand within a word
+_FIRST = regex.compile(r"[^\s\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\uFE0F]")
 _ODD_RE2, _GAP_RE2 = r"[\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\x{FE0F}]+", r"[^\p{L}\p{M}]+"
 _LETTER = re.compile(r"[^\W\d_]")
 _WIDE = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]")
@@ -76,7 +77,8 @@ def without_front_matter(text: str) -> str:
 
     Emoji and the like within these lines don't matter.
     """
-    if "---" not in text and not _ODD.search(text):
+    first = _FIRST.search(text)
+    if first is None or first.group() != "-":
         return text
     at, opened = 0, False
     for line in text.splitlines(keepends=True):

@@ -49,7 +49,8 @@ WIDE_WEIGHT = 3
 
 _ENTRY = re.compile(r"[\w.-]+\s*:|-\s|$")
 _END = re.compile(r"[。！？!?]+[”』」\"')）]*|\.+[”\"')»]*(?=\s|$)|…+|[\r\n]+")
-_CLOSED = re.compile(r"[。！？!?.…][”』」\"')）»]*\s*\Z")
+_MARKS, _QUOTES = "。！？!?.…", "”』」\"')）»"
+_CLOSED = re.compile(rf"[{_MARKS}][{_QUOTES}]*\s*\Z")
 _ODD = regex.compile(r"[\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\uFE0F]+")  # emoji and the like may stand within a word
 _FIRST = regex.compile(r"[^\s\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\uFE0F]")
 _ODD_RE2, _GAP_RE2 = r"[\p{So}\p{Sk}\p{Cf}\p{No}\p{Me}\x{FE0F}]+", r"[^\p{L}\p{M}]+"
@@ -104,7 +105,9 @@ def sentences(text: str) -> list[tuple[int, int, bool]]:
         if _LETTER.search(piece):
             bare = piece.lstrip()
             heading = "#" in bare[:9] and _ODD.sub("", bare).startswith("#")
-            whole = not heading and (_CLOSED.search(bare) is not None or len(_LETTER.findall(bare)) + 2 * len(_WIDE.findall(bare)) >= LINE)
+            last = bare.rstrip()[-1]
+            closed = last in _MARKS or last in _QUOTES and _CLOSED.search(bare) is not None
+            whole = not heading and (closed or len(_LETTER.findall(bare)) + 2 * len(_WIDE.findall(bare)) >= LINE)
             out.append((end - len(bare), end, whole))
         start = end
     return out
@@ -217,10 +220,10 @@ class Profiles:
         where, token = _spread(ends[:-1][word], ends[1:][word])
         if not len(where):
             return out, outside
-        # piece and n-gram in one number, with the weight, which is the same wherever the n-gram stands
-        code = np.repeat(piece, np.bincount(token, minlength=len(piece))) << 20 | at[where] << 2 | weight[where]
-        order = np.argsort(code)
-        code, count = code[order], times[token[order]]
+        # piece, n-gram, its weight (the same wherever it stands) and its count in one number
+        own = pairs >> 32 << 40 | np.minimum(times, (1 << 20) - 1)
+        code = np.sort(own[token] | (at[where] << 2 | weight[where]) << 20)
+        count, code = code & (1 << 20) - 1, code >> 20
         starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
         count = np.minimum(np.add.reduceat(count, starts), (1 << 20) - 1)
         code = code[starts]
@@ -357,8 +360,8 @@ def _decided(distance: np.ndarray, text: np.ndarray, counts: np.ndarray, n_texts
 
 def _identify(profiles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judged: dict[str, np.ndarray] = {}  # summed distances of sentences met before
-        held = 0
+        judged: dict[str, int] = {}  # sentences met before, by their row in the summed distances
+        sums, held = np.empty((0, len(LANGUAGES))), 0
         for batch in batches:
             texts, labels = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             done = 0
@@ -378,15 +381,16 @@ def _identify(profiles):
                 sizes = [len(own) if any(w for *_, w in own) else min(1, len(own)) for own in spans]
                 if held > REMEMBERED:
                     judged.clear()
-                    held = 0
+                    sums, held = sums[:0], 0
                 new = list({p for p in pieces if p not in judged})
                 if new:
                     mean, total = profiles.value.weighed(new)
-                    judged.update(zip(new, mean * total[:, None]))
+                    judged.update(zip(new, range(len(sums), len(sums) + len(new))))
+                    sums = np.concatenate([sums, mean * total[:, None]])
                     held += sum(map(len, new))
                 found: list[list[dict]] = [[] for _ in spans]
                 if pieces:
-                    langs, sure = (x.tolist() for x in _decided(np.array([judged[p] for p in pieces]), np.repeat(np.arange(len(spans)), sizes), np.array(counts), len(spans)))
+                    langs, sure = (x.tolist() for x in _decided(sums[np.fromiter(map(judged.__getitem__, pieces), np.int64, len(pieces))], np.repeat(np.arange(len(spans)), sizes), np.array(counts), len(spans)))
                     ends = np.cumsum(sizes).tolist()
                     found = [_segments(own, langs[end - size : end], sure[end - size : end]) for own, size, end in zip(spans, sizes, ends)]
                 codes = [label_code(x) for x in labels[done:upto]]

@@ -187,7 +187,8 @@ def post_increment(posts: DataFrame, removed_posts: DataFrame, post_index: DataF
 def in_periods(whole: Increment, periods: int) -> list[Increment]:
     """An increment cut by its times (``seen_at``, ``removed_at``, ``ref_at``) into as many of equal span, in order.
 
-    Rows without a time come first. All rows are written once, by period, and each increment reads its own.
+    Rows without a time come first. Keys are made once and written; each increment reads its own of them. The span is
+    that of the rows with a key.
     """
     empty = F.lit(None)
     kinds = (
@@ -207,15 +208,14 @@ def in_periods(whole: Increment, periods: int) -> list[Increment]:
             for df, what, at, more in kinds
         ),
     )
-    second = F.unix_timestamp("at")
-    low, high = rows.agg(F.min(second), F.max(second)).first()
-    period = F.lit(0)
-    for k in range(1, periods):
-        period = period + (second > (low or 0) + ((high or 0) - (low or 0)) * k // periods).cast("int")
-    staged = durable(rows.where(F.col("ref_key") != "").withColumn("period", F.coalesce(period, F.lit(0))), "period")
+    staged = durable(rows.where(F.col("ref_key") != "").withColumn("second", F.unix_timestamp("at")))
+    low, high = staged.agg(F.min("second"), F.max("second")).first()
+    ends = [(low or 0) + ((high or 0) - (low or 0)) * k // periods for k in range(1, periods)]
     out = []
     for k in range(periods):
-        own = staged.where(F.col("period") == k)
+        after = F.col("second") > ends[k - 1] if k else F.lit(True)
+        upto = F.col("second") <= ends[k] if k < periods - 1 else F.lit(True)
+        own = staged.where((after & upto) if k else (F.col("second").isNull() | upto))
         part = lambda what: own.where(F.col("what") == what)  # noqa: B023, E731
         out.append(Increment(part("stored").select(*_KEY, F.col("at").alias("seen_at")), part("removed").select(*_KEY), None, part("reference").select("table_name", "row_id", "field_name", *_KEY, F.col("at").alias("ref_at"))))
     return out

@@ -112,7 +112,7 @@ refs AS (
   SELECT 'post_index' AS table_name, 'filename' AS field_name, 'file' AS k, {sql_file("filename")} AS key, {sql_instant("indexed_at")} AS moment FROM post_index
   UNION ALL SELECT 'post_index', 'source_url', 'address', {sql_address("source_url")}, {sql_instant("indexed_at")} FROM post_index
   UNION ALL SELECT 'analysis_results', '_source_file', 'file', {sql_file("_source_file")}, {sql_instant("analyzed_at")} FROM analysis_results),
-every AS (SELECT CAST(floor(epoch(moment)) AS BIGINT) AS s FROM stored UNION ALL SELECT CAST(floor(epoch(moment)) AS BIGINT) FROM gone UNION ALL SELECT CAST(floor(epoch(moment)) AS BIGINT) FROM refs),
+every AS (SELECT CAST(floor(epoch(moment)) AS BIGINT) AS s FROM (SELECT key, moment FROM stored UNION ALL SELECT key, moment FROM gone UNION ALL SELECT key, moment FROM refs) WHERE key <> ''),
 ends AS (SELECT period, CASE WHEN period = 3 THEN hi ELSE lo + (hi - lo) * (period + 1) // 4 END AS upto FROM (SELECT min(s) AS lo, max(s) AS hi FROM every), (VALUES (0), (1), (2), (3)) v(period)),
 seen AS (SELECT period, k, key, min(coalesce(moment, TIMESTAMPTZ '0001-01-01')) AS moment FROM stored, ends WHERE key <> '' AND coalesce(floor(epoch(moment)) <= upto, true) GROUP BY 1, 2, 3),
 taken AS (SELECT DISTINCT period, k, key FROM gone, ends WHERE coalesce(floor(epoch(moment)) <= upto, true)),

@@ -15,6 +15,7 @@ from inkfold.session import new_path
 from inkfold.sinks import documents as sinks
 from inkfold.sources import documents as sources
 from inkfold.sources import markdown
+from inkfold.sources.pages import read_pages
 from inkfold.sources.tables import table
 from inkfold.streaming import ingest
 
@@ -235,6 +236,18 @@ def list_page_facts(spark: SparkSession, d: str) -> DataFrame:
     return _list_pages(spark, d).select("batch_id", html.page_numbers(page).alias("last_page"), html.matching_lines(page, r"/s/blog_").alias("n_lines"), html.stated_time(page).alias("first_time"))
 
 
+@query("SELECT row_number() OVER (ORDER BY uid, name) AS page, coalesce(uid, '') AS id, coalesce(name, '') AS title FROM bloggers QUALIFY length(regexp_extract('blog_' || coalesce(uid, ''), 'blog_([0-9a-z]+)', 1)) > 0 AND length(coalesce(name, '')) > 1")
+def fetched_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages from a function that is asked for one after the other, here for the bloggers, which are settings."""
+    rows = sorted((r["uid"] or "", r["name"] or "") for r in table(spark, d, "bloggers").select("uid", "name").collect())
+
+    def fetch(page: int) -> str | None:
+        return None if page > len(rows) else '<a href="/s/blog_{}.html">{}</a>'.format(*rows[page - 1])
+
+    links = read_pages(spark, fetch, len(rows) + 30, pages_per_task=50).select("page", F.explode(html.article_links(F.col("html"), "host.example", min_title=1)).alias("l"))
+    return links.select("page", "l.id", "l.title")
+
+
 # Names and literals
 
 

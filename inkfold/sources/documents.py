@@ -47,25 +47,40 @@ def checkpoint(path: str, default: dict | None = None) -> dict:
         return start
 
 
-def settings(spark: SparkSession, path: str, root: str = "bloggers") -> DataFrame:
-    """``name, uid`` of the entries under ``root`` of a YAML list of flat maps: settings, read on the driver."""
+def _entries(text: str, root: str) -> list[dict]:
+    """The flat maps of a YAML list under ``root``, read without a library."""
     rows: list[dict] = []
     inside = False
-    for line in Path(path).read_text(encoding="utf-8").splitlines():
+    for line in text.splitlines():
         bare = line.split(" #")[0].rstrip()
         if not bare.strip() or bare.lstrip().startswith("#"):
             continue
         if not line[0].isspace() and not bare.startswith("-"):
             inside = bare.rstrip(":") == root
         elif inside:
-            text = bare.strip()
-            if text.startswith("- "):
+            entry = bare.strip()
+            if entry.startswith("- "):
                 rows.append({})
-                text = text[2:]
-            key, sep, value = text.partition(":")
-            if rows and sep and value.strip() and key in ("name", "uid") and key not in rows[-1]:
+                entry = entry[2:]
+            key, sep, value = entry.partition(":")
+            if rows and sep and value.strip() and key not in rows[-1]:
                 rows[-1][key] = value.strip().strip("\"'")
-    return spark.createDataFrame([(r.get("name"), r.get("uid")) for r in rows], "name string, uid string")
+    return rows
+
+
+def settings(spark: SparkSession, path: str, root: str = "bloggers", *, keys: tuple[str, ...] = ("name", "uid")) -> DataFrame:
+    """``keys`` as strings of the entries under ``root`` of a YAML file: settings, read on the driver; what is missing is null.
+
+    PyYAML reads them where it is installed; without it only lists of flat maps are understood.
+    """
+    text = Path(path).read_text(encoding="utf-8")
+    try:
+        import yaml
+
+        rows = (yaml.load(text, yaml.BaseLoader) or {}).get(root) or []  # BaseLoader leaves numbers as they are written
+    except ImportError:
+        rows = _entries(text, root)
+    return spark.createDataFrame([tuple(r.get(k) for k in keys) for r in rows if isinstance(r, dict)], ", ".join(f"{k} string" for k in keys))
 
 
 def chosen(bloggers: DataFrame, uid: str | None) -> DataFrame:

@@ -1,6 +1,8 @@
 import json
+import sys
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkfold.sinks import documents as sinks
@@ -56,6 +58,10 @@ def test_settings_and_lines(spark, tmp_path):
     (tmp_path / "titles.txt").write_text("a\n\n")
     pairs = documents.zipped(*(documents.numbered_lines(spark, str(tmp_path / f)) for f in ("ids.txt", "titles.txt")))
     assert sorted(tuple(r) for r in pairs.collect()) == [(0, "1", "a"), (1, "2", "2"), (2, "3", "3")]
+    with pytest.MonkeyPatch.context() as m:
+        m.setitem(sys.modules, "yaml", None)
+        assert [tuple(r) for r in documents.settings(spark, str(tmp_path / "s.yaml")).collect()] == [("A", "12"), (None, "13")]
+    assert [tuple(r) for r in documents.settings(spark, str(tmp_path / "s.yaml"), "storage", keys=("name", "none")).collect()] == [("no", None)]
     own = documents.settings(spark, str(tmp_path / "s.yaml"))
     assert documents.chosen(own, "13").count() == 1 and documents.chosen(own, None).count() == 2
     assert documents.checkpoint(str(tmp_path / "none.json")) == {"lastPage": 0, "lastArticleIndex": -1, "downloaded": 0, "failedUrls": []}
@@ -91,3 +97,20 @@ def test_other_documents(spark):
     made = [json.loads(r["content"]) for r in sinks.blogger_documents(bloggers, "h.example").orderBy("uid").collect()]
     assert made[1] == {"uid": "1", "name": "", "domain": "https://h.example/u/1", "total_articles": 0, "profile": {"description": "", "category": ""}, "created_at": ""}
     assert made[0]["profile"] == {"description": "d", "category": ""}
+
+
+def test_pages_from_a_function(spark):
+    from inkfold.sources.pages import read_pages
+
+    fetch = lambda n: {7: "", 8: None, 9: ""}.get(n, f"<p>{n}</p>") if n <= 12 else None
+    got = read_pages(spark, fetch, 30, pages_per_task=5)
+    assert sorted((r["page"], r["html"]) for r in got.collect()) == [(n, fetch(n)) for n in range(1, 13) if n != 8]
+    assert sorted(r["page"] for r in read_pages(spark, fetch, 30, pages_per_task=30, empties=3).collect()) == [1, 2, 3, 4, 5, 6, 7, 9]
+    assert read_pages(spark, fetch, 0).count() == 0
+
+
+def test_ship(spark):
+    from inkfold.session import ship
+
+    ship(spark)
+    assert any("inkfold.zip" in f for f in spark.sparkContext.listFiles)

@@ -44,30 +44,68 @@ def limited(text: Column) -> Column:
     """``struct<meta, body>`` from the first two ``---``; without them the map is empty and the whole text is the body."""
     parts = F.split(text, "---", 3)
     has = text.startswith("---") & (F.size(parts) >= 3)
-    return F.when(has, F.struct(_entries(parts[1], quotes=True).alias("meta"), strip(parts[2]).alias("body"))).otherwise(F.struct(F.create_map().cast("map<string,string>").alias("meta"), strip(text).alias("body")))
+    return F.when(has, F.struct(_entries(parts[1], quotes=True).alias("meta"), strip(parts[2]).alias("body"))).otherwise(
+        F.struct(F.create_map().cast("map<string,string>").alias("meta"), strip(text).alias("body"))
+    )
 
 
 def title_of(text: Column, file_name: Column) -> Column:
     """Title by the front matter, else by a heading in the first ten lines of the body, else by the file name."""
     part = limited(text)
     heading = F.regexp_extract(F.array_join(F.slice(F.split(part["body"], "\n"), 1, 10), "\n"), r"(?m)^\s*#+\s+(.+?)\s*$", 1)
-    return F.coalesce(F.nullif(F.try_element_at(part["meta"], F.lit("title")), F.lit("")), F.nullif(heading, F.lit("")), F.regexp_replace(file_name, r"\.md$", ""))
+    return F.coalesce(
+        F.nullif(F.try_element_at(part["meta"], F.lit("title")), F.lit("")),
+        F.nullif(heading, F.lit("")),
+        F.regexp_replace(file_name, r"\.md$", ""),
+    )
 
 
 #: Keys of a stored post in their order.
-POST_KEYS = ("id", "author_uid", "author_name", "published_at", "fetched_at", "type", "category", "tags", "source_url", "likes", "comments", "images_count", "images")
+POST_KEYS = (
+    "id",
+    "author_uid",
+    "author_name",
+    "published_at",
+    "fetched_at",
+    "type",
+    "category",
+    "tags",
+    "source_url",
+    "likes",
+    "comments",
+    "images_count",
+    "images",
+)
 
 
 def render_post(fields: dict[str, Column], title: Column, content: Column) -> Column:
     """A post as text: front matter with ``fields`` in their order, the title as heading, the content. Null values are ''."""
     lines = [F.concat(F.lit(f"{key}: "), F.coalesce(value.cast("string"), F.lit(""))) for key, value in fields.items()]
-    return F.concat(F.lit("---\n"), F.concat_ws("\n", *lines), F.lit("\n---\n\n# "), F.coalesce(title, F.lit("")), F.lit("\n\n"), F.coalesce(content, F.lit("")), F.lit("\n"))
+    return F.concat(
+        F.lit("---\n"),
+        F.concat_ws("\n", *lines),
+        F.lit("\n---\n\n# "),
+        F.coalesce(title, F.lit("")),
+        F.lit("\n\n"),
+        F.coalesce(content, F.lit("")),
+        F.lit("\n"),
+    )
 
 
 def render_wiki(title: Column, summary: Column, tags: Column, related: Column, created: Column) -> Column:
     """The front matter of an entry: quoted title and summary, bare lists, ``related`` only if it has items."""
     some = F.when(F.size(related) > 0, F.concat(F.lit("related: ["), F.array_join(related, ", "), F.lit("]")))
-    return F.concat_ws("\n", F.lit("---"), F.concat(F.lit('title: "'), title, F.lit('"')), F.concat(F.lit('summary: "'), summary, F.lit('"')), F.concat(F.lit("tags: ["), F.array_join(tags, ", "), F.lit("]")), F.concat(F.lit('created: "'), created, F.lit('"')), some, F.lit("---"), F.lit(""))
+    return F.concat_ws(
+        "\n",
+        F.lit("---"),
+        F.concat(F.lit('title: "'), title, F.lit('"')),
+        F.concat(F.lit('summary: "'), summary, F.lit('"')),
+        F.concat(F.lit("tags: ["), F.array_join(tags, ", "), F.lit("]")),
+        F.concat(F.lit('created: "'), created, F.lit('"')),
+        some,
+        F.lit("---"),
+        F.lit(""),
+    )
 
 
 def with_section(text: Column, marker: str, section: Column) -> Column:

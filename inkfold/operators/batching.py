@@ -29,9 +29,19 @@ def batches(df: DataFrame, order: list[str], size: int, *, within: str | None =
 
 def prompt_of(batch: DataFrame, title: str, text: str, *, intro: str, limit: int = 2500) -> DataFrame:
     """``batch_id, n, prompt``: the records of each batch in order under a heading with their number."""
-    block = F.concat(F.lit("=== "), F.col("idx").cast("string"), F.lit(" ===\n"), F.coalesce(title, F.lit("")), F.lit("\n"), F.substring(F.coalesce(text, F.lit("")), 1, limit))
+    block = F.concat(
+        F.lit("=== "),
+        F.col("idx").cast("string"),
+        F.lit(" ===\n"),
+        F.coalesce(title, F.lit("")),
+        F.lit("\n"),
+        F.substring(F.coalesce(text, F.lit("")), 1, limit),
+    )
     rows = F.array_sort(F.collect_list(F.struct("idx", block.alias("block"))))  # at most a batch
-    return batch.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.concat(F.lit(intro), F.array_join(F.transform(rows, lambda r: r["block"]), "\n\n")).alias("prompt"))
+    return batch.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.concat(F.lit(intro), F.array_join(F.transform(rows, lambda r: r["block"]), "\n\n")).alias("prompt"),
+    )
 
 
 def json_window(text: Column) -> Column:
@@ -56,7 +66,11 @@ def entries(text: Column) -> Column:
     summary and tags have defaults; of sections of one title but for white space the first counts.
     """
     item = lambda x: F.struct(
-        x["title"].alias("title"), F.coalesce(x["summary"], F.lit("")).alias("summary"), _some(x["tags"], 5).alias("tags"), _some(x["related"], 3).alias("related"), F.coalesce(F.nullif(x["content"], F.lit("")), x["body"], F.lit("")).alias("body")
+        x["title"].alias("title"), F.coalesce(x["summary"], F.lit("")).alias("summary"), _some(x["tags"], 5).alias("tags"), _some(x["related"], 3).alias("related"), F.coalesce(
+            F.nullif(x["content"], F.lit("")),
+            x["body"],
+            F.lit(""),
+        ).alias("body")
     )
     parsed = F.transform(F.filter(F.from_json(json_window(text), ENTRY), lambda x: x["title"].isNotNull()), item)
     sections = F.filter(F.transform(F.split(F.regexp_replace(F.trim(text), r"\A---", ""), "\n---"), F.trim), lambda s: s != "")
@@ -64,7 +78,13 @@ def entries(text: Column) -> Column:
 
     def section(s: Column) -> Column:
         title = F.trim(F.regexp_extract(s, r"(?m)^\s*#+\s+(.+)$", 1))
-        return F.struct(title.alias("title"), F.concat(F.lit("about "), title).alias("summary"), F.array(F.lit("unsorted")).alias("tags"), none.alias("related"), s.alias("body"))
+        return F.struct(
+            title.alias("title"),
+            F.concat(F.lit("about "), title).alias("summary"),
+            F.array(F.lit("unsorted")).alias("tags"),
+            none.alias("related"),
+            s.alias("body"),
+        )
 
     def first_of_title(found: Column) -> Column:
         names = F.transform(found, lambda e: F.regexp_replace(e["title"], r"\s+", ""))

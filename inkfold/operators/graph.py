@@ -97,12 +97,16 @@ def with_isolated(degrees: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def graph_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``part, kind, n``: nodes by type and edges by relation."""
-    return nodes.groupBy(F.lit("node").alias("part"), F.col("type").alias("kind")).agg(F.count(F.lit(1)).alias("n")).unionByName(edges.groupBy(F.lit("edge").alias("part"), F.col("relation").alias("kind")).agg(F.count(F.lit(1)).alias("n")))
+    return nodes.groupBy(F.lit("node").alias("part"), F.col("type").alias("kind")).agg(F.count(F.lit(1)).alias("n")).unionByName(
+        edges.groupBy(F.lit("edge").alias("part"), F.col("relation").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
 def degrees(edges: DataFrame) -> DataFrame:
     """``id, n_in, n_out, degree``."""
-    ends = edges.select(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")).unionByName(edges.select(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))
+    ends = edges.select(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")).unionByName(
+        edges.select(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o"))
+    )
     return ends.groupBy("id").agg(F.sum("i").alias("n_in"), F.sum("o").alias("n_out"), F.count(F.lit(1)).alias("degree"))
 
 
@@ -118,14 +122,26 @@ def exact_degrees(posts: DataFrame, post: str, tags: str, position: str, others:
     """
     named = F.filter(F.coalesce(F.col(tags), F.array().cast("array<string>")), lambda t: t.isNotNull())
     distinct = F.transform(F.array_distinct(named), lambda t: F.xxhash64(t))
-    held = posts.select(F.col(post).alias("p"), F.col(position).alias("at"), distinct.alias("own"), (F.size(F.array_distinct(named)) < F.size(named)).alias("twice"))
+    held = posts.select(
+        F.col(post).alias("p"),
+        F.col(position).alias("at"),
+        distinct.alias("own"),
+        (F.size(F.array_distinct(named)) < F.size(named)).alias("twice"),
+    )
     each = held.select("p", "at", F.explode("own").alias("tag"))
     shared = each.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("tag")
     sets = durable(each.join(shared, "tag").groupBy("p", "at").agg(F.array_sort(F.collect_list("tag")).alias("own")))
 
     few = F.size("own") <= subsets_up_to
-    sets_of = lambda own: F.filter(F.aggregate(own, F.array(F.array().cast("array<bigint>")), lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t))))), lambda s: F.size(s) > 0)
-    key = lambda s: F.struct(F.xxhash64(s).alias("a"), F.xxhash64(F.lit(1), s).alias("b"), F.when(F.size(s) % 2 == 1, 1).otherwise(-1).alias("sign"))
+    sets_of = lambda own: F.filter(
+        F.aggregate(own, F.array(F.array().cast("array<bigint>")), lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t))))),
+        lambda s: F.size(s) > 0,
+    )
+    key = lambda s: F.struct(
+        F.xxhash64(s).alias("a"),
+        F.xxhash64(F.lit(1), s).alias("b"),
+        F.when(F.size(s) % 2 == 1, 1).otherwise(-1).alias("sign"),
+    )
     ask = lambda own: sets.where(few).select("p", "at", F.explode(F.transform(sets_of(own), key)).alias("s")).select("p", "at", "s.*")
     asked = ask("own")
     sizes = durable(asked.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
@@ -137,12 +153,25 @@ def exact_degrees(posts: DataFrame, post: str, tags: str, position: str, others:
     hot_tags = [r["tag"] for r in each.groupBy("tag").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("tag").collect()]
     warm = ask(F.array_intersect("own", F.array(*map(F.lit, hot_tags)).cast("array<bigint>"))).join(F.broadcast(hot), ["a", "b"])
     warm = running_before(warm, ["a", "b"], ["at"], F.lit(1), "before")
-    by_sets = cold.unionByName(warm).select(F.col("p").alias("id"), (F.col("sign") * F.col("before")).alias("i"), (F.col("sign") * (F.col("n") - 1 - F.col("before"))).alias("o"))
+    by_sets = cold.unionByName(warm).select(
+        F.col("p").alias("id"),
+        (F.col("sign") * F.col("before")).alias("i"),
+        (F.col("sign") * (F.col("n") - 1 - F.col("before"))).alias("o"),
+    )
 
     many = sets.where(~few).select("p", "at", F.explode("own").alias("tag"))
-    met = many.join(each.join(sets.where(few).select("p"), "p", "left_semi").select(F.col("p").alias("q"), F.col("at").alias("q_at"), "tag"), "tag").select("p", "at", "q", "q_at").distinct()
-    among = many.join(many.select(F.col("p").alias("q"), F.col("at").alias("q_at"), "tag"), "tag").where(F.col("at") < F.col("q_at")).select("p", "at", "q", "q_at").distinct()
-    met = met.select(F.when(F.col("at") < F.col("q_at"), F.col("p")).otherwise(F.col("q")).alias("src"), F.when(F.col("at") < F.col("q_at"), F.col("q")).otherwise(F.col("p")).alias("dst"))
+    met = many.join(
+        each.join(sets.where(few).select("p"), "p", "left_semi").select(F.col("p").alias("q"), F.col("at").alias("q_at"), "tag"),
+        "tag",
+    ).select("p", "at", "q", "q_at").distinct()
+    among = many.join(
+        many.select(F.col("p").alias("q"), F.col("at").alias("q_at"), "tag"),
+        "tag",
+    ).where(F.col("at") < F.col("q_at")).select("p", "at", "q", "q_at").distinct()
+    met = met.select(
+        F.when(F.col("at") < F.col("q_at"), F.col("p")).otherwise(F.col("q")).alias("src"),
+        F.when(F.col("at") < F.col("q_at"), F.col("q")).otherwise(F.col("p")).alias("dst"),
+    )
     met = met.unionByName(among.select(F.col("p").alias("src"), F.col("q").alias("dst")))
 
     selves = held.where("twice").select(F.col("p").alias("id"), F.lit(1).alias("i"), F.lit(1).alias("o"))
@@ -150,10 +179,16 @@ def exact_degrees(posts: DataFrame, post: str, tags: str, position: str, others:
     # only edges between posts can also be links by a tag
     between = durable(pairs.join(held.select(F.col("p").alias("dst")), "dst", "left_semi").join(held.select(F.col("p").alias("src")), "src", "left_semi"))
     left, right = (held.select(F.col("p").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("at", "own", "twice"))) for c in ("src", "dst"))
-    twofold = between.join(left, "src").join(right, "dst").where(F.when(F.col("src") == F.col("dst"), F.col("src_twice")).otherwise((F.col("src_at") < F.col("dst_at")) & F.arrays_overlap("src_own", "dst_own")))
+    twofold = between.join(left, "src").join(right, "dst").where(
+        F.when(F.col("src") == F.col("dst"), F.col("src_twice")).otherwise(
+            (F.col("src_at") < F.col("dst_at")) & F.arrays_overlap("src_own", "dst_own")
+        )
+    )
 
     def ends_of(df: DataFrame, n: int) -> DataFrame:
-        return df.select(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(n).alias("o")).unionByName(df.select(F.col("dst").alias("id"), F.lit(n).alias("i"), F.lit(0).alias("o")))
+        return df.select(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(n).alias("o")).unionByName(
+            df.select(F.col("dst").alias("id"), F.lit(n).alias("i"), F.lit(0).alias("o"))
+        )
 
     every = by_sets.unionByName(selves).unionByName(ends_of(met, 1)).unionByName(ends_of(pairs, 1)).unionByName(ends_of(twofold, -1))
     summed = every.groupBy("id").agg(F.sum("i").alias("n_in"), F.sum("o").alias("n_out"))
@@ -166,7 +201,11 @@ def related(doc_keywords: DataFrame, *, top: int = 4) -> DataFrame:
     ``doc_keywords(doc, pos, kw)`` are settings, a few keywords of a few documents; ties go by ``pos`` of the other.
     """
     a, b = doc_keywords.select("doc", "kw").distinct(), doc_keywords.select(F.col("doc").alias("other"), F.col("pos").alias("other_pos"), "kw").distinct()
-    shared = a.join(b, "kw").where(F.col("doc") != F.col("other")).groupBy("doc", "other").agg(F.count(F.lit(1)).alias("score"), F.array_sort(F.collect_set("kw")).alias("common"), F.min("other_pos").alias("other_pos"))
+    shared = a.join(b, "kw").where(F.col("doc") != F.col("other")).groupBy("doc", "other").agg(
+        F.count(F.lit(1)).alias("score"),
+        F.array_sort(F.collect_set("kw")).alias("common"),
+        F.min("other_pos").alias("other_pos"),
+    )
     place = F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("score"), "other_pos"))
     return shared.withColumn("rank", place.cast("bigint")).where(F.col("rank") <= top).select("doc", "other", "score", "common", "rank")
 

@@ -76,7 +76,10 @@ def _changes(step: Increment, buckets: int) -> DataFrame | None:
     rows = reduce(DataFrame.unionByName, parts)
     if step.withdrawn is not None:  # what was stored before the last withdrawal is not stored
         gone = parts[-1].groupBy(*_KEY).agg(F.max("gone_at").alias("__gone"))
-        rows = rows.join(gone, _KEY, "left").withColumn("first_seen", F.when(F.col("__gone").isNull() | (F.col("first_seen") > F.col("__gone")), F.col("first_seen"))).drop("__gone")
+        rows = rows.join(gone, _KEY, "left").withColumn(
+            "first_seen",
+            F.when(F.col("__gone").isNull() | (F.col("first_seen") > F.col("__gone")), F.col("first_seen")),
+        ).drop("__gone")
     merged = rows.groupBy(*_KEY).agg(F.min("first_seen").alias("first_seen"), F.max("removed").alias("removed"), F.max("gone_at").alias("gone_at"))
     return merged.withColumn("bucket", _bucket(buckets))
 
@@ -140,7 +143,11 @@ class OrphanStore:
             old = self._read("parents", PARENTS, moved)
             if increment.withdrawn is not None:
                 old = old.join(changed.where(F.col("gone_at").isNotNull()).select(*_KEY, "gone_at"), _KEY, "left")
-                old = old.select(*_KEY, F.when(F.col("gone_at").isNull() | (F.col("first_seen") > F.col("gone_at")), F.col("first_seen")).alias("first_seen"), "removed")
+                old = old.select(
+                    *_KEY,
+                    F.when(F.col("gone_at").isNull() | (F.col("first_seen") > F.col("gone_at")), F.col("first_seen")).alias("first_seen"),
+                    "removed",
+                )
             every = old.unionByName(changed.select(*_KEY, "first_seen", "removed"))
             folder = self._write(every.groupBy(*_KEY).agg(F.min("first_seen").alias("first_seen"), F.max("removed").alias("removed")))
             replaced += self._replace("parents", folder, moved)
@@ -177,10 +184,30 @@ def _targets(df: DataFrame, at: str, name: str) -> DataFrame:
 
 def post_increment(posts: DataFrame, removed_posts: DataFrame, post_index: DataFrame, analysis_results: DataFrame) -> Increment:
     """The four tables as one increment; slices of them make smaller ones. Columns beyond those used are ignored."""
-    listed = F.array(*(F.struct(F.lit(field).alias("field_name"), F.lit(kind).alias("key_kind"), key(F.col(field)).alias("ref_key")) for field, kind, key in _FIELDS))
-    index = post_index.select(F.lit("post_index").alias("table_name"), F.col("index_row").alias("row_id"), instant(F.col("indexed_at")).alias("ref_at"), F.explode(listed).alias("p"))
+    listed = F.array(
+        *(
+            F.struct(
+                F.lit(field).alias("field_name"),
+                F.lit(kind).alias("key_kind"),
+                key(F.col(field)).alias("ref_key"),
+            ) for field, kind, key in _FIELDS
+        )
+    )
+    index = post_index.select(
+        F.lit("post_index").alias("table_name"),
+        F.col("index_row").alias("row_id"),
+        instant(F.col("indexed_at")).alias("ref_at"),
+        F.explode(listed).alias("p"),
+    )
     index = index.select("table_name", "row_id", "p.*", "ref_at")
-    results = analysis_results.select(F.lit("analysis_results").alias("table_name"), F.col("result_id").alias("row_id"), F.lit("_source_file").alias("field_name"), F.lit("file").alias("key_kind"), file_key(F.col("_source_file")).alias("ref_key"), instant(F.col("analyzed_at")).alias("ref_at"))
+    results = analysis_results.select(
+        F.lit("analysis_results").alias("table_name"),
+        F.col("result_id").alias("row_id"),
+        F.lit("_source_file").alias("field_name"),
+        F.lit("file").alias("key_kind"),
+        file_key(F.col("_source_file")).alias("ref_key"),
+        instant(F.col("analyzed_at")).alias("ref_at"),
+    )
     return Increment(_targets(posts, "fetched_at", "seen_at"), _targets(removed_posts, "removed_at", "removed_at"), None, index.unionByName(results))
 
 
@@ -217,5 +244,12 @@ def in_periods(whole: Increment, periods: int) -> list[Increment]:
         upto = F.col("second") <= ends[k] if k < periods - 1 else F.lit(True)
         own = staged.where((after & upto) if k else (F.col("second").isNull() | upto))
         part = lambda what: own.where(F.col("what") == what)  # noqa: B023, E731
-        out.append(Increment(part("stored").select(*_KEY, F.col("at").alias("seen_at")), part("removed").select(*_KEY), None, part("reference").select("table_name", "row_id", "field_name", *_KEY, F.col("at").alias("ref_at"))))
+        out.append(
+            Increment(
+                part("stored").select(*_KEY, F.col("at").alias("seen_at")),
+                part("removed").select(*_KEY),
+                None,
+                part("reference").select("table_name", "row_id", "field_name", *_KEY, F.col("at").alias("ref_at")),
+            )
+        )
     return out

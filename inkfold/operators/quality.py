@@ -60,7 +60,12 @@ def counts_of(df: DataFrame, label: str, labels: tuple[str, ...]) -> DataFrame:
     """One row: ``total_files``, a count per label, the valid share in percent and a status."""
     valid = F.count_if(F.col(label) == "valid")
     total = F.count(F.lit(1))
-    return df.agg(total.alias("total_files"), *(F.count_if(F.col(label) == x).alias(f"{x}_count") for x in labels), percent(valid, total).alias("quality_percent"), F.when(valid == total, "ok").otherwise("degraded").alias("status"))
+    return df.agg(
+        total.alias("total_files"),
+        *(F.count_if(F.col(label) == x).alias(f"{x}_count") for x in labels),
+        percent(valid, total).alias("quality_percent"),
+        F.when(valid == total, "ok").otherwise("degraded").alias("status"),
+    )
 
 
 def integrity_counts(df: DataFrame, issue: str) -> DataFrame:
@@ -83,19 +88,42 @@ def full_report(quantity: DataFrame, content: DataFrame, integrity: DataFrame) -
     whole = lambda df, name: df.select(F.struct(*df.columns).alias(name))
     parts = whole(quantity, "quantity").join(whole(content, "content_quality")).join(whole(integrity, "file_integrity"))  # one row each
     ok = (F.col("quantity.status") == "ok") & (F.col("content_quality.status") == "ok") & (F.col("file_integrity.status") == "ok")
-    todo = advice(*map(F.col, ("quantity.n_missing", "quantity.n_extra", "quantity.completeness_percent", "content_quality.short_content_count", "content_quality.missing_title_count", "file_integrity.corrupted_count")))
+    todo = advice(
+        *map(
+            F.col,
+            (
+                "quantity.n_missing",
+                "quantity.n_extra",
+                "quantity.completeness_percent",
+                "content_quality.short_content_count",
+                "content_quality.missing_title_count",
+                "file_integrity.corrupted_count",
+            ),
+        )
+    )
     return parts.select("*", F.when(ok, "ok").otherwise("issues_found").alias("overall_status"), todo.alias("recommendations"))
 
 
 def length_stats(df: DataFrame, length: str) -> DataFrame:
     """One row: floor of the mean, least and most of the lengths above 0; 0 where there are none."""
     some = df.where(F.col(length) > 0)
-    return some.agg(*(F.coalesce(x.cast("bigint"), F.lit(0)).alias(n) for n, x in (("avg_length", F.floor(F.sum(length) / F.count(length))), ("min_length", F.min(length)), ("max_length", F.max(length)))))
+    return some.agg(
+        *(
+            F.coalesce(x.cast("bigint"), F.lit(0)).alias(n) for n, x in (
+                ("avg_length", F.floor(F.sum(length) / F.count(length))),
+                ("min_length", F.min(length)),
+                ("max_length", F.max(length)),
+            )
+        )
+    )
 
 
 def band(completeness: Column) -> Column:
     """Status of a completeness in percent."""
-    return F.when(completeness >= 100, "complete").when(completeness >= 99, "nearly complete").when(completeness >= 90, "incomplete").otherwise("badly incomplete")
+    return F.when(completeness >= 100, "complete").when(
+        completeness >= 99,
+        "nearly complete",
+    ).when(completeness >= 90, "incomplete").otherwise("badly incomplete")
 
 
 def completeness(got: Column, wanted: Column) -> Column:

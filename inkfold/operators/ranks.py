@@ -37,7 +37,12 @@ def running_before(df: DataFrame, by: list[str], order: list[str], value: Column
     what the blocks before hold.
     """
     cols = [*by, *order]
-    placed = durable(df.withColumn("__value", F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))).repartitionByRange(*map(F.col, cols)).withColumn("__part", F.spark_partition_id()))
+    placed = durable(
+        df.withColumn(
+            "__value",
+            F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint")),
+        ).repartitionByRange(*map(F.col, cols)).withColumn("__part", F.spark_partition_id())
+    )
     blocks = placed.groupBy(*by, "__part").agg(F.sum("__value").alias("__sum"))
     earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     marks = [F.col(c).alias(f"__by{i}") for i, c in enumerate(by)]

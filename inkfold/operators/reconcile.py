@@ -38,8 +38,16 @@ def reconcile(listed: DataFrame, stored: DataFrame, key: str, *, sample: int = 5
     keys = listed.select(key, F.lit(1).alias("l"), F.lit(0).alias("s")).unionByName(stored.select(key, F.lit(0).alias("l"), F.lit(1).alias("s")))
     each = keys.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("l").alias("l"), F.max("s").alias("s"))
     only = lambda side, other: F.when((F.col(side) == 1) & (F.col(other) == 0), F.col(key))
-    total = each.agg(F.coalesce(F.sum("l"), F.lit(0)).alias("n_listed"), F.coalesce(F.sum("s"), F.lit(0)).alias("n_stored"), F.coalesce(F.sum(F.col("l") * F.col("s")), F.lit(0)).alias("n_matched"))
-    firsts = [each.select(only(a, b).alias("k")).where(F.col("k").isNotNull()).orderBy("k").limit(sample).agg(F.array_sort(F.collect_list("k")).alias(n)) for a, b, n in (("l", "s", "missing"), ("s", "l", "extra"))]
+    total = each.agg(
+        F.coalesce(F.sum("l"), F.lit(0)).alias("n_listed"),
+        F.coalesce(F.sum("s"), F.lit(0)).alias("n_stored"),
+        F.coalesce(F.sum(F.col("l") * F.col("s")), F.lit(0)).alias("n_matched"),
+    )
+    firsts = [
+        each.select(only(a, b).alias("k")).where(F.col("k").isNotNull()).orderBy("k").limit(sample).agg(
+            F.array_sort(F.collect_list("k")).alias(n)
+        ) for a, b, n in (("l", "s", "missing"), ("s", "l", "extra"))
+    ]
     out = total.withColumn("n_missing", F.col("n_listed") - F.col("n_matched")).withColumn("n_extra", F.col("n_stored") - F.col("n_matched"))
     share = F.coalesce(F.col("n_matched") * F.lit(100.0) / F.nullif(F.col("n_listed"), F.lit(0)), F.lit(0.0))
     out = out.select("*", share.alias("completeness_percent"), F.when(F.col("n_missing") == 0, "ok").otherwise("incomplete").alias("status"))
@@ -52,7 +60,14 @@ def count_check(got: DataFrame, wanted: DataFrame) -> DataFrame:
     """One row: rows of both tables, difference, completeness to one decimal, band and status."""
     both = got.agg(F.count(F.lit(1)).alias("n_got")).join(wanted.agg(F.count(F.lit(1)).alias("n_wanted")))  # one row each
     share = completeness(F.col("n_got"), F.col("n_wanted"))
-    return both.select("n_got", "n_wanted", F.abs(F.col("n_got") - F.col("n_wanted")).alias("difference"), round1(share).alias("completeness_percent"), band(share).alias("band"), F.when(share >= 99, "ok").otherwise("incomplete").alias("status"))
+    return both.select(
+        "n_got",
+        "n_wanted",
+        F.abs(F.col("n_got") - F.col("n_wanted")).alias("difference"),
+        round1(share).alias("completeness_percent"),
+        band(share).alias("band"),
+        F.when(share >= 99, "ok").otherwise("incomplete").alias("status"),
+    )
 
 
 def merge_new(known: DataFrame, found: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -109,5 +124,15 @@ def index_row(df: DataFrame, extra: dict[str, Column] | None = None) -> DataFram
     """Posts as rows of an index: date cut from the time, number of images, '' and empty lists for nulls."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     published = F.coalesce("published_at", F.lit(""))
-    base = df.select(text("id"), text("title"), published.alias("published_at"), F.substring(published, 1, 10).alias("published_date"), F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), F.greatest(F.coalesce(F.size("images"), F.lit(0)), F.lit(0)).cast("bigint").alias("images_count"), text("filename"), text("source_url"), *(c.alias(n) for n, c in (extra or {}).items()))
+    base = df.select(
+        text("id"),
+        text("title"),
+        published.alias("published_at"),
+        F.substring(published, 1, 10).alias("published_date"),
+        F.coalesce("tags", F.array().cast("array<string>")).alias("tags"),
+        F.greatest(F.coalesce(F.size("images"), F.lit(0)), F.lit(0)).cast("bigint").alias("images_count"),
+        text("filename"),
+        text("source_url"),
+        *(c.alias(n) for n, c in (extra or {}).items()),
+    )
     return base

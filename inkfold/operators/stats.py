@@ -20,11 +20,33 @@ def date_report(df: DataFrame, date: str, length: str) -> DataFrame:
     An empty table gives a total of 0, null dates and empty maps.
     """
     dated = df.where(F.col(date) != "")
-    months = dated.groupBy(F.substring(date, 1, 4).alias("y"), F.substring(date, 1, 7).alias("m")).agg(F.count(F.lit(1)).alias("n"), F.sum(length).alias("chars"), F.min(date).alias("lo"), F.max(date).alias("hi"))
-    month = F.struct(F.col("m").alias("month"), F.col("n").alias("n"), F.coalesce(F.floor(F.col("chars") / F.col("n")), F.lit(0)).cast("bigint").alias("avg_length"))
+    months = dated.groupBy(F.substring(date, 1, 4).alias("y"), F.substring(date, 1, 7).alias("m")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(length).alias("chars"),
+        F.min(date).alias("lo"),
+        F.max(date).alias("hi"),
+    )
+    month = F.struct(
+        F.col("m").alias("month"),
+        F.col("n").alias("n"),
+        F.coalesce(F.floor(F.col("chars") / F.col("n")), F.lit(0)).cast("bigint").alias("avg_length"),
+    )
     years = F.array_sort(F.collect_list(F.struct("y", "n")))
-    rolled = F.aggregate(years, F.create_map().cast("map<string,bigint>"), lambda m, x: F.map_concat(F.map_filter(m, lambda k, _: k != x["y"]), F.create_map(x["y"], F.coalesce(F.try_element_at(m, x["y"]), F.lit(0)) + x["n"])))
-    return months.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.min("lo").alias("earliest"), F.max("hi").alias("latest"), rolled.alias("years"), F.array_sort(F.collect_list(month)).alias("months"))
+    rolled = F.aggregate(
+        years,
+        F.create_map().cast("map<string,bigint>"),
+        lambda m, x: F.map_concat(
+            F.map_filter(m, lambda k, _: k != x["y"]),
+            F.create_map(x["y"], F.coalesce(F.try_element_at(m, x["y"]), F.lit(0)) + x["n"]),
+        ),
+    )
+    return months.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.min("lo").alias("earliest"),
+        F.max("hi").alias("latest"),
+        rolled.alias("years"),
+        F.array_sort(F.collect_list(month)).alias("months"),
+    )
 
 
 def latest(counts: DataFrame, key: str, n: int) -> DataFrame:
@@ -43,7 +65,11 @@ def tag_maps(counts: DataFrame, *, top: int = 20, most: int = 50) -> DataFrame:
     first = counts.orderBy(F.desc("n"), "first_at").limit(most)
     pair = F.struct((-F.col("n")).alias("k"), "first_at", F.struct("item", "n").alias("p"))
     listed = first.agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["p"]).alias("__all"))  # at most ``most``
-    return total.join(listed).select("total_tags", F.slice("__all", 1, top).alias("top_tags"), F.map_from_entries("__all").alias("tags_distribution"))  # one row each
+    return total.join(listed).select(
+        "total_tags",
+        F.slice("__all", 1, top).alias("top_tags"),
+        F.map_from_entries("__all").alias("tags_distribution"),
+    )  # one row each
 
 
 def list_counts(df: DataFrame, items: str, order: list[str], *, top: int | None = None, name: str = "item") -> DataFrame:
@@ -68,7 +94,14 @@ def token_counts(tokens: Column) -> Column:
     def counted(own: Column) -> Column:
         places = F.when(F.size(own) > 0, F.sequence(F.lit(1), F.size(own))).otherwise(F.array().cast("array<int>"))
         begins = F.filter(places, lambda k: (k == 1) | (F.get(own, k - 1)["w"] != F.get(own, k - 2)["w"]))
-        of = lambda b: F.transform(b, lambda k, j: F.struct((k - F.coalesce(F.get(b, j + 1), F.size(own) + 1)).alias("most"), F.get(own, k - 1)["i"].alias("at"), F.get(own, k - 1)["w"].alias("keyword")))
+        of = lambda b: F.transform(
+            b,
+            lambda k, j: F.struct(
+                (k - F.coalesce(F.get(b, j + 1), F.size(own) + 1)).alias("most"),
+                F.get(own, k - 1)["i"].alias("at"),
+                F.get(own, k - 1)["w"].alias("keyword"),
+            ),
+        )
         return let(begins, of)
 
     return let(placed, counted)
@@ -78,7 +111,12 @@ def keywords(df: DataFrame, keep: list[str], tokens: Column, top: int = 10) -> D
     """The ``top`` most frequent tokens of each row, ties in order of first place: ``keep..., keyword, n, rank``. No shuffle."""
     best = F.slice(F.array_sort(token_counts(tokens)), 1, top)
     ranked = df.select(*keep, F.posexplode(best).alias("__at", "__best"))
-    return ranked.select(*keep, F.col("__best.keyword").alias("keyword"), (-F.col("__best.most")).cast("bigint").alias("n"), (F.col("__at") + 1).cast("bigint").alias("rank"))
+    return ranked.select(
+        *keep,
+        F.col("__best.keyword").alias("keyword"),
+        (-F.col("__best.most")).cast("bigint").alias("n"),
+        (F.col("__at") + 1).cast("bigint").alias("rank"),
+    )
 
 
 def chart(counts: DataFrame, key: str, per: int, width: int) -> DataFrame:

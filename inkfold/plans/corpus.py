@@ -44,7 +44,9 @@ def date_range(spark: SparkSession, d: str) -> DataFrame:
     return _report(spark, d).select("total", "earliest", "latest")
 
 
-@query("SELECT substr(published_at, 1, 7) AS month, count(*) AS n, CAST(sum(coalesce(length(body), 0)) // count(*) AS BIGINT) AS avg_length FROM posts WHERE published_at <> '' GROUP BY 1")
+@query(
+    "SELECT substr(published_at, 1, 7) AS month, count(*) AS n, CAST(sum(coalesce(length(body), 0)) // count(*) AS BIGINT) AS avg_length FROM posts WHERE published_at <> '' GROUP BY 1"
+)
 def date_months(spark: SparkSession, d: str) -> DataFrame:
     return _report(spark, d).select(F.explode("months").alias("m")).select("m.*")
 
@@ -63,24 +65,32 @@ def year_chart(spark: SparkSession, d: str) -> DataFrame:
 _TAGS = "SELECT post_row, unnest(tags) AS item, generate_subscripts(tags, 1) AS pos FROM posts"
 
 
-@query(f"SELECT item, n FROM (SELECT item, count(*) AS n, min((post_row, pos)) AS f FROM ({_TAGS}) WHERE item IS NOT NULL GROUP BY 1) ORDER BY n DESC, f LIMIT 20")
+@query(
+    f"SELECT item, n FROM (SELECT item, count(*) AS n, min((post_row, pos)) AS f FROM ({_TAGS}) WHERE item IS NOT NULL GROUP BY 1) ORDER BY n DESC, f LIMIT 20"
+)
 def tag_top20(spark: SparkSession, d: str) -> DataFrame:
     return stats.list_counts(table(spark, d, "posts"), "tags", ["post_row"], top=20).select("item", "n")
 
 
-@query("SELECT count(DISTINCT item) AS n_tags, count(*) AS n_uses, (SELECT CAST(sum(images_count) AS BIGINT) FROM posts) AS n_images FROM (SELECT unnest(tags) AS item FROM posts) WHERE item IS NOT NULL")
+@query(
+    "SELECT count(DISTINCT item) AS n_tags, count(*) AS n_uses, (SELECT CAST(sum(images_count) AS BIGINT) FROM posts) AS n_images FROM (SELECT unnest(tags) AS item FROM posts) WHERE item IS NOT NULL"
+)
 def tag_stats(spark: SparkSession, d: str) -> DataFrame:
     posts = table(spark, d, "posts")
     tags = posts.select(F.explode("tags").alias("item")).where(F.col("item").isNotNull()).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     return tags.agg(F.count(F.lit(1)).alias("n_tags"), F.sum("n").alias("n_uses")).join(posts.agg(F.sum("images_count").alias("n_images")))  # one row each
 
 
-@query("SELECT concept, n FROM (SELECT concept, count(*) AS n, min((result_id, pos)) AS f FROM (SELECT result_id, unnest(concepts) AS concept, generate_subscripts(concepts, 1) AS pos FROM analysis_results) WHERE concept IS NOT NULL GROUP BY 1) ORDER BY n DESC, f LIMIT 10")
+@query(
+    "SELECT concept, n FROM (SELECT concept, count(*) AS n, min((result_id, pos)) AS f FROM (SELECT result_id, unnest(concepts) AS concept, generate_subscripts(concepts, 1) AS pos FROM analysis_results) WHERE concept IS NOT NULL GROUP BY 1) ORDER BY n DESC, f LIMIT 10"
+)
 def concept_top10(spark: SparkSession, d: str) -> DataFrame:
     return stats.list_counts(table(spark, d, "analysis_results"), "concepts", ["result_id"], top=10, name="concept").select("concept", "n")
 
 
-@query("SELECT CAST(sum(l) // count(l) AS BIGINT) AS avg_length, CAST(min(l) AS BIGINT) AS min_length, CAST(max(l) AS BIGINT) AS max_length FROM (SELECT length(body) AS l FROM posts WHERE length(body) > 0)")
+@query(
+    "SELECT CAST(sum(l) // count(l) AS BIGINT) AS avg_length, CAST(min(l) AS BIGINT) AS min_length, CAST(max(l) AS BIGINT) AS max_length FROM (SELECT length(body) AS l FROM posts WHERE length(body) > 0)"
+)
 def length_stats(spark: SparkSession, d: str) -> DataFrame:
     return quality.length_stats(table(spark, d, "posts").select(F.length("body").alias("l")), "l")
 
@@ -163,7 +173,12 @@ SELECT post_row, CASE WHEN len(m) > 0 THEN 'missing ' || array_to_string(m, ' ')
 )
 def integrity_issues(spark: SparkSession, d: str) -> DataFrame:
     keys = ("author_uid", "author_name", "published_at")
-    lines = [F.concat(F.lit("id: "), "id"), *(F.concat(F.lit(f"{k}: "), k) for k in keys), F.concat(F.lit("source_url: "), "source_url"), F.when(F.col("tags").isNotNull(), F.concat(F.lit("tags: "), F.array_join("tags", ",")))]
+    lines = [
+        F.concat(F.lit("id: "), "id"),
+        *(F.concat(F.lit(f"{k}: "), k) for k in keys),
+        F.concat(F.lit("source_url: "), "source_url"),
+        F.when(F.col("tags").isNotNull(), F.concat(F.lit("tags: "), F.array_join("tags", ","))),
+    ]
     return table(spark, d, "posts").select("post_row", quality.integrity_issue(F.concat_ws("\n", *lines)).alias("issue"))
 
 
@@ -232,13 +247,17 @@ def posts_not_analysed(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.missing(table(spark, d, "posts").select("post_row", "filename"), done, "filename").select("post_row")
 
 
-@query("SELECT result_id, _source_file FROM analysis_results WHERE ends_with(_source_file, '.md') QUALIFY row_number() OVER (PARTITION BY _source_file ORDER BY result_id) = 1")
+@query(
+    "SELECT result_id, _source_file FROM analysis_results WHERE ends_with(_source_file, '.md') QUALIFY row_number() OVER (PARTITION BY _source_file ORDER BY result_id) = 1"
+)
 def keep_first_results(spark: SparkSession, d: str) -> DataFrame:
     results = table(spark, d, "analysis_results").select("result_id", "_source_file").where(F.col("_source_file").endswith(".md"))
     return reconcile.keep_first(results, ["_source_file"], ["result_id"])
 
 
-@query("""SELECT i.index_row, coalesce(p.body, i.title) AS text FROM post_index i LEFT JOIN (SELECT id, body FROM posts QUALIFY row_number() OVER (PARTITION BY id ORDER BY post_row) = 1) p USING (id)""")
+@query(
+    """SELECT i.index_row, coalesce(p.body, i.title) AS text FROM post_index i LEFT JOIN (SELECT id, body FROM posts QUALIFY row_number() OVER (PARTITION BY id ORDER BY post_row) = 1) p USING (id)"""
+)
 def index_with_text(spark: SparkSession, d: str) -> DataFrame:
     posts = reconcile.keep_first(table(spark, d, "posts").select("post_row", "id", "body"), ["id"], ["post_row"])
     return reconcile.with_text(table(spark, d, "post_index").select("index_row", "id", "title"), posts, "id", "body", "title").select("index_row", "text")
@@ -251,7 +270,9 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.page_counts(table(spark, d, "post_index").where(F.col("author_uid").isNotNull()), ["author_uid"])
 
 
-@query(_PAGES + " SELECT max(page) AS last_page, arg_max(n, page) AS last_count, (max(page) - 1) * 50 + arg_max(n, page) AS estimated_total FROM (SELECT page, CAST(sum(n) AS BIGINT) AS n FROM pages GROUP BY 1)")
+@query(
+    _PAGES + " SELECT max(page) AS last_page, arg_max(n, page) AS last_count, (max(page) - 1) * 50 + arg_max(n, page) AS estimated_total FROM (SELECT page, CAST(sum(n) AS BIGINT) AS n FROM pages GROUP BY 1)"
+)
 def estimated_total(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.estimated_total(_pages(spark, d).groupBy("page").agg(F.sum("n").alias("n")))
 
@@ -261,7 +282,9 @@ def stop_pages(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.stop_page(_pages(spark, d), ["author_uid"])
 
 
-@query("""SELECT coalesce(id, '') AS id, coalesce(title, '') AS title, coalesce(published_at, '') AS published_at, substr(coalesce(published_at, ''), 1, 10) AS published_date, coalesce(tags, []) AS tags, CAST(coalesce(len(images), 0) AS BIGINT) AS images_count, coalesce(filename, '') AS filename, coalesce(source_url, '') AS source_url, post_row FROM posts""")
+@query(
+    """SELECT coalesce(id, '') AS id, coalesce(title, '') AS title, coalesce(published_at, '') AS published_at, substr(coalesce(published_at, ''), 1, 10) AS published_date, coalesce(tags, []) AS tags, CAST(coalesce(len(images), 0) AS BIGINT) AS images_count, coalesce(filename, '') AS filename, coalesce(source_url, '') AS source_url, post_row FROM posts"""
+)
 def index_rows(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.index_row(table(spark, d, "posts"), {"post_row": F.col("post_row")})
 
@@ -284,7 +307,14 @@ CASE WHEN starts_with(source_url, '//') THEN 'http:' || source_url WHEN starts_w
 def post_names(spark: SparkSession, d: str) -> DataFrame:
     title = F.coalesce("title", F.lit(""))
     url = F.col("source_url")
-    return table(spark, d, "posts").select("post_row", text.url_id(F.coalesce(url, F.lit(""))).alias("url_id"), text.md5_name(url, F.col("id")).alias("file_name"), text.collapse(title).alias("title"), text.safe_title(title).alias("safe_title"), text.absolute_url(url, "host.example").alias("url"))
+    return table(spark, d, "posts").select(
+        "post_row",
+        text.url_id(F.coalesce(url, F.lit(""))).alias("url_id"),
+        text.md5_name(url, F.col("id")).alias("file_name"),
+        text.collapse(title).alias("title"),
+        text.safe_title(title).alias("safe_title"),
+        text.absolute_url(url, "host.example").alias("url"),
+    )
 
 
 @query(
@@ -301,7 +331,11 @@ def title_slugs(spark: SparkSession, d: str) -> DataFrame:
 SELECT index_row, CASE WHEN k = 0 THEN t ELSE t || '_' || k END || '.md' AS file_name FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY index_row) - 1 AS k FROM named)"""
 )
 def numbered_names(spark: SparkSession, d: str) -> DataFrame:
-    return batching.numbered_names(table(spark, d, "post_index").select("index_row", F.coalesce("title", F.lit("")).alias("t")), "t", ["index_row"]).select("index_row", "file_name")
+    return batching.numbered_names(
+        table(spark, d, "post_index").select("index_row", F.coalesce("title", F.lit("")).alias("t")),
+        "t",
+        ["index_row"],
+    ).select("index_row", "file_name")
 
 
 @query(
@@ -311,7 +345,12 @@ def numbered_names(spark: SparkSession, d: str) -> DataFrame:
 )
 def body_texts(spark: SparkSession, d: str) -> DataFrame:
     body = F.col("body")
-    return table(spark, d, "posts").where(body.isNotNull()).select("post_row", text.without_marks(body).alias("bare"), text.summary_line(body).alias("line"), text.first_heading(body).alias("heading"))
+    return table(spark, d, "posts").where(body.isNotNull()).select(
+        "post_row",
+        text.without_marks(body).alias("bare"),
+        text.summary_line(body).alias("line"),
+        text.first_heading(body).alias("heading"),
+    )
 
 
 # Front matter
@@ -319,13 +358,17 @@ def body_texts(spark: SparkSession, d: str) -> DataFrame:
 _PARTS = "SELECT doc_id, string_split(text, '---' || chr(10)) AS p FROM documents"
 
 
-@query(f"""SELECT doc_id, array_to_string(list_slice(p, 3, len(p)), chr(10)) AS body, {_strip("regexp_extract(p[2], '(?m)^author_uid\\s*:(.*)$', 1)")} AS author_uid FROM ({_PARTS}) WHERE len(p) >= 3""")
+@query(
+    f"""SELECT doc_id, array_to_string(list_slice(p, 3, len(p)), chr(10)) AS body, {_strip("regexp_extract(p[2], '(?m)^author_uid\\s*:(.*)$', 1)")} AS author_uid FROM ({_PARTS}) WHERE len(p) >= 3"""
+)
 def front_matter_fences(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "documents").select("doc_id", frontmatter.split_fences(F.col("text")).alias("p")).where(F.col("p").isNotNull())
     return part.select("doc_id", "p.body", F.coalesce(F.try_element_at("p.meta", F.lit("author_uid")), F.lit("")).alias("author_uid"))
 
 
-@query(f"""SELECT doc_id, {_strip("CASE WHEN regexp_matches(text, '(?s)^---\\n.*?\\n---') THEN regexp_replace(text, '(?s)^---\\n.*?\\n---', '') ELSE text END")} AS body, regexp_matches(text, '(?s)^---\\n.*?\\n---') AS has_block FROM documents WHERE text IS NOT NULL""")
+@query(
+    f"""SELECT doc_id, {_strip("CASE WHEN regexp_matches(text, '(?s)^---\\n.*?\\n---') THEN regexp_replace(text, '(?s)^---\\n.*?\\n---', '') ELSE text END")} AS body, regexp_matches(text, '(?s)^---\\n.*?\\n---') AS has_block FROM documents WHERE text IS NOT NULL"""
+)
 def front_matter_anchored(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where(F.col("text").isNotNull())
     return docs.select("doc_id", frontmatter.anchored(F.col("text"))["body"].alias("body"), F.col("text").rlike(r"(?s)\A---\n.*?\n---").alias("has_block"))
@@ -335,11 +378,22 @@ _LIMITED = "SELECT doc_id, text, text LIKE '---%---%' AS has, regexp_extract(tex
 _BODY = f"CASE WHEN has THEN {_strip('rest')} ELSE {_strip('text')} END"
 
 
-@query(f"SELECT doc_id, {_BODY} AS body, coalesce({_strip("regexp_extract(block, '(?m)^author_uid\\s*:(.*)$', 1)")}, '') AS author_uid, substr({_BODY}, 1, 2000) AS start FROM ({_LIMITED}) WHERE has")
+@query(
+    f"SELECT doc_id, {_BODY} AS body, coalesce({_strip("regexp_extract(block, '(?m)^author_uid\\s*:(.*)$', 1)")}, '') AS author_uid, substr({_BODY}, 1, 2000) AS start FROM ({_LIMITED}) WHERE has"
+)
 def front_matter_limited(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where(F.col("text").isNotNull())
-    part = docs.select("doc_id", frontmatter.limited(F.col("text")).alias("p"), (F.col("text").startswith("---") & (F.size(F.split("text", "---", 3)) >= 3)).alias("has")).where("has")
-    return part.select("doc_id", "p.body", F.coalesce(F.try_element_at("p.meta", F.lit("author_uid")), F.lit("")).alias("author_uid"), F.substring("p.body", 1, 2000).alias("start"))
+    part = docs.select(
+        "doc_id",
+        frontmatter.limited(F.col("text")).alias("p"),
+        (F.col("text").startswith("---") & (F.size(F.split("text", "---", 3)) >= 3)).alias("has"),
+    ).where("has")
+    return part.select(
+        "doc_id",
+        "p.body",
+        F.coalesce(F.try_element_at("p.meta", F.lit("author_uid")), F.lit("")).alias("author_uid"),
+        F.substring("p.body", 1, 2000).alias("start"),
+    )
 
 
 @query(
@@ -359,17 +413,33 @@ _HTML = """'<html><title> ' || coalesce(title, '') || ' </title><a href="' || co
 
 def _html() -> Column:
     none = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return F.concat(F.lit("<html><title> "), none("title"), F.lit(' </title><a href="'), none("source_url"), F.lit('"><b>'), none("title"), F.lit('</b></a><div class="article">'), F.replace(none("body"), F.lit("<"), F.lit("&lt;")), F.lit("&nbsp;&#39;</div></html>"))
+    return F.concat(
+        F.lit("<html><title> "),
+        none("title"),
+        F.lit(' </title><a href="'),
+        none("source_url"),
+        F.lit('"><b>'),
+        none("title"),
+        F.lit('</b></a><div class="article">'),
+        F.replace(none("body"), F.lit("<"), F.lit("&lt;")),
+        F.lit("&nbsp;&#39;</div></html>"),
+    )
 
 
 def _sql_plain(x: str) -> str:
     return f"trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace({x}, '<[^>]+>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&#[0-9]+;', '', 'g'), '{_WS}+', ' ', 'g'))"
 
 
-@query(f"SELECT post_row, {_sql_plain('h')} AS plain, regexp_extract(h, '(?s)<a\\b[^>]*\\bhref=\"([^\"]*)\"', 1) AS link FROM (SELECT post_row, {_HTML} AS h FROM posts)")
+@query(
+    f"SELECT post_row, {_sql_plain('h')} AS plain, regexp_extract(h, '(?s)<a\\b[^>]*\\bhref=\"([^\"]*)\"', 1) AS link FROM (SELECT post_row, {_HTML} AS h FROM posts)"
+)
 def page_texts(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "posts").select("post_row", _html().alias("h"))
-    return pages.select("post_row", html.plain(F.col("h")).alias("plain"), F.coalesce(F.try_element_at(html.links(F.col("h")), F.lit(1))["url"], F.lit("")).alias("link"))
+    return pages.select(
+        "post_row",
+        html.plain(F.col("h")).alias("plain"),
+        F.coalesce(F.try_element_at(html.links(F.col("h")), F.lit(1))["url"], F.lit("")).alias("link"),
+    )
 
 
 @query(f"""SELECT post_row, regexp_extract(u, 'blog_([0-9a-z]+)', 1) AS id, {_sql_plain("coalesce(title, '')")} AS title FROM (SELECT post_row, title, coalesce(source_url, '') AS u FROM posts)
@@ -421,14 +491,27 @@ UNION ALL SELECT author_uid, 0, '{{"total": ' || count(*) || ', "posts": [' FROM
 )
 def index_json(spark: SparkSession, d: str) -> DataFrame:
     none = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
-    return index_lines(table(spark, d, "post_index").select("author_uid", "index_row", none("id"), none("title"), none("filename")), "author_uid", ["index_row"])
+    return index_lines(
+        table(spark, d, "post_index").select("author_uid", "index_row", none("id"), none("title"), none("filename")),
+        "author_uid",
+        ["index_row"],
+    )
 
 
 # Graph
 
 
 def _posts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "posts").select("post_row", F.col("post_row").cast("string").alias("post"), "author_name", "published_at", "tags", "title", "category", "body")
+    return table(spark, d, "posts").select(
+        "post_row",
+        F.col("post_row").cast("string").alias("post"),
+        "author_name",
+        "published_at",
+        "tags",
+        "title",
+        "category",
+        "body",
+    )
 
 
 _KEYWORDS = _FOLDED.replace("doc_id", "post_row").replace("FROM documents", "FROM posts").replace("(text", "(body").replace("lower(text)", "lower(body)")
@@ -464,7 +547,9 @@ def next_post_edges(spark: SparkSession, d: str) -> DataFrame:
     return graph.next_edges(_dated(spark, d).select("post", "at", "post_row"), "post", ["at", "post_row"])
 
 
-@query("SELECT src, dst, 'next_post' AS relation FROM (SELECT CAST(event_id AS VARCHAR) AS src, lead(CAST(event_id AS VARCHAR)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dst FROM events) WHERE dst IS NOT NULL")
+@query(
+    "SELECT src, dst, 'next_post' AS relation FROM (SELECT CAST(event_id AS VARCHAR) AS src, lead(CAST(event_id AS VARCHAR)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dst FROM events) WHERE dst IS NOT NULL"
+)
 def next_event_edges(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events").select(F.col("event_id").cast("string").alias("event"), "event_id", "user_id", "ts")
     return graph.next_edges(events, "event", ["ts", "event_id"], within="user_id").select("src", "dst", "relation")
@@ -486,7 +571,9 @@ shared AS (SELECT DISTINCT CAST(p AS VARCHAR) AS src, CAST(q AS VARCHAR) AS dst,
 """
 
 
-@query("WITH" + _PAIRS + ", links AS (SELECT tag, count(*) AS n FROM linked GROUP BY 1), sizes AS (SELECT tag, count(DISTINCT post_row) AS n_posts FROM held WHERE tag IS NOT NULL GROUP BY 1) SELECT 'tag:' || tag AS id, tag, n_posts, coalesce(n, 0) AS n_links FROM sizes LEFT JOIN links USING (tag)")
+@query(
+    "WITH" + _PAIRS + ", links AS (SELECT tag, count(*) AS n FROM linked GROUP BY 1), sizes AS (SELECT tag, count(DISTINCT post_row) AS n_posts FROM held WHERE tag IS NOT NULL GROUP BY 1) SELECT 'tag:' || tag AS id, tag, n_posts, coalesce(n, 0) AS n_links FROM sizes LEFT JOIN links USING (tag)"
+)
 def tag_classes(spark: SparkSession, d: str) -> DataFrame:
     """Each tag with its posts and the links among them that it stands for."""
     return graph.tag_classes(_posts(spark, d), "post", "tags")
@@ -511,13 +598,17 @@ def graph_edges(spark: SparkSession, d: str) -> DataFrame:
     return graph.collapse(tag_edges(spark, d).unionByName(_other_edges(spark, d)))
 
 
-@query(_KEYWORDS.rstrip() + f", {_IDS} SELECT t.*, title, author_name AS author, published_at, category, tags FROM typed t LEFT JOIN posts p ON CAST(p.post_row AS VARCHAR) = t.id")
+@query(
+    _KEYWORDS.rstrip() + f", {_IDS} SELECT t.*, title, author_name AS author, published_at, category, tags FROM typed t LEFT JOIN posts p ON CAST(p.post_row AS VARCHAR) = t.id"
+)
 def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
     posts = _posts(spark, d).select(F.col("post").alias("id"), "title", F.col("author_name").alias("author"), "published_at", "category", "tags")
     return graph.nodes(posts, keyword_edges(spark, d).select("dst"), author_edges(spark, d).select("src"), tag_edges(spark, d).select("dst"))
 
 
-@query(_EDGES + f", {_IDS} SELECT 'node' AS part, type AS kind, count(*) AS n FROM typed GROUP BY 2 UNION ALL SELECT 'edge', relation, count(*) FROM edges GROUP BY 2")
+@query(
+    _EDGES + f", {_IDS} SELECT 'node' AS part, type AS kind, count(*) AS n FROM typed GROUP BY 2 UNION ALL SELECT 'edge', relation, count(*) FROM edges GROUP BY 2"
+)
 def graph_counts(spark: SparkSession, d: str) -> DataFrame:
     return graph.graph_counts(graph_nodes(spark, d), graph_edges(spark, d))
 
@@ -554,7 +645,11 @@ def related_docs(spark: SparkSession, d: str) -> DataFrame:
     return graph.related(spark.createDataFrame(_DOC_ROWS, "doc string, pos int, kw string")).withColumn("common", F.array_join("common", " "))
 
 
-_HITS = ", ".join("struct_pack(concept := CASE " + " ".join(f"WHEN contains(body, '{w}') THEN '{w}'" for w in words) + f" END, doc := '{doc}')" for words, doc in _RULES)
+_HITS = ", ".join(
+    "struct_pack(concept := CASE " + " ".join(
+        f"WHEN contains(body, '{w}') THEN '{w}'" for w in words
+    ) + f" END, doc := '{doc}')" for words, doc in _RULES
+)
 
 
 @query(
@@ -586,7 +681,9 @@ def batch_numbers(spark: SparkSession, d: str) -> DataFrame:
     return _numbers(spark, d).select("post_row", "batch_id", "idx")
 
 
-@query(f"""SELECT batch_id, count(*) AS n, '' || string_agg('=== ' || idx || ' ===' || chr(10) || coalesce(title, '') || chr(10) || substr(coalesce(body, ''), 1, 2500), chr(10) || chr(10) ORDER BY idx) AS prompt FROM ({_BATCHED}) GROUP BY 1""")
+@query(
+    f"""SELECT batch_id, count(*) AS n, '' || string_agg('=== ' || idx || ' ===' || chr(10) || coalesce(title, '') || chr(10) || substr(coalesce(body, ''), 1, 2500), chr(10) || chr(10) ORDER BY idx) AS prompt FROM ({_BATCHED}) GROUP BY 1"""
+)
 def batch_prompts(spark: SparkSession, d: str) -> DataFrame:
     return batching.prompt_of(_batched(spark, d), "title", "body", intro="")
 
@@ -603,22 +700,32 @@ def results_by_position(spark: SparkSession, d: str) -> DataFrame:
     return batching.attach(results, prompts, ["p"]).select("result_id", "p.batch_id", "p.idx")
 
 
-@query("SELECT post_row FROM (SELECT post_row, coalesce(sum(coalesce(length(body), 0)) OVER (PARTITION BY author_uid ORDER BY post_row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM posts) WHERE b <= 3000")
+@query(
+    "SELECT post_row FROM (SELECT post_row, coalesce(sum(coalesce(length(body), 0)) OVER (PARTITION BY author_uid ORDER BY post_row ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM posts) WHERE b <= 3000"
+)
 def within_budget(spark: SparkSession, d: str) -> DataFrame:
     posts = table(spark, d, "posts").select("post_row", "author_uid", F.coalesce(F.length("body"), F.lit(0)).alias("size"))
     return batching.within_budget(posts, "author_uid", ["post_row"], "size", 3000).select("post_row")
 
 
-@query("SELECT coalesce(min(CASE WHEN a._source_file IS NULL THEN p.post_row END), max(p.post_row) + 1) AS resume_at FROM posts p LEFT JOIN (SELECT DISTINCT _source_file FROM analysis_results) a ON a._source_file = p.filename")
+@query(
+    "SELECT coalesce(min(CASE WHEN a._source_file IS NULL THEN p.post_row END), max(p.post_row) + 1) AS resume_at FROM posts p LEFT JOIN (SELECT DISTINCT _source_file FROM analysis_results) a ON a._source_file = p.filename"
+)
 def resume_position(spark: SparkSession, d: str) -> DataFrame:
     done = table(spark, d, "analysis_results").select(F.col("_source_file").alias("filename"))
     return reconcile.first_open(table(spark, d, "posts").select("post_row", "filename"), done, "filename", "post_row")
 
 
-@query("SELECT post_row, title, list_slice(list_filter(coalesce(tags, []), lambda t: t IS NOT NULL AND t <> ''), 1, 5) AS tags, coalesce(body, '') AS body FROM posts WHERE title IS NOT NULL")
+@query(
+    "SELECT post_row, title, list_slice(list_filter(coalesce(tags, []), lambda t: t IS NOT NULL AND t <> ''), 1, 5) AS tags, coalesce(body, '') AS body FROM posts WHERE title IS NOT NULL"
+)
 def reply_entries(spark: SparkSession, d: str) -> DataFrame:
     posts = table(spark, d, "posts").where(F.col("title").isNotNull())
-    reply = F.concat(F.lit("```json\nHere: "), F.to_json(F.array(F.struct("title", F.col("tags"), F.coalesce("body", F.lit("")).alias("content")))), F.lit("\n```"))
+    reply = F.concat(
+        F.lit("```json\nHere: "),
+        F.to_json(F.array(F.struct("title", F.col("tags"), F.coalesce("body", F.lit("")).alias("content")))),
+        F.lit("\n```"),
+    )
     first = posts.select("post_row", F.explode(F.slice(batching.entries(reply), 1, 1)).alias("e"))
     return first.select("post_row", "e.title", "e.tags", "e.body")
 
@@ -644,7 +751,10 @@ def stream_merge(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY 1")
 def order_months(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
+    return table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("o_totalprice").alias("total"),
+    )
 
 
 @query("SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)")
@@ -655,4 +765,7 @@ def orders_without_lines(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def event_days(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy(F.date_trunc("day", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, d, "events").groupBy(
+        F.date_trunc("day", F.col("ts").cast("timestamp")).cast("timestamp_ntz").alias("day"),
+        "event_type",
+    ).agg(F.count(F.lit(1)).alias("n"))

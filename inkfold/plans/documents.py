@@ -94,7 +94,10 @@ def _index_folder(spark: SparkSession, d: str) -> str:
     folder = new_path(spark)
     pages = _paged(spark, d, "post_index", "index_row", *_ENTRY)
     entries = F.transform("rows", lambda r: F.struct(*(r[c].alias(c) for c in _ENTRY)))
-    content = F.when(F.col("batch_id") % 3 == 2, F.to_json(F.struct("total", entries.alias("articles")))).otherwise(F.to_json(F.struct("total", entries.alias("posts"))))
+    content = F.when(
+        F.col("batch_id") % 3 == 2,
+        F.to_json(F.struct("total", entries.alias("articles"))),
+    ).otherwise(F.to_json(F.struct("total", entries.alias("posts"))))
     cut = F.when(F.col("batch_id") % 7 == 6, F.substring(content, 1, 40)).otherwise(content)
     sinks.write_files(pages.select(F.format_string("page_%06d.json", "batch_id").alias("file_name"), cut.alias("content")), folder)
     return folder
@@ -125,7 +128,11 @@ def result_files(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT DISTINCT uid AS keyword, [coalesce(name, ''), coalesce(domain, '')] AS words FROM bloggers WHERE uid IS NOT NULL")
 def keyword_maps(spark: SparkSession, d: str) -> DataFrame:
     folder = new_path(spark)
-    named = table(spark, d, "bloggers").where(F.col("uid").isNotNull()).select("uid", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("domain", F.lit("")).alias("domain"))
+    named = table(spark, d, "bloggers").where(F.col("uid").isNotNull()).select(
+        "uid",
+        F.coalesce("name", F.lit("")).alias("name"),
+        F.coalesce("domain", F.lit("")).alias("domain"),
+    )
     content = F.to_json(F.create_map("uid", F.array("name", "domain")))
     sinks.write_files(named.select(F.concat("uid", F.lit(".json")).alias("file_name"), content.alias("content")), folder)
     return sources.json_map(spark, folder)
@@ -137,7 +144,13 @@ def settings_rows(spark: SparkSession, d: str) -> DataFrame:
     entry = F.concat(F.lit('  - name: "'), "name", F.lit('"\n    uid: "'), "uid", F.lit('"\n    enabled: true'))
     rows = table(spark, d, "bloggers").where((F.col("name") != "") & (F.col("uid") != "")).select(entry.alias("e")).collect()  # settings
     path = new_path(spark)
-    sinks.write_files(spark.createDataFrame([("s.yaml", "bloggers:\n" + "\n".join(r["e"] for r in rows) + "\nstorage:\n  - name: x\n")], "file_name string, content string"), path)
+    sinks.write_files(
+        spark.createDataFrame(
+            [("s.yaml", "bloggers:\n" + "\n".join(r["e"] for r in rows) + "\nstorage:\n  - name: x\n")],
+            "file_name string, content string",
+        ),
+        path,
+    )
     return sources.settings(spark, f"{path.removeprefix('file://')}/s.yaml")
 
 
@@ -189,11 +202,21 @@ def _article_pages(spark: SparkSession, d: str) -> DataFrame:
     """Each post as the page it came from: nested elements, an end mark, images within and without."""
     none = lambda c: F.coalesce(F.col(c), F.lit(""))
     safe = lambda c: F.regexp_replace(none(c), "[<>]", " ")
-    images = F.array_join(F.transform(F.coalesce("images", F.array().cast("array<string>")), lambda i: F.concat(F.lit('<img class="x" src="'), F.coalesce(i, F.lit("-")), F.lit('"/>'))), "")
+    images = F.array_join(
+        F.transform(
+            F.coalesce("images", F.array().cast("array<string>")),
+            lambda i: F.concat(F.lit('<img class="x" src="'), F.coalesce(i, F.lit("-")), F.lit('"/>')),
+        ),
+        "",
+    )
     page = F.concat(
-        F.lit('<html><h2 id="t" class="titName SG_txta"> '), safe("title"), F.lit(' </h2><span class="time SG_txtc">('), none("published_at"), F.lit(")</span><script>var $tag='"),
+        F.lit(
+            '<html><h2 id="t" class="titName SG_txta"> '
+        ), safe("title"), F.lit(' </h2><span class="time SG_txtc">('), none("published_at"), F.lit(")</span><script>var $tag='"),
         F.regexp_replace(F.array_join(F.coalesce("tags", F.array().cast("array<string>")), ",", ""), "'", ""), F.lit("';</script>"),
-        F.lit('<div id="c" class="articalContent   newfont">'), safe("body"), F.lit("<div>&nbsp;<div>"), images, F.lit('</div>in &amp; <b>out</b></div>&#39;<!-- 正文结束 --></div><div>after<img src="http://cdn.example/foot.png"></div></html>'),
+        F.lit('<div id="c" class="articalContent   newfont">'), safe("body"), F.lit("<div>&nbsp;<div>"), images, F.lit(
+            '</div>in &amp; <b>out</b></div>&#39;<!-- 正文结束 --></div><div>after<img src="http://cdn.example/foot.png"></div></html>'
+        ),
     )
     return table(spark, d, "posts").select("post_row", none("source_url").alias("url"), page.alias("page"))
 
@@ -208,7 +231,11 @@ CASE WHEN {_RAW_TAGS} = '' THEN [] ELSE list_transform(string_split({_RAW_TAGS},
 list_concat(list_transform(coalesce(images, []), lambda i: coalesce(i, '-')), ['http://cdn.example/foot.png']) AS images, list_filter(list_transform(coalesce(images, []), lambda i: coalesce(i, '-')), lambda i: NOT contains(i, 'cdn.example')) AS own_images FROM posts"""
 )
 def article_pages(spark: SparkSession, d: str) -> DataFrame:
-    pages = _article_pages(spark, d).select("post_row", html.article(F.col("page"), F.col("url")).alias("a"), html.images(F.col("page"), without_host="cdn.example").alias("own_images"))
+    pages = _article_pages(spark, d).select(
+        "post_row",
+        html.article(F.col("page"), F.col("url")).alias("a"),
+        html.images(F.col("page"), without_host="cdn.example").alias("own_images"),
+    )
     return pages.select("post_row", "a.id", "a.title", "a.date", "a.tags", "a.content", "a.images", "own_images")
 
 
@@ -216,27 +243,51 @@ def _list_pages(spark: SparkSession, d: str) -> DataFrame:
     """Posts, 50 to a page of links with a pagination."""
     pages = _paged(spark, d, "posts", "post_row", "id", "title", "published_at")
     none = lambda c: F.coalesce(c, F.lit(""))
-    link = lambda r: F.concat(F.lit('<li><a class="x" href="//host.example/s/blog_'), r["id"], F.lit('.html"><b>'), F.regexp_replace(none(r["title"]), "[<>\\n\\r]", " "), F.lit("</b></a> ("), none(r["published_at"]), F.lit(")</li>\n"))
-    page = F.concat(F.array_join(F.transform("rows", link), ""), F.lit('<a href="list_0_'), (F.col("batch_id") + 1).cast("string"), F.lit('.html">next</a> list_0_99999.html'))
+    link = lambda r: F.concat(
+        F.lit('<li><a class="x" href="//host.example/s/blog_'),
+        r["id"],
+        F.lit('.html"><b>'),
+        F.regexp_replace(none(r["title"]), "[<>\\n\\r]", " "),
+        F.lit("</b></a> ("),
+        none(r["published_at"]),
+        F.lit(")</li>\n"),
+    )
+    page = F.concat(
+        F.array_join(F.transform("rows", link), ""),
+        F.lit('<a href="list_0_'),
+        (F.col("batch_id") + 1).cast("string"),
+        F.lit('.html">next</a> list_0_99999.html'),
+    )
     return pages.select("batch_id", page.alias("page"))
 
 
 _LISTED = f"""WITH l AS (SELECT post_row, (row_number() OVER (ORDER BY post_row) - 1) // 50 AS batch_id, regexp_extract('blog_' || id, 'blog_([0-9a-z]+)', 1) AS id, {_PLAIN("regexp_replace(coalesce(title, ''), '[<>' || chr(10) || chr(13) || ']', ' ', 'g')")} AS title, coalesce(published_at, '') AS moment FROM posts)"""
 
 
-@query(_LISTED + " SELECT batch_id, id, arg_min(title, post_row) AS title FROM l WHERE id <> '' AND length(title) > 3 AND NOT contains(title, '...') GROUP BY 1, 2")
+@query(
+    _LISTED + " SELECT batch_id, id, arg_min(title, post_row) AS title FROM l WHERE id <> '' AND length(title) > 3 AND NOT contains(title, '...') GROUP BY 1, 2"
+)
 def listed_links(spark: SparkSession, d: str) -> DataFrame:
     links = _list_pages(spark, d).select("batch_id", F.explode(html.article_links(F.col("page"), "host.example")).alias("l"))
     return links.select("batch_id", "l.id", "l.title")
 
 
-@query(_LISTED + r" SELECT batch_id, batch_id + 1 AS last_page, CAST(count(*) AS INTEGER) AS n_lines, coalesce(regexp_extract(string_agg('(' || moment || ')', '' ORDER BY post_row), '\((\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\)', 1), '') AS first_time FROM l GROUP BY 1")
+@query(
+    _LISTED + r" SELECT batch_id, batch_id + 1 AS last_page, CAST(count(*) AS INTEGER) AS n_lines, coalesce(regexp_extract(string_agg('(' || moment || ')', '' ORDER BY post_row), '\((\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\)', 1), '') AS first_time FROM l GROUP BY 1"
+)
 def list_page_facts(spark: SparkSession, d: str) -> DataFrame:
     page = F.col("page")
-    return _list_pages(spark, d).select("batch_id", html.page_numbers(page).alias("last_page"), html.matching_lines(page, r"/s/blog_").alias("n_lines"), html.stated_time(page).alias("first_time"))
+    return _list_pages(spark, d).select(
+        "batch_id",
+        html.page_numbers(page).alias("last_page"),
+        html.matching_lines(page, r"/s/blog_").alias("n_lines"),
+        html.stated_time(page).alias("first_time"),
+    )
 
 
-@query("SELECT row_number() OVER (ORDER BY uid, name) AS page, coalesce(uid, '') AS id, coalesce(name, '') AS title FROM bloggers QUALIFY length(regexp_extract('blog_' || coalesce(uid, ''), 'blog_([0-9a-z]+)', 1)) > 0 AND length(coalesce(name, '')) > 1")
+@query(
+    "SELECT row_number() OVER (ORDER BY uid, name) AS page, coalesce(uid, '') AS id, coalesce(name, '') AS title FROM bloggers QUALIFY length(regexp_extract('blog_' || coalesce(uid, ''), 'blog_([0-9a-z]+)', 1)) > 0 AND length(coalesce(name, '')) > 1"
+)
 def fetched_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages from a function that is asked for one after the other, here for the bloggers, which are settings."""
     rows = sorted((r["uid"] or "", r["name"] or "") for r in table(spark, d, "bloggers").select("uid", "name").collect())
@@ -244,7 +295,10 @@ def fetched_pages(spark: SparkSession, d: str) -> DataFrame:
     def fetch(page: int) -> str | None:
         return None if page > len(rows) else '<a href="/s/blog_{}.html">{}</a>'.format(*rows[page - 1])
 
-    links = read_pages(spark, fetch, len(rows) + 30, pages_per_task=50).select("page", F.explode(html.article_links(F.col("html"), "host.example", min_title=1)).alias("l"))
+    links = read_pages(spark, fetch, len(rows) + 30, pages_per_task=50).select(
+        "page",
+        F.explode(html.article_links(F.col("html"), "host.example", min_title=1)).alias("l"),
+    )
     return links.select("page", "l.id", "l.title")
 
 
@@ -256,29 +310,50 @@ def fetched_pages(spark: SparkSession, d: str) -> DataFrame:
 FROM (SELECT *, list_reduce(list_concat([0::BIGINT], list_transform(string_split(source_url, ''), lambda c: ord(c)::BIGINT)), lambda a, c: (a * 31 + c) % 4294967296) AS h FROM posts)"""
 )
 def other_names(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "posts").select("post_row", text.rolling_hash_name(F.col("source_url")).alias("hashed"), text.cjk_slug(F.coalesce("title", F.lit(""))).alias("slug"))
+    return table(spark, d, "posts").select(
+        "post_row",
+        text.rolling_hash_name(F.col("source_url")).alias("hashed"),
+        text.cjk_slug(F.coalesce("title", F.lit(""))).alias("slug"),
+    )
 
 
 _JOINED = "array_to_string(list_filter(coalesce(tags, []), lambda t: t IS NOT NULL), ', ')"
 
 
-@query(f"SELECT post_row, CASE WHEN {_JOINED} = '' THEN [''] ELSE list_transform(string_split({_JOINED}, ','), lambda t: {_strip('t')}) END AS literal, coalesce(list_transform(tags, lambda t: t), []) AS parsed FROM posts")
+@query(
+    f"SELECT post_row, CASE WHEN {_JOINED} = '' THEN [''] ELSE list_transform(string_split({_JOINED}, ','), lambda t: {_strip('t')}) END AS literal, coalesce(list_transform(tags, lambda t: t), []) AS parsed FROM posts"
+)
 def tag_lists(spark: SparkSession, d: str) -> DataFrame:
     tags = F.coalesce("tags", F.array().cast("array<string>"))
     literal = F.concat(F.lit(" ["), F.array_join(tags, ", "), F.lit("]\n"))
-    return table(spark, d, "posts").select("post_row", text.tag_literal(literal).alias("literal"), text.json_list(F.when(F.col("tags").isNull(), F.lit("{bad")).otherwise(F.to_json(tags))).alias("parsed"))
+    return table(spark, d, "posts").select(
+        "post_row",
+        text.tag_literal(literal).alias("literal"),
+        text.json_list(F.when(F.col("tags").isNull(), F.lit("{bad")).otherwise(F.to_json(tags))).alias("parsed"),
+    )
 
 
 @query(rf"""WITH t AS (SELECT doc_id, {_strip('text')} AS t FROM documents WHERE text IS NOT NULL), l AS (SELECT doc_id, {_strip("regexp_replace(string_split(t, chr(10))[1], '^#+', '')")} AS l FROM t)
 SELECT doc_id, coalesce(nullif(substr(l, 1, 100), ''), 'untitled') AS title FROM l""")
 def first_line_titles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", text.first_line_title(F.col("text"), F.lit("untitled")).alias("title"))
+    return table(spark, d, "documents").where(F.col("text").isNotNull()).select(
+        "doc_id",
+        text.first_line_title(F.col("text"), F.lit("untitled")).alias("title"),
+    )
 
 
-@query("SELECT index_row, CASE WHEN contains(title, '\"') THEN '[' || regexp_extract(title, '^([^\"]*)', 1) ELSE '[' || title END || ']: ' || coalesce(published_date, '') AS line FROM post_index WHERE title IS NOT NULL AND NOT contains(title, chr(10))")
+@query(
+    "SELECT index_row, CASE WHEN contains(title, '\"') THEN '[' || regexp_extract(title, '^([^\"]*)', 1) ELSE '[' || title END || ']: ' || coalesce(published_date, '') AS line FROM post_index WHERE title IS NOT NULL AND NOT contains(title, chr(10))"
+)
 def entry_summaries(spark: SparkSession, d: str) -> DataFrame:
     index = table(spark, d, "post_index").where(F.col("title").isNotNull() & ~F.col("title").contains("\n"))
-    entry = frontmatter.render_wiki(F.col("title"), F.coalesce("published_date", F.lit("")), F.array(F.lit("a"), F.lit("b")), F.array().cast("array<string>"), F.lit("2020-01-01"))
+    entry = frontmatter.render_wiki(
+        F.col("title"),
+        F.coalesce("published_date", F.lit("")),
+        F.array(F.lit("a"), F.lit("b")),
+        F.array().cast("array<string>"),
+        F.lit("2020-01-01"),
+    )
     return index.select("index_row", text.entry_summary(entry, F.lit("x.md")).alias("line"))
 
 
@@ -290,11 +365,17 @@ def rounded_shares(spark: SparkSession, d: str) -> DataFrame:
 
 # Other documents
 
-_HEAD = lambda fields: "'---' || chr(10) || " + " || chr(10) || ".join(f"'{k}: ' || {v}" for k, v in fields.items()) + " || chr(10) || '---' || chr(10) || chr(10) || '# ' || coalesce(title, '') || chr(10) || chr(10) || coalesce(body, '') || chr(10)"
-_SIX = {k: f"coalesce({k}, '')" for k in ("id", "author_uid", "author_name")} | {"published_at": "coalesce(nullif(published_at, ''), 'unknown')"} | {k: f"coalesce({k}, '')" for k in ("fetched_at", "source_url")}
+_HEAD = lambda fields: "'---' || chr(10) || " + " || chr(10) || ".join(
+    f"'{k}: ' || {v}" for k, v in fields.items()
+) + " || chr(10) || '---' || chr(10) || chr(10) || '# ' || coalesce(title, '') || chr(10) || chr(10) || coalesce(body, '') || chr(10)"
+_SIX = {
+    k: f"coalesce({k}, '')" for k in ("id", "author_uid", "author_name")
+} | {"published_at": "coalesce(nullif(published_at, ''), 'unknown')"} | {k: f"coalesce({k}, '')" for k in ("fetched_at", "source_url")}
 
 
-@query(f"SELECT post_row, id || '_' || substr(regexp_replace(coalesce(title, ''), '[^\\pL\\pN_]', '_', 'g'), 1, 50) || '.md' AS file_name, {_HEAD(_SIX)} AS content FROM posts")
+@query(
+    f"SELECT post_row, id || '_' || substr(regexp_replace(coalesce(title, ''), '[^\\pL\\pN_]', '_', 'g'), 1, 50) || '.md' AS file_name, {_HEAD(_SIX)} AS content FROM posts"
+)
 def short_files(spark: SparkSession, d: str) -> DataFrame:
     return sinks.short_documents(table(spark, d, "posts"), "post_row")
 
@@ -324,7 +405,10 @@ SELECT post_row, concat_ws('_', author_uid, CASE WHEN slug = '' THEN 'untitled'
 def staged_files(spark: SparkSession, d: str) -> DataFrame:
     """Posts that are there, in order, under their titles and with their ranks in the names."""
     numbers = batching.batches(table(spark, d, "posts").select("post_row", "filename"), ["filename", "post_row"], 1)
-    ranked = numbers.select("post_row", (F.col("batch_id") + 1).alias("rank")).join(table(spark, d, "posts").select("post_row", "author_uid", "title", "body"), "post_row")
+    ranked = numbers.select("post_row", (F.col("batch_id") + 1).alias("rank")).join(
+        table(spark, d, "posts").select("post_row", "author_uid", "title", "body"),
+        "post_row",
+    )
     return sinks.staged_documents(ranked, "author_uid", "rank", "post_row")
 
 
@@ -351,7 +435,14 @@ CASE WHEN len({_ADVICE}) > 0 THEN {_ADVICE} ELSE ['all checks passed'] END AS re
 def integrity_report(spark: SparkSession, d: str) -> DataFrame:
     """Quantity, content and files of a collection in one report, with its overall status and what to do."""
     report = quality.full_report(reconcile_report(spark, d), quality.counts_of(quality_title_first(spark, d), "label", _LABELS), integrity_counts(spark, d))
-    return report.select("quantity.n_missing", "quantity.n_extra", F.col("content_quality.valid_count").alias("content_valid"), F.col("file_integrity.valid_count").alias("intact"), "overall_status", "recommendations")
+    return report.select(
+        "quantity.n_missing",
+        "quantity.n_extra",
+        F.col("content_quality.valid_count").alias("content_valid"),
+        F.col("file_integrity.valid_count").alias("intact"),
+        "overall_status",
+        "recommendations",
+    )
 
 
 _COUNTED = "SELECT item, count(*) AS n, min((post_row, pos)) AS f FROM (SELECT post_row, unnest(tags) AS item, generate_subscripts(tags, 1) AS pos FROM posts) WHERE item IS NOT NULL GROUP BY 1"
@@ -362,17 +453,27 @@ SELECT (SELECT count(*) FROM c) AS total_tags, list(item ORDER BY k) FILTER (k <
 def tag_maps(spark: SparkSession, d: str) -> DataFrame:
     maps = stats.tag_maps(stats.list_counts(table(spark, d, "posts"), "tags", ["post_row"]))
     uses = F.aggregate(F.map_values("tags_distribution"), F.lit(0).cast("bigint"), lambda a, n: a + n)
-    return maps.select("total_tags", F.transform("top_tags", lambda t: t["item"]).alias("top_items"), F.transform("top_tags", lambda t: t["n"]).alias("top_counts"), uses.alias("map_uses"), F.size("tags_distribution").alias("map_size"))
+    return maps.select(
+        "total_tags",
+        F.transform("top_tags", lambda t: t["item"]).alias("top_items"),
+        F.transform("top_tags", lambda t: t["n"]).alias("top_counts"),
+        uses.alias("map_uses"),
+        F.size("tags_distribution").alias("map_size"),
+    )
 
 
-@query("SELECT month, n, row_number() OVER (ORDER BY month) AS place FROM (SELECT substr(published_date, 1, 7) AS month, count(*) AS n FROM post_index WHERE published_date <> '' GROUP BY 1 ORDER BY 1 DESC LIMIT 12)")
+@query(
+    "SELECT month, n, row_number() OVER (ORDER BY month) AS place FROM (SELECT substr(published_date, 1, 7) AS month, count(*) AS n FROM post_index WHERE published_date <> '' GROUP BY 1 ORDER BY 1 DESC LIMIT 12)"
+)
 def last_months(spark: SparkSession, d: str) -> DataFrame:
     """The last twelve months in order; the place is that in the result."""
     months = stats.last_in_order(stats.by_prefix(table(spark, d, "post_index"), "published_date", 7, "month"), "month", 12)
     return months.select("month", "n", (F.monotonically_increasing_id() + 1).alias("place"))
 
 
-@query("SELECT p.post_row FROM posts p WHERE title IS NOT NULL AND NOT EXISTS (SELECT 1 FROM post_index i WHERE substr(i.title, 1, 60) = substr(p.title, 1, 60))")
+@query(
+    "SELECT p.post_row FROM posts p WHERE title IS NOT NULL AND NOT EXISTS (SELECT 1 FROM post_index i WHERE substr(i.title, 1, 60) = substr(p.title, 1, 60))"
+)
 def posts_not_compiled(spark: SparkSession, d: str) -> DataFrame:
     """Posts of whose titles' first 60 characters no entry is made."""
     start = F.substring("title", 1, 60).alias("start")
@@ -380,7 +481,9 @@ def posts_not_compiled(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.missing(posts, table(spark, d, "post_index").select(start), "start").select("post_row")
 
 
-@query("SELECT i.index_row, p.body FROM post_index i JOIN (SELECT id, body FROM posts QUALIFY row_number() OVER (PARTITION BY id ORDER BY post_row) = 1) p USING (id)")
+@query(
+    "SELECT i.index_row, p.body FROM post_index i JOIN (SELECT id, body FROM posts QUALIFY row_number() OVER (PARTITION BY id ORDER BY post_row) = 1) p USING (id)"
+)
 def staged_texts(spark: SparkSession, d: str) -> DataFrame:
     """Entries with the text of their post; those without a post are dropped."""
     posts = reconcile.keep_first(table(spark, d, "posts").select("post_row", "id", "body"), ["id"], ["post_row"])
@@ -398,7 +501,9 @@ def failed_once(spark: SparkSession, d: str) -> DataFrame:
 # Replies
 
 
-@query(f"SELECT post_row, trim(regexp_replace(coalesce(title, ''), '{_WS}+', ' ', 'g')) AS title, 'about ' || trim(regexp_replace(coalesce(title, ''), '{_WS}+', ' ', 'g')) AS summary FROM posts WHERE trim(regexp_replace(coalesce(title, ''), '{_WS}+', ' ', 'g')) <> ''")
+@query(
+    f"SELECT post_row, trim(regexp_replace(coalesce(title, ''), '{_WS}+', ' ', 'g')) AS title, 'about ' || trim(regexp_replace(coalesce(title, ''), '{_WS}+', ' ', 'g')) AS summary FROM posts WHERE trim(regexp_replace(coalesce(title, ''), '{_WS}+', ' ', 'g')) <> ''"
+)
 def reply_sections(spark: SparkSession, d: str) -> DataFrame:
     """Replies that are no JSON: sections between lines of ``---``, of equal titles the first."""
     title = text.collapse(F.coalesce("title", F.lit("")))
@@ -418,12 +523,19 @@ def matched_titles(spark: SparkSession, d: str) -> DataFrame:
     return batching.match_titles(rows, batch).select("batch_id", "pos", "idx")
 
 
-@query("SELECT post_row, coalesce(title, '') || chr(10) || coalesce(body, '') AS joined, coalesce(title, '') AS first, CASE WHEN " + _strip("coalesce(title, '')") + " <> '' THEN " + _strip("coalesce(title, '')") + " ELSE " + _strip("coalesce(body, '')") + " END AS filled FROM posts")
+@query(
+    "SELECT post_row, coalesce(title, '') || chr(10) || coalesce(body, '') AS joined, coalesce(title, '') AS first, CASE WHEN " + _strip(
+        "coalesce(title, '')"
+    ) + " <> '' THEN " + _strip("coalesce(title, '')") + " ELSE " + _strip("coalesce(body, '')") + " END AS filled FROM posts"
+)
 def reply_texts(spark: SparkSession, d: str) -> DataFrame:
     none = lambda c: F.coalesce(F.col(c), F.lit(""))
     block = lambda kind, c: F.struct(F.lit(kind).alias("type"), c.alias("text"))
     reply = F.to_json(F.struct(F.array(block("thinking", F.lit("hm")), block("text", none("title")), block("text", none("body"))).alias("content")))
-    return table(spark, d, "posts").select("post_row", *(batching.reply_text(reply, w).alias(n) for w, n in (("all", "joined"), ("first", "first"), ("filled", "filled"))))
+    return table(spark, d, "posts").select(
+        "post_row",
+        *(batching.reply_text(reply, w).alias(n) for w, n in (("all", "joined"), ("first", "first"), ("filled", "filled"))),
+    )
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(length(text) AS VARCHAR) AS reply FROM documents")
@@ -435,11 +547,16 @@ def record_replies(spark: SparkSession, d: str) -> DataFrame:
 # Texts with links
 
 
-@query(f"SELECT post_row, regexp_replace(b, '{_WS}+$', '') || chr(10) || chr(10) || '## See also' || chr(10) || chr(10) || '- [x](x.md)' || chr(10) AS content FROM (SELECT post_row, coalesce(body, '') AS b FROM posts) WHERE NOT contains(b, '## See also')")
+@query(
+    f"SELECT post_row, regexp_replace(b, '{_WS}+$', '') || chr(10) || chr(10) || '## See also' || chr(10) || chr(10) || '- [x](x.md)' || chr(10) AS content FROM (SELECT post_row, coalesce(body, '') AS b FROM posts) WHERE NOT contains(b, '## See also')"
+)
 def see_also(spark: SparkSession, d: str) -> DataFrame:
     """A section that is there is replaced."""
     body = F.concat(F.coalesce("body", F.lit("")), F.lit("\n\n## See also\n\nold"))
-    return table(spark, d, "posts").where(~F.coalesce(F.col("body").contains("## See also"), F.lit(False))).select("post_row", frontmatter.with_section(body, "## See also", F.lit("- [x](x.md)")).alias("content"))
+    return table(spark, d, "posts").where(~F.coalesce(F.col("body").contains("## See also"), F.lit(False))).select(
+        "post_row",
+        frontmatter.with_section(body, "## See also", F.lit("- [x](x.md)")).alias("content"),
+    )
 
 
 @query("SELECT post_row, '均线' AS concept, 'trend.md' AS doc, 1::BIGINT AS rank FROM posts WHERE contains(body, '均线') AND NOT contains(body, '仓位')")
@@ -458,7 +575,12 @@ def stream_merge_by_target(spark: SparkSession, d: str) -> DataFrame:
     posts = table(spark, d, "posts").select("post_row", "id", "source_url")
     for run in ("a", "b"):
         posts.write.mode("append").parquet(f"{at}/in")
-        ingest.merge_by_target(ingest.new_files(spark, f"{at}/in", posts.schema, files_per_batch=1), "source_url", f"{at}/out", f"{at}/state").awaitTermination()
+        ingest.merge_by_target(
+            ingest.new_files(spark, f"{at}/in", posts.schema, files_per_batch=1),
+            "source_url",
+            f"{at}/out",
+            f"{at}/state",
+        ).awaitTermination()
     return spark.read.parquet(f"{at}/out").groupBy("source_url").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -478,7 +600,13 @@ def dead_letters(spark: SparkSession, d: str) -> DataFrame:
     posts = table(spark, d, "posts").select("post_row", "title")
     posts.repartition(3, "post_row").write.parquet(f"{at}/in")
     write = lambda kind: lambda df, n: df.write.mode("overwrite").parquet(f"{at}/{kind}/n={n}")
-    ingest.each_batch(ingest.new_files(spark, f"{at}/in", posts.schema, files_per_batch=1), f"{at}/state", write("good"), write("bad"), F.col("title").isNull()).awaitTermination()
+    ingest.each_batch(
+        ingest.new_files(spark, f"{at}/in", posts.schema, files_per_batch=1),
+        f"{at}/state",
+        write("good"),
+        write("bad"),
+        F.col("title").isNull(),
+    ).awaitTermination()
     count = lambda kind: spark.read.parquet(f"{at}/{kind}").agg(F.count(F.lit(1)).alias(f"n_{kind}"))
     return count("good").join(count("bad"))  # one row each
 

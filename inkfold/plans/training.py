@@ -39,7 +39,13 @@ def p4_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """``period, table_name, field_name, kind, n_refs``: the orphans there are after each increment."""
     store, told = orphans.OrphanStore(spark, BUCKETS), None
     for k, step in enumerate(_increments(spark, folder)):
-        counts = durable(store.step(step).snapshot().groupBy("table_name", "field_name", "kind").agg(F.sum("n_refs").alias("n_refs")).withColumn("period", F.lit(k)))
+        counts = durable(
+            store.step(step).snapshot().groupBy(
+                "table_name",
+                "field_name",
+                "kind",
+            ).agg(F.sum("n_refs").alias("n_refs")).withColumn("period", F.lit(k))
+        )
         told = counts if told is None else told.unionByName(counts)
     return told
 
@@ -54,7 +60,13 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return salted.post_key_profiles(posts).where(F.col("n_rows") >= least).select("field_name", "key_value")
 
 
-QUERIES = {"p4_found": p4_found, "p4_orphans_by_month": p4_orphans_by_month, "p4_snapshots": p4_snapshots, "p5_key_profiles": p5_key_profiles, "p5_found": p5_found}
+QUERIES = {
+    "p4_found": p4_found,
+    "p4_orphans_by_month": p4_orphans_by_month,
+    "p4_snapshots": p4_snapshots,
+    "p5_key_profiles": p5_key_profiles,
+    "p5_found": p5_found,
+}
 
 # White space as Python sees it, in RE2.
 _WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

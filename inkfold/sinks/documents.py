@@ -31,8 +31,17 @@ def post_documents(posts: DataFrame, keys: tuple[str, ...] = POST_KEYS, *, keywo
 def collector_documents(posts: DataFrame, *keep: str) -> DataFrame:
     """``keep..., file_name, content`` with four keys, values quoted and escaped."""
     quoted = lambda c: F.concat(F.lit('"'), escaped(F.coalesce(F.col(c), F.lit(""))), F.lit('"'))
-    fields = {"title": quoted("title"), "date": quoted("published_at"), "source": quoted("source_url"), "tags": F.to_json(F.coalesce("tags", F.array().cast("array<string>")))}
-    return posts.select(*keep, md5_name(F.col("source_url"), F.col("id")).alias("file_name"), render_post(fields, F.col("title"), F.col("body")).alias("content"))
+    fields = {
+        "title": quoted("title"),
+        "date": quoted("published_at"),
+        "source": quoted("source_url"),
+        "tags": F.to_json(F.coalesce("tags", F.array().cast("array<string>"))),
+    }
+    return posts.select(
+        *keep,
+        md5_name(F.col("source_url"), F.col("id")).alias("file_name"),
+        render_post(fields, F.col("title"), F.col("body")).alias("content"),
+    )
 
 
 def short_documents(posts: DataFrame, *keep: str) -> DataFrame:
@@ -61,7 +70,16 @@ def blogger_documents(bloggers: DataFrame, host: str) -> DataFrame:
     text = lambda c, n: F.coalesce(c, F.lit("")).alias(n)
     profile = F.struct(text("profile.description", "description"), text("profile.category", "category")).alias("profile")
     domain = F.concat(F.lit(f"https://{host}/u/"), F.coalesce("uid", F.lit(""))).alias("domain")
-    content = F.to_json(F.struct(text("uid", "uid"), text("name", "name"), domain, F.coalesce("total_articles", F.lit(0)).alias("total_articles"), profile, text("created_at", "created_at")))
+    content = F.to_json(
+        F.struct(
+            text("uid", "uid"),
+            text("name", "name"),
+            domain,
+            F.coalesce("total_articles", F.lit(0)).alias("total_articles"),
+            profile,
+            text("created_at", "created_at"),
+        )
+    )
     return bloggers.select("uid", content.alias("content"))
 
 
@@ -94,8 +112,16 @@ def index_lines(index: DataFrame, by: str, order: list[str]) -> DataFrame:
     totals = index.groupBy(F.col(by).alias("owner")).agg(F.count(F.lit(1)).alias("total"))
     own = numbered.join(totals, F.col(by).eqNullSafe(F.col("owner")))
     lines = own.select(by, (F.col("n") + 1).alias("line_no"), F.concat("entry", F.when(F.col("n") + 1 < F.col("total"), ",").otherwise("")).alias("line"))
-    ends = F.array(F.struct(F.lit(0).cast("bigint").alias("line_no"), F.concat(F.lit('{"total": '), F.col("total").cast("string"), F.lit(', "posts": [')).alias("line")), F.struct((F.col("total") + 1).alias("line_no"), F.lit("]}").alias("line")))
-    return lines.unionByName(totals.select(F.col("owner").alias(by), F.explode(ends).alias("e")).select(by, F.col("e.line_no").cast("bigint").alias("line_no"), "e.line"))
+    ends = F.array(
+        F.struct(
+            F.lit(0).cast("bigint").alias("line_no"),
+            F.concat(F.lit('{"total": '), F.col("total").cast("string"), F.lit(', "posts": [')).alias("line"),
+        ),
+        F.struct((F.col("total") + 1).alias("line_no"), F.lit("]}").alias("line")),
+    )
+    return lines.unionByName(
+        totals.select(F.col("owner").alias(by), F.explode(ends).alias("e")).select(by, F.col("e.line_no").cast("bigint").alias("line_no"), "e.line")
+    )
 
 
 def write_index(index: DataFrame, by: str, folder: str) -> None:
@@ -119,7 +145,10 @@ class Session:
     def __init__(self, uid: str, expected: int = 0) -> None:
         now = time.gmtime()
         self.state = {
-            "uid": uid, "session_id": time.strftime("%Y%m%d_%H%M%S", now), "started_at": time.strftime("%Y-%m-%dT%H:%M:%S", now), "completed_at": None, "status": "running",
+            "uid": uid, "session_id": time.strftime("%Y%m%d_%H%M%S", now), "started_at": time.strftime(
+                "%Y-%m-%dT%H:%M:%S",
+                now,
+            ), "completed_at": None, "status": "running",
             "total_expected": expected, "total_downloaded": 0, "total_failed": 0, "pages_completed": 0, "last_page": 0, "last_article_index": -1, "total_images": 0, "failed_urls": [],
         }
 

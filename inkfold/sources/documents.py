@@ -24,7 +24,12 @@ def index_rows(spark: SparkSession, path: str) -> DataFrame:
 def bad_indexes(spark: SparkSession, path: str) -> DataFrame:
     """Index files that could not be read: the dead letters of ``index_rows``."""
     raw = spark.read.schema(INDEX).option("columnNameOfCorruptRecord", "_bad").json(path, multiLine=True, mode="PERMISSIVE")
-    return raw.select(F.input_file_name().alias("file_path"), "posts", "articles", "_bad").where(F.col("posts").isNull() & F.col("articles").isNull()).select("file_path")
+    return raw.select(
+        F.input_file_name().alias("file_path"),
+        "posts",
+        "articles",
+        "_bad",
+    ).where(F.col("posts").isNull() & F.col("articles").isNull()).select("file_path")
 
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -95,7 +100,11 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``pos, line`` of one text file of any size: its blocks are read by many tasks and numbered by their place."""
-    read = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    read = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
     return global_rank(read, ["block", "place"], "pos").select("pos", "line")
 
 

@@ -60,6 +60,9 @@ def by_keywords(found: DataFrame, words: list[str], *, per_word: int = 2, budget
     at = F.row_number().over(Window.partitionBy("word").orderBy("file_name"))
     best = hits.withColumn("__at", at).where(F.col("__at") <= per_word)
     if budget is not None:
-        used = F.coalesce(F.sum(F.length("content")).over(Window.orderBy("word", "__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # per_word rows of each word
+        used = F.coalesce(
+            F.sum(F.length("content")).over(Window.orderBy("word", "__at").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        )  # per_word rows of each word
         best = best.withColumn("__used", used).where(F.col("__used") <= budget)
     return best.select("word", "file_name", "content")

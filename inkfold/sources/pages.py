@@ -13,7 +13,16 @@ class _Range(InputPartition):
         self.first, self.last = first, last
 
 
-def read_pages(spark: SparkSession, fetch: Callable[[int], str | None], last: int, *, first: int = 1, pages_per_task: int = 100, empties: int | None = None, name: str = "inkfold_pages") -> DataFrame:
+def read_pages(
+    spark: SparkSession,
+    fetch: Callable[[int], str | None],
+    last: int,
+    *,
+    first: int = 1,
+    pages_per_task: int = 100,
+    empties: int | None = None,
+    name: str = "inkfold_pages",
+) -> DataFrame:
     """``page, html`` of the pages ``first`` to ``last``, each got by ``fetch``; a page that isn't there (null) has no row.
 
     Tasks get runs of ``pages_per_task`` pages and fetch one after the other. With ``empties``, a task stops after so

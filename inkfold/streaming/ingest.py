@@ -25,7 +25,10 @@ def merge_into(stream: DataFrame, key: str, target: str, state: str) -> Streamin
     ``state`` holds the offsets and the keys seen; a second run goes on from there. Null keys are one key. Keys stay in
     the state for ever; ``merge_by_target`` has none.
     """
-    return stream.dropDuplicates([key]).writeStream.format("parquet").option("path", target).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+    return stream.dropDuplicates([key]).writeStream.format("parquet").option("path", target).option(
+        "checkpointLocation",
+        state,
+    ).outputMode("append").trigger(availableNow=True).start()
 
 
 def merge_by_target(stream: DataFrame, key: str, target: str, state: str) -> StreamingQuery:
@@ -38,7 +41,9 @@ def merge_by_target(stream: DataFrame, key: str, target: str, state: str) -> Str
         new = batch.dropDuplicates([key])
         spark = batch.sparkSession
         with suppress(AnalysisException):  # there is no target yet
-            there = spark.read.option("basePath", target).parquet(f"{target}/batch=*").where(F.col("batch") != number).select(F.col(key).alias("__key")).distinct()
+            there = spark.read.option("basePath", target).parquet(f"{target}/batch=*").where(F.col("batch") != number).select(
+                F.col(key).alias("__key")
+            ).distinct()
             new = new.join(there, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
         new.write.mode("overwrite").parquet(f"{target}/batch={number}")
 

@@ -12,7 +12,29 @@ POST = "id string, author_uid string, author_name string, published_at string, f
 
 
 def test_posts_there_and_back(spark, tmp_path):
-    posts = spark.createDataFrame([("test123", "1300871220", "人", "2024-12-21T10:30:00+08:00", "2024-12-22T10:30:00", "article", None, ["股票", "分析"], "http://h/s/blog_1.html", 1, 2, 1, ["img1.jpg"], "测试文章", "正文内容\n---\nrest"), ("x", None, None, None, None, None, None, None, "", 0, 0, None, None, None, None)], POST)
+    posts = spark.createDataFrame(
+        [
+            (
+                "test123",
+                "1300871220",
+                "人",
+                "2024-12-21T10:30:00+08:00",
+                "2024-12-22T10:30:00",
+                "article",
+                None,
+                ["股票", "分析"],
+                "http://h/s/blog_1.html",
+                1,
+                2,
+                1,
+                ["img1.jpg"],
+                "测试文章",
+                "正文内容\n---\nrest",
+            ),
+            ("x", None, None, None, None, None, None, None, "", 0, 0, None, None, None, None),
+        ],
+        POST,
+    )
     sinks.write_files(sinks.post_documents(posts), str(tmp_path / "posts"))
     (tmp_path / "posts" / "index.md").write_text("skipped")
     (tmp_path / "posts" / "bad.md").write_bytes(b"no fences \xff here")
@@ -40,7 +62,10 @@ def test_indexes(spark, tmp_path):
     made = defaultdict(list)
     for r in sinks.index_lines(index, "author_uid", ["i"]).orderBy("line_no").collect():
         made[r["author_uid"]].append(r["line"])
-    assert json.loads("\n".join(made["u"])) == {"total": 2, "posts": [{"i": 1, "id": "a"}, {"i": 2, "id": "b"}]} and json.loads("".join(made["v"]))["total"] == 1
+    assert json.loads("\n".join(made["u"])) == {
+        "total": 2,
+        "posts": [{"i": 1, "id": "a"}, {"i": 2, "id": "b"}],
+    } and json.loads("".join(made["v"]))["total"] == 1
     assert sinks.index_lines(index.limit(0), "author_uid", ["i"]).count() == 0
     (tmp_path / "m").mkdir()
     (tmp_path / "m" / "map.json").write_text('{"k": ["a", "b"]}')
@@ -78,7 +103,10 @@ def test_session_graph_report(spark, tmp_path):
     s.save(str(tmp_path / "s.json"))
     state = json.loads((tmp_path / "s.json").read_text())
     assert (state["total_failed"], state["status"], state["total_downloaded"]) == (1, "completed_with_errors", 2)
-    nodes, edges = spark.createDataFrame([("a", "post")], "id string, type string"), spark.createDataFrame([("a", "b", "wrote")], "src string, dst string, relation string")
+    nodes, edges = spark.createDataFrame([("a", "post")], "id string, type string"), spark.createDataFrame(
+        [("a", "b", "wrote")],
+        "src string, dst string, relation string",
+    )
     sinks.write_graph(nodes, edges, str(tmp_path / "g"))
     assert spark.read.json(str(tmp_path / "g" / "links")).select("source", "target").collect()[0][:] == ("a", "b")
     sinks.write_report(nodes.agg(F.count(F.lit(1)).alias("n")), str(tmp_path / "r"))
@@ -88,14 +116,27 @@ def test_session_graph_report(spark, tmp_path):
 
 
 def test_other_documents(spark):
-    posts = spark.createDataFrame([("1", "u", None, "", "2020", "//h/1", "# A / B", "# old\nbody", 7), (None, None, None, None, None, None, None, None, None)], "id string, author_uid string, author_name string, published_at string, fetched_at string, source_url string, title string, body string, rank int")
+    posts = spark.createDataFrame(
+        [("1", "u", None, "", "2020", "//h/1", "# A / B", "# old\nbody", 7), (None, None, None, None, None, None, None, None, None)],
+        "id string, author_uid string, author_name string, published_at string, fetched_at string, source_url string, title string, body string, rank int",
+    )
     short = sinks.short_documents(posts, "id").orderBy("id").collect()[1]
     assert short["file_name"] == "1___A___B.md" and "author_name: \npublished_at: unknown\nfetched_at: 2020\nsource_url: //h/1\n---" in short["content"]
     staged = sinks.staged_documents(posts.where("id = '1'"), "author_uid", "rank").collect()[0]
     assert tuple(staged) == ("u_a-b_0007.md", "# # A / B\n\nold\nbody")
-    bloggers = spark.createDataFrame([("1", None, None, None, None), (None, "n", 3, ("d", None), "c")], "uid string, name string, total_articles bigint, profile struct<description: string, category: string>, created_at string")
+    bloggers = spark.createDataFrame(
+        [("1", None, None, None, None), (None, "n", 3, ("d", None), "c")],
+        "uid string, name string, total_articles bigint, profile struct<description: string, category: string>, created_at string",
+    )
     made = [json.loads(r["content"]) for r in sinks.blogger_documents(bloggers, "h.example").orderBy("uid").collect()]
-    assert made[1] == {"uid": "1", "name": "", "domain": "https://h.example/u/1", "total_articles": 0, "profile": {"description": "", "category": ""}, "created_at": ""}
+    assert made[1] == {
+        "uid": "1",
+        "name": "",
+        "domain": "https://h.example/u/1",
+        "total_articles": 0,
+        "profile": {"description": "", "category": ""},
+        "created_at": "",
+    }
     assert made[0]["profile"] == {"description": "d", "category": ""}
 
 

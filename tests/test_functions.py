@@ -36,7 +36,17 @@ def test_terms_as_python_has_them(spark):
 
 
 def test_times(spark):
-    values = ["2011-12-30T15:46:27+08:00", "2011-12-30 15:46:27", "2011-12-30T15:46:27Z", "2011-12-31", "unknown", "", None, "2011-13-40T00:00:00", " 2011-12-30T15:46:27.5 "]
+    values = [
+        "2011-12-30T15:46:27+08:00",
+        "2011-12-30 15:46:27",
+        "2011-12-30T15:46:27Z",
+        "2011-12-31",
+        "unknown",
+        "",
+        None,
+        "2011-13-40T00:00:00",
+        " 2011-12-30T15:46:27.5 ",
+    ]
     seconds = column(spark, values, lambda x: F.unix_micros(instant(x)))
     base = 1325231187000000
     assert seconds[:4] == [base, base, base + 8 * 3600 * 10**6, 1325260800000000]
@@ -44,7 +54,10 @@ def test_times(spark):
     assert column(spark, ["2011-12-31T17:00:00Z", None], lambda x: month_of(instant(x))) == ["2012-01", None]
 
 
-@pytest.mark.parametrize(("value", "wanted"), [("[徐小明, 股票, 交易师]", ["徐小明", "股票", "交易师"]), ("", []), ('["tag1", "tag2"]', ['"tag1"', '"tag2"']), ("[]", [""]), ("a, b", []), ("[", [])])
+@pytest.mark.parametrize(
+    ("value", "wanted"),
+    [("[徐小明, 股票, 交易师]", ["徐小明", "股票", "交易师"]), ("", []), ('["tag1", "tag2"]', ['"tag1"', '"tag2"']), ("[]", [""]), ("a, b", []), ("[", [])],
+)
 def test_tag_literals(spark, value, wanted):
     assert column(spark, [value], text.tag_literal) == [wanted]
 
@@ -52,7 +65,9 @@ def test_tag_literals(spark, value, wanted):
 def test_tokens(spark):
     values = ["股票 市场 投资 股票 投资 风险 股票", "a bc 中 中文AB文字 ETF the MACD", "", None]
     assert column(spark, values, text.tokens_cased)[:3] == [[w for w in re.findall(r"[一-鿿]+|[a-zA-Z]+", v) if len(w) > 1] for v in values[:3]]
-    assert column(spark, values, text.tokens_folded)[:3] == [[w for w in re.findall(r"[一-鿿]+", v) if len(w) > 1] + re.findall(r"[a-z]{3,}", v.lower()) for v in values[:3]]
+    assert column(spark, values, text.tokens_folded)[:3] == [
+        [w for w in re.findall(r"[一-鿿]+", v) if len(w) > 1] + re.findall(r"[a-z]{3,}", v.lower()) for v in values[:3]
+    ]
     assert column(spark, values, text.tokens_folded)[3] is None
 
 
@@ -100,7 +115,15 @@ def fences(content):
     return meta, "\n".join(parts[2:])
 
 
-CASES = ["---\nid: 1\ntags: [a]\n---\n\n# t\n\nbody", "---\nid: 1\nid: 2\nu: a:b\n---\nx\n---\ny---\nz", "no front matter", "---\nid: 1\n", "", "---\n---\n", "---\nk: \"q\"\n---\n"]
+CASES = [
+    "---\nid: 1\ntags: [a]\n---\n\n# t\n\nbody",
+    "---\nid: 1\nid: 2\nu: a:b\n---\nx\n---\ny---\nz",
+    "no front matter",
+    "---\nid: 1\n",
+    "",
+    "---\n---\n",
+    "---\nk: \"q\"\n---\n",
+]
 
 
 def test_front_matter(spark):
@@ -121,11 +144,23 @@ rest<!-- 正文结束 --></div><div>after</div><img src="http://cdn.example/2.jp
 
 def test_pages(spark):
     got = column(spark, [PAGE, ""], lambda x: html.article(x, F.lit("http://h/s/blog_9z.html")))
-    assert got[0].asDict() == {"id": "9z", "title": "A  title", "url": "http://h/s/blog_9z.html", "date": "2013-04-05 06:07:08", "tags": ["a", "b，", "c"], "content": "a <b> &amp; cs din the inner rest", "images": ["http://i/1.jpg", "http://cdn.example/2.jpg"]}
+    assert got[0].asDict() == {
+        "id": "9z",
+        "title": "A  title",
+        "url": "http://h/s/blog_9z.html",
+        "date": "2013-04-05 06:07:08",
+        "tags": ["a", "b，", "c"],
+        "content": "a <b> &amp; cs din the inner rest",
+        "images": ["http://i/1.jpg", "http://cdn.example/2.jpg"],
+    }
     assert got[1]["content"] == "" and got[1]["images"] == []
     assert column(spark, ['<div class="articalContent">no end</div>'], html.article_content) == [""]
     assert column(spark, [PAGE], lambda x: html.images(x, without_host="cdn.example")) == [["http://i/1.jpg"]]
-    assert column(spark, [PAGE], html.script_tags) == [["a", "b", "c"]] and column(spark, [PAGE], html.title) == ["A B"] and column(spark, [PAGE], html.stated_time) == ["2012-01-02 03:04:05"]
+    assert column(
+        spark,
+        [PAGE],
+        html.script_tags,
+    ) == [["a", "b", "c"]] and column(spark, [PAGE], html.title) == ["A B"] and column(spark, [PAGE], html.stated_time) == ["2012-01-02 03:04:05"]
     links = column(spark, [PAGE], lambda x: html.article_links(x, "h"))[0]
     assert [tuple(x) for x in links] == [("0a", "First post", "http://h/s/blog_0a.html")]
     assert column(spark, [PAGE, ""], html.page_numbers) == [12, 1]
@@ -135,7 +170,17 @@ def test_pages(spark):
 
 
 @settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.one_of(st.floats(0, 1000, allow_nan=False), st.integers(0, 20000).map(lambda n: n / 20), st.integers(1, 999).map(lambda n: n * 100.0 / 1000)), min_size=1, max_size=40))
+@given(
+    st.lists(
+        st.one_of(
+            st.floats(0, 1000, allow_nan=False),
+            st.integers(0, 20000).map(lambda n: n / 20),
+            st.integers(1, 999).map(lambda n: n * 100.0 / 1000),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
 def test_round1_as_python_rounds(spark, numbers):
     numbers += [0.35, 0.25, 0.75, 0.45, 2.5, 0.05, 99.95, 0.0]
     df = spark.createDataFrame([(x,) for x in numbers], "x double")
@@ -143,6 +188,10 @@ def test_round1_as_python_rounds(spark, numbers):
 
 
 def test_titles_and_summaries(spark):
-    assert column(spark, ["## A title #\nrest", "\n\n plain", "#", "", "x" * 200], lambda x: text.first_line_title(x, F.lit("f"))) == ["A title #", "plain", "f", "f", "x" * 100]
+    assert column(
+        spark,
+        ["## A title #\nrest", "\n\n plain", "#", "", "x" * 200],
+        lambda x: text.first_line_title(x, F.lit("f")),
+    ) == ["A title #", "plain", "f", "f", "x" * 100]
     entry = ['title: "T"\nsummary: "S"', 'summary: "S"', 'title: "T"', None]
     assert column(spark, entry, lambda x: text.entry_summary(x, F.lit("n.md"))) == ["[T]: S", "[n]: S", None, None]

@@ -25,7 +25,17 @@ def test_profiles_of_keys(spark):
     posts = []
     for i in range(900):
         tags = r.choice([None, [], ["#A", "a", None, ""], ["a", "b"], ["ｃ"]])
-        posts.append((i, "hot" if i % 3 == 0 else r.choice([None, "", "x", f"u{i % 40}"]), tags, r.choice(["2012-01-01T00:00:00Z", "2013-05-05 01:02:03", "unknown", None]), r.choice([None, "", "abc", "y" * 50_000 if i == 5 else "de"]), "clash", 7))
+        posts.append(
+            (
+                i,
+                "hot" if i % 3 == 0 else r.choice([None, "", "x", f"u{i % 40}"]),
+                tags,
+                r.choice(["2012-01-01T00:00:00Z", "2013-05-05 01:02:03", "unknown", None]),
+                r.choice([None, "", "abc", "y" * 50_000 if i == 5 else "de"]),
+                "clash",
+                7,
+            )
+        )
     want = defaultdict(lambda: [0, 0])
     for _, author, tags, _, body, *_ in posts:
         keys = {("tags", t) for t in ((x or "").replace("#", "").replace("ｃ", "c").lower() for x in tags or []) if t}
@@ -43,7 +53,12 @@ def test_profiles_of_nothing(spark):
 
 def test_salts_change_nothing(spark):
     df = spark.range(2000).select("id", F.when(F.col("id") % 3 < 2, None).otherwise(F.col("id") % 5).alias("k"))
-    measures = [salted.Measure("n", "count", F.lit(1)), salted.Measure("lo", "min", F.col("id")), salted.Measure("hi", "max", F.col("id")), salted.Measure("s", "sum", F.col("id"))]
+    measures = [
+        salted.Measure("n", "count", F.lit(1)),
+        salted.Measure("lo", "min", F.col("id")),
+        salted.Measure("hi", "max", F.col("id")),
+        salted.Measure("s", "sum", F.col("id")),
+    ]
     plain = df.groupBy("k").agg(F.count(F.lit(1)), F.min("id"), F.max("id"), F.sum("id"))
     assert rows(salted.salted_aggregate(df, ["k"], measures, [F.col("id")], heavy_share=0.05, salts=7)) == rows(plain)
 
@@ -96,7 +111,12 @@ def _kinds(stored, gone, refs):
 def test_orphans_in_one_step_and_in_many(spark):
     r = random.Random(3)
     stored, gone, refs = _orphan_data(r)
-    make = lambda s, g, f: orphans.Increment(spark.createDataFrame(s, STORED), spark.createDataFrame(g, GONE), None, spark.createDataFrame(f, REFS))
+    make = lambda s, g, f: orphans.Increment(
+        spark.createDataFrame(s, STORED),
+        spark.createDataFrame(g, GONE),
+        None,
+        spark.createDataFrame(f, REFS),
+    )
     want = _kinds(stored, gone, refs)
     once = orphans.OrphanStore(spark, 3).step(make(stored, gone, refs))
     assert rows(once.references.select("table_name", "row_id", "kind")) == want
@@ -148,7 +168,12 @@ def test_untouched_buckets_are_not_rewritten(spark):
 def test_periods(spark):
     r = random.Random(4)
     stored, gone, refs = _orphan_data(r)
-    whole = orphans.Increment(spark.createDataFrame(stored, STORED), spark.createDataFrame([(*g, None) for g in gone], GONE + ", removed_at timestamp"), None, spark.createDataFrame(refs, REFS))
+    whole = orphans.Increment(
+        spark.createDataFrame(stored, STORED),
+        spark.createDataFrame([(*g, None) for g in gone], GONE + ", removed_at timestamp"),
+        None,
+        spark.createDataFrame(refs, REFS),
+    )
     steps = orphans.in_periods(whole, 4)
     assert sum(s.references.count() for s in steps) == sum(1 for x in refs if x[4]) and all(s.references.count() for s in steps)
     store = orphans.OrphanStore(spark, 5)
@@ -250,7 +275,13 @@ def test_whole_report(spark):
     content = lambda *x: quality.counts_of(spark.createDataFrame([(v,) for v in x], "label string"), "label", labels)
     files = lambda *x: quality.integrity_counts(spark.createDataFrame([(v,) for v in x], "issue string"), "issue")
     bad = quality.full_report(reconcile.reconcile(listed, stored, "u"), content("valid", "short_content"), files(None, "tags")).collect()[0]
-    assert bad["overall_status"] == "issues_found" and bad["recommendations"] == ["missing: 1", "not listed: 1", "completeness: 50.0%", "short: 1", "corrupted: 1"]
+    assert bad["overall_status"] == "issues_found" and bad["recommendations"] == [
+        "missing: 1",
+        "not listed: 1",
+        "completeness: 50.0%",
+        "short: 1",
+        "corrupted: 1",
+    ]
     assert (bad["quantity"]["missing"], bad["quantity"]["extra"]) == (["b"], ["c"])
     good = quality.full_report(reconcile.reconcile(listed, listed, "u"), content("valid"), files(None)).collect()[0]
     assert good["overall_status"] == "ok" and good["recommendations"] == ["all checks passed"]
@@ -271,7 +302,17 @@ def test_reconcile(spark):
     listed = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "u string")
     stored = spark.createDataFrame([("b",), ("c",)], "u string")
     r = reconcile.reconcile(listed, stored, "u").collect()[0].asDict()
-    assert r == {"n_listed": 2, "n_stored": 2, "n_matched": 1, "n_missing": 1, "n_extra": 1, "completeness_percent": 50.0, "status": "incomplete", "missing": ["a"], "extra": ["c"]}
+    assert r == {
+        "n_listed": 2,
+        "n_stored": 2,
+        "n_matched": 1,
+        "n_missing": 1,
+        "n_extra": 1,
+        "completeness_percent": 50.0,
+        "status": "incomplete",
+        "missing": ["a"],
+        "extra": ["c"],
+    }
     r = reconcile.reconcile(listed.limit(0), stored.limit(0), "u").collect()[0]
     assert r["n_listed"] == 0 and r["completeness_percent"] == 0.0 and r["missing"] == []
     assert reconcile.missing(listed, stored, "u").count() == 2
@@ -288,9 +329,23 @@ def test_pages_with_a_hole(spark):
 
 
 def test_ladders_differ(spark):
-    df = spark.createDataFrame([("ab", "2012", "x"), ("abc", None, "y" * 200), ("abc", "2012", "待补充" + " " * 120), (None, None, None), ("abcd", "2012", "z" * 100)], "t string, d string, b string")
-    got = [tuple(r) for r in df.select(quality.check_first_title(F.col("t"), F.col("d"), F.col("b")), quality.check_first_body(F.col("t"), F.col("d"), F.col("b"))).collect()]
-    assert got == [("missing_title", "short_content"), ("missing_date", "missing_date"), ("placeholder", "valid"), ("missing_title", "short_content"), ("valid", "valid")]
+    df = spark.createDataFrame(
+        [("ab", "2012", "x"), ("abc", None, "y" * 200), ("abc", "2012", "待补充" + " " * 120), (None, None, None), ("abcd", "2012", "z" * 100)],
+        "t string, d string, b string",
+    )
+    got = [
+        tuple(r) for r in df.select(
+            quality.check_first_title(F.col("t"), F.col("d"), F.col("b")),
+            quality.check_first_body(F.col("t"), F.col("d"), F.col("b")),
+        ).collect()
+    ]
+    assert got == [
+        ("missing_title", "short_content"),
+        ("missing_date", "missing_date"),
+        ("placeholder", "valid"),
+        ("missing_title", "short_content"),
+        ("valid", "valid"),
+    ]
 
 
 def test_advice(spark):
@@ -346,7 +401,14 @@ def test_graph_as_a_dict_has_it(spark):
     assert {(e["src"], e["dst"]): e["relation"] for e in graph.collapse(_pair_edges(spark, posts).unionByName(others)).collect()} == edges
     tagged = graph.tag_edges(df, "post", "tags")
     assert {(e["src"], e["dst"]) for e in tagged.collect()} == {(p[0], f"tag:{t}") for p in posts for t in p[2]}
-    named = df.select(F.col("post").alias("id"), F.lit("t").alias("title"), "author", F.lit(None).cast("string").alias("published_at"), F.lit("c").alias("category"), "tags")
+    named = df.select(
+        F.col("post").alias("id"),
+        F.lit("t").alias("title"),
+        "author",
+        F.lit(None).cast("string").alias("published_at"),
+        F.lit("c").alias("category"),
+        "tags",
+    )
     nodes = graph.nodes(named, kw.select("keyword"), df.where("author <> ''").select("author"), tagged.select("dst"))
     types = {n["id"]: n["type"] for n in nodes.collect()}
     assert types["kw1"] == "keyword" and types["0"] == "post" and types["ann"] == "author" and types["tag:a"] == "tag"
@@ -368,7 +430,12 @@ def test_classes_stand_for_all_links(spark):
     posts = [(str(i), i, r.choice([None, [], [r.choice(["hot", "hot", "a", "b", None, ""]) for _ in range(r.randrange(5))]])) for i in range(60)]
     df = spark.createDataFrame(posts, "post string, at int, tags array<string>").withColumn("tag", F.lit("clash"))
     held = [(p[1], k, t) for p in posts for k, t in enumerate(p[2] or []) if t is not None]
-    want = {t: (len({a[0] for a in held if a[2] == t}), len({(a[0], b[0]) for a in held for b in held if a[2] == b[2] == t and a[:2] < b[:2]})) for _, _, t in held}
+    want = {
+        t: (
+            len({a[0] for a in held if a[2] == t}),
+            len({(a[0], b[0]) for a in held for b in held if a[2] == b[2] == t and a[:2] < b[:2]}),
+        ) for _, _, t in held
+    }
     assert {x["tag"]: (x["n_posts"], x["n_links"]) for x in graph.tag_classes(df, "post", "tags").collect()} == want
     assert graph.tag_classes(df.limit(0), "post", "tags").count() == 0 and graph.tag_edges(df.limit(0), "post", "tags").count() == 0
 
@@ -386,9 +453,22 @@ def test_next_within_a_value(spark):
 
 def test_exact_degrees_as_brute_force_has_them(spark):
     r = random.Random(8)
-    posts = [(str(i), i, r.choice([None, [], [r.choice(["hot", "hot", None, "a", "b", "c", "d", "e", f"own{i}"]) for _ in range(r.randrange(9))]])) for i in range(120)]
+    posts = [
+        (
+            str(i),
+            i,
+            r.choice([None, [], [r.choice(["hot", "hot", None, "a", "b", "c", "d", "e", f"own{i}"]) for _ in range(r.randrange(9))]]),
+        ) for i in range(120)
+    ]
     df = spark.createDataFrame(posts, "post string, at int, tags array<string>")
-    others = spark.createDataFrame([(str(i), str(i + 1), "next_post") for i in range(119)] + [("3", "3", "contains_keyword"), ("4", "hot", "contains_keyword"), ("ann", "5", "wrote")], "src string, dst string, relation string")
+    others = spark.createDataFrame(
+        [(str(i), str(i + 1), "next_post") for i in range(119)] + [
+            ("3", "3", "contains_keyword"),
+            ("4", "hot", "contains_keyword"),
+            ("ann", "5", "wrote"),
+        ],
+        "src string, dst string, relation string",
+    )
     every = _pair_edges(spark, posts).unionByName(others)
     want = rows(graph.degrees(graph.collapse(every)))
     for most in (12, 2, 0):
@@ -432,7 +512,13 @@ def test_retries_and_calls_at_once(spark, tmp_path):
     assert one.rdd.getNumPartitions() == 1 and rows(one) == {(0, "3"): 1, (1, "3"): 1, (2, "1"): 1}
 
 
-REPLIES = ['```json\nSure: [{"title": "A", "tags": ["x", "", "y", "z", "u", "v", "w"], "related": null, "content": "", "body": "b"}, {"summary": "no title"}]\n```', "---\n# One\ntext\n---\n# O ne\nagain\n---\n\n---\n## Two\nx", "nothing", '[{"broken": ', None]
+REPLIES = [
+    '```json\nSure: [{"title": "A", "tags": ["x", "", "y", "z", "u", "v", "w"], "related": null, "content": "", "body": "b"}, {"summary": "no title"}]\n```',
+    "---\n# One\ntext\n---\n# O ne\nagain\n---\n\n---\n## Two\nx",
+    "nothing",
+    '[{"broken": ',
+    None,
+]
 
 
 def test_replies(spark):
@@ -443,7 +529,9 @@ def test_replies(spark):
     assert not got[2] and not got[3] and not got[4]
     batch = spark.createDataFrame([(0, 1, "On e"), (0, 2, "Two!")], "batch_id bigint, idx int, title string")
     named = spark.createDataFrame([(0, 0, "One"), (0, 1, "Two"), (0, 2, "Three"), (1, 0, "One")], "batch_id bigint, pos int, title string")
-    assert {(r["batch_id"], r["title"]): r["idx"] for r in batching.match_titles(named, batch).collect()} == {(0, "One"): 1, (0, "Two"): 2, (0, "Three"): None, (1, "One"): None}
+    assert {
+        (r["batch_id"], r["title"]): r["idx"] for r in batching.match_titles(named, batch).collect()
+    } == {(0, "One"): 1, (0, "Two"): 2, (0, "Three"): None, (1, "One"): None}
     api = spark.createDataFrame([('{"content": [{"type": "text", "text": "a"}, {"type": "x"}, {"type": "text", "text": "b"}]}',), ("x",)], "r string")
     assert [r[0] for r in api.select(batching.reply_text(F.col("r"))).collect()] == ["a\nb", None]
 

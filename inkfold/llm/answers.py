@@ -135,7 +135,19 @@ def _rules(profiles):
                 marks[i] = bool(_DOTS.search(last) or tail and (fields[i] in PROSE or tail[-1] in ",，、;；:：-—(（[「『《“"))
                 styles[i] = tail is not None and bool(GOING_ON.search(tail) or any(_END.search(x.strip()) for x in kept[i][:-1]))
             sizes = [sum(len(x) for x in a or [] if x) for a in answers]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(defects, pa.string()), pa.array(tails, pa.string()), pa.array(marks, pa.bool_()), pa.array(styles, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(units, pa.list_(pa.string()))], names=["key", "field_name", "defect", "tail", "mark", "style", "size", "units"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(defects, pa.string()),
+                    pa.array(tails, pa.string()),
+                    pa.array(marks, pa.bool_()),
+                    pa.array(styles, pa.bool_()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(units, pa.list_(pa.string())),
+                ],
+                names=["key", "field_name", "defect", "tail", "mark", "style", "size", "units"],
+            )
 
     return run
 
@@ -170,7 +182,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
 
     def passed():
-        batch = pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.bool_(), pa.int32()))], names=["unit", "shortened", "lowest", "part"])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.bool_(), pa.int32()))],
+            names=["unit", "shortened", "lowest", "part"],
+        )
         out.clear()
         return batch
 
@@ -197,13 +212,20 @@ def open_units(answers: DataFrame) -> DataFrame:
     spark = answers.sparkSession
     counts = durable(count_units(answers))
     stands = (F.col("n_other") > 0) | F.col("ending").isNull()
-    placed = counts.select("unit", (F.col("n_open") > 0).alias("is_open"), stands.alias("is_complete")).repartitionByRange("unit").sortWithinPartitions(F.desc("unit")).withColumn("part", F.spark_partition_id())
+    placed = counts.select(
+        "unit",
+        (F.col("n_open") > 0).alias("is_open"),
+        stands.alias("is_complete"),
+    ).repartitionByRange("unit").sortWithinPartitions(F.desc("unit")).withColumn("part", F.spark_partition_id())
     told = durable(placed.mapInArrow(_neighbours, "unit string, shortened boolean, lowest boolean, part int"))
     lowest, following = {r["part"]: r["unit"] for r in told.where("lowest").collect()}, []  # one row a task
     for part in range(max(lowest, default=-1), -1, -1):
         following.append((part - 1, lowest.get(part, following[-1][1] if following else None)))
     later = F.broadcast(spark.createDataFrame(following, "part int, next string"))  # one row a task
-    shortened = told.where("not lowest").join(later, "part", "left").select("unit", F.coalesce("shortened", F.startswith("next", "unit"), F.lit(False)).alias("shortened"))
+    shortened = told.where("not lowest").join(later, "part", "left").select(
+        "unit",
+        F.coalesce("shortened", F.startswith("next", "unit"), F.lit(False)).alias("shortened"),
+    )
     endings = counts.where((F.col("n_other") > 0) & F.col("ending").isNotNull()).select("ending").distinct().withColumn("usual", F.lit(True))
     tails = counts.where(F.col("n_open") > 0).join(endings, "ending", "left").join(shortened, "unit")
     complete = (F.col("n_other") > 0) | F.coalesce("usual", F.lit(False))
@@ -236,7 +258,10 @@ def answer_defects(results: DataFrame, prompts: DataFrame, profiles: Profiles) -
     sorts first counts. Empty tables give no rows; columns beyond those used are ignored.
     """
     spark = results.sparkSession
-    fields = F.array(F.struct(F.lit("key_points").alias("field_name"), F.col("key_points").alias("items")), F.struct(F.lit("market_view").alias("field_name"), F.array("market_view").alias("items")))
+    fields = F.array(
+        F.struct(F.lit("key_points").alias("field_name"), F.col("key_points").alias("items")),
+        F.struct(F.lit("market_view").alias("field_name"), F.array("market_view").alias("items")),
+    )
     known = prompts.groupBy("prompt_id").agg(F.min("prompt").alias("prompt"))
     joined = results.select("result_id", "prompt_id", fields.alias("fields")).join(known, "prompt_id", "left")
     answers = joined.select("result_id", F.explode("fields").alias("a"), "prompt").select("result_id", "a.field_name", "a.items", "prompt")
@@ -252,9 +277,19 @@ def answer_defects(results: DataFrame, prompts: DataFrame, profiles: Profiles) -
         .when(F.col("mark"), "mark")
         .when(unfinished & F.col("style"), "style")
     )
-    cut = judged.join(F.broadcast(limits), ["field_name", "size"], "left").select("key", "field_name", F.lit("truncated").alias("defect"), evidence.alias("evidence"))  # limits: a few lengths
+    cut = judged.join(F.broadcast(limits), ["field_name", "size"], "left").select(
+        "key",
+        "field_name",
+        F.lit("truncated").alias("defect"),
+        evidence.alias("evidence"),
+    )  # limits: a few lengths
     told = ruled.where(F.col("defect").isNotNull() | (F.col("tail").isNull() & F.col("mark")))
-    told = told.select("key", "field_name", F.coalesce("defect", F.lit("truncated")).alias("defect"), F.when(F.col("defect").isNull(), "mark").otherwise("rule").alias("evidence"))
+    told = told.select(
+        "key",
+        "field_name",
+        F.coalesce("defect", F.lit("truncated")).alias("defect"),
+        F.when(F.col("defect").isNull(), "mark").otherwise("rule").alias("evidence"),
+    )
     return told.unionByName(cut.where(F.col("evidence").isNotNull())).withColumnRenamed("key", "result_id")
 
 

@@ -297,13 +297,25 @@ def names_language(label: Column) -> Column:
     return name.isin(list(_CODE)) | F.split(name, "[-_ ]")[0].isin(list(_CODE))
 
 
-def learn_profiles(documents: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "lang", train: int = TRAIN, train_chars: int = TRAIN_CHARS) -> Profiles:
+def learn_profiles(
+    documents: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "lang",
+    train: int = TRAIN,
+    train_chars: int = TRAIN_CHARS,
+) -> Profiles:
     """Profiles from labelled documents, those that hash lowest, and SEEDS: at most ``train``, and ``train_chars`` characters in all.
 
     Labels may be wrong: the first profiles judge the sentences of the sample again, and the second ones are made of
     the sentences as judged. Only the 2 DEPTH most frequent n-grams of each language reach the driver.
     """
-    sample = documents.where(names_language(F.col(label)) & F.col(text).rlike(r"\p{L}")).select(F.col(label).alias("label"), F.col(text).alias("text"), F.col(key).alias("key"))
+    sample = documents.where(names_language(F.col(label)) & F.col(text).rlike(r"\p{L}")).select(
+        F.col(label).alias("label"),
+        F.col(text).alias("text"),
+        F.col(key).alias("key"),
+    )
     sample = durable(hash_sample(sample, "text", train, train_chars, documents.count()).repartition(16, "key").drop("key"))
     profiles = None
     for _ in range(2):
@@ -317,7 +329,11 @@ def learn_profiles(documents: DataFrame, *, key: str = "doc_id", text: str = "te
 
 
 _SEGMENT = "array<struct<lang_code: string, confidence: double, char_start: int, char_end: int, n_sentences: int>>"
-_SEGMENT_ARROW = pa.list_(pa.struct([("lang_code", pa.string()), ("confidence", pa.float64()), ("char_start", pa.int32()), ("char_end", pa.int32()), ("n_sentences", pa.int32())]))
+_SEGMENT_ARROW = pa.list_(
+    pa.struct(
+        [("lang_code", pa.string()), ("confidence", pa.float64()), ("char_start", pa.int32()), ("char_end", pa.int32()), ("n_sentences", pa.int32())]
+    )
+)
 
 
 def _segments(spans: list[tuple[int, int, bool]], langs: list[int], sure: list[float]) -> list[dict]:
@@ -390,11 +406,21 @@ def _identify(profiles):
                     held += sum(map(len, new))
                 found: list[list[dict]] = [[] for _ in spans]
                 if pieces:
-                    langs, sure = (x.tolist() for x in _decided(sums[np.fromiter(map(judged.__getitem__, pieces), np.int64, len(pieces))], np.repeat(np.arange(len(spans)), sizes), np.array(counts), len(spans)))
+                    langs, sure = (
+                        x.tolist() for x in _decided(
+                            sums[np.fromiter(map(judged.__getitem__, pieces), np.int64, len(pieces))],
+                            np.repeat(np.arange(len(spans)), sizes),
+                            np.array(counts),
+                            len(spans),
+                        )
+                    )
                     ends = np.cumsum(sizes).tolist()
                     found = [_segments(own, langs[end - size : end], sure[end - size : end]) for own, size, end in zip(spans, sizes, ends)]
                 codes = [label_code(x) for x in labels[done:upto]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, upto - done), pa.array(codes, pa.string()), pa.array(found, _SEGMENT_ARROW)], names=["key", "label_code", "segments"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, upto - done), pa.array(codes, pa.string()), pa.array(found, _SEGMENT_ARROW)],
+                    names=["key", "label_code", "segments"],
+                )
                 done = upto
 
     return run
@@ -421,9 +447,23 @@ def main_languages(identified: DataFrame, *, key: str = "doc_id") -> DataFrame:
     size = lambda s: (s["char_end"] - s["char_start"]).cast("double")
     of = lambda code, value: F.aggregate(F.filter("segments", lambda s: s["lang_code"] == code), F.lit(0.0), lambda a, s: a + value(s))
     codes = F.array_distinct(F.transform("segments", lambda s: s["lang_code"]))
-    sums = F.transform(codes, lambda c, i: F.struct(of(c, size).alias("chars"), (-i).alias("place"), c.alias("lang_code"), (of(c, lambda s: size(s) * s["confidence"]) / of(c, size)).alias("confidence")))
+    sums = F.transform(
+        codes,
+        lambda c, i: F.struct(
+            of(c, size).alias("chars"),
+            (-i).alias("place"),
+            c.alias("lang_code"),
+            (of(c, lambda s: size(s) * s["confidence"]) / of(c, size)).alias("confidence"),
+        ),
+    )
     best = F.array_max(sums)
-    return identified.select(key, "label_code", best["lang_code"].alias("lang_code"), best["confidence"].alias("confidence"), F.size("segments").alias("n_segments"))
+    return identified.select(
+        key,
+        "label_code",
+        best["lang_code"].alias("lang_code"),
+        best["confidence"].alias("confidence"),
+        F.size("segments").alias("n_segments"),
+    )
 
 
 def mislabelled(identified: DataFrame, *, key: str = "doc_id") -> DataFrame:

@@ -33,7 +33,15 @@ def _emit(sigma: int):
 
         def flush():
             keys, values = list(held), list(held.values())
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([list(k[1:]) for k in keys], pa.list_(pa.string())), pa.array([v[0] for v in values], pa.int64()), pa.array([v[1:] for v in values], pa.list_(pa.int64()))], schema=_COUNTED_ARROW)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in keys], pa.string()),
+                    pa.array([list(k[1:]) for k in keys], pa.list_(pa.string())),
+                    pa.array([v[0] for v in values], pa.int64()),
+                    pa.array([v[1:] for v in values], pa.list_(pa.int64())),
+                ],
+                schema=_COUNTED_ARROW,
+            )
             held.clear()
 
         for batch in batches:
@@ -72,7 +80,10 @@ def _stack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[-1][0] += n
 
     def passed() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()))], names=["grp", "ngram", "n_occurrences", "n_records"])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()))],
+            names=["grp", "ngram", "n_occurrences", "n_records"],
+        )
         out.clear()
         return batch
 
@@ -125,4 +136,11 @@ def term_usefulness(fields: dict[str, tuple[DataFrame, str]], *, rare_below: int
     counts = ngram_counts(records, F.col("grp"), F.col("seq"), sigma)
     limit = F.create_map(*(x for name, (df, _) in fields.items() for x in (F.lit(name), F.lit(df.count() * common_above))))
     mark = F.when(F.col("n_records") < rare_below, "rare").when(F.col("n_records") > limit[F.col("grp")], "common")
-    return counts.select(F.col("grp").alias("field_name"), F.col("ngram").alias("terms"), F.size("ngram").alias("n_terms"), "n_occurrences", "n_records", mark.alias("mark"))
+    return counts.select(
+        F.col("grp").alias("field_name"),
+        F.col("ngram").alias("terms"),
+        F.size("ngram").alias("n_terms"),
+        "n_occurrences",
+        "n_records",
+        mark.alias("mark"),
+    )

@@ -95,7 +95,10 @@ def _place(slots):
                 axis = (np.searchsorted(known, length) << 40) + first
                 at = np.searchsorted(axis, (np.searchsorted(known, sizes[own]) << 40) + ranks[own], side="right") - 1
                 place[own] = container[at] + (ranks[own] - first[at]) // each[at]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place), *(batch.column(k) for k in (1, 2, 3, 4))], names=["capacity_id", "container_id", "key", "part_no", "token_start", "n_tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(place), *(batch.column(k) for k in (1, 2, 3, 4))],
+                names=["capacity_id", "container_id", "key", "part_no", "token_start", "n_tokens"],
+            )
 
     return run
 
@@ -112,7 +115,13 @@ def pack(lengths: DataFrame, key: str, size: str, capacities: dict[int, int]) ->
     sized = lengths.select(F.col(key).alias("key"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("n"))
     wanted = F.explode(F.array(*(F.struct(F.lit(i).cast("int").alias("capacity_id"), F.lit(c).cast("bigint").alias("cap")) for i, c in capacities.items())))
     parts = F.greatest(F.lit(1), F.ceil(F.col("n") / F.col("cap"))).cast("int")
-    pieces = sized.withColumn("c", wanted).select("key", "n", "c.*").select("capacity_id", "cap", "key", "n", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part_no"))
+    pieces = sized.withColumn("c", wanted).select("key", "n", "c.*").select(
+        "capacity_id",
+        "cap",
+        "key",
+        "n",
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part_no"),
+    )
     start = F.col("part_no") * F.col("cap")
     pieces = pieces.select("capacity_id", "key", "part_no", start.alias("token_start"), F.least("cap", F.col("n") - start).alias("n_tokens"))
     shards = max(SHARDS, -(-lengths.count() // SHARD_ITEMS))  # all items may be of one length
@@ -129,7 +138,10 @@ def pack(lengths: DataFrame, key: str, size: str, capacities: dict[int, int]) ->
     within = Window.partitionBy("capacity_id", "n_tokens", "shard").orderBy("key", "part_no")
     ranked = pieces.withColumn("in_shard", F.row_number().over(within) - 1).join(starts.drop("n"), ["capacity_id", "n_tokens", "shard"])
     ranked = ranked.select("capacity_id", "key", "part_no", "token_start", "n_tokens", (F.col("from_rank") + F.col("in_shard")).cast("bigint").alias("rank"))
-    placed = ranked.mapInArrow(_place(spark.sparkContext.broadcast(slots)), "capacity_id int, container_id bigint, key bigint, part_no int, token_start bigint, n_tokens bigint")
+    placed = ranked.mapInArrow(
+        _place(spark.sparkContext.broadcast(slots)),
+        "capacity_id int, container_id bigint, key bigint, part_no int, token_start bigint, n_tokens bigint",
+    )
     return placed.withColumnRenamed("key", key)
 
 
@@ -138,7 +150,13 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, *, folder: str =
 
     ``capacities`` is a short table of settings and is read by the driver; a null tokenizer means byte_bpe_50k.
     """
-    settings = [(r["capacity_id"], r["capacity_tokens"], r["tokenizer"] or "byte_bpe_50k") for r in capacities.select("capacity_id", "capacity_tokens", "tokenizer").collect()]
+    settings = [
+        (
+            r["capacity_id"],
+            r["capacity_tokens"],
+            r["tokenizer"] or "byte_bpe_50k",
+        ) for r in capacities.select("capacity_id", "capacity_tokens", "tokenizer").collect()
+    ]
     out = None
     for name in dict.fromkeys(t for _, _, t in settings):
         sizes = durable(token_counts(documents, "doc_id", "text", tokenizer=name, folder=folder))
@@ -153,7 +171,14 @@ def container_fill(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     total = used.groupBy("capacity_id").agg(F.count(F.lit(1)).alias("n_containers"), F.sum("used").alias("n_tokens"))
     cap = F.col("capacity_tokens").cast("bigint")
     joined = total.join(F.broadcast(capacities.select("capacity_id", "capacity_tokens")), "capacity_id")  # settings: a few rows
-    return joined.select("capacity_id", cap.alias("capacity_tokens"), "n_containers", "n_tokens", (F.col("n_containers") * cap - F.col("n_tokens")).alias("unused"), F.ceil(F.col("n_tokens") / cap).alias("least_containers"))
+    return joined.select(
+        "capacity_id",
+        cap.alias("capacity_tokens"),
+        "n_containers",
+        "n_tokens",
+        (F.col("n_containers") * cap - F.col("n_tokens")).alias("unused"),
+        F.ceil(F.col("n_tokens") / cap).alias("least_containers"),
+    )
 
 
 def violations(packed: DataFrame, lengths: DataFrame, capacities: DataFrame, *, key: str = "doc_id") -> DataFrame:
@@ -163,9 +188,20 @@ def violations(packed: DataFrame, lengths: DataFrame, capacities: DataFrame, *,
     caps = capacities.select("capacity_id", F.col("capacity_tokens").cast("bigint").alias("cap"))
     over = packed.groupBy("capacity_id", "container_id").agg(F.sum("n_tokens").alias("used")).join(F.broadcast(caps), "capacity_id")  # settings: a few rows
     over = over.groupBy("capacity_id").agg(F.count_if(F.col("used") > F.col("cap")).alias("n_over"))
-    parts = packed.groupBy("capacity_id", key).agg(F.count(F.lit(1)).alias("parts"), F.sum("n_tokens").alias("placed"), F.max(F.col("token_start") + F.col("n_tokens")).alias("upto"), F.count_distinct("part_no").alias("distinct"))
+    parts = packed.groupBy("capacity_id", key).agg(
+        F.count(F.lit(1)).alias("parts"),
+        F.sum("n_tokens").alias("placed"),
+        F.max(F.col("token_start") + F.col("n_tokens")).alias("upto"),
+        F.count_distinct("part_no").alias("distinct"),
+    )
     each = F.explode(F.array(*(F.struct(F.lit(r["capacity_id"]).alias("capacity_id"), F.lit(r["cap"]).alias("cap")) for r in caps.collect())))  # settings
     held = lengths.select(key, "n_tokens", each.alias("c")).select(key, "n_tokens", "c.*").join(parts, ["capacity_id", key], "left")
     even = (F.col("placed") == F.col("n_tokens")) & (F.col("upto") == F.col("n_tokens")) & (F.col("distinct") == F.col("parts"))
-    checked = held.groupBy("capacity_id").agg(F.count_if(~F.coalesce(even, F.lit(False))).alias("n_uneven"), F.count_if((F.col("parts") > 1) & (F.col("n_tokens") <= F.col("cap"))).alias("n_divided"))
-    return caps.join(over, "capacity_id", "left").join(checked, "capacity_id", "left").select("capacity_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_over", "n_uneven", "n_divided")))
+    checked = held.groupBy("capacity_id").agg(
+        F.count_if(~F.coalesce(even, F.lit(False))).alias("n_uneven"),
+        F.count_if((F.col("parts") > 1) & (F.col("n_tokens") <= F.col("cap"))).alias("n_divided"),
+    )
+    return caps.join(over, "capacity_id", "left").join(checked, "capacity_id", "left").select(
+        "capacity_id",
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_over", "n_uneven", "n_divided")),
+    )

@@ -170,7 +170,9 @@ class _Words:
         pair ^= pair >> np.uint64(31)
         edge = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.array([], np.int64)
         last = np.append(edge[1:] - 1, len(owner) - 1) if len(owner) else edge
-        mixed = np.concatenate([token[single], pair, token[edge] ^ np.uint64(0x5851F42D4C957F2D), token[last] ^ np.uint64(0x14057B7EF767814F)]) * np.uint64(0xD6E8FEB86659FD93)
+        mixed = np.concatenate(
+            [token[single], pair, token[edge] ^ np.uint64(0x5851F42D4C957F2D), token[last] ^ np.uint64(0x14057B7EF767814F)]
+        ) * np.uint64(0xD6E8FEB86659FD93)
         self.bucket = (mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
         self.passage = np.concatenate([owner[single], owner[next_to], owner[edge], owner[last]])
         self.letters = np.bincount(owner, size, minlength=len(self.field))
@@ -243,10 +245,20 @@ class ResidueModel:
 
 def _fields(df: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
     pairs = F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields))
-    return df.select(F.col(key).cast("bigint").alias("key"), F.explode(pairs).alias("p")).select("key", "p.field_name", "p.text").where(F.col("text").rlike(r"\S"))
-
-
-def learn_model(df: DataFrame, *, key: str = "post_row", fields: tuple[str, ...] = ("title", "body"), train_fields: int = TRAIN_FIELDS, train_chars: int = TRAIN_CHARS) -> ResidueModel:
+    return df.select(
+        F.col(key).cast("bigint").alias("key"),
+        F.explode(pairs).alias("p"),
+    ).select("key", "p.field_name", "p.text").where(F.col("text").rlike(r"\S"))
+
+
+def learn_model(
+    df: DataFrame,
+    *,
+    key: str = "post_row",
+    fields: tuple[str, ...] = ("title", "body"),
+    train_fields: int = TRAIN_FIELDS,
+    train_chars: int = TRAIN_CHARS,
+) -> ResidueModel:
     """A model from the fields that hash lowest: at most ``train_fields``, and ``train_chars`` characters in all."""
     sample = hash_sample(_fields(df, key, fields), "text", train_fields, train_chars, df.count() * len(fields))
     return ResidueModel([r["text"] for r in sample.orderBy("key", "field_name").collect()])  # within both bounds
@@ -263,7 +275,14 @@ def _score(model):
                     chars += len(texts[upto])
                     upto += 1
                 total, share, slot = zip(*model.value.judge(texts[done:upto]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, upto - done), batch.column(1).slice(done, upto - done), *(pa.array(x, pa.float64()) for x in (total, share, slot))], names=["key", "field_name", "score", "share", "slot_score"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(done, upto - done),
+                        batch.column(1).slice(done, upto - done),
+                        *(pa.array(x, pa.float64()) for x in (total, share, slot)),
+                    ],
+                    names=["key", "field_name", "score", "share", "slot_score"],
+                )
                 done = upto
 
     return run
@@ -275,7 +294,10 @@ def residue_scores(df: DataFrame, model: ResidueModel, *, key: str = "post_row",
     Null, empty and blank fields give no row. No shuffle but for tables of few files.
     """
     broadcast = df.sparkSession.sparkContext.broadcast(model)
-    return _fields(widened(df.select(key, *fields)), key, fields).mapInArrow(_score(broadcast), "key bigint, field_name string, score double, share double, slot_score double").withColumnRenamed("key", key)
+    return _fields(widened(df.select(key, *fields)), key, fields).mapInArrow(
+        _score(broadcast),
+        "key bigint, field_name string, score double, share double, slot_score double",
+    ).withColumnRenamed("key", key)
 
 
 def is_residue() -> Column:

@@ -24,7 +24,15 @@ def test_ngrams_as_brute_force_has_them(spark):
     records += [("x", ["hot"] * 3000)]
     df = spark.createDataFrame(records, "g string, s array<string>")
     for sigma in (1, 3):
-        got = {(x["grp"], tuple(x["ngram"])): (x["n_occurrences"], x["n_records"]) for x in ngrams.ngram_counts(df, F.col("g"), F.col("s"), sigma, fan=3).collect()}
+        got = {
+            (x["grp"], tuple(x["ngram"])): (x["n_occurrences"], x["n_records"]) for x in ngrams.ngram_counts(
+                df,
+                F.col("g"),
+                F.col("s"),
+                sigma,
+                fan=3,
+            ).collect()
+        }
         assert got == brute(records, sigma)
 
 
@@ -47,7 +55,13 @@ def test_full_buffers_change_nothing(spark, monkeypatch):
 def test_marks(spark):
     tags = [["#股票", "股票"], ["股票"], ["股票", None, ""], None, [], ["ｃｐｉ"], ["CPI "], ["cpi"], ["x" * 10_000]] * 1
     df = spark.createDataFrame([(t,) for t in tags], "tags array<string>").withColumn("term", F.lit("clash"))
-    got = {r["terms"][0]: (r["n_occurrences"], r["n_records"], r["mark"]) for r in ngrams.term_usefulness({"tags": (df, "tags")}).where("n_terms = 1").collect()}
+    got = {
+        r["terms"][0]: (
+            r["n_occurrences"],
+            r["n_records"],
+            r["mark"],
+        ) for r in ngrams.term_usefulness({"tags": (df, "tags")}).where("n_terms = 1").collect()
+    }
     assert got == {"股票": (4, 3, "common"), "cpi": (3, 3, "common"), "x" * 10_000: (1, 1, "rare")}
     assert ngrams.term_usefulness({"tags": (df.limit(0), "tags")}).count() == 0
 

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from inkfold.llm import answers, language, residue
 
 ZH = ["今天市场有所上涨，因为大家都在等消息。", "我的看法是先等一等，不要着急。", "成交额比前一天少了一截，这个时候要看仓位。"]
-EN = ["The market went up today because everyone waits for the news.", "My view is that it is better to wait and not to hurry.", "Turnover was lower than on the day before, so watch the size."]
+EN = [
+    "The market went up today because everyone waits for the news.",
+    "My view is that it is better to wait and not to hurry.",
+    "Turnover was lower than on the day before, so watch the size.",
+]
 DE = ["Der Markt ist heute gestiegen, weil alle auf Nachrichten warten.", "Meine Ansicht ist, dass es besser ist zu warten."]
 ES = ["El mercado subió hoy porque todos esperan las noticias.", "Mi opinión es que es mejor esperar y no tener prisa."]
 PT = ["O mercado subiu hoje porque todos esperam as notícias.", "A minha opinião é que é melhor esperar e não ter pressa."]
@@ -25,12 +29,18 @@ DOCUMENT = "doc_id bigint, text string, lang string"
 
 
 def test_labels():
-    assert [language.label_code(x) for x in ("zh_Hans", "ZH", "中文", "English", "en-GB", "por", "und", " ", None, "日本語", "xx", "??", "N/A")] == ["zh", "zh", "zh", "en", "en", "pt", None, None, None, "ja", None, None, None]
+    assert [
+        language.label_code(x) for x in ("zh_Hans", "ZH", "中文", "English", "en-GB", "por", "und", " ", None, "日本語", "xx", "??", "N/A")
+    ] == ["zh", "zh", "zh", "en", "en", "pt", None, None, None, "ja", None, None, None]
 
 
 def test_sentences():
     found = lambda t: [(t[a:b].strip(), w) for a, b, w in language.sentences(t)]
-    assert found("# Title here\n\nThe index is at 3.5 today. \"So it is.\" 12 / 13\n") == [("# Title here", False), ("The index is at 3.5 today.", True), ('"So it is."', True)]
+    assert found("# Title here\n\nThe index is at 3.5 today. \"So it is.\" 12 / 13\n") == [
+        ("# Title here", False),
+        ("The index is at 3.5 today.", True),
+        ('"So it is."', True),
+    ]
     assert found("---\nauthor_uid: 1\ntags: []\n---😂\n\n" + ZH[0]) == [(ZH[0], True)]
     assert found("---\nauthor_u📈id: 1\n---\nAnd so it goes on.")[0] == ("And so it goes on.", True)
     assert found("Das war gut. # no\n# Yes!\nnot so") == [("Das war gut.", True), ("# no", False), ("# Yes!", False), ("not so", False)]
@@ -43,7 +53,15 @@ def test_languages_of_documents(spark, profiles):
     mixed = ZH[0] + "\n" + " ".join(EN) + "\n" + ZH[1]
     quoted = "所谓 risk on 和 risk off，说到底还是大家在等消息。"
     odd = [None, "", " \n", "12.5 / 33%", "---\na: b\n---\n", "# 标题", "x" * 100_000]
-    rows = [*((i, t, code) for i, (t, code) in enumerate(zip(texts, language.LANGUAGES))), (10, mixed, "zh"), (11, quoted, "zh"), (12, texts[0], "en"), (13, texts[1], None), *((20 + i, t, None) for i, t in enumerate(odd)), (0, texts[0], "zh")]
+    rows = [
+        *((i, t, code) for i, (t, code) in enumerate(zip(texts, language.LANGUAGES))),
+        (10, mixed, "zh"),
+        (11, quoted, "zh"),
+        (12, texts[0], "en"),
+        (13, texts[1], None),
+        *((20 + i, t, None) for i, t in enumerate(odd)),
+        (0, texts[0], "zh"),
+    ]
     df = spark.createDataFrame(rows, DOCUMENT).withColumn("segments", F.lit("clash"))
     got = language.identify(df, profiles)
     by = {r["doc_id"]: r for r in got.collect()}
@@ -76,7 +94,13 @@ def test_planted_short_sentences(spark):
     documents = spark.read.parquet(f"{FULL}/documents.parquet")
     profiles = language.learn_profiles(documents)
     long = dict(zip(language.LANGUAGES, (ZH, EN, DE, FR, ES, PT, JA)))
-    cases = [(own, other, f"{long[other][0]} {s} {long[other][1]}") for own, group in SHORT.items() for s in regex.split(r"(?<=[.。]) ", group) for other in long]
+    cases = [
+        (
+            own,
+            other,
+            f"{long[other][0]} {s} {long[other][1]}",
+        ) for own, group in SHORT.items() for s in regex.split(r"(?<=[.。]) ", group) for other in long
+    ]
     df = spark.createDataFrame([(i, text, other) for i, (_, other, text) in enumerate(cases)], DOCUMENT)
     got = {r["doc_id"]: {s["lang_code"] for s in r["segments"]} for r in language.identify(df, profiles).collect()}
     foreign = [got[i] == {own, other} for i, (own, other, _) in enumerate(cases) if own != other]
@@ -93,7 +117,9 @@ def test_main_languages(spark, profiles):
 
 
 def test_learning_from_a_table(spark):
-    rows = [(i, s, code) for i, (code, s) in enumerate((c, s) for c, group in zip(language.LANGUAGES, (ZH, EN, DE, FR, ES, PT, JA)) for s in group)] + [(99, ZH[0], "en"), (100, None, "zh")]
+    rows = [
+        (i, s, code) for i, (code, s) in enumerate((c, s) for c, group in zip(language.LANGUAGES, (ZH, EN, DE, FR, ES, PT, JA)) for s in group)
+    ] + [(99, ZH[0], "en"), (100, None, "zh")]
     learned = language.learn_profiles(spark.createDataFrame(rows, DOCUMENT))
     names = [language.LANGUAGES[k] for k in learned.judge([ZH[1], EN[1], ES[1], PT[1]])[0]]
     assert names == ["zh", "en", "es", "pt"]
@@ -127,7 +153,17 @@ def test_broken_answers(spark, profiles):
     df = spark.createDataFrame([(i, *v) for i, v in cases.items()] + [(4, *cases[4])], RESULT).withColumn("prompt", F.lit("clash"))
     prompts = spark.createDataFrame([(1, PROMPT_ZH), (2, PROMPT_EN), (3, None), (1, PROMPT_ZH)], PROMPT)
     got = {(r["result_id"], r["field_name"]): r["defect"] for r in answers.broken_answers(df, prompts, profiles).collect()}
-    want = {1: ("empty", "empty"), 2: ("empty", "empty"), 3: ("refusal", "refusal"), 5: ("copied", "copied"), 6: ("other_language", "other_language"), 7: (None, "other_language"), 8: ("truncated", "truncated"), 10: (None, "truncated"), 12: ("truncated", None)}
+    want = {
+        1: ("empty", "empty"),
+        2: ("empty", "empty"),
+        3: ("refusal", "refusal"),
+        5: ("copied", "copied"),
+        6: ("other_language", "other_language"),
+        7: (None, "other_language"),
+        8: ("truncated", "truncated"),
+        10: (None, "truncated"),
+        12: ("truncated", None),
+    }
     assert got == {(i, f): d for i, ds in want.items() for f, d in zip(("key_points", "market_view"), ds) if d}
     assert answers.broken_answers(df.limit(0), prompts.limit(0), profiles).count() == 0
 
@@ -138,7 +174,14 @@ def cut_up(spark, items):
 
 
 def test_shortened_units(spark):
-    items = [["a complete short item", "position below #"], ["position below 3%", "x y"], ["position belo"], ["end of it."], None, ["", None]] + [[f"unit {i} of many.", f"unit {i} of"] for i in range(50)]
+    items = [
+        ["a complete short item", "position below #"],
+        ["position below 3%", "x y"],
+        ["position belo"],
+        ["end of it."],
+        None,
+        ["", None],
+    ] + [[f"unit {i} of many.", f"unit {i} of"] for i in range(50)]
     got = {r["tail"]: (r["complete"], r["shortened"]) for r in answers.open_units(cut_up(spark, items)).collect()}
     assert got["position belo"] == (False, True) and got["x y"] == (False, False) and got["unit # of"] == (False, True)
     assert "end of it." not in got
@@ -157,7 +200,9 @@ def test_sorted_neighbours_as_brute_force_has_them(spark):
 
 
 def test_length_limits(spark):
-    rows = [("market_view", f"t{n} {k}", n) for n in range(40, 60) for k in range(3)] + [("market_view", f"u{k}", 50) for k in range(60)] + [("key_points", "the same", 50)] * 90
+    rows = [
+        ("market_view", f"t{n} {k}", n) for n in range(40, 60) for k in range(3)
+    ] + [("market_view", f"u{k}", 50) for k in range(60)] + [("key_points", "the same", 50)] * 90
     df = spark.createDataFrame(rows, "field_name string, tail string, size bigint")
     assert [tuple(r) for r in answers.length_limits(df).collect()] == [("market_view", 50)]
     assert answers.length_limits(df.limit(0)).count() == 0
@@ -174,7 +219,13 @@ def test_evidence_of_truncation(spark, profiles):
     rows += [(200 + i, 1, [w[: r.randrange(8, 39)]], w) for i, w in enumerate(whole[:15])]
     rows += [(300, 1, [whole[0], "等待消息，以及"], whole[1][:20]), (301, 1, [whole[0]], "短期偏谨慎")]
     prompts = spark.createDataFrame([(1, PROMPT_ZH)], PROMPT)
-    got = {(x["result_id"], x["field_name"]): (x["defect"], x["evidence"]) for x in answers.answer_defects(spark.createDataFrame(rows, RESULT), prompts, profiles).collect()}
+    got = {
+        (x["result_id"], x["field_name"]): (x["defect"], x["evidence"]) for x in answers.answer_defects(
+            spark.createDataFrame(rows, RESULT),
+            prompts,
+            profiles,
+        ).collect()
+    }
     want = {(100 + i, "key_points"): "limit" for i in range(40)} | {(200 + i, "key_points"): "neighbour" for i in range(15)}
     want |= {(300, "key_points"): "style", (300, "market_view"): "neighbour", (301, "market_view"): "mark"}
     assert got == {k: ("truncated", e) for k, e in want.items()}
@@ -226,12 +277,33 @@ def test_held_out_refusals():
 # Residue
 
 POST = "post_row bigint, title string, body string"
-REAL = ["今天市场有所上涨，大家都在等消息。成交额比前一天少了一截。", "有读者问仓位怎么控制，我的回答是先等一等。[图片]\n[上一篇](http://x/y)", "The market went up today. «Buy the dip» is not enough.", "我用 JavaScript 写了个画线的小脚本，收盘后跑一遍就够了。市场还在等消息，成交额少了一截。", "页面上的报价加载失败了两次，好在没有误操作。今天大盘缩量，我还是少看分时图，耐心等待。", "计划表里留了一列 {risk}，每天收盘以后填。仓位不高于半仓，心态比较稳。"]
-BROKEN = ["# 标题\n\n请在浏览器中启用 JavaScript 后继续访问。", "404 Not Found\n\nThe requested address was not found on this server.", "测试测试测试测试测试", "您访问的页面不存在或已被删除，4秒后返回首页", "今日收于{{index_close}}点，成交额比前一天少了一截。市场还在等消息。", "大家好，我是【请在此输入作者】，有读者问仓位怎么控制。", "Lorem ipsum dolor sit amet, consectetur.", "摘要：{title}\n\n今天市场有所上涨，大家都在等消息。"]
+REAL = [
+    "今天市场有所上涨，大家都在等消息。成交额比前一天少了一截。",
+    "有读者问仓位怎么控制，我的回答是先等一等。[图片]\n[上一篇](http://x/y)",
+    "The market went up today. «Buy the dip» is not enough.",
+    "我用 JavaScript 写了个画线的小脚本，收盘后跑一遍就够了。市场还在等消息，成交额少了一截。",
+    "页面上的报价加载失败了两次，好在没有误操作。今天大盘缩量，我还是少看分时图，耐心等待。",
+    "计划表里留了一列 {risk}，每天收盘以后填。仓位不高于半仓，心态比较稳。",
+]
+BROKEN = [
+    "# 标题\n\n请在浏览器中启用 JavaScript 后继续访问。",
+    "404 Not Found\n\nThe requested address was not found on this server.",
+    "测试测试测试测试测试",
+    "您访问的页面不存在或已被删除，4秒后返回首页",
+    "今日收于{{index_close}}点，成交额比前一天少了一截。市场还在等消息。",
+    "大家好，我是【请在此输入作者】，有读者问仓位怎么控制。",
+    "Lorem ipsum dolor sit amet, consectetur.",
+    "摘要：{title}\n\n今天市场有所上涨，大家都在等消息。",
+]
 
 
 def test_residue(spark):
-    rows = [(i, "市场还在等消息", t) for i, t in enumerate(REAL * 20)] + [(1000 + i, "加载中…" if i == 0 else "今天市场", t) for i, t in enumerate(BROKEN)] + [(2000, None, ""), (2001, " ", None), (2002, "{{ title }}", "".join(REAL[:2]) * 900), (2003, "今天市场", "测试" * 25_000)]
+    rows = [(i, "市场还在等消息", t) for i, t in enumerate(REAL * 20)] + [(1000 + i, "加载中…" if i == 0 else "今天市场", t) for i, t in enumerate(BROKEN)] + [
+        (2000, None, ""),
+        (2001, " ", None),
+        (2002, "{{ title }}", "".join(REAL[:2]) * 900),
+        (2003, "今天市场", "测试" * 25_000),
+    ]
     df = spark.createDataFrame(rows, POST).withColumn("score", F.lit("clash"))
     model = residue.learn_model(df)
     scores = residue.residue_scores(df, model)
@@ -242,8 +314,14 @@ def test_residue(spark):
 
 
 def test_slots_of_any_length(spark):
-    long = ["{{replace this text with the title of your own post, please, before you publish it}}", "[insert two sentences about the company and its market here, or leave this paragraph out]", "<!-- the author's\nown words go here -->"]
-    rows = [(i, None, t) for i, t in enumerate(REAL * 20)] + [(100_000 + i, None, f"今天市场有所上涨。{t}大家都在等消息。") for i, t in enumerate([*long, "[这里是作者自己写的一段很长的话，" + "说的是市场。" * 40 + "]"])]
+    long = [
+        "{{replace this text with the title of your own post, please, before you publish it}}",
+        "[insert two sentences about the company and its market here, or leave this paragraph out]",
+        "<!-- the author's\nown words go here -->",
+    ]
+    rows = [(i, None, t) for i, t in enumerate(REAL * 20)] + [
+        (100_000 + i, None, f"今天市场有所上涨。{t}大家都在等消息。") for i, t in enumerate([*long, "[这里是作者自己写的一段很长的话，" + "说的是市场。" * 40 + "]"])
+    ]
     rows += [(200_000 + i, None, t) for i, t in enumerate(["摘要：[insert title here]", "标题 {{ post.title }}", "今天 <!-- body goes here -->"] * 3)]
     df = spark.createDataFrame(rows, POST)
     found = {r["post_row"] for r in residue.residue_scores(df, residue.learn_model(df)).where(residue.is_residue()).collect()}
@@ -252,7 +330,10 @@ def test_slots_of_any_length(spark):
 
 def test_residue_is_left_out(spark):
     df = spark.createDataFrame([(1, "加载中…", "x"), (2, "真的标题", "{{ body }}"), (3, None, "今天市场"), (None, "a", "b")], POST)
-    scores = spark.createDataFrame([(1, "title", 5.0, 1.0, -9.0), (2, "body", -5.0, 0.0, 3.0), (3, "body", -5.0, 0.0, -3.0), (None, "body", -5.0, 0.0, 3.0)], "post_row bigint, field_name string, score double, share double, slot_score double")
+    scores = spark.createDataFrame(
+        [(1, "title", 5.0, 1.0, -9.0), (2, "body", -5.0, 0.0, 3.0), (3, "body", -5.0, 0.0, -3.0), (None, "body", -5.0, 0.0, 3.0)],
+        "post_row bigint, field_name string, score double, share double, slot_score double",
+    )
     got = {tuple(r) for r in residue.without_residue(df, scores).collect()}
     assert got == {(1, None, "x"), (2, "真的标题", None), (3, None, "今天市场"), (None, "a", "b")}
     assert residue.without_residue(df.limit(0), scores).count() == 0
@@ -263,7 +344,11 @@ def test_records_held_out_of_the_trusted():
     """Half of the trusted fields and slots are given to the classifiers as unlabelled; it must find them."""
     import duckdb
 
-    fields = [t for row in duckdb.sql(f"SELECT title, body FROM '{FULL}/posts.parquet' ORDER BY hash(post_row) LIMIT 10000").fetchall() for t in row if t and t.strip()]
+    fields = [
+        t for row in duckdb.sql(
+            f"SELECT title, body FROM '{FULL}/posts.parquet' ORDER BY hash(post_row) LIMIT 10000"
+        ).fetchall() for t in row if t and t.strip()
+    ]
     seen: list[str] = []
 
     def half(rule):
@@ -282,7 +367,11 @@ def test_records_held_out_of_the_trusted():
 def test_held_out_residue():
     r = [t for t in REAL * 30]
     model = residue.ResidueModel(r + BROKEN[:4])
-    judge = [residue_like(x) for x in model.judge(["Bitte aktivieren Sie JavaScript, um die Seite zu sehen.", "404 Page Not Found", "JavaScript を有効にしてください。", *REAL[:3]])]
+    judge = [
+        residue_like(x) for x in model.judge(
+            ["Bitte aktivieren Sie JavaScript, um die Seite zu sehen.", "404 Page Not Found", "JavaScript を有効にしてください。", *REAL[:3]]
+        )
+    ]
     assert judge == [True, True, True, False, False, False]
 
 

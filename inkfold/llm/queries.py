@@ -41,18 +41,16 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_terms(spark, folder).where(F.col("mark").isNotNull()).select("field_name", "term", "mark")
 
 
-def _residue(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    posts = table(spark, folder, "posts")
-    return posts, residue.residue_scores(posts, residue.learn_model(posts))
-
-
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _residue(spark, folder)[1].where(residue.is_residue()).select("post_row", "field_name")
+    posts = table(spark, folder, "posts")
+    scores = residue.residue_scores(posts, residue.learn_model(posts))
+    return scores.where(residue.is_residue()).select("post_row", "field_name")
 
 
 def p3_clean_posts(spark: SparkSession, folder: str) -> DataFrame:
     """The posts, their titles and bodies that are residue left out."""
-    return residue.without_residue(*_residue(spark, folder))
+    posts = table(spark, folder, "posts")
+    return residue.without_residue(posts, residue.learn_model(posts))
 
 
 def _tag_pairs(spark: SparkSession, folder: str, floor: int, share: float) -> tuple[DataFrame, int]:

@@ -71,6 +71,9 @@ EXAMPLES = (
 TRAIN_FIELDS, TRAIN_CHARS, ROUNDS = 20_000, 4_000_000, 6
 #: Share of the background in each class's word distribution; buckets of hashed words.
 SMOOTH, BUCKETS = 0.02, 1 << 18
+#: Characters that are judged at once, or one longer text.
+AT_ONCE = 500_000
+
 _HEADING = regex.compile(r"\A\s*#[^\n]*(?:\n|\Z)")
 _PASSAGE = regex.compile(r"[\n。！？!?…]+|\.(?=\s|$)")
 # Bracketed spans of any length. Each form ends at its own next bracket, so a text is read once.
@@ -264,26 +267,42 @@ def learn_model(
     return ResidueModel([r["text"] for r in sample.orderBy("key", "field_name").collect()])  # within both bounds
 
 
+def _judged(model: ResidueModel, texts: list[str]) -> list[tuple[float, float, float]]:
+    """``model.judge`` of any number of texts, so many characters at once."""
+    out, group, chars = [], [], 0
+    for text in texts:
+        if group and chars + len(text) > AT_ONCE:
+            out += model.judge(group)
+            group, chars = [], 0
+        group.append(text)
+        chars += len(text)
+    return out + model.judge(group) if group else out
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            done = 0
-            while done < len(texts):
-                upto, chars = done, 0
-                while upto < len(texts) and (upto == done or chars + len(texts[upto]) <= 500_000):
-                    chars += len(texts[upto])
-                    upto += 1
-                total, share, slot = zip(*model.value.judge(texts[done:upto]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(done, upto - done),
-                        batch.column(1).slice(done, upto - done),
-                        *(pa.array(x, pa.float64()) for x in (total, share, slot)),
-                    ],
-                    names=["key", "field_name", "score", "share", "slot_score"],
-                )
-                done = upto
+            judged = _judged(model.value, batch.column(2).to_pylist())
+            scores = [pa.array([j[k] for j in judged], pa.float64()) for k in range(3)]
+            names = ["key", "field_name", "score", "share", "slot_score"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *scores], names=names)
+
+    return run
+
+
+def _clean(model, fields: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns)
+            for k, name in enumerate(batch.schema.names):
+                if name in fields:
+                    texts = columns[k].to_pylist()
+                    said = [i for i, t in enumerate(texts) if t and not t.isspace()]
+                    for i, scores in zip(said, _judged(model.value, [texts[i] for i in said])):
+                        if residue(*scores):
+                            texts[i] = None
+                    columns[k] = pa.array(texts, columns[k].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return run
 
@@ -300,18 +319,19 @@ def residue_scores(df: DataFrame, model: ResidueModel, *, key: str = "post_row",
     ).withColumnRenamed("key", key)
 
 
-def is_residue() -> Column:
+def residue(score: float, share: float, slot_score: float) -> bool:
     """A likely slot, or a text that is as a whole, and for the greater part of its passages, likely residue."""
+    return slot_score > 0 or (score > 0 and share >= 0.5)
+
+
+def is_residue() -> Column:
+    """``residue`` of a row of ``residue_scores``."""
     return (F.col("slot_score") > 0) | ((F.col("score") > 0) & (F.col("share") >= 0.5))
 
 
-def without_residue(df: DataFrame, scores: DataFrame, *, key: str = "post_row", fields: tuple[str, ...] = ("title", "body")) -> DataFrame:
-    """``df`` with its fields that are residue by ``scores`` set to null; rows and other columns stay as they are.
+def without_residue(df: DataFrame, model: ResidueModel, *, fields: tuple[str, ...] = ("title", "body")) -> DataFrame:
+    """``df`` with its ``fields`` that are residue set to null, in one pass; rows and other columns stay as they are.
 
-    A join on ``key`` that only the rows with residue are on the other side of; equal keys share what is found. A null
-    key has no scores and stays.
+    Blank, empty and null fields stay. No shuffle but for tables of few files.
     """
-    bad = scores.where(is_residue()).groupBy(key).agg(F.collect_set("field_name").alias("__bad"))  # at most the fields
-    clean = [F.when(F.coalesce(F.array_contains("__bad", f), F.lit(False)), None).otherwise(F.col(f)).alias(f) for f in fields]
-    joined = df.join(bad, key, "left")
-    return joined.select(*(clean[fields.index(c)] if c in fields else F.col(c) for c in df.columns))
+    return widened(df).mapInArrow(_clean(df.sparkSession.sparkContext.broadcast(model), fields), df.schema)

@@ -328,15 +328,18 @@ def test_slots_of_any_length(spark):
     assert found & set(range(100_000, 200_000)) == {100_000, 100_001, 100_002}
 
 
-def test_residue_is_left_out(spark):
-    df = spark.createDataFrame([(1, "加载中…", "x"), (2, "真的标题", "{{ body }}"), (3, None, "今天市场"), (None, "a", "b")], POST)
-    scores = spark.createDataFrame(
-        [(1, "title", 5.0, 1.0, -9.0), (2, "body", -5.0, 0.0, 3.0), (3, "body", -5.0, 0.0, -3.0), (None, "body", -5.0, 0.0, 3.0)],
-        "post_row bigint, field_name string, score double, share double, slot_score double",
-    )
-    got = {tuple(r) for r in residue.without_residue(df, scores).collect()}
-    assert got == {(1, None, "x"), (2, "真的标题", None), (3, None, "今天市场"), (None, "a", "b")}
-    assert residue.without_residue(df.limit(0), scores).count() == 0
+def test_residue_is_left_out(spark, monkeypatch):
+    rows = [(i, "市场还在等消息", t) for i, t in enumerate(REAL * 20)] + [(1000 + i, "今天市场", t) for i, t in enumerate(BROKEN)]
+    rows += [(None, "加载中…", None), (2001, " ", ""), (2002, "{{ title }}", "".join(REAL[:2]) * 900)]
+    df = spark.createDataFrame(rows, POST).withColumn("score", F.array(F.lit("clash"), F.lit(None)))
+    model = residue.learn_model(df)
+    found = {(r["post_row"], r["field_name"]) for r in residue.residue_scores(df, model).where(residue.is_residue()).collect()}
+    monkeypatch.setattr(residue, "AT_ONCE", 100)
+    clean = residue.without_residue(df, model)
+    assert clean.schema == df.schema
+    want = {(k, None if (k, "title") in found else t, None if (k, "body") in found else b) for k, t, b in rows}
+    assert {tuple(r)[:3] for r in clean.collect()} == want and (None, None, None) in want
+    assert residue.without_residue(df.limit(0), model).count() == 0
 
 
 @pytest.mark.skipif(not FULL.exists(), reason="no test tables")
@@ -376,5 +379,4 @@ def test_held_out_residue():
 
 
 def residue_like(x):
-    score, share, slot = x
-    return slot > 0 or (score > 0 and share >= 0.5)
+    return residue.residue(*x)

@@ -99,7 +99,8 @@ def length_stats(spark: SparkSession, d: str) -> DataFrame:
 
 _FOLDED = r"""
 WITH words AS (
-  SELECT doc_id, list_concat(list_filter(regexp_extract_all(text, '[\x{4e00}-\x{9fff}]+'), lambda w: length(w) >= 2), regexp_extract_all(lower(text), '[a-z]{3,}')) AS ws FROM documents),
+  SELECT doc_id, list_concat(list_filter(regexp_extract_all(text, '[\x{4e00}-\x{9fff}]+'), lambda w: length(w) >= 2), regexp_extract_all(lower(text), '[a-z]{3,}')) AS ws
+  FROM documents),
 seen AS (SELECT doc_id, unnest(ws) AS keyword, generate_subscripts(ws, 1) AS pos FROM words),
 counted AS (SELECT doc_id, keyword, count(*) AS n, min(pos) AS f FROM seen GROUP BY 1, 2)
 """
@@ -168,7 +169,8 @@ _CONTENT = "'id: ' || id || coalesce(chr(10) || 'author_uid: ' || author_uid, ''
 
 @query(
     f"""WITH files AS (SELECT post_row, {_CONTENT} AS c FROM posts),
-missed AS (SELECT *, list_filter(['id:', 'author_uid:', 'author_name:', 'published_at:', 'source_url:'], lambda k: NOT contains(c, k)) AS m, {_strip("regexp_extract(c, 'tags:[ \\t]*(.+)', 1)")} AS t FROM files)
+missed AS (SELECT *, list_filter(['id:', 'author_uid:', 'author_name:', 'published_at:', 'source_url:'], lambda k: NOT contains(c, k)) AS m, {_strip("regexp_extract(c, 'tags:[ \\t]*(.+)', 1)")} AS t
+  FROM files)
 SELECT post_row, CASE WHEN len(m) > 0 THEN 'missing ' || array_to_string(m, ' ') WHEN t <> '' AND NOT starts_with(t, '[') THEN 'tags' END AS issue FROM missed"""
 )
 def integrity_issues(spark: SparkSession, d: str) -> DataFrame:
@@ -206,10 +208,13 @@ def matched_posts(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.matched(*_urls(spark, d), "source_url").select("index_row", "id")
 
 
-@query("""WITH l AS (SELECT DISTINCT source_url u FROM post_index WHERE source_url IS NOT NULL), s AS (SELECT DISTINCT source_url u FROM posts WHERE source_url IS NOT NULL),
+@query("""WITH l AS (SELECT DISTINCT source_url u FROM post_index WHERE source_url IS NOT NULL), s AS (SELECT DISTINCT source_url u
+  FROM posts WHERE source_url IS NOT NULL),
 n AS (SELECT (SELECT count(*) FROM l) AS n_listed, (SELECT count(*) FROM s) AS n_stored, (SELECT count(*) FROM l JOIN s USING (u)) AS n_matched)
-SELECT *, n_listed - n_matched AS n_missing, n_stored - n_matched AS n_extra, n_matched * 100.0::DOUBLE / n_listed AS completeness_percent, CASE WHEN n_listed = n_matched THEN 'ok' ELSE 'incomplete' END AS status,
-(SELECT list_slice(list_sort(list(u)), 1, 50) FROM l ANTI JOIN s USING (u)) AS missing, (SELECT list_slice(list_sort(list(u)), 1, 50) FROM s ANTI JOIN l USING (u)) AS extra FROM n""")
+SELECT *, n_listed - n_matched AS n_missing, n_stored - n_matched AS n_extra, n_matched * 100.0::DOUBLE / n_listed AS completeness_percent,
+  CASE WHEN n_listed = n_matched THEN 'ok' ELSE 'incomplete' END AS status,
+(SELECT list_slice(list_sort(list(u)), 1, 50) FROM l ANTI JOIN s USING (u)) AS missing, (SELECT list_slice(list_sort(list(u)), 1, 50)
+  FROM s ANTI JOIN l USING (u)) AS extra FROM n""")
 def reconcile_report(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.reconcile(*_urls(spark, d), "source_url")
 
@@ -223,8 +228,11 @@ def sql_round1(x: str) -> str:
     return f"(CAST({t} + CASE WHEN {rest} > {gap} THEN 1 WHEN {rest} < {gap} THEN 0 ELSE {t} % 2 END AS BIGINT) / 10.0::DOUBLE)"
 
 
-@query(f"""SELECT n_got, n_wanted, abs(n_got - n_wanted) AS difference, {sql_round1("c")} AS completeness_percent, CASE WHEN c >= 100 THEN 'complete' WHEN c >= 99 THEN 'nearly complete' WHEN c >= 90 THEN 'incomplete' ELSE 'badly incomplete' END AS band, CASE WHEN c >= 99 THEN 'ok' ELSE 'incomplete' END AS status
-FROM (SELECT *, least(n_got, n_wanted) * 100.0::DOUBLE / greatest(n_got, n_wanted) AS c FROM (SELECT (SELECT count(*) FROM posts) AS n_got, (SELECT count(*) FROM post_index) AS n_wanted))""")
+@query(f"""SELECT n_got, n_wanted, abs(n_got - n_wanted) AS difference, {sql_round1("c")} AS completeness_percent,
+  CASE WHEN c >= 100 THEN 'complete' WHEN c >= 99 THEN 'nearly complete' WHEN c >= 90 THEN 'incomplete' ELSE 'badly incomplete' END AS band,
+  CASE WHEN c >= 99 THEN 'ok' ELSE 'incomplete' END AS status
+FROM (SELECT *, least(n_got, n_wanted) * 100.0::DOUBLE / greatest(n_got, n_wanted) AS c FROM (SELECT (SELECT count(*)
+  FROM posts) AS n_got, (SELECT count(*) FROM post_index) AS n_wanted))""")
 def count_check(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.count_check(table(spark, d, "posts").select("post_row"), table(spark, d, "post_index").select("index_row"))
 
@@ -234,7 +242,8 @@ def keep_first_posts(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.keep_first(_urls(spark, d)[1], ["id"], ["post_row"])
 
 
-@query("""WITH first AS (SELECT index_row AS row_id, id, source_url FROM post_index WHERE source_url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY index_row) = 1)
+@query("""WITH first AS (SELECT index_row AS row_id, id, source_url FROM post_index WHERE source_url IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY index_row) = 1)
 SELECT post_row AS row_id, id, source_url FROM posts UNION ALL SELECT * FROM first f WHERE NOT EXISTS (SELECT 1 FROM posts p WHERE p.source_url = f.source_url)""")
 def incremental_merge(spark: SparkSession, d: str) -> DataFrame:
     listed, stored = _urls(spark, d)
@@ -256,7 +265,8 @@ def keep_first_results(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT i.index_row, coalesce(p.body, i.title) AS text FROM post_index i LEFT JOIN (SELECT id, body FROM posts QUALIFY row_number() OVER (PARTITION BY id ORDER BY post_row) = 1) p USING (id)"""
+    """SELECT i.index_row, coalesce(p.body, i.title) AS text FROM post_index i LEFT JOIN (SELECT id, body
+  FROM posts QUALIFY row_number() OVER (PARTITION BY id ORDER BY post_row) = 1) p USING (id)"""
 )
 def index_with_text(spark: SparkSession, d: str) -> DataFrame:
     posts = reconcile.keep_first(table(spark, d, "posts").select("post_row", "id", "body"), ["id"], ["post_row"])
@@ -283,7 +293,9 @@ def stop_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT coalesce(id, '') AS id, coalesce(title, '') AS title, coalesce(published_at, '') AS published_at, substr(coalesce(published_at, ''), 1, 10) AS published_date, coalesce(tags, []) AS tags, CAST(coalesce(len(images), 0) AS BIGINT) AS images_count, coalesce(filename, '') AS filename, coalesce(source_url, '') AS source_url, post_row FROM posts"""
+    """SELECT coalesce(id, '') AS id, coalesce(title, '') AS title, coalesce(published_at, '') AS published_at,
+  substr(coalesce(published_at, ''), 1, 10) AS published_date, coalesce(tags, []) AS tags, CAST(coalesce(len(images), 0) AS BIGINT) AS images_count,
+  coalesce(filename, '') AS filename, coalesce(source_url, '') AS source_url, post_row FROM posts"""
 )
 def index_rows(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.index_row(table(spark, d, "posts"), {"post_row": F.col("post_row")})
@@ -302,7 +314,8 @@ _URL = "regexp_extract(coalesce(source_url, ''), 'blog_([0-9a-z]+)', 1)"
 @query(
     f"""SELECT post_row, {_URL} AS url_id, md5(coalesce(nullif(source_url, ''), id)) || '.md' AS file_name,
 trim(regexp_replace(coalesce(title, ''), '{_WS}+', ' ', 'g')) AS title, substr(regexp_replace(coalesce(title, ''), '[^\\pL\\pN_]', '_', 'g'), 1, 50) AS safe_title,
-CASE WHEN starts_with(source_url, '//') THEN 'http:' || source_url WHEN starts_with(source_url, '/') THEN 'http://host.example' || source_url ELSE source_url END AS url FROM posts"""
+CASE WHEN starts_with(source_url, '//') THEN 'http:' || source_url WHEN starts_with(source_url, '/') THEN 'http://host.example' || source_url ELSE source_url END AS url
+  FROM posts"""
 )
 def post_names(spark: SparkSession, d: str) -> DataFrame:
     title = F.coalesce("title", F.lit(""))
@@ -318,7 +331,8 @@ def post_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH s AS (SELECT index_row, regexp_replace(regexp_replace(coalesce(title, ''), '[^\\pL\\pN\\pM_\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}-]', '', 'g'), '(-|{_WS})+', '-', 'g') AS x FROM post_index),
+    f"""WITH s AS (SELECT index_row, regexp_replace(regexp_replace(coalesce(title, ''), '[^\\pL\\pN\\pM_\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}-]', '', 'g'), '(-|{_WS})+', '-', 'g') AS x
+  FROM post_index),
 t AS (SELECT index_row, lower(regexp_replace(x, '^-+|-+$', '', 'g')) AS slug FROM s)
 SELECT index_row, CASE WHEN slug = '' THEN 'untitled' ELSE slug END AS slug FROM t"""
 )
@@ -328,7 +342,8 @@ def title_slugs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """WITH named AS (SELECT index_row, coalesce(title, '') AS t FROM post_index)
-SELECT index_row, CASE WHEN k = 0 THEN t ELSE t || '_' || k END || '.md' AS file_name FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY index_row) - 1 AS k FROM named)"""
+SELECT index_row, CASE WHEN k = 0 THEN t ELSE t || '_' || k END || '.md' AS file_name FROM (SELECT *, row_number() OVER (PARTITION BY t
+  ORDER BY index_row) - 1 AS k FROM named)"""
 )
 def numbered_names(spark: SparkSession, d: str) -> DataFrame:
     return batching.numbered_names(
@@ -359,7 +374,8 @@ _PARTS = "SELECT doc_id, string_split(text, '---' || chr(10)) AS p FROM document
 
 
 @query(
-    f"""SELECT doc_id, array_to_string(list_slice(p, 3, len(p)), chr(10)) AS body, {_strip("regexp_extract(p[2], '(?m)^author_uid\\s*:(.*)$', 1)")} AS author_uid FROM ({_PARTS}) WHERE len(p) >= 3"""
+    f"""SELECT doc_id, array_to_string(list_slice(p, 3, len(p)), chr(10)) AS body, {_strip("regexp_extract(p[2], '(?m)^author_uid\\s*:(.*)$', 1)")} AS author_uid
+  FROM ({_PARTS}) WHERE len(p) >= 3"""
 )
 def front_matter_fences(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "documents").select("doc_id", frontmatter.split_fences(F.col("text")).alias("p")).where(F.col("p").isNotNull())
@@ -367,7 +383,8 @@ def front_matter_fences(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT doc_id, {_strip("CASE WHEN regexp_matches(text, '(?s)^---\\n.*?\\n---') THEN regexp_replace(text, '(?s)^---\\n.*?\\n---', '') ELSE text END")} AS body, regexp_matches(text, '(?s)^---\\n.*?\\n---') AS has_block FROM documents WHERE text IS NOT NULL"""
+    f"""SELECT doc_id, {_strip("CASE WHEN regexp_matches(text, '(?s)^---\\n.*?\\n---') THEN regexp_replace(text, '(?s)^---\\n.*?\\n---', '') ELSE text END")} AS body, regexp_matches(text, '(?s)^---\\n.*?\\n---') AS has_block
+  FROM documents WHERE text IS NOT NULL"""
 )
 def front_matter_anchored(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where(F.col("text").isNotNull())
@@ -442,7 +459,8 @@ def page_texts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"""SELECT post_row, regexp_extract(u, 'blog_([0-9a-z]+)', 1) AS id, {_sql_plain("coalesce(title, '')")} AS title FROM (SELECT post_row, title, coalesce(source_url, '') AS u FROM posts)
+@query(f"""SELECT post_row, regexp_extract(u, 'blog_([0-9a-z]+)', 1) AS id, {_sql_plain("coalesce(title, '')")} AS title
+  FROM (SELECT post_row, title, coalesce(source_url, '') AS u FROM posts)
 WHERE regexp_extract(u, 'blog_([0-9a-z]+)', 1) <> '' AND length({_sql_plain("coalesce(title, '')")}) > 3 AND NOT contains({_sql_plain("coalesce(title, '')")}, '...')""")
 def page_links(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "posts").select("post_row", _html().alias("h"))
@@ -455,7 +473,8 @@ _JSON = "coalesce(to_json(tags)::VARCHAR, '[]')"
 
 
 @query(
-    f"""SELECT post_row, md5(coalesce(nullif(source_url, ''), id)) || '.md' AS file_name, '---' || chr(10) || 'title: "' || replace(coalesce(title, ''), '"', '\\"') || '"' || chr(10) || 'date: "' || coalesce(published_at, '') || '"' || chr(10) || 'source: "' || coalesce(source_url, '') || '"' || chr(10) || 'tags: ' || {_JSON} || chr(10) || '---' || chr(10) || chr(10) || '# ' || coalesce(title, '') || chr(10) || chr(10) || coalesce(body, '') || chr(10) AS content FROM posts"""
+    f"""SELECT post_row, md5(coalesce(nullif(source_url, ''), id)) || '.md' AS file_name, '---' || chr(10) || 'title: "' || replace(coalesce(title, ''), '"', '\\"') || '"' || chr(10) || 'date: "' || coalesce(published_at, '') || '"' || chr(10) || 'source: "' || coalesce(source_url, '') || '"' || chr(10) || 'tags: ' || {_JSON} || chr(10) || '---' || chr(10) || chr(10) || '# ' || coalesce(title, '') || chr(10) || chr(10) || coalesce(body, '') || chr(10) AS content
+  FROM posts"""
 )
 def collector_files(spark: SparkSession, d: str) -> DataFrame:
     return collector_documents(table(spark, d, "posts"), "post_row")
@@ -487,7 +506,8 @@ _QUOTE = "to_json(coalesce({}, ''))::VARCHAR"
     f"""WITH e AS (SELECT author_uid, row_number() OVER w AS line_no, count(*) OVER (PARTITION BY author_uid) AS total, '{{"index_row":' || index_row || ',"id":' || {_QUOTE.format('id')} || ',"title":' || {_QUOTE.format('title')} || ',"filename":' || {_QUOTE.format('filename')} || '}}' AS entry
   FROM post_index WINDOW w AS (PARTITION BY author_uid ORDER BY index_row))
 SELECT author_uid, line_no, entry || CASE WHEN line_no < total THEN ',' ELSE '' END AS line FROM e
-UNION ALL SELECT author_uid, 0, '{{"total": ' || count(*) || ', "posts": [' FROM post_index GROUP BY 1 UNION ALL SELECT author_uid, count(*) + 1, ']}}' FROM post_index GROUP BY 1"""
+UNION ALL SELECT author_uid, 0, '{{"total": ' || count(*) || ', "posts": [' FROM post_index GROUP BY 1 UNION ALL SELECT author_uid, count(*) + 1, ']}}'
+  FROM post_index GROUP BY 1"""
 )
 def index_json(spark: SparkSession, d: str) -> DataFrame:
     none = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
@@ -579,13 +599,15 @@ def tag_classes(spark: SparkSession, d: str) -> DataFrame:
     return graph.tag_classes(_posts(spark, d), "post", "tags")
 
 
-_COLLAPSED = """SELECT src, dst, relation FROM (SELECT *, CASE relation WHEN 'wrote' THEN 4 WHEN 'next_post' THEN 3 WHEN 'contains_keyword' THEN 2 WHEN 'shares_tag' THEN 1 ELSE 0 END AS p FROM every) QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY p DESC, relation DESC) = 1"""
+_COLLAPSED = """SELECT src, dst, relation FROM (SELECT *, CASE relation WHEN 'wrote' THEN 4 WHEN 'next_post' THEN 3 WHEN 'contains_keyword' THEN 2 WHEN 'shares_tag' THEN 1 ELSE 0 END AS p
+  FROM every) QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY p DESC, relation DESC) = 1"""
 _OTHERS = f"{_KW_EDGES} UNION ALL {_NEXT} UNION ALL {_AUTHORS}"
 _EDGES = _KEYWORDS.rstrip() + f", every AS ({_TAG_EDGES} UNION ALL {_OTHERS}), edges AS ({_COLLAPSED})"
 # the graph in which every link by a tag is an edge
 _FULL = _KEYWORDS.rstrip() + "," + _PAIRS.rstrip() + f", every AS (SELECT * FROM shared UNION ALL {_OTHERS}), edges AS ({_COLLAPSED})"
 _IDS = f"""ids AS (
-  SELECT CAST(post_row AS VARCHAR) AS id, 'post' AS type, 3 AS r FROM posts UNION ALL SELECT dst, 'keyword', 2 FROM ({_KW_EDGES}) UNION ALL SELECT src, 'author', 1 FROM ({_AUTHORS})
+  SELECT CAST(post_row AS VARCHAR) AS id, 'post' AS type, 3 AS r FROM posts UNION ALL SELECT dst, 'keyword', 2
+  FROM ({_KW_EDGES}) UNION ALL SELECT src, 'author', 1 FROM ({_AUTHORS})
   UNION ALL SELECT dst, 'tag', 0 FROM ({_TAG_EDGES})), typed AS (SELECT id, arg_max(type, r) AS type FROM ids GROUP BY 1)"""
 
 
@@ -621,8 +643,11 @@ def dangling_ends(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     _FULL
-    + f""", {_IDS}, ends AS (SELECT src AS id, 0 AS i, 1 AS o FROM edges UNION ALL SELECT dst, 1, 0 FROM edges), tallied AS (SELECT id, sum(i) AS n_in, sum(o) AS n_out FROM ends GROUP BY 1)
-SELECT id, CAST(coalesce(n_in, 0) AS BIGINT) AS n_in, CAST(coalesce(n_out, 0) AS BIGINT) AS n_out, CAST(coalesce(n_in + n_out, 0) AS BIGINT) AS degree FROM typed LEFT JOIN tallied USING (id) WHERE type <> 'tag'"""
+    + f""", {_IDS}, ends AS (SELECT src AS id, 0 AS i, 1 AS o FROM edges UNION ALL SELECT dst, 1, 0
+  FROM edges), tallied AS (SELECT id, sum(i) AS n_in, sum(o) AS n_out FROM ends GROUP BY 1)
+SELECT id, CAST(coalesce(n_in, 0) AS BIGINT) AS n_in, CAST(coalesce(n_out, 0) AS BIGINT) AS n_out,
+  CAST(coalesce(n_in + n_out, 0) AS BIGINT) AS degree FROM typed LEFT JOIN tallied USING (id)
+  WHERE type <> 'tag'"""
 )
 def node_degrees(spark: SparkSession, d: str) -> DataFrame:
     """Edges of every post, keyword and author in the graph that has the links of every tag, whatever its size."""
@@ -638,8 +663,10 @@ _DOC_ROWS = [(doc, i, kw) for i, (doc, kws) in enumerate(_DOCS.items()) for kw i
 
 @query(
     f"""WITH k(doc, pos, kw) AS (VALUES {', '.join(f"('{d}', {p}, '{k}')" for d, p, k in _DOC_ROWS)}),
-s AS (SELECT a.doc, b.doc AS other, count(*) AS score, list_sort(list(a.kw)) AS common, min(b.pos) AS pos FROM k a JOIN k b ON a.kw = b.kw AND a.doc <> b.doc GROUP BY 1, 2)
-SELECT doc, other, score, array_to_string(common, ' ') AS common, rank FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY score DESC, pos) AS rank FROM s) WHERE rank <= 4"""
+s AS (SELECT a.doc, b.doc AS other, count(*) AS score, list_sort(list(a.kw)) AS common, min(b.pos) AS pos
+  FROM k a JOIN k b ON a.kw = b.kw AND a.doc <> b.doc GROUP BY 1, 2)
+SELECT doc, other, score, array_to_string(common, ' ') AS common, rank FROM (SELECT *, row_number() OVER (PARTITION BY doc
+  ORDER BY score DESC, pos) AS rank FROM s) WHERE rank <= 4"""
 )
 def related_docs(spark: SparkSession, d: str) -> DataFrame:
     return graph.related(spark.createDataFrame(_DOC_ROWS, "doc string, pos int, kw string")).withColumn("common", F.array_join("common", " "))
@@ -682,7 +709,8 @@ def batch_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT batch_id, count(*) AS n, '' || string_agg('=== ' || idx || ' ===' || chr(10) || coalesce(title, '') || chr(10) || substr(coalesce(body, ''), 1, 2500), chr(10) || chr(10) ORDER BY idx) AS prompt FROM ({_BATCHED}) GROUP BY 1"""
+    f"""SELECT batch_id, count(*) AS n, '' || string_agg('=== ' || idx || ' ===' || chr(10) || coalesce(title, '') || chr(10) || substr(coalesce(body, ''), 1, 2500), chr(10) || chr(10)
+  ORDER BY idx) AS prompt FROM ({_BATCHED}) GROUP BY 1"""
 )
 def batch_prompts(spark: SparkSession, d: str) -> DataFrame:
     return batching.prompt_of(_batched(spark, d), "title", "body", intro="")

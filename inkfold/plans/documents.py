@@ -38,8 +38,10 @@ _FILES = f"WITH files AS (SELECT *, {_NAME} AS filename_, {_POST_FILE} AS conten
 
 @query(
     _FILES
-    + r""" SELECT filename_ AS filename, id, regexp_extract(rest, '(?m)^#\s+(.+?)\s*$', 1) AS title, coalesce(published_at, '') AS published_at, substr(coalesce(published_at, ''), 1, 10) AS published_date,
-substr(coalesce(published_at, ''), 1, 4) AS published_year, substr(coalesce(published_at, ''), 1, 7) AS published_month, """ + _strip("coalesce(source_url, '')") + r""" AS source_url, coalesce(tags, []) AS tags,
+    + r""" SELECT filename_ AS filename, id, regexp_extract(rest, '(?m)^#\s+(.+?)\s*$', 1) AS title,
+  coalesce(published_at, '') AS published_at, substr(coalesce(published_at, ''), 1, 10) AS published_date,
+substr(coalesce(published_at, ''), 1, 4) AS published_year, substr(coalesce(published_at, ''), 1, 7) AS published_month, """ + _strip("coalesce(source_url, '')") + r""" AS source_url,
+  coalesce(tags, []) AS tags,
 CAST(images_count AS INTEGER) AS images_count, CAST(length(rest) AS INTEGER) AS body_length, rest AS body FROM bodies"""
 )
 def stored_articles(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +70,9 @@ _WORDS = ["abc", "42", "9f"]
 
 @query(
     _FILES
-    + f""", hits AS (SELECT w AS word, filename_ AS file_name, content, row_number() OVER (PARTITION BY w ORDER BY filename_) AS k FROM files, (VALUES {', '.join(f"('{w}')" for w in _WORDS)}) v(w) WHERE contains(filename_, w)),
+    + f""", hits AS (SELECT w AS word, filename_ AS file_name, content, row_number() OVER (PARTITION BY w
+  ORDER BY filename_) AS k FROM files, (VALUES {', '.join(f"('{w}')" for w in _WORDS)}) v(w)
+  WHERE contains(filename_, w)),
 used AS (SELECT *, coalesce(sum(length(content)) OVER (ORDER BY word, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u FROM hits WHERE k <= 2)
 SELECT word, file_name FROM used WHERE u <= 1500"""
 )
@@ -228,7 +232,9 @@ _RAW_TAGS = "replace(array_to_string(list_transform(coalesce(tags, []), lambda t
 @query(
     f"""SELECT post_row, regexp_extract(coalesce(source_url, ''), 'blog_([0-9a-z]+)', 1) AS id, {_strip(_SAFE.format('title'))} AS title, {_strip("coalesce(published_at, '')")} AS date,
 CASE WHEN {_RAW_TAGS} = '' THEN [] ELSE list_transform(string_split({_RAW_TAGS}, ','), lambda t: {_strip('t')}) END AS tags, {_PLAIN(_SAFE.format('body') + " || ' in &amp; out'")} AS content,
-list_concat(list_transform(coalesce(images, []), lambda i: coalesce(i, '-')), ['http://cdn.example/foot.png']) AS images, list_filter(list_transform(coalesce(images, []), lambda i: coalesce(i, '-')), lambda i: NOT contains(i, 'cdn.example')) AS own_images FROM posts"""
+list_concat(list_transform(coalesce(images, []), lambda i: coalesce(i, '-')), ['http://cdn.example/foot.png']) AS images,
+  list_filter(list_transform(coalesce(images, []), lambda i: coalesce(i, '-')), lambda i: NOT contains(i, 'cdn.example')) AS own_images
+  FROM posts"""
 )
 def article_pages(spark: SparkSession, d: str) -> DataFrame:
     pages = _article_pages(spark, d).select(
@@ -261,7 +267,9 @@ def _list_pages(spark: SparkSession, d: str) -> DataFrame:
     return pages.select("batch_id", page.alias("page"))
 
 
-_LISTED = f"""WITH l AS (SELECT post_row, (row_number() OVER (ORDER BY post_row) - 1) // 50 AS batch_id, regexp_extract('blog_' || id, 'blog_([0-9a-z]+)', 1) AS id, {_PLAIN("regexp_replace(coalesce(title, ''), '[<>' || chr(10) || chr(13) || ']', ' ', 'g')")} AS title, coalesce(published_at, '') AS moment FROM posts)"""
+_LISTED = f"""WITH l AS (SELECT post_row, (row_number() OVER (ORDER BY post_row) - 1) // 50 AS batch_id,
+  regexp_extract('blog_' || id, 'blog_([0-9a-z]+)', 1) AS id, {_PLAIN("regexp_replace(coalesce(title, ''), '[<>' || chr(10) || chr(13) || ']', ' ', 'g')")} AS title,
+  coalesce(published_at, '') AS moment FROM posts)"""
 
 
 @query(
@@ -306,8 +314,10 @@ def fetched_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT post_row, CASE WHEN source_url IS NULL THEN NULL ELSE lower(hex(abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END))) || '.md' END AS hashed, substr(regexp_replace(regexp_replace({_strip("coalesce(title, '')")}, '[\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ\\pP\\pS]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 80) AS slug
-FROM (SELECT *, list_reduce(list_concat([0::BIGINT], list_transform(string_split(source_url, ''), lambda c: ord(c)::BIGINT)), lambda a, c: (a * 31 + c) % 4294967296) AS h FROM posts)"""
+    f"""SELECT post_row, CASE WHEN source_url IS NULL THEN NULL ELSE lower(hex(abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END))) || '.md' END AS hashed,
+  substr(regexp_replace(regexp_replace({_strip("coalesce(title, '')")}, '[\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ\\pP\\pS]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 80) AS slug
+FROM (SELECT *, list_reduce(list_concat([0::BIGINT], list_transform(string_split(source_url, ''), lambda c: ord(c)::BIGINT)), lambda a, c: (a * 31 + c) % 4294967296) AS h
+  FROM posts)"""
 )
 def other_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "posts").select(
@@ -333,7 +343,8 @@ def tag_lists(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(rf"""WITH t AS (SELECT doc_id, {_strip('text')} AS t FROM documents WHERE text IS NOT NULL), l AS (SELECT doc_id, {_strip("regexp_replace(string_split(t, chr(10))[1], '^#+', '')")} AS l FROM t)
+@query(rf"""WITH t AS (SELECT doc_id, {_strip('text')} AS t FROM documents WHERE text IS NOT NULL), l AS (SELECT doc_id, {_strip("regexp_replace(string_split(t, chr(10))[1], '^#+', '')")} AS l
+  FROM t)
 SELECT doc_id, coalesce(nullif(substr(l, 1, 100), ''), 'untitled') AS title FROM l""")
 def first_line_titles(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").where(F.col("text").isNotNull()).select(
@@ -387,7 +398,8 @@ def keyword_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT uid, to_json({'uid': coalesce(uid, ''), 'name': coalesce(name, ''), 'domain': 'https://host.example/u/' || coalesce(uid, ''), 'total_articles': coalesce(total_articles, 0), 'profile': {'description': coalesce(profile.description, ''), 'category': coalesce(profile.category, '')}, 'created_at': coalesce(created_at, '')})::VARCHAR AS content FROM bloggers"""
+    """SELECT uid, to_json({'uid': coalesce(uid, ''), 'name': coalesce(name, ''), 'domain': 'https://host.example/u/' || coalesce(uid, ''), 'total_articles': coalesce(total_articles, 0), 'profile': {'description': coalesce(profile.description, ''), 'category': coalesce(profile.category, '')}, 'created_at': coalesce(created_at, '')})::VARCHAR AS content
+  FROM bloggers"""
 )
 def blogger_files(spark: SparkSession, d: str) -> DataFrame:
     return sinks.blogger_documents(table(spark, d, "bloggers"), "host.example")
@@ -397,10 +409,13 @@ _RANKED = "SELECT *, row_number() OVER (ORDER BY filename, post_row) AS rank FRO
 
 
 @query(
-    f"""WITH r AS ({_RANKED}), s AS (SELECT post_row, rank, author_uid, title, body, regexp_replace(regexp_replace(coalesce(title, ''), '[^\\pL\\pN\\pM_\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}-]', '', 'g'), '(-|{_WS})+', '-', 'g') AS x FROM r),
+    f"""WITH r AS ({_RANKED}), s AS (SELECT post_row, rank, author_uid, title, body, regexp_replace(regexp_replace(coalesce(title, ''), '[^\\pL\\pN\\pM_\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}-]', '', 'g'), '(-|{_WS})+', '-', 'g') AS x
+  FROM r),
 t AS (SELECT *, regexp_replace(substr(lower(regexp_replace(x, '^-+|-+$', '', 'g')), 1, 60), '-+$', '') AS slug FROM s)
-SELECT post_row, concat_ws('_', author_uid, CASE WHEN slug = '' THEN 'untitled' ELSE slug END, CASE WHEN rank < 10000 THEN lpad(CAST(rank AS VARCHAR), 4, '0') ELSE CAST(rank AS VARCHAR) END || '.md') AS file_name,
-'# ' || coalesce(title, '') || chr(10) || chr(10) || CASE WHEN starts_with(body, '# ') THEN regexp_replace(body, '^[# ]+{_WS}*', '') ELSE coalesce(body, '') END AS content FROM t"""
+SELECT post_row, concat_ws('_', author_uid, CASE WHEN slug = '' THEN 'untitled' ELSE slug END,
+  CASE WHEN rank < 10000 THEN lpad(CAST(rank AS VARCHAR), 4, '0') ELSE CAST(rank AS VARCHAR) END || '.md') AS file_name,
+'# ' || coalesce(title, '') || chr(10) || chr(10) || CASE WHEN starts_with(body, '# ') THEN regexp_replace(body, '^[# ]+{_WS}*', '') ELSE coalesce(body, '') END AS content
+  FROM t"""
 )
 def staged_files(spark: SparkSession, d: str) -> DataFrame:
     """Posts that are there, in order, under their titles and with their ranks in the names."""
@@ -449,7 +464,9 @@ _COUNTED = "SELECT item, count(*) AS n, min((post_row, pos)) AS f FROM (SELECT p
 
 
 @query(f"""WITH c AS ({_COUNTED}), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, f) AS k FROM c)
-SELECT (SELECT count(*) FROM c) AS total_tags, list(item ORDER BY k) FILTER (k <= 20) AS top_items, list(n ORDER BY k) FILTER (k <= 20) AS top_counts, CAST(sum(n) FILTER (k <= 50) AS BIGINT) AS map_uses, CAST(count(*) FILTER (k <= 50) AS INTEGER) AS map_size FROM r""")
+SELECT (SELECT count(*) FROM c) AS total_tags, list(item ORDER BY k) FILTER (k <= 20) AS top_items, list(n
+  ORDER BY k) FILTER (k <= 20) AS top_counts, CAST(sum(n) FILTER (k <= 50) AS BIGINT) AS map_uses,
+  CAST(count(*) FILTER (k <= 50) AS INTEGER) AS map_size FROM r""")
 def tag_maps(spark: SparkSession, d: str) -> DataFrame:
     maps = stats.tag_maps(stats.list_counts(table(spark, d, "posts"), "tags", ["post_row"]))
     uses = F.aggregate(F.map_values("tags_distribution"), F.lit(0).cast("bigint"), lambda a, n: a + n)
@@ -490,8 +507,10 @@ def staged_texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "post_index").select("index_row", "id").join(posts.select("id", "body"), "id").select("index_row", "body")
 
 
-@query("""WITH f AS (SELECT index_row, source_url FROM post_index WHERE index_row % 2 = 1 AND source_url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY index_row) = 1)
-SELECT index_row AS row_id, source_url FROM post_index WHERE index_row % 2 = 0 UNION ALL SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM post_index k WHERE k.index_row % 2 = 0 AND k.source_url = f.source_url)""")
+@query("""WITH f AS (SELECT index_row, source_url FROM post_index WHERE index_row % 2 = 1 AND source_url IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY index_row) = 1)
+SELECT index_row AS row_id, source_url FROM post_index WHERE index_row % 2 = 0 UNION ALL SELECT *
+  FROM f WHERE NOT EXISTS (SELECT 1 FROM post_index k WHERE k.index_row % 2 = 0 AND k.source_url = f.source_url)""")
 def failed_once(spark: SparkSession, d: str) -> DataFrame:
     """Known failures, and the first new one of each address."""
     index = table(spark, d, "post_index").select(F.col("index_row").alias("row_id"), "source_url")
@@ -512,8 +531,11 @@ def reply_sections(spark: SparkSession, d: str) -> DataFrame:
     return posts.select("post_row", F.explode(batching.entries(reply)).alias("e")).select("post_row", "e.title", "e.summary")
 
 
-@query(f"""WITH b AS (SELECT post_row, title, (row_number() OVER (ORDER BY filename, post_row) - 1) // 10 AS batch_id, CAST((row_number() OVER (ORDER BY filename, post_row) - 1) % 10 + 1 AS INTEGER) AS idx FROM posts),
-n AS (SELECT *, regexp_replace(title, '\\s+', '', 'g') AS t FROM b), e AS (SELECT batch_id, idx AS pos, substr(title, 1, 12) AS title, regexp_replace(substr(title, 1, 12), '\\s+', '', 'g') AS t FROM b WHERE title IS NOT NULL)
+@query(f"""WITH b AS (SELECT post_row, title, (row_number() OVER (ORDER BY filename, post_row) - 1) // 10 AS batch_id,
+  CAST((row_number() OVER (ORDER BY filename, post_row) - 1) % 10 + 1 AS INTEGER) AS idx FROM posts),
+n AS (SELECT *, regexp_replace(title, '\\s+', '', 'g') AS t FROM b), e AS (SELECT batch_id, idx AS pos,
+  substr(title, 1, 12) AS title, regexp_replace(substr(title, 1, 12), '\\s+', '', 'g') AS t FROM b
+  WHERE title IS NOT NULL)
 SELECT e.batch_id, e.pos, (SELECT min(n.idx) FROM n WHERE n.batch_id = e.batch_id AND n.t <> '' AND (contains(e.t, n.t) OR contains(n.t, e.t))) AS idx FROM e""")
 def matched_titles(spark: SparkSession, d: str) -> DataFrame:
     """Entries with the number of the first record of their batch whose title holds theirs or is held by it."""

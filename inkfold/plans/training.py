@@ -106,7 +106,8 @@ gone AS (
   SELECT DISTINCT 'file' AS k, {sql_file("filename")} AS key FROM removed_posts
   UNION SELECT 'address', {sql_address("source_url")} FROM removed_posts),
 refs AS (
-  SELECT 'post_index' AS table_name, index_row AS row_id, 'filename' AS field_name, 'file' AS k, {sql_file("filename")} AS key, {sql_instant("indexed_at")} AS moment FROM post_index
+  SELECT 'post_index' AS table_name, index_row AS row_id, 'filename' AS field_name, 'file' AS k, {sql_file("filename")} AS key, {sql_instant("indexed_at")} AS moment
+  FROM post_index
   UNION ALL SELECT 'post_index', index_row, 'source_url', 'address', {sql_address("source_url")}, {sql_instant("indexed_at")} FROM post_index
   UNION ALL SELECT 'analysis_results', result_id, '_source_file', 'file', {sql_file("_source_file")}, {sql_instant("analyzed_at")} FROM analysis_results),
 judged AS (
@@ -124,13 +125,17 @@ refs AS (
   SELECT 'post_index' AS table_name, 'filename' AS field_name, 'file' AS k, {sql_file("filename")} AS key, {sql_instant("indexed_at")} AS moment FROM post_index
   UNION ALL SELECT 'post_index', 'source_url', 'address', {sql_address("source_url")}, {sql_instant("indexed_at")} FROM post_index
   UNION ALL SELECT 'analysis_results', '_source_file', 'file', {sql_file("_source_file")}, {sql_instant("analyzed_at")} FROM analysis_results),
-every AS (SELECT CAST(floor(epoch(moment)) AS BIGINT) AS s FROM (SELECT key, moment FROM stored UNION ALL SELECT key, moment FROM gone UNION ALL SELECT key, moment FROM refs) WHERE key <> ''),
-ends AS (SELECT period, CASE WHEN period = 3 THEN hi ELSE lo + (hi - lo) * (period + 1) // 4 END AS upto FROM (SELECT min(s) AS lo, max(s) AS hi FROM every), (VALUES (0), (1), (2), (3)) v(period)),
-seen AS (SELECT period, k, key, min(coalesce(moment, TIMESTAMPTZ '0001-01-01')) AS moment FROM stored, ends WHERE key <> '' AND coalesce(floor(epoch(moment)) <= upto, true) GROUP BY 1, 2, 3),
+every AS (SELECT CAST(floor(epoch(moment)) AS BIGINT) AS s FROM (SELECT key, moment FROM stored
+  UNION ALL SELECT key, moment FROM gone UNION ALL SELECT key, moment FROM refs) WHERE key <> ''),
+ends AS (SELECT period, CASE WHEN period = 3 THEN hi ELSE lo + (hi - lo) * (period + 1) // 4 END AS upto
+  FROM (SELECT min(s) AS lo, max(s) AS hi FROM every), (VALUES (0), (1), (2), (3)) v(period)),
+seen AS (SELECT period, k, key, min(coalesce(moment, TIMESTAMPTZ '0001-01-01')) AS moment FROM stored, ends
+  WHERE key <> '' AND coalesce(floor(epoch(moment)) <= upto, true) GROUP BY 1, 2, 3),
 taken AS (SELECT DISTINCT period, k, key FROM gone, ends WHERE coalesce(floor(epoch(moment)) <= upto, true)),
 judged AS (
   SELECT e.period, table_name, field_name, CASE WHEN s.key IS NOT NULL THEN CASE WHEN s.moment > r.moment THEN 'late' ELSE 'ok' END WHEN g.key IS NOT NULL THEN 'deleted' ELSE 'missing' END AS kind
-  FROM refs r JOIN ends e ON coalesce(floor(epoch(r.moment)) <= e.upto, true) LEFT JOIN seen s ON s.period = e.period AND r.k = s.k AND r.key = s.key LEFT JOIN taken g ON g.period = e.period AND r.k = g.k AND r.key = g.key WHERE r.key <> '')
+  FROM refs r JOIN ends e ON coalesce(floor(epoch(r.moment)) <= e.upto, true) LEFT JOIN seen s ON s.period = e.period AND r.k = s.k AND r.key = s.key
+  LEFT JOIN taken g ON g.period = e.period AND r.k = g.k AND r.key = g.key WHERE r.key <> '')
 SELECT CAST(period AS INTEGER) AS period, table_name, field_name, kind, count(*) AS n_refs FROM judged WHERE kind <> 'ok' GROUP BY ALL"""
 _KEYED = f"""
 WITH base AS (SELECT post_row, author_uid, tags, {sql_instant("published_at")} AS moment, coalesce(length(body), 0) AS chars FROM posts),

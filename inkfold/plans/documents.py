@@ -517,6 +517,23 @@ def failed_once(spark: SparkSession, d: str) -> DataFrame:
     return reconcile.failed_once(index.where(F.col("row_id") % 2 == 0), index.where(F.col("row_id") % 2 == 1), "source_url", ["row_id"])
 
 
+_HOLES = """WITH numbered AS (SELECT author_uid, 1 + (row_number() OVER (PARTITION BY author_uid ORDER BY index_row) - 1) // 5 AS page, images_count
+  FROM post_index WHERE author_uid IS NOT NULL),
+shown AS (SELECT author_uid, page FROM numbered WHERE images_count >= 3 GROUP BY 1, 2),
+gaps AS (SELECT *, page - lag(page, 1, 0) OVER (PARTITION BY author_uid ORDER BY page) > 3 AS beyond FROM shown),
+seen AS (SELECT *, bool_or(beyond) OVER (PARTITION BY author_uid ORDER BY page) AS lost FROM gaps)
+SELECT author_uid, max(page) AS last_page FROM seen WHERE NOT lost GROUP BY 1"""
+
+
+@query(_HOLES)
+def stop_pages_with_holes(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of five entries that show only those with three images: many are empty, and a reader gives up after three."""
+    index = table(spark, d, "post_index").where(F.col("author_uid").isNotNull()).select("author_uid", "index_row", "images_count")
+    rows = batching.batches(index, ["index_row"], 5, within="author_uid")
+    shown = rows.groupBy("author_uid", (F.col("batch_id") + 1).alias("page")).agg(F.count_if(F.col("images_count") >= 3).alias("n"))
+    return reconcile.stop_page(shown, ["author_uid"])
+
+
 # Replies
 
 

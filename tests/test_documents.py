@@ -155,3 +155,14 @@ def test_ship(spark):
 
     ship(spark)
     assert any("inkfold.zip" in f for f in spark.sparkContext.listFiles)
+
+
+def test_files_are_listed_by_tasks_and_only_kept_ones_are_read(spark, tmp_path):
+    for name in ("abc_1.md", "abc_2.md", "a+b%20c.md", "_hidden.md", ".abc_0.md"):
+        (tmp_path / name).write_text(name)
+    (tmp_path / "abc_3.md").symlink_to(tmp_path / "gone")  # can't be read
+    found = markdown.files(spark, str(tmp_path))
+    assert found.inputFiles() == []  # the driver has no list of them
+    assert {r["file_name"] for r in found.select("file_name").collect()} == {"abc_1.md", "abc_2.md", "abc_3.md", "a+b%20c.md"}
+    assert [r["content"] for r in markdown.by_keywords(found, ["abc"]).orderBy("file_name").collect()] == ["abc_1.md", "abc_2.md"]
+    assert [r["content"] for r in markdown.files(spark, str(tmp_path), prefix="a+").collect()] == ["a+b%20c.md"]

@@ -118,8 +118,8 @@ def files(spark: SparkSession, path: str, *, recursive: bool = False, prefix: st
 
 
 def first_files(found: DataFrame, n: int = 50) -> DataFrame:
-    """The first ``n`` files by name."""
-    return found.orderBy("file_name", "file_path").limit(n)
+    """The first ``n`` files by name; no other is read."""
+    return with_content(found.select("file_path", "file_name").orderBy("file_name", "file_path").limit(n))
 
 
 def stored_ids(found: DataFrame) -> DataFrame:

@@ -166,3 +166,10 @@ def test_files_are_listed_by_tasks_and_only_kept_ones_are_read(spark, tmp_path):
     assert {r["file_name"] for r in found.select("file_name").collect()} == {"abc_1.md", "abc_2.md", "abc_3.md", "a+b%20c.md"}
     assert [r["content"] for r in markdown.by_keywords(found, ["abc"]).orderBy("file_name").collect()] == ["abc_1.md", "abc_2.md"]
     assert [r["content"] for r in markdown.files(spark, str(tmp_path), prefix="a+").collect()] == ["a+b%20c.md"]
+
+
+def test_first_files_read_no_others(spark, tmp_path):
+    for name in "cab":
+        (tmp_path / f"{name}.md").write_text(name)
+    (tmp_path / "d.md").symlink_to(tmp_path / "gone")  # can't be read
+    assert [(r["file_name"], r["content"]) for r in markdown.first_files(markdown.files(spark, str(tmp_path)), 2).collect()] == [("a.md", "a"), ("b.md", "b")]

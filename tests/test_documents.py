@@ -173,3 +173,11 @@ def test_first_files_read_no_others(spark, tmp_path):
         (tmp_path / f"{name}.md").write_text(name)
     (tmp_path / "d.md").symlink_to(tmp_path / "gone")  # can't be read
     assert [(r["file_name"], r["content"]) for r in markdown.first_files(markdown.files(spark, str(tmp_path)), 2).collect()] == [("a.md", "a"), ("b.md", "b")]
+
+
+def test_ids_come_from_names_alone(spark, tmp_path):
+    for name in ("1_a.md", "1_b.md", "2_.md", "3.md"):
+        (tmp_path / name).symlink_to(tmp_path / "gone")  # can't be read
+    ids = markdown.stored_ids(markdown.files(spark, str(tmp_path)))
+    assert sorted(r["id"] for r in ids.collect()) == ["1", "2", "3"]
+    assert ids.inputFiles() == []  # the driver has no list of them

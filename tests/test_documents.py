@@ -181,3 +181,12 @@ def test_ids_come_from_names_alone(spark, tmp_path):
     ids = markdown.stored_ids(markdown.files(spark, str(tmp_path)))
     assert sorted(r["id"] for r in ids.collect()) == ["1", "2", "3"]
     assert ids.inputFiles() == []  # the driver has no list of them
+
+
+def test_names_begin_and_end_as_asked(spark, tmp_path):
+    for name in ("1_a.md", "1a.md", "a.md", "1_b.md", "2_a.md"):
+        (tmp_path / name).symlink_to(tmp_path / "gone")  # can't be read
+    found = markdown.files(spark, str(tmp_path), prefix="1", suffix="a.md").select("file_name")
+    assert sorted(r["file_name"] for r in found.collect()) == ["1_a.md", "1a.md"]
+    assert markdown.files(spark, str(tmp_path), prefix="a.md").select("file_name").count() == 0  # the beginning isn't the end too
+    assert found.inputFiles() == []  # the driver has no list of them

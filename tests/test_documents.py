@@ -190,3 +190,13 @@ def test_names_begin_and_end_as_asked(spark, tmp_path):
     assert sorted(r["file_name"] for r in found.collect()) == ["1_a.md", "1a.md"]
     assert markdown.files(spark, str(tmp_path), prefix="a.md").select("file_name").count() == 0  # the beginning isn't the end too
     assert found.inputFiles() == []  # the driver has no list of them
+
+
+def test_articles_are_read_by_tasks_once(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for at in ("a.md", "sub/b+c.md"):
+        (tmp_path / at).write_text("---\nid: 1\n---\n# T\n")
+    read = markdown.articles(markdown.files(spark, str(tmp_path), recursive=True))
+    assert sorted((r["filename"], r["title"]) for r in read.collect()) == [("a.md", "T"), ("b+c.md", "T")]
+    assert read.inputFiles() == []  # the driver has no list of them
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1  # each file is opened once

@@ -20,9 +20,13 @@ def _entries(block: Column, *, quotes: bool) -> Column:
     value = lambda x: strip(F.substring(x, F.instr(x, ":") + 1, F.length(x)))
     bare = (lambda v: F.regexp_replace(F.regexp_replace(v, '^"+|"+$', ""), "^'+|'+$", "")) if quotes else (lambda v: v)
     pairs = F.transform(lines, lambda x: F.struct(strip(F.substring_index(x, ":", 1)).alias("k"), bare(value(x)).alias("v")))
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    last = F.transform(keys, lambda k: F.struct(k.alias("k"), F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"].alias("v")))
-    return F.map_from_entries(last)
+
+    def last(pairs: Column) -> Column:
+        keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+        found = F.transform(keys, lambda k: F.struct(k.alias("k"), F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"].alias("v")))
+        return F.map_from_entries(F.when(F.size(keys) == F.size(pairs), pairs).otherwise(found))
+
+    return F.transform(F.array(pairs), last)[0]  # a lambda's argument: the lines are cut once, not again for each key
 
 
 def split_fences(text: Column) -> Column:

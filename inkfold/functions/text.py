@@ -56,8 +56,8 @@ def without_marks(text: Column) -> Column:
 
 
 def first_heading(text: Column) -> Column:
-    """The first Markdown heading of level one, '' without one."""
-    return F.regexp_extract(text, r"(?m)^#\s+(.+?)\s*$", 1)
+    """The first Markdown heading of level one, '' without one. Only a line feed ends a line; blanks are those of ASCII."""
+    return F.regexp_extract(text, r"(?md)^#[\t\n\f\r ]+(.+?)[\t\n\f\r ]*$", 1)
 
 
 def without_controls(text: Column) -> Column:

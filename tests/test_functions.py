@@ -135,6 +135,20 @@ def test_front_matter(spark):
     assert column(spark, ["a\n\n## See also\n\nold"], lambda x: frontmatter.with_section(x, "## See also", F.lit("new"))) == ["a\n\n## See also\n\nnew\n"]
 
 
+def test_lines_of_front_matter_are_cut_once(spark):
+    part = spark.range(1).select(frontmatter.split_fences(F.concat(F.lit("---\na: 1\na: 2\nb: 3\n---\n"), F.col("id").cast("string"))).alias("p"))
+    assert part._jdf.queryExecution().optimizedPlan().toString().count("instr(") == 1  # not once more within each key
+    assert dict(part.first()["p"]["meta"]) == {"a": "2", "b": "3"}
+
+
+def test_only_line_feeds_end_a_heading(spark):
+    import duckdb
+
+    cases = ["# a\x85", "# a\x85\u2028b \r\nc", "x\x85# no", "x\r# no", "#\x0bno", "#\u3000no", "# a\x0b\n", "#\n\nnext\x0c", "# "]
+    sql = r"SELECT regexp_extract(?, '(?m)^#\s+(.+?)\s*$', 1)"
+    assert column(spark, cases, text.first_heading) == [duckdb.execute(sql, [c]).fetchone()[0] for c in cases]
+
+
 PAGE = """<html><title> A&nbsp;B </title><body><a href="//h/s/blog_0a.html"><b>First  post</b></a><a href="/s/blog_0a.html">again here</a>
 <a href="http://h/s/blog_1b.html">ab</a><a href="javascript:">xxxx</a><script>var $tag='a, b，,c'</script>(2012-01-02 03:04:05)
 <h2 id="t" class="titName SG_txta"> A  title </h2><span class="time SG_txtc">(2013-04-05 06:07:08)</span>

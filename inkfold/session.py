@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -70,10 +71,21 @@ def release(spark: SparkSession, path: str | None = None) -> None:
     Frames that read them can't be used any more; call it when a query's result has been written or collected.
     """
     with suppress(Exception):  # the session may have ended
-        where = spark._jvm.org.apache.hadoop.fs.Path(path or run_dir(spark))
+        folder = path or run_dir(spark)
+        if folder.startswith("file:"):
+            return _remove(re.sub("^file:(//(?=/))?", "", folder))
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def _remove(folder: str) -> None:
+    """Deletes a local folder; names go as they are listed, while Hadoop's delete holds all names of a folder at once."""
+    with os.scandir(folder) as found:
+        for entry in found:
+            _remove(entry.path) if entry.is_dir(follow_symlinks=False) else os.unlink(entry.path)
+    shutil.rmtree(folder)  # with what a file system left out while its folder changed
+
+
 def new_path(spark: SparkSession) -> str:
     """A path in ``run_dir`` that nothing has."""
     return f"{run_dir(spark)}/{uuid.uuid4().hex}"

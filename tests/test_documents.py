@@ -200,3 +200,20 @@ def test_articles_are_read_by_tasks_once(spark, tmp_path):
     assert sorted((r["filename"], r["title"]) for r in read.collect()) == [("a.md", "T"), ("b+c.md", "T")]
     assert read.inputFiles() == []  # the driver has no list of them
     assert read._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1  # each file is opened once
+
+
+def test_local_files_are_released_without_a_list_of_them(tmp_path, monkeypatch):
+    from inkfold import session
+
+    (tmp_path / "run" / "sub").mkdir(parents=True)
+    (tmp_path / "kept").mkdir()
+    (tmp_path / "kept" / "x.md").write_text("x")
+    (tmp_path / "run" / "away").symlink_to(tmp_path / "kept")
+    for at in ("a b%20+.md", "sub/b.md", ".b.md.crc"):
+        (tmp_path / "run" / at).write_text("")
+    left = []
+    remove = session.shutil.rmtree
+    monkeypatch.setattr(session.shutil, "rmtree", lambda at: (left.extend(session.os.listdir(at)), remove(at)))
+    session.release(None, f"file://{tmp_path}/run")  # the driver's JVM, which would list all names, isn't asked
+    assert not (tmp_path / "run").exists() and left == [] and (tmp_path / "kept" / "x.md").exists()
+    session.release(None, f"file://{tmp_path}/run")  # what is gone is no error
